@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prosewell.operators.joins import lookup, names, top_k
+from prosewell.operators.joins import lookup, names
+from prosewell.sources.store import cut
 
 MAX_CLASSES = 10_000
 
@@ -61,7 +62,8 @@ def nb_fit(
     """Multinomial Naive Bayes as two tables: (label, docs, log_prior), (label, token, log_likelihood).
 
     The second holds every class for every token of the training vocabulary. One aggregate by
-    token counts all classes side by side, so the table of zero counts is never built.
+    token counts all classes side by side, so the table of zero counts is never built. Both are
+    written to the shared folder: a model is read more often than it is fitted.
     """
     known = labels.filter("label is not null").select(*names(key), "label")
     classes = class_list(known)
@@ -72,7 +74,7 @@ def nb_fit(
         F.array(*[F.sum(F.get("counts", F.lit(i))) for i in range(len(classes))]).alias("totals"),
         F.count(F.lit(1)).alias("vocabulary"),
     )
-    totals, vocabulary = sums.first()
+    whole = sums.select(F.struct("totals", "vocabulary").alias("s")).scalar()
     long = wide.select(
         "token",
         F.inline(
@@ -82,7 +84,7 @@ def nb_fit(
                         F.lit(c).alias("label"),
                         F.log(
                             (F.get("counts", F.lit(i)) + smoothing)
-                            / F.lit(totals[i] + smoothing * vocabulary)
+                            / (F.get(whole["totals"], F.lit(i)) + smoothing * whole["vocabulary"])
                         ).alias("log_likelihood"),
                     )
                     for i, c in enumerate(classes)
@@ -90,7 +92,7 @@ def nb_fit(
             )
         ),
     )
-    return nb_priors(known), long
+    return cut(nb_priors(known)), cut(long)
 
 
 def nb_predict(
@@ -127,11 +129,11 @@ def majority_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
     """(label, prediction, n) for every pair of classes, zero cells kept."""
     counted = predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
-    both = counted.select(F.explode(F.array("label", "prediction")).alias("c"))
-    classes = class_list(both, "c")
-    kind = predictions.schema["label"].dataType.simpleString()
-    cells = predictions.sparkSession.createDataFrame(
-        [(a, b) for a in classes for b in classes], f"label {kind}, prediction {kind}"
+    classes = counted.select(F.explode(F.array("label", "prediction")).alias("c")).agg(
+        F.collect_set("c").alias("cs")
+    )
+    cells = classes.select(F.explode("cs").alias("label"), "cs").select(
+        "label", F.explode("cs").alias("prediction")
     )
     return cells.join(counted, ["label", "prediction"], "left").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")

@@ -9,7 +9,7 @@ from prosewell.operators import opinion, terms
 from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query
 from prosewell.sources.corpus import write_corpus
-from prosewell.sources.store import fresh_path
+from prosewell.sources.store import cut, fresh_path
 from prosewell.sources.tables import documents_as_corpus, read_table
 
 
@@ -185,7 +185,7 @@ def c8(spark, folder):
 )
 def c9(spark, folder):
     tf = terms.term_counts(documents(spark, folder))
-    out = terms.tf_idf(tf, terms.doc_freq(tf), doc_count(spark, folder))
+    out = terms.tf_idf(tf, cut(terms.doc_freq(tf)), doc_count(spark, folder))
     return out.withColumn("tf_idf", F.round("tf_idf", 6))
 
 
@@ -197,7 +197,7 @@ def c9(spark, folder):
 )
 def c10(spark, folder):
     tf = terms.term_counts(documents(spark, folder), key=["doc_id", "lang", "source"])
-    weights = terms.tf_idf(tf, terms.doc_freq(tf), doc_count(spark, folder))
+    weights = terms.tf_idf(tf, cut(terms.doc_freq(tf)), doc_count(spark, folder))
     out = terms.top_terms(weights, ["lang", "source"], 10)
     return out.select(
         "lang", "source", "token", F.round("score", 6).alias("score"), F.col("rank").cast("bigint")
