@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The modules of this package that register queries.
-MODULES = ["text", "sentiment", "sensing", "learning", "clustering"]
+MODULES = ["text", "messaging", "sentiment", "sensing", "learning", "clustering", "auditing"]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}

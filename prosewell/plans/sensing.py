@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prosewell.operators import senses as S
 from prosewell.operators import terms
+from prosewell.operators.joins import lookup
 from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query, values_sql
 from prosewell.plans.sentiment import scores
@@ -144,7 +145,7 @@ def e4(spark, folder):
     any_pos = weighted.groupBy(F.col("lemma").alias("token")).agg(
         F.avg("pos_score").alias("pos_score"), F.avg("neg_score").alias("neg_score")
     )
-    hits = S.lookup(terms.tokenize(documents(spark, folder)), any_pos, "token")
+    hits = lookup(terms.tokenize(documents(spark, folder)), any_pos, "token")
     out = S.score_senses(hits)
     return out.select("doc_id", F.round("pos", 6).alias("pos"), F.round("neg", 6).alias("neg"))
 
@@ -169,7 +170,7 @@ def e6(spark, folder):
     words = S.gloss_words(sense_table(spark), fx.word_table(spark, fx.STOP_WORDS))
     vocabulary = words.select(F.col("word").alias("token")).distinct()
     seen = (
-        S.lookup(terms.tokenize(documents(spark, folder)), vocabulary, "token", "left_semi")
+        lookup(terms.tokenize(documents(spark, folder)), vocabulary, "token", "left_semi")
         .groupBy(F.col("token").alias("word"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
