@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -20,6 +21,15 @@ ASCII_WORD = "[A-Za-z]+"
 STRETCHED = "[a-z]*(?:" + "|".join(f"{c}{c}{c}" for c in string.ascii_lowercase) + ")[a-z]*"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body(value)` with `value` computed once per row, however often the body uses it.
+
+    The optimizer may copy a computed column into every place that reads it, also into a lambda,
+    where it would be computed again for each element.
+    """
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def words(text: Column | str) -> Column:
     """Lower-case runs of a to z. Splitting on the rest is twice as fast as extracting."""
     return F.array_remove(F.split(F.lower(text), NOT_WORD), "")
@@ -36,10 +46,37 @@ def sentence_array(text: Column | str) -> Column:
 
 def word_ngrams(tokens: Column, n: int) -> Column:
     """Adjacent n-grams of a token array, in order; empty when there are fewer than n tokens."""
-    starts = F.when(F.size(tokens) >= n, F.sequence(F.lit(1), F.size(tokens) - (n - 1))).otherwise(
-        F.array().cast("array<int>")
-    )
-    return F.transform(starts, lambda i: F.array_join(F.slice(tokens, i, F.lit(n)), " "))
+
+    def grams(t: Column) -> Column:
+        last = F.size(t) - (n - 1)
+        starts = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(
+            F.array().cast("array<int>")
+        )
+        return F.transform(starts, lambda i: F.array_join(F.slice(t, i, F.lit(n)), " "))
+
+    return let(tokens, grams)
+
+
+def counted_terms(tokens: Column) -> Column:
+    """array<struct<token, tf>> of a token array: sort it and measure each run of equal tokens."""
+
+    def run_ends(t: Column) -> Column:
+        size = F.size(t)
+        return F.filter(
+            F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
+            lambda i: ((i == size) & (size > 0)) | ((i < size) & (F.get(t, i) != F.get(t, i - 1))),
+        )
+
+    def counts(t: Column, ends: Column) -> Column:
+        def count(end: Column, j: Column) -> Column:
+            before = F.when(j == 0, F.lit(0)).otherwise(F.get(ends, j - 1))
+            return F.struct(
+                F.get(t, end - 1).alias("token"), (end - before).cast("bigint").alias("tf")
+            )
+
+        return F.transform(ends, count)
+
+    return let(F.array_sort(tokens), lambda t: let(run_ends(t), lambda ends: counts(t, ends)))
 
 
 def cleaned(text: Column | str) -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from prosewell.functions.text import let
+
 
 def dot(a: Column | str, b: Column | str) -> Column:
     a, b = F.col(a) if isinstance(a, str) else a, F.col(b) if isinstance(b, str) else b
@@ -19,7 +21,7 @@ def norm(a: Column | str) -> Column:
 def scaled(a: Column | str, by: Column) -> Column:
     """Divide by `by`; null where it is 0."""
     a = F.col(a) if isinstance(a, str) else a
-    return F.when(by != 0, F.transform(a, lambda x: x / by))
+    return let(by, lambda n: F.when(n != 0, F.transform(a, lambda x: x / n)))
 
 
 def unit(a: Column | str) -> Column:

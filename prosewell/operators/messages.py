@@ -57,16 +57,26 @@ def parse_headers(parts: DataFrame) -> DataFrame:
             F.trim(F.substr(h, F.instr(h, ":") + 1)).alias("value"),
         ),
     )
-    named = parts.withColumn("_pairs", pairs).withColumn(
-        "_names", F.array_distinct(F.transform("_pairs", lambda p: p["name"]))
-    )
-    values = F.transform(
-        "_names",
-        lambda n: F.transform(
-            F.filter("_pairs", lambda p: p["name"] == n), lambda p: p["value"]
+
+    def grouped(found: Column, known: Column) -> Column:
+        return F.map_from_arrays(
+            known,
+            F.transform(
+                known,
+                lambda n: F.transform(
+                    F.filter(found, lambda p: p["name"] == n), lambda p: p["value"]
+                ),
+            ),
+        )
+
+    headers = T.let(
+        pairs,
+        lambda found: T.let(
+            F.array_distinct(F.transform(found, lambda p: p["name"])),
+            lambda known: grouped(found, known),
         ),
     )
-    return named.withColumn("headers", F.map_from_arrays("_names", values)).drop("_pairs", "_names")
+    return parts.withColumn("headers", headers)
 
 
 def _header(name: str, which: int = 1) -> Column:
@@ -131,37 +141,24 @@ def check_lines(messages: DataFrame) -> DataFrame:
     )
 
 
-def _marked_lines(df: DataFrame, keep: Sequence[str], col: str) -> DataFrame:
-    """Adds the lines of `col` and the places of the markers that change what follows them."""
-
-    def places(pattern: str) -> Column:
-        found = F.transform("_l", lambda x, i: F.when(x.rlike(pattern), i))
-        return F.filter(found, lambda i: i.isNotNull())
-
-    lines = df.select(*keep, F.split(F.regexp_replace(col, "\r", ""), "\n").alias("_l"))
-    return lines.select(
-        *keep,
-        "_l",
-        F.array_min(places(SIGNATURE)).alias("_sig"),
-        places(ARMOR_BEGIN).alias("_begin"),
-        places(ARMOR_END).alias("_end"),
-    )
+def _places(lines: Column, pattern: str) -> Column:
+    """Indexes of the lines that match."""
+    found = F.transform(lines, lambda x, i: F.when(x.rlike(pattern), i))
+    return F.filter(found, lambda i: i.isNotNull())
 
 
-def _line_records() -> Column:
-    """array<struct<line_no, depth, kind, line>> from the columns of `_marked_lines`."""
+def _line_records(body: Column | str) -> Column:
+    """array<struct<line_no, depth, kind, line>>. Markers change the kind of what follows them."""
 
-    def record(line: Column, i: Column) -> Column:
-        opened = F.size(F.filter("_begin", lambda b: b <= i))
-        closed = F.size(F.filter("_end", lambda e: e < i))
-        armored = line.rlike(ARMOR_MARK) | (opened > closed)
-        quoted = line.rlike(QUOTE_PREFIX)
+    def record(line: Column, i: Column, at: Column) -> Column:
+        opened = F.size(F.filter(at["begins"], lambda b: b <= i))
+        closed = F.size(F.filter(at["ends"], lambda e: e < i))
         marks = F.regexp_replace(F.regexp_extract(line, QUOTE_PREFIX, 0), "[^>|:]", "")
         kind = (
-            F.when(armored, "armor")
-            .when(F.col("_sig").isNotNull() & (i >= F.col("_sig")), "signature")
+            F.when(line.rlike(ARMOR_MARK) | (opened > closed), "armor")
+            .when(at["signature"].isNotNull() & (i >= at["signature"]), "signature")
             .when(F.trim(F.translate(line, "\t", " ")) == "", "blank")
-            .when(quoted, "quote")
+            .when(line.rlike(QUOTE_PREFIX), "quote")
             .when(line.rlike(ATTRIBUTION), "attribution")
             .otherwise("text")
         )
@@ -169,19 +166,27 @@ def _line_records() -> Column:
             i.alias("line_no"), F.length(marks).alias("depth"), kind.alias("kind"), line.alias("line")
         )
 
-    return F.transform("_l", record)
+    def records(lines: Column) -> Column:
+        markers = F.struct(
+            F.array_min(_places(lines, SIGNATURE)).alias("signature"),
+            _places(lines, ARMOR_BEGIN).alias("begins"),
+            _places(lines, ARMOR_END).alias("ends"),
+        )
+        return T.let(markers, lambda at: F.transform(lines, lambda x, i: record(x, i, at)))
+
+    return T.let(F.split(F.regexp_replace(body, "\r", ""), "\n"), records)
 
 
 def body_lines(df: DataFrame, keep: Sequence[str] = KEY, col: str = "body") -> DataFrame:
     """(key, line_no, depth, kind, line): every line with its role and depth of quotation."""
-    return _marked_lines(df, keep, col).select(*keep, F.inline(_line_records()))
+    return df.select(*keep, F.inline(_line_records(col)))
 
 
 def own_text(df: DataFrame, keep: Sequence[str] = KEY, col: str = "body") -> DataFrame:
     """(key, text): the author's own lines in order."""
-    own = F.filter(_line_records(), lambda r: r["kind"] == "text")
+    own = F.filter(_line_records(col), lambda r: r["kind"] == "text")
     joined = F.array_join(F.transform(own, lambda r: r["line"]), "\n")
-    return _marked_lines(df, keep, col).select(*keep, joined.alias("text"))
+    return df.select(*keep, joined.alias("text"))
 
 
 def clean_text(df: DataFrame, col: str = "body") -> DataFrame:

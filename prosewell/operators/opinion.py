@@ -74,18 +74,20 @@ def negate(
     """
     keys = names(key)
     negator_list = F.array(*[F.lit(w) for w in negators])
-    base = docs.select(*keys, T.words_with_apostrophe(col).alias("_t"))
-    marks = F.transform(
-        "_t",
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            t.alias("token"),
-            F.arrays_overlap(
-                F.slice("_t", F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))), negator_list
-            ).alias("negated"),
-        ),
-    )
-    hits = lookup(base.select(*keys, F.inline(marks)), _entries(lexicon), "token")
+    def marks(t: Column) -> Column:
+        return F.transform(
+            t,
+            lambda w, i: F.struct(
+                i.alias("pos"),
+                w.alias("token"),
+                F.arrays_overlap(
+                    F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))), negator_list
+                ).alias("negated"),
+            ),
+        )
+
+    marked = docs.select(*keys, F.inline(T.let(T.words_with_apostrophe(col), marks)))
+    hits = lookup(marked, _entries(lexicon), "token")
     return hits.withColumn(
         "polarity", F.when(F.col("negated"), -F.col("polarity")).otherwise(F.col("polarity"))
     ).select(*keys, "pos", "token", "negated", "polarity")

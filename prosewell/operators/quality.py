@@ -121,13 +121,13 @@ def shingle_sets(
     hashed: Callable[[Column], Column] = F.xxhash64,
 ) -> DataFrame:
     """(key, shingles): sorted distinct hashes of word n-grams; a shorter text is one shingle."""
-    tokens = docs.select(key, T.words(col).alias("_t")).filter(F.size("_t") > 0)
-    grams = F.when(F.size("_t") >= n, T.word_ngrams(F.col("_t"), n)).otherwise(
-        F.array(F.array_join("_t", " "))
-    )
-    return tokens.select(
-        key, F.array_sort(F.array_distinct(F.transform(grams, hashed))).alias("shingles")
-    )
+
+    def hashes(t: Column) -> Column:
+        grams = F.when(F.size(t) >= n, T.word_ngrams(t, n)).otherwise(F.array(F.array_join(t, " ")))
+        return F.array_sort(F.array_distinct(F.transform(grams, lambda g: hashed(g))))
+
+    with_words = docs.filter(F.lower(col).rlike("[a-z]"))
+    return with_words.select(key, T.let(T.words(col), hashes).alias("shingles"))
 
 
 def permutations(count: int) -> list[tuple[int, int]]:
@@ -140,11 +140,14 @@ def permutations(count: int) -> list[tuple[int, int]]:
 
 
 def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, digest, buckets): digest of the whole set, and one bucket hash per band."""
+    """(key, digest, buckets): digest of the whole set, and one bucket hash per band.
+
+    Sets are never empty. The outer explode only keeps the optimizer from building each set
+    once more to test that.
+    """
     x = F.pmod(F.col("_s"), F.lit(PRIME))
-    spread = sets.select(
-        key, F.md5(F.array_join("shingles", " ")).alias("digest"), F.explode("shingles").alias("_s")
-    ).withColumn("_x", x)
+    digested = sets.withColumn("digest", F.md5(F.array_join("shingles", " ")))
+    spread = digested.select(key, "digest", F.explode_outer("shingles").alias("_s")).withColumn("_x", x)
     lowest = spread.groupBy(key, "digest").agg(
         *[
             F.min((F.col("_x") * a + b) % PRIME).alias(f"_m{i}")

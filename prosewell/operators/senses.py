@@ -81,20 +81,23 @@ def target_contexts(
 ) -> DataFrame:
     """(key, pos, token, context): each target with the array of words within k of it."""
     keys = names(key)
-    base = docs.select(*keys, T.words(col).alias("_t"))
-    around = F.transform(
-        "_t",
-        lambda t, i: F.struct(
-            i.alias("pos"),
-            t.alias("token"),
-            F.concat(
-                F.slice("_t", F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))),
-                F.slice("_t", i + 2, F.lit(k)),
-            ).alias("context"),
-        ),
-    )
+
+    def around(t: Column) -> Column:
+        return F.transform(
+            t,
+            lambda w, i: F.struct(
+                i.alias("pos"),
+                w.alias("token"),
+                F.concat(
+                    F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))),
+                    F.slice(t, i + 2, F.lit(k)),
+                ).alias("context"),
+            ),
+        )
+
+    occurrences = docs.select(*keys, F.inline(T.let(T.words(col), around)))
     words = targets.select(F.col("lemma").alias("token")).distinct()
-    return lookup(base.select(*keys, F.inline(around)), words, "token", "left_semi")
+    return lookup(occurrences, words, "token", "left_semi")
 
 
 def context_words(
@@ -185,21 +188,27 @@ def spot_phrases(
         .distinct()
     )
     longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).first()[0]
-    base = docs.select(*keys, T.words(col).alias("_t"))
     if longest is None:
-        return base.select(
+        return docs.select(
             *keys, F.lit(0).alias("pos"), F.lit(0).alias("n"), F.lit("").alias("phrase")
         ).limit(0)
-    runs = F.transform(
-        "_t",
-        lambda t, i: F.transform(
-            F.sequence(F.lit(2), F.lit(longest)),
-            lambda n: F.struct(
-                i.alias("pos"), n.alias("n"), F.array_join(F.slice("_t", i + 1, n), " ").alias("phrase")
+
+    def runs(t: Column) -> Column:
+        each = F.transform(
+            t,
+            lambda w, i: F.transform(
+                F.sequence(F.lit(2), F.lit(longest)),
+                lambda n: F.struct(
+                    i.alias("pos"),
+                    n.alias("n"),
+                    F.array_join(F.slice(t, i + 1, n), " ").alias("phrase"),
+                ),
             ),
-        ),
-    )
-    hits = lookup(base.select(*keys, F.inline(F.flatten(runs))), phrases, "phrase")
+        )
+        return F.flatten(each)
+
+    candidates = docs.select(*keys, F.inline(T.let(T.words(col), runs)))
+    hits = lookup(candidates, phrases, "phrase")
     # The last words of a text give short runs twice; a run counts once, at its own length.
     hits = hits.filter(F.size(F.split("phrase", " ")) == F.col("n"))
     near = Window.partitionBy(*keys).orderBy("pos").rangeBetween(-(longest - 1), longest - 1)

@@ -67,10 +67,8 @@ def ngrams(
     docs: DataFrame, n: int, col: str = "text", key: str | Sequence[str] = "doc_id"
 ) -> DataFrame:
     """(key, pos, ngram): adjacent n-grams, position of the first token."""
-    with_tokens = docs.select(*names(key), T.words(col).alias("_tokens"))
-    return with_tokens.select(
-        *names(key), F.posexplode(T.word_ngrams(F.col("_tokens"), n)).alias("pos", "ngram")
-    )
+    grams = T.word_ngrams(T.words(col), n)
+    return docs.select(*names(key), F.posexplode(grams).alias("pos", "ngram"))
 
 
 def inflected_forms(vocabulary: DataFrame, exceptions: DataFrame) -> DataFrame:
@@ -137,27 +135,8 @@ def doc_stats(
 def term_counts(
     docs: DataFrame, col: str = "text", key: str | Sequence[str] = "doc_id"
 ) -> DataFrame:
-    """(key, token, tf) straight from the text, without a shuffle.
-
-    A document is one row: sort its tokens, find where each run of equal tokens ends, and take
-    the distances. Each step is its own column so that it is computed once per row.
-    """
-    keys = names(key)
-    size = F.size("_t")
-    ordered = docs.select(*keys, F.array_sort(T.words(col)).alias("_t"))
-    ends = F.filter(
-        F.sequence(F.lit(1), F.greatest(size, F.lit(1))),
-        lambda i: ((i == size) & (size > 0)) | ((i < size) & (F.get("_t", i) != F.get("_t", i - 1))),
-    )
-    runs = ordered.filter(size > 0).withColumn("_ends", ends)
-    counted = F.transform(
-        "_ends",
-        lambda e, j: F.struct(
-            F.get("_t", e - 1).alias("token"),
-            (e - F.when(j == 0, F.lit(0)).otherwise(F.get("_ends", j - 1))).cast("bigint").alias("tf"),
-        ),
-    )
-    return runs.select(*keys, F.inline(counted))
+    """(key, token, tf) straight from the text. A document is one row, so nothing is shuffled."""
+    return docs.select(*names(key), F.inline(T.counted_terms(T.words(col))))
 
 
 def count_tokens(tokens: DataFrame, key: str | Sequence[str] = "doc_id") -> DataFrame:

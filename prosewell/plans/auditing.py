@@ -135,3 +135,48 @@ def i1(spark, folder):
         fx.opinion_lexicon(spark),
         fresh_path(spark, "stream"),
     )
+
+
+BANDS, ROWS, ROUNDS = 8, 2, 4
+
+
+def _near_sql() -> str:
+    """Leader election written out round by round; the tests hold the rule for any number of rounds."""
+    lowest = ", ".join(
+        f"min(({a}::HUGEINT * x + {b}) % {quality.PRIME}) AS m{i}"
+        for i, (a, b) in enumerate(quality.permutations(BANDS * ROWS))
+    )
+    bands = " UNION ALL ".join(
+        f"SELECT doc_id, '{i}:' || " + " || ':' || ".join(f"m{i * ROWS + r}" for r in range(ROWS)) + " AS bucket FROM ones"
+        for i in range(BANDS)
+    )
+    rounds = ""
+    for r in range(ROUNDS):
+        rounds += f""",
+    l{r} AS MATERIALIZED (SELECT bucket, min(doc_id) AS leader FROM left{r} GROUP BY bucket HAVING count(*) > 1),
+    p{r} AS MATERIALIZED (SELECT f.doc_id, l.leader, f.bucket FROM left{r} f JOIN l{r} l ON l.bucket = f.bucket WHERE f.doc_id <> l.leader),
+    s{r} AS MATERIALIZED (SELECT a.doc_id, a.leader, len(list_intersect(x.s, y.s)) AS c, len(x.s) + len(y.s) AS t FROM (SELECT DISTINCT doc_id, leader FROM p{r}) a
+      JOIN sets x ON x.doc_id = a.doc_id JOIN sets y ON y.doc_id = a.leader),
+    f{r} AS MATERIALIZED (SELECT doc_id, leader, c / (t - c) AS jaccard FROM s{r} WHERE c / (t - c) >= 0.8),
+    left{r + 1} AS MATERIALIZED (SELECT p.doc_id, p.bucket FROM p{r} p ANTI JOIN f{r} f ON p.doc_id = f.doc_id AND p.leader = f.leader)"""
+    found = " UNION ".join(f"SELECT * FROM f{r}" for r in range(ROUNDS))
+    return f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
+    k AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
+    g AS (SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o AS gram FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    h AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(gram), 1, 15))::BIGINT AS s FROM (
+      SELECT doc_id, gram FROM g WHERE gram IS NOT NULL
+      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 2)),
+    sets AS MATERIALIZED (SELECT doc_id, list(s ORDER BY s) AS s FROM h GROUP BY doc_id),
+    lows AS MATERIALIZED (SELECT doc_id, {lowest} FROM (SELECT doc_id, s % {quality.PRIME} AS x FROM h) GROUP BY doc_id),
+    firsts AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS leader FROM sets),
+    ones AS (SELECT lows.* FROM lows JOIN firsts USING (doc_id) WHERE leader = doc_id),
+    left0 AS MATERIALIZED ({bands}) {rounds}
+    SELECT doc_id, leader, round(jaccard, 6) AS jaccard FROM (SELECT doc_id, leader, 1.0::DOUBLE AS jaccard FROM firsts WHERE leader <> doc_id UNION {found})"""
+
+
+@query("H2_near_duplicates", _near_sql())
+def h2(spark, folder):
+    out = quality.near_duplicates(
+        documents(spark, folder), 0.8, 3, BANDS, ROWS, hashed=quality.md5_number
+    )
+    return out.withColumn("jaccard", F.round("jaccard", 6))

@@ -102,7 +102,7 @@ def b1(spark, folder):
 )
 def b2(spark, folder):
     parsed = M.parse_headers(M.split_message(corpus(spark, folder)))
-    named = parsed.select("grp", "msg_no", F.explode("headers").alias("name", "values"))
+    named = parsed.select("grp", "msg_no", F.inline(F.map_entries("headers")).alias("name", "values"))
     return named.select("grp", "msg_no", "name", F.posexplode("values").alias("seq", "value")).withColumn(
         "seq", F.col("seq").cast("bigint")
     )
