@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -16,13 +17,24 @@ def names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
+def _bytes(field: T.StructField) -> Column:
+    """Size of one value, without building it anew where its type allows."""
+    value, kind = F.col(f"`{field.name}`"), field.dataType
+    if isinstance(kind, T.StringType):
+        return F.octet_length(value)
+    if isinstance(kind, T.NumericType):
+        return F.lit(8)
+    if isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.NumericType):
+        return 8 * F.size(value)
+    return F.octet_length(F.to_json(F.struct(value)))
+
+
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure `df` (rows, and bytes of its JSON form) against the broadcast bounds."""
-    rows, size = df.agg(
-        F.count(F.lit(1)), F.coalesce(F.sum(F.octet_length(F.to_json(F.struct("*")))), F.lit(0))
-    ).first()
+    """Measure `df`, rows and bytes of its values, against the broadcast bounds."""
+    row = sum((F.coalesce(_bytes(f), F.lit(0)) for f in df.schema.fields), F.lit(0))
+    rows, size = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(row), F.lit(0))).first()
     return rows <= max_rows and size <= max_bytes
 
 
@@ -92,7 +104,5 @@ def top_k(
     Spark keeps only k rows per group and task before it shuffles them, so a hot
     group costs its final task k rows per input task, not the whole group.
     """
-    from pyspark.sql import Window
-
     window = Window.partitionBy(*names(by)).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(window)).filter(F.col(rank) <= k)

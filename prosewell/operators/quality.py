@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
-from prosewell.operators.joins import lookup, names
+from prosewell.operators.joins import lookup, names, sliced_join
 from prosewell.sources.store import cut
 
 # The prime and the multipliers of the min-hash permutations (a·x + b) mod p.
@@ -140,7 +140,7 @@ def permutations(count: int) -> list[tuple[int, int]]:
 
 
 def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, digest, buckets): digest of the whole set, and one bucket hash per band.
+    """(key, digest, mins, buckets): digest of the whole set, its min-hashes, a bucket per band.
 
     Sets are never empty. The outer explode only keeps the optimizer from building each set
     once more to test that.
@@ -160,15 +160,16 @@ def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> D
             for band in range(bands)
         ]
     )
-    return lowest.select(key, "digest", buckets.alias("buckets"))
+    mins = F.array(*[F.col(f"_m{i}") for i in range(bands * rows)])
+    return lowest.select(key, "digest", mins.alias("mins"), buckets.alias("buckets"))
 
 
 def near_duplicates(
     docs: DataFrame,
     threshold: float = 0.8,
     n: int = 3,
-    bands: int = 8,
-    rows: int = 2,
+    bands: int = 12,
+    rows: int = 3,
     col: str = "text",
     key: str = "doc_id",
     hashed: Callable[[Column], Column] = F.xxhash64,
@@ -178,10 +179,15 @@ def near_duplicates(
     1. Texts with equal shingle sets point at the lowest key among them, which stands for all.
     2. The rest share a bucket when a band of min-hashes agrees. In each bucket the lowest key
        leads; members whose exact Jaccard index with it reaches the threshold point at it. The
-       others elect the next leader, until every member has led or points at a leader.
-
-    A bucket of m members costs m pairs per round, never m². Hot buckets and hot leaders are
-    sliced by the joins. What is left over is written to the shared folder after each round.
+       others go on to a finer bucket, parted by one more min-hash, and elect the next leader,
+       until every member has led, points at a leader or is alone.
+
+    A bucket of m members costs m pairs per round and falls apart in about log m rounds; there is
+    never a pair for each two members. Every returned index is exact; as with any min-hash
+    method, a near pair is missed with a small probability set by `bands` and `rows`.
+    Hot sets, buckets and leaders are sliced by the joins. The text is read twice: for the
+    signatures, and for the shingles of the documents that share a bucket. Everything read
+    again is written to the shared folder first.
     """
     sets = shingle_sets(docs, n, col, key, hashed)
     signed = cut(signatures(sets, bands, rows, key))
@@ -190,42 +196,56 @@ def near_duplicates(
         .agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
     )
-    copies = (
+    copies = cut(
         lookup(signed.select(key, "digest"), firsts, "digest", rows_per_key="copies")
         .filter(F.col(key) != F.col("leader"))
         .select(key, "leader", F.lit(1.0).alias("jaccard"))
     )
     distinct = signed.join(copies.select(key), key, "left_anti")
-    left = cut(distinct.select(key, F.explode("buckets").alias("bucket")))
-    edges = [copies]
-    mine = sets.withColumnRenamed("shingles", "_a")
-    theirs = sets.select(F.col(key).alias("leader"), F.col("shingles").alias("_b"))
-    while True:
-        leaders = cut(
-            left.groupBy("bucket")
-            .agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("members"))
-            .filter("members > 1")
-        )
-        if leaders.isEmpty():
-            break
-        members = lookup(left, leaders, "bucket", rows_per_key="members").filter(
-            F.col(key) != F.col("leader")
+    left = distinct.select(key, F.explode("buckets").alias("bucket"))
+    leaders = _leaders(left, key)
+    left = cut(lookup(left, leaders.select("bucket", "members"), "bucket", rows_per_key="members"))
+    left = left.select(key, "bucket")
+    mine = cut(sets.join(left.select(key).distinct(), key, "left_semi"))
+    theirs = mine.select(F.col(key).alias("leader"), F.col("shingles").alias("_other"))
+    mins = signed.select(key, "mins")
+    edges, turn = copies, 0
+    while not leaders.isEmpty():
+        members = cut(
+            lookup(left, leaders, "bucket", rows_per_key="members").filter(F.col(key) != F.col("leader"))
         )
         pairs = members.select(key, "leader").distinct()
-        needed = pairs.select("leader").distinct()
-        both = lookup(pairs.join(mine, key), theirs.join(needed, "leader", "left_semi"), "leader")
-        shared = F.size(F.array_intersect("_a", "_b"))
+        both = sliced_join(pairs, theirs, "leader").join(mine, key)
+        shared = F.size(F.array_intersect("shingles", "_other"))
         scored = both.withColumn("_shared", shared).select(
             key,
             "leader",
-            (F.col("_shared") / (F.size("_a") + F.size("_b") - F.col("_shared"))).alias("jaccard"),
+            (
+                F.col("_shared") / (F.size("shingles") + F.size("_other") - F.col("_shared"))
+            ).alias("jaccard"),
         )
         found = cut(scored.filter(F.col("jaccard") >= threshold))
-        edges.append(found)
+        edges = edges.unionByName(found)
+        place = refinement(turn, bands, rows)
         left = cut(
-            members.join(found.select(key, "leader"), [key, "leader"], "left_anti").select(key, "bucket")
+            members.join(found.select(key, "leader"), [key, "leader"], "left_anti")
+            .join(mins, key)
+            .select(key, F.xxhash64("bucket", F.get("mins", F.lit(place))).alias("bucket"))
         )
-    out = edges[0]
-    for more in edges[1:]:
-        out = out.unionByName(more)
-    return out.distinct()
+        turn += 1
+        leaders = _leaders(left, key)
+    return edges.distinct()
+
+
+def refinement(turn: int, bands: int, rows: int) -> int:
+    """Which min-hash parts the buckets after a turn: one of each band, then the next of each."""
+    return (turn * rows + turn // bands) % (bands * rows)
+
+
+def _leaders(left: DataFrame, key: str) -> DataFrame:
+    """(bucket, leader, members) of the buckets that still hold more than one document."""
+    return cut(
+        left.groupBy("bucket")
+        .agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("members"))
+        .filter("members > 1")
+    )

@@ -137,7 +137,7 @@ def i1(spark, folder):
     )
 
 
-BANDS, ROWS, ROUNDS = 8, 2, 4
+BANDS, ROWS, ROUNDS = 12, 3, 6
 
 
 def _near_sql() -> str:
@@ -158,7 +158,8 @@ def _near_sql() -> str:
     s{r} AS MATERIALIZED (SELECT a.doc_id, a.leader, len(list_intersect(x.s, y.s)) AS c, len(x.s) + len(y.s) AS t FROM (SELECT DISTINCT doc_id, leader FROM p{r}) a
       JOIN sets x ON x.doc_id = a.doc_id JOIN sets y ON y.doc_id = a.leader),
     f{r} AS MATERIALIZED (SELECT doc_id, leader, c / (t - c) AS jaccard FROM s{r} WHERE c / (t - c) >= 0.8),
-    left{r + 1} AS MATERIALIZED (SELECT p.doc_id, p.bucket FROM p{r} p ANTI JOIN f{r} f ON p.doc_id = f.doc_id AND p.leader = f.leader)"""
+    left{r + 1} AS MATERIALIZED (SELECT p.doc_id, p.bucket || ':' || o.m{quality.refinement(r, BANDS, ROWS)} AS bucket
+      FROM p{r} p JOIN ones o ON o.doc_id = p.doc_id ANTI JOIN f{r} f ON p.doc_id = f.doc_id AND p.leader = f.leader)"""
     found = " UNION ".join(f"SELECT * FROM f{r}" for r in range(ROUNDS))
     return f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
     k AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
@@ -169,7 +170,7 @@ def _near_sql() -> str:
     sets AS MATERIALIZED (SELECT doc_id, list(s ORDER BY s) AS s FROM h GROUP BY doc_id),
     lows AS MATERIALIZED (SELECT doc_id, {lowest} FROM (SELECT doc_id, s % {quality.PRIME} AS x FROM h) GROUP BY doc_id),
     firsts AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS leader FROM sets),
-    ones AS (SELECT lows.* FROM lows JOIN firsts USING (doc_id) WHERE leader = doc_id),
+    ones AS MATERIALIZED (SELECT lows.* FROM lows JOIN firsts USING (doc_id) WHERE leader = doc_id),
     left0 AS MATERIALIZED ({bands}) {rounds}
     SELECT doc_id, leader, round(jaccard, 6) AS jaccard FROM (SELECT doc_id, leader, 1.0::DOUBLE AS jaccard FROM firsts WHERE leader <> doc_id UNION {found})"""
 
