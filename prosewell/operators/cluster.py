@@ -72,56 +72,56 @@ def cf_stats(cf: DataFrame) -> DataFrame:
 
 
 class MicroClusters:
-    """A bounded set of CFs that absorbs points and CFs, widening its threshold when full."""
+    """A bounded set of CFs that absorbs points and CFs, widening its threshold when full.
+
+    The nearest entry is the one of nearest direction. By distance to the mean, a wide entry
+    near the origin would draw everything to itself.
+    """
 
     def __init__(self, threshold: float, max_entries: int):
         self.threshold = threshold
         self.max_entries = max_entries
         self.size = 0
-        self.n = self.ls = self.ss = self.centroid = self.square = None
+        self.n = self.ls = self.ss = self.direction = None
 
     def _start(self, width: int) -> None:
         room = self.max_entries + 1
-        self.n, self.ss, self.square = np.zeros(room), np.zeros(room), np.zeros(room)
-        self.ls, self.centroid = np.zeros((room, width)), np.zeros((room, width))
+        self.n, self.ss = np.zeros(room), np.zeros(room)
+        self.ls, self.direction = np.zeros((room, width)), np.zeros((room, width))
 
     def add(self, n: float, ls: np.ndarray, ss: float) -> None:
         if self.n is None:
             self._start(len(ls))
         if self.size:
-            center = ls / n
-            gap = self.square[: self.size] - 2.0 * (self.centroid[: self.size] @ center)
-            near = int(np.argmin(gap))
-            total, vector = self.n[near] + n, self.ls[near] + ls
-            mean = vector / total
-            length = float(mean @ mean)
-            if (self.ss[near] + ss) / total - length <= self.threshold**2:
-                self._put(near, total, vector, self.ss[near] + ss, mean, length)
+            near = int(np.argmax(self.direction[: self.size] @ ls))
+            total, vector, squares = self.n[near] + n, self.ls[near] + ls, self.ss[near] + ss
+            if squares / total - float(vector @ vector) / total**2 <= self.threshold**2:
+                self._put(near, total, vector, squares)
                 return
-        mean = ls / n
-        self._put(self.size, n, ls, ss, mean, float(mean @ mean))
+        self._put(self.size, n, ls, ss)
         self.size += 1
         while self.size > self.max_entries:
             self._widen()
 
-    def _put(self, i, n, ls, ss, mean, square) -> None:
+    def _put(self, i: int, n: float, ls: np.ndarray, ss: float) -> None:
+        length = float(np.sqrt(ls @ ls))
         self.n[i], self.ls[i], self.ss[i] = n, ls, ss
-        self.centroid[i], self.square[i] = mean, square
+        self.direction[i] = ls / length if length > 0 else 0.0
 
     def _widen(self) -> None:
         """Raise the threshold until half the entries could merge with their neighbor, and re-insert."""
         m = self.size
-        gaps = self.square[:m, None] + self.square[None, :m] - 2 * self.centroid[:m] @ self.centroid[:m].T
-        np.fill_diagonal(gaps, np.inf)
-        near = np.argmin(gaps, axis=1)
+        alike = self.direction[:m] @ self.direction[:m].T
+        np.fill_diagonal(alike, -np.inf)
+        near = np.argmax(alike, axis=1)
         total = self.n[:m] + self.n[near]
         mean = (self.ls[:m] + self.ls[near]) / total[:, None]
         radius = (self.ss[:m] + self.ss[near]) / total - np.einsum("ij,ij->i", mean, mean)
         wanted = float(np.sqrt(max(np.median(radius), 0.0)))
-        self.threshold = max(wanted, self.threshold * 1.05, 1e-9)
-        old = (self.n[:m].copy(), self.ls[:m].copy(), self.ss[:m].copy())
+        self.threshold = max(wanted, self.threshold * 1.01, 1e-9)
+        old = list(zip(self.n[:m].copy(), self.ls[:m].copy(), self.ss[:m].copy()))
         self.size = 0
-        for n, ls, ss in zip(*old):
+        for n, ls, ss in old:
             self.add(n, ls, ss)
 
     def rows(self, part: int) -> pd.DataFrame:
@@ -250,7 +250,7 @@ def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFra
         return pd.DataFrame({"k": chosen, "sim": pd.Series(sim)})
 
     found = df.withColumn("_n", nearest(F.col(vector).cast("array<double>")))
-    known = ~F.isnan("_n.sim")
+    known = F.col("_n.sim").isNotNull() & ~F.isnan("_n.sim")
     return (
         found.withColumn("k", F.when(known, F.col("_n.k")))
         .withColumn("sim", F.when(known, F.col("_n.sim")))

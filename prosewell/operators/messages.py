@@ -17,6 +17,8 @@ KEY = ("grp", "msg_no")
 # The patterns that define message structure.
 HEADER = r"^[A-Za-z][A-Za-z0-9._\[\]-]*[ ]*:"
 FOLD = "\n[ \t]+"
+SUBJECT = r"(?im)^subject[ ]*:(.*)$"
+LINE_COUNT = r"^\s*(\d+)"
 EMAIL_ADDRESS = r"[A-Za-z0-9._%+!=/-]+@[A-Za-z0-9._-]+"
 NAME_BEFORE = r'^\s*"?([^"<]*[^"<\s])"?\s*<'
 NAME_AFTER = r"\(([^)]*)\)"
@@ -84,16 +86,20 @@ def _header(name: str, which: int = 1) -> Column:
 
 
 def header_columns(parsed: DataFrame) -> DataFrame:
-    """Adds typed columns for the common headers; the last `Lines` wins."""
+    """Adds typed columns for the common headers; the last `Lines` wins.
+
+    A header that was removed can leave its continuation lines behind, most often message ids
+    after the subject. `subject` is therefore its own line only; `headers` has all of it.
+    """
     keywords = F.filter(
         F.transform(F.split(_header("keywords"), ","), lambda w: F.trim(w)), lambda w: w != ""
     )
     return parsed.select(
         "*",
         _header("from").alias("from"),
-        F.coalesce(_header("subject"), F.lit("")).alias("subject"),
+        F.coalesce(F.trim(F.regexp_extract("head", SUBJECT, 1)), F.lit("")).alias("subject"),
         F.coalesce(_header("organization"), _header("orginization")).alias("organization"),
-        F.regexp_extract(_header("lines", -1), r"^\s*(\d+)", 1).try_cast("int").alias("lines"),
+        F.regexp_extract(_header("lines", -1), LINE_COUNT, 1).try_cast("int").alias("lines"),
         keywords.alias("keywords"),
         _header("distribution").alias("distribution"),
         _header("reply-to").alias("reply_to"),
@@ -103,7 +109,7 @@ def header_columns(parsed: DataFrame) -> DataFrame:
 
 def parse_sender(messages: DataFrame) -> DataFrame:
     """Adds from_email and from_name, null when absent."""
-    email = F.lower(F.regexp_extract("from", EMAIL_ADDRESS, 0))
+    email = F.regexp_extract("from", EMAIL_ADDRESS, 0)
     before = F.nullif(F.regexp_extract("from", NAME_BEFORE, 1), F.lit(""))
     after = F.nullif(F.regexp_extract("from", NAME_AFTER, 1), F.lit(""))
     return messages.withColumn("from_email", F.nullif(email, F.lit(""))).withColumn(
@@ -125,10 +131,13 @@ def parse_messages(corpus: DataFrame) -> DataFrame:
 
 
 def check_lines(messages: DataFrame) -> DataFrame:
-    """Adds `counted`, `gap` (counted minus declared) and `check`."""
-    trimmed = F.regexp_replace("body", "\n+$", "")
-    counted = F.when(trimmed == "", F.lit(0)).otherwise(F.size(F.split(trimmed, "\n")))
-    gap = F.col("counted") - F.col("lines")
+    """Adds `counted`, `gap` (counted minus the first `Lines` value) and `check`.
+
+    Line ends at the end of the body do not count; a blank body is one line.
+    """
+    counted = F.size(F.split(F.regexp_replace("body", "\n+$", ""), "\n"))
+    declared = F.regexp_extract(_header("lines"), LINE_COUNT, 1).try_cast("int")
+    gap = counted - declared
     check = (
         F.when(gap.isNull(), "no value")
         .when(gap == 0, "equal")

@@ -128,7 +128,7 @@ def b3(spark, folder):
 @query(
     "B4_parse_sender",
     rf"""WITH {MESSAGES_SQL} SELECT grp, msg_no,
-    coalesce(nullif(lower(regexp_extract(sender, '[A-Za-z0-9._%+!=/-]+@[A-Za-z0-9._-]+', 0)), ''), '-') AS from_email,
+    coalesce(nullif(regexp_extract(sender, '[A-Za-z0-9._%+!=/-]+@[A-Za-z0-9._-]+', 0), ''), '-') AS from_email,
     coalesce(nullif(regexp_extract(sender, '^\s*"?([^"<]*[^"<\s])"?\s*<', 1), ''), nullif(regexp_extract(sender, '\(([^)]*)\)', 1), ''), '-') AS from_name
     FROM typed""",
 )
@@ -150,7 +150,8 @@ def b5(spark, folder):
 @query(
     "B6_check_lines",
     rf"""WITH {MESSAGES_SQL}, t AS (SELECT *, regexp_replace(body, '\n+$', '') AS b FROM typed),
-    c AS (SELECT grp, CASE WHEN b = '' THEN 0 ELSE len(string_split(b, chr(10))) END - lines AS gap FROM t)
+    d AS (SELECT grp, msg_no, min_by(try_cast(regexp_extract(value, '^\s*(\d+)', 1) AS INT), i) AS declared FROM headers WHERE name = 'lines' GROUP BY ALL),
+    c AS (SELECT t.grp, len(string_split(b, chr(10))) - declared AS gap FROM t LEFT JOIN d USING (grp, msg_no))
     SELECT grp, CASE WHEN gap IS NULL THEN 'no value' WHEN gap = 0 THEN 'equal' WHEN gap > 0 THEN 'more'
       WHEN gap >= -5 THEN '1 to 5 fewer' ELSE '6 or more fewer' END AS "check", count(*) AS n FROM c GROUP BY ALL""",
 )
