@@ -57,17 +57,19 @@ def nb_priors(labels: DataFrame) -> DataFrame:
 
 
 def nb_fit(
-    tf: DataFrame, labels: DataFrame, key: str | Sequence[str] = "doc_id", smoothing: float = 1.0
+    tf: DataFrame, docs: DataFrame, smoothing: float = 1.0
 ) -> tuple[DataFrame, DataFrame]:
     """Multinomial Naive Bayes as two tables: (label, docs, log_prior), (label, token, log_likelihood).
 
-    The second holds every class for every token of the training vocabulary. One aggregate by
-    token counts all classes side by side, so the table of zero counts is never built. Both are
-    written to the shared folder: a model is read more often than it is fitted.
+    `docs` has a row per training document with its `label`; `tf` holds their term counts and
+    carries the label along. The second table has every class for every token of the training
+    vocabulary: one aggregate by token counts all classes side by side, so the table of zero
+    counts is never built. Both are written to the shared folder: a model is read more often
+    than it is fitted.
     """
-    known = labels.filter("label is not null").select(*names(key), "label")
+    known = docs.filter("label is not null").select("label")
     classes = class_list(known)
-    train = tf.join(known, names(key)).select("token", "label", "tf")
+    train = tf.filter("label is not null").select("token", "label", "tf")
     per_class = [F.sum(F.when(F.col("label") == c, F.col("tf")).otherwise(0)) for c in classes]
     wide = train.groupBy("token").agg(F.array(*per_class).alias("counts"))
     sums = wide.agg(

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from prosewell.functions import vectors as V
+from prosewell.operators import terms
 from prosewell.operators.joins import names, top_k
 from prosewell.sources.store import cut
 
@@ -286,18 +287,24 @@ def birch(
     vector: str = "vector",
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(assigned, centers, cf): summarize, condense, cluster the summary, assign every point."""
-    parts = df.select(F.spark_partition_id().alias("p")).agg(F.max("p")).first()[0] or 0
     first = cut(cluster_features(df, threshold, max_entries, key, vector))
+    parts = first.agg(F.max("part")).first()[0]
     cf = condense(first, threshold, max_entries, parts + 1)
     centers = spherical_kmeans_cf(cf, k, seed)
     return assign(df, centers, vector), centers, cf
 
 
-def cluster_terms(weights: DataFrame, assigned: DataFrame, k: int, key: str = "doc_id") -> DataFrame:
-    """(k, token, score, rank): the top terms of each cluster."""
-    from prosewell.operators.terms import top_terms
+def cluster_terms(
+    docs: DataFrame, assigned: DataFrame, k: int, col: str = "text", key: str = "doc_id"
+) -> DataFrame:
+    """(k, token, score, rank): the k terms of highest TF-IDF weight in each cluster.
 
-    return top_terms(weights.join(assigned.select(key, "k"), key), "k", k)
+    Documents learn their cluster before their terms are counted, so the join moves documents.
+    """
+    df = cut(terms.doc_freq(terms.term_counts(docs, col, key)))
+    placed = docs.select(key, col).join(assigned.select(key, "k"), key)
+    tf = terms.term_counts(placed, col, [key, "k"])
+    return terms.top_terms(terms.tf_idf(tf, df, docs.count()), "k", k)
 
 
 def contingency(assigned: DataFrame, label: str = "label") -> DataFrame:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -70,7 +72,8 @@ def sliced_join(
     Keys above that share are cut into as many slices as they need. Fewer than
     `slices` keys can be above it, whatever the data, so the table of hot keys
     is safe to broadcast and the copies made of `small` are few.
-    The slice comes from a hash of the row: a retried task repeats it exactly.
+    The slice comes from a hash of the row: a retried task repeats it exactly. Rows without a
+    key match nothing, so they are spread over all slices.
     """
     on = names(on)
     if rows_per_key is None:
@@ -82,10 +85,11 @@ def sliced_join(
         *on, F.ceil(F.col("_rows") / share).cast("int").alias("_slices")
     )
     cut = F.coalesce(F.col("_slices"), F.lit(1))
+    no_key = reduce(or_, [F.col(c).isNull() for c in on])
     sliced_big = (
         big.withColumn("_hash", F.xxhash64(*big.columns))
         .join(F.broadcast(hot), on, "left")
-        .withColumn("_slice", F.pmod("_hash", cut).cast("int"))
+        .withColumn("_slice", F.pmod("_hash", F.when(no_key, slices).otherwise(cut)).cast("int"))
         .drop("_hash", "_slices")
     )
     sliced_small = (

@@ -169,18 +169,17 @@ def top_terms(
     return top_k(total, by, [F.desc("_order"), F.asc("token")], k).drop("_order")
 
 
-def term_label_counts(tf: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+def term_label_counts(tf: DataFrame, sizes: DataFrame) -> DataFrame:
     """The 2×2 document counts of each (token, label) that occurs.
 
-    `tf` has one row per document and token, `labels(key, label)` one row per labelled document.
+    `tf` has one row per labelled document and token and carries the document's `label`: label
+    the documents before counting their terms, so that the join moves documents, not terms.
+    `sizes` is `label_sizes` of the same documents.
     Returns (token, label, both, token_only, label_only, neither).
     """
-    labelled = labels.filter("label is not null").select(key, "label")
-    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
     total = sizes.agg(F.sum("n_label").alias("n")).scalar()
     seen = (
-        tf.select(key, "token")
-        .join(labelled, key)
+        tf.filter("label is not null")
         .groupBy("token", "label")
         .agg(F.count(F.lit(1)).alias("both"))
     )
@@ -196,6 +195,11 @@ def term_label_counts(tf: DataFrame, labels: DataFrame, key: str = "doc_id") ->
     )
 
 
+def label_sizes(docs: DataFrame) -> DataFrame:
+    """(label, n_label) of the labelled documents."""
+    return docs.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n_label"))
+
+
 def _chi_square() -> Column:
     a, b, c, d = (F.col(x).cast("double") for x in ("both", "token_only", "label_only", "neither"))
     margins = (a + b) * (c + d) * (a + c) * (b + d)
@@ -227,10 +231,13 @@ MEASURES = {
 
 
 def term_association(
-    tf: DataFrame, labels: DataFrame, measure: str = "chi_square", key: str = "doc_id"
+    docs: DataFrame, measure: str = "chi_square", col: str = "text", key: str = "doc_id"
 ) -> DataFrame:
-    """(token, label, score) by chi-square, mutual information or smoothed log-odds."""
-    counts = term_label_counts(tf, labels, key)
+    """(token, label, score) of the labelled documents by chi-square, mutual information or
+    smoothed log-odds."""
+    labelled = docs.filter("label is not null")
+    tf = term_counts(labelled, col, [key, "label"])
+    counts = term_label_counts(tf, label_sizes(labelled))
     return counts.select("token", "label", MEASURES[measure]().alias("score"))
 
 

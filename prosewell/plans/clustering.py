@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosewell.functions import vectors as V
-from prosewell.operators import cluster, terms
+from prosewell.operators import cluster, learn
 from prosewell.plans.registry import query
-from prosewell.plans.text import TF_SQL, doc_count, documents
+from prosewell.plans.text import TF_SQL, documents
 from prosewell.sources.store import cut
 from prosewell.sources.tables import read_table
 
@@ -186,10 +188,8 @@ def g10(spark, folder):
     SELECT k::BIGINT AS k, token, round(score, 6) AS score, rank FROM r WHERE rank <= 10""",
 )
 def g11(spark, folder):
-    tf = terms.term_counts(documents(spark, folder))
-    weights = terms.tf_idf(tf, cut(terms.doc_freq(tf)), doc_count(spark, folder))
     groups = assigned(spark, folder).select(F.col("vec_id").alias("doc_id"), "k")
-    out = cluster.cluster_terms(weights, groups, 10)
+    out = cluster.cluster_terms(documents(spark, folder), groups, 10)
     return out.select(
         F.col("k").cast("bigint"), "token", F.round("score", 6).alias("score"), F.col("rank").cast("bigint")
     )
@@ -268,3 +268,28 @@ def g16b(spark, folder):
     return out.select(
         F.col("k").cast("bigint"), "vec_id", F.round("sim", 6).alias("sim"), F.col("rank").cast("bigint")
     )
+
+
+@query("G14_silhouette")
+def g14b(spark, folder):
+    found = cut(assigned(spark, folder))
+    return spark.createDataFrame([(float(cluster.silhouette(found)),)], "silhouette double")
+
+
+WIDTH = 256
+
+
+@query("G17_cluster_documents")
+def cluster_documents(spark, folder):
+    """Documents by topic: hashed TF-IDF, unit length, summary, clusters; compared with language.
+
+    The vectors are narrow on purpose: a cluster feature is as wide as they are.
+    """
+    docs = documents(spark, folder).select("doc_id", "lang", "text")
+    features = Pipeline(stages=[*learn.vectorize(WIDTH), *learn.weight(2)]).fit(docs)
+    vectors = features.transform(docs).select(
+        "doc_id", F.col("lang").alias("label"), vector_to_array("features").alias("vector")
+    )
+    units, _ = cluster.unit_vectors(vectors, ["doc_id", "label"])
+    found, _, _ = cluster.birch(cut(units), 8, 0.4, 128)
+    return cluster.contingency(found)

@@ -13,7 +13,7 @@ from prosewell.functions import text as T
 from prosewell.operators import classify, learn, opinion, terms
 from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query
-from prosewell.plans.text import CHI_SQL, association_ctes, documents, labels
+from prosewell.plans.text import CHI_SQL, association_ctes, documents
 from prosewell.sources.store import cut, fresh_path
 from prosewell.sources.tables import documents_as_corpus, read_table
 
@@ -84,7 +84,7 @@ confusion AS (SELECT a.label, b.label AS prediction, (SELECT count(*) FROM pred
 def _fit(spark, folder):
     data = labelled(spark, folder)
     train = data.filter("side = 'train'")
-    priors, likelihoods = classify.nb_fit(terms.term_counts(train), train)
+    priors, likelihoods = classify.nb_fit(terms.term_counts(train, key=["doc_id", "label"]), train)
     return data, priors, likelihoods
 
 
@@ -136,10 +136,7 @@ def f7(spark, folder):
     SELECT token, round(score, 6) AS score FROM s ORDER BY s.score DESC, token LIMIT 100""",
 )
 def f5(spark, folder):
-    tf = terms.term_counts(documents(spark, folder))
-    chosen = terms.select_features(
-        terms.term_association(tf, labels(spark, folder, "toxic"), "chi_square"), 100
-    )
+    chosen = terms.select_features(terms.term_association(documents_as_corpus(spark, folder)), 100)
     return chosen.withColumn("score", F.round("score", 6))
 
 

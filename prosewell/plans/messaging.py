@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosewell.operators import messages as M
-from prosewell.plans.registry import query
+from prosewell.operators import opinion
+from prosewell.plans.registry import query, values_sql
+from prosewell.plans.sentiment import TURN_LEXICON
 from prosewell.plans.text import documents
-from prosewell.sources.store import cut
 from prosewell.sources.tables import read_table
 
 # One expression, read alike by both engines.
@@ -241,3 +242,40 @@ def b11(spark, folder):
     return out.select(
         F.coalesce("top", whole).alias("top"), F.coalesce("grp", whole).alias("grp"), "level", "docs"
     )
+
+
+# Opinion of the authors' own words: what they quote is somebody else's opinion.
+OWN_SCORES_SQL = (
+    LINES_SQL
+    + f""", own AS (SELECT grp, msg_no, unnest(regexp_extract_all(lower(line), '[a-z]+')) AS token FROM lines WHERE kind = 'text'),
+own_hits AS (SELECT grp, msg_no, count(*) FILTER (polarity > 0) AS pos, count(*) FILTER (polarity < 0) AS neg
+  FROM own JOIN {values_sql(TURN_LEXICON, 'word, polarity')} ON own.token = t.word GROUP BY ALL),
+own_scores AS (SELECT m.thread, coalesce(nullif(regexp_extract(m.sender, '[A-Za-z0-9._%+!=/-]+@[A-Za-z0-9._-]+', 0), ''), '-') AS from_email,
+  coalesce(pos, 0) AS pos, coalesce(neg, 0) AS neg FROM threads m LEFT JOIN own_hits h ON h.grp = m.grp AND h.msg_no = m.msg_no)
+"""
+)
+
+
+def own_scores(spark: SparkSession, folder: str) -> DataFrame:
+    parsed = messages(spark, folder).withColumn("from_email", F.coalesce("from_email", F.lit("-")))
+    keep = [*M.KEY, "thread", "from_email"]
+    lexicon = spark.createDataFrame(TURN_LEXICON, "word string, polarity int")
+    return opinion.count_polarity(M.own_text(parsed, keep), lexicon, key=keep)
+
+
+@query(
+    "D11_own_text_by_thread",
+    f"""WITH {OWN_SCORES_SQL} SELECT thread, count(*) AS docs, sum(pos)::BIGINT AS pos, sum(neg)::BIGINT AS neg,
+    (sum(pos) - sum(neg))::BIGINT AS net FROM own_scores GROUP BY thread""",
+)
+def own_by_thread(spark, folder):
+    return opinion.thread_polarity(own_scores(spark, folder))
+
+
+@query(
+    "D11_own_text_by_sender",
+    f"""WITH {OWN_SCORES_SQL} SELECT from_email, count(*) AS docs, sum(pos)::BIGINT AS pos, sum(neg)::BIGINT AS neg,
+    (sum(pos) - sum(neg))::BIGINT AS net FROM own_scores GROUP BY from_email""",
+)
+def own_by_sender(spark, folder):
+    return opinion.sender_polarity(own_scores(spark, folder))

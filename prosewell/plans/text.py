@@ -17,10 +17,6 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return read_table(spark, folder, "documents", "doc_id")
 
 
-def labels(spark: SparkSession, folder: str, label: str) -> DataFrame:
-    return read_table(spark, folder, "labels").select("doc_id", F.col(label).alias("label"))
-
-
 def doc_count(spark: SparkSession, folder: str) -> int:
     return read_table(spark, folder, "documents").count()
 
@@ -234,8 +230,7 @@ ODDS_SQL = "ln((a + 0.5) * (d + 0.5) / ((b + 0.5) * (c + 0.5)))"
 
 def _association(measure: str):
     def build(spark, folder):
-        tf = terms.term_counts(documents(spark, folder))
-        out = terms.term_association(tf, labels(spark, folder, "toxic"), measure)
+        out = terms.term_association(documents_as_corpus(spark, folder), measure)
         return out.select("token", F.col("label").cast("bigint").alias("label"), F.round("score", 6).alias("score"))
 
     return build
