@@ -250,7 +250,9 @@ def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFra
         chosen = pd.Series(ids[best].astype("int32"))
         return pd.DataFrame({"k": chosen, "sim": pd.Series(sim)})
 
-    found = df.withColumn("_n", nearest(F.col(vector).cast("array<double>")))
+    # Marked so that a filter on the result is not turned into a second evaluation.
+    once = nearest.asNondeterministic()
+    found = df.withColumn("_n", once(F.col(vector).cast("array<double>")))
     known = F.col("_n.sim").isNotNull() & ~F.isnan("_n.sim")
     return (
         found.withColumn("k", F.when(known, F.col("_n.k")))

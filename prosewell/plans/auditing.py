@@ -36,17 +36,20 @@ def h3(spark, folder):
     return quality.drop_duplicates(documents(spark, folder)).select("doc_id", "lang", "source", "text")
 
 
-# Blank the documents whose text names no vowel-led article, so that the query has rows to find.
-MASKED = "CASE WHEN n_chars % 9 = 0 THEN replace(repeat(' .', 1), '.', '1') ELSE text END"
-
-
 @query(
     "H4_blank_documents",
-    f"WITH m AS (SELECT doc_id, {MASKED} AS text FROM documents) SELECT doc_id FROM m WHERE len(regexp_extract_all(lower(text), '[a-z]+')) = 0",
+    """WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+    b AS (SELECT doc_id, unnest(l) AS line, (generate_subscripts(l, 1) - 1)::BIGINT AS line_no FROM a)
+    SELECT doc_id, line_no FROM b WHERE len(regexp_extract_all(lower(line), '[a-z]+')) = 0
+    UNION ALL SELECT doc_id, -1 FROM documents WHERE text IS NULL OR len(regexp_extract_all(lower(text), '[a-z]+')) = 0""",
 )
 def h4(spark, folder):
-    masked = documents(spark, folder).select("doc_id", F.expr(MASKED).alias("text"))
-    return quality.blank_documents(masked)
+    """Blank documents, as line -1, and blank lines, each line taken as a text of its own."""
+    docs = documents(spark, folder)
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
+    blank_lines = quality.blank_documents(lines, key=["doc_id", "line_no"])
+    blank_docs = quality.blank_documents(docs).withColumn("line_no", F.lit(-1))
+    return blank_lines.unionByName(blank_docs).withColumn("line_no", F.col("line_no").cast("bigint"))
 
 
 @query(

@@ -119,7 +119,7 @@ def e2(spark, folder):
 )
 def e2b(spark, folder):
     tags = spark.createDataFrame(fx.POS_TAGS, "token string, pos_tag string")
-    tagged = terms.tokenize(documents(spark, folder)).join(F.broadcast(tags), "token")
+    tagged = lookup(terms.tokenize(documents(spark, folder)), tags, "token")
     out = S.candidate_senses(tagged, sense_table(spark))
     return out.select("doc_id", F.col("pos").cast("bigint"), "token", "pos_tag", "synset_id")
 
