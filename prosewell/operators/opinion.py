@@ -11,6 +11,9 @@ from prosewell.functions import text as T
 from prosewell.operators.joins import lookup, names, top_k
 
 
+INLINE_WORDS = 20_000
+
+
 def _entries(lexicon: DataFrame) -> DataFrame:
     return lexicon.select(F.col("word").alias("token"), "polarity").filter("polarity <> 0")
 
@@ -20,25 +23,55 @@ def spot_words(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
     return lookup(tokens, _entries(lexicon), "token")
 
 
+def inline_words(lexicon: DataFrame, limit: int = INLINE_WORDS) -> tuple[list[str], list[str]] | None:
+    """The positive and negative words of a small lexicon; None when it has more than `limit`."""
+    rows = _entries(lexicon).limit(limit + 1).collect()
+    if len(rows) > limit:
+        return None
+    return (
+        sorted({r.token for r in rows if r.polarity > 0}),
+        sorted({r.token for r in rows if r.polarity < 0}),
+    )
+
+
+def _among(tokens: Column, listed: list[str]) -> Column:
+    """How many of the tokens are listed."""
+    if not listed:
+        return F.lit(0).cast("bigint")
+    return F.size(F.filter(tokens, lambda t: t.isin(listed))).cast("bigint")
+
+
 def count_polarity(
     docs: DataFrame, lexicon: DataFrame, col: str = "text", key: str | Sequence[str] = "doc_id"
 ) -> DataFrame:
     """(key, tokens, pos, neg, net), one row per document; documents without a hit count 0.
 
-    One pass over the text. A document's tokens are made and combined in the same task, so the
-    shuffle carries one row per document, or none if the input is already hashed by `key`.
+    A lexicon of a few thousand words becomes a set inside the plan: every document is scored in
+    its own row, without a join, an aggregate or a shuffle. A larger one is looked up by a join;
+    a document's tokens are then combined in the task that made them.
     """
-    tokens = docs.select(*names(key), F.explode_outer(T.words(col)).alias("token"))
-    marked = lookup(tokens, _entries(lexicon), "token", "left")
-    return (
-        marked.groupBy(*names(key))
-        .agg(
+    keys = names(key)
+    small = inline_words(lexicon)
+    if small is not None:
+        empty = F.array().cast("array<string>")
+        counts = T.let(
+            F.coalesce(T.words(col), empty),
+            lambda t: F.struct(
+                F.size(t).cast("bigint").alias("tokens"),
+                _among(t, small[0]).alias("pos"),
+                _among(t, small[1]).alias("neg"),
+            ),
+        )
+        scored = docs.select(*keys, F.inline(F.array(counts)))
+    else:
+        tokens = docs.select(*keys, F.explode_outer(T.words(col)).alias("token"))
+        marked = lookup(tokens, _entries(lexicon), "token", "left")
+        scored = marked.groupBy(*keys).agg(
             F.count("token").alias("tokens"),
             F.count_if(F.col("polarity") > 0).alias("pos"),
             F.count_if(F.col("polarity") < 0).alias("neg"),
         )
-        .withColumn("net", F.col("pos") - F.col("neg"))
-    )
+    return scored.withColumn("net", F.col("pos") - F.col("neg"))
 
 
 def polarity_class(net: Column | str, margin: float = 0) -> Column:
@@ -70,21 +103,24 @@ def negate(
 ) -> DataFrame:
     """(key, pos, token, negated, polarity): hits, flipped when a negator is among the k tokens before.
 
-    The window of k tokens is read inside the document's own row, before the lexicon is looked up.
+    The window of k tokens is read inside the document's own row. With a small lexicon only the
+    hits leave the row.
     """
     keys = names(key)
     negator_list = F.array(*[F.lit(w) for w in negators])
-    def marks(t: Column) -> Column:
-        return F.transform(
-            t,
-            lambda w, i: F.struct(
-                i.alias("pos"),
-                w.alias("token"),
-                F.arrays_overlap(
-                    F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))), negator_list
-                ).alias("negated"),
-            ),
+    small = inline_words(lexicon)
+
+    def mark(t: Column, w: Column, i: Column) -> Column:
+        before = F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k)))
+        found = F.struct(
+            i.alias("pos"),
+            w.alias("token"),
+            F.arrays_overlap(before, negator_list).alias("negated"),
         )
+        return found if small is None else F.when(w.isin(small[0] + small[1]), found)
+
+    def marks(t: Column) -> Column:
+        return F.filter(F.transform(t, lambda w, i: mark(t, w, i)), lambda m: m.isNotNull())
 
     marked = docs.select(*keys, F.inline(T.let(T.words_with_apostrophe(col), marks)))
     hits = lookup(marked, _entries(lexicon), "token")
@@ -99,11 +135,8 @@ def sentence_polarity(
     """(key, sent_no, net), one row per sentence."""
     keys = names(key)
     split = docs.select(*keys, F.posexplode(T.sentence_array(col)).alias("sent_no", "_sentence"))
-    tokens = split.select(*keys, "sent_no", F.explode_outer(T.words("_sentence")).alias("token"))
-    marked = lookup(tokens, _entries(lexicon), "token", "left")
-    return marked.groupBy(*keys, "sent_no").agg(
-        F.coalesce(F.sum(F.signum("polarity")), F.lit(0)).cast("bigint").alias("net")
-    )
+    scored = count_polarity(split, lexicon, "_sentence", [*keys, "sent_no"])
+    return scored.select(*keys, "sent_no", "net")
 
 
 def sentence_majority(scores: DataFrame, key: str | Sequence[str] = "doc_id") -> DataFrame:

@@ -109,3 +109,19 @@ def test_longest_phrase_wins(spark):
     assert [(r.doc_id, r.pos, r.phrase) for r in got] == [
         (0, 1, "new york city"), (1, 0, "new york"), (2, 0, "new york"), (2, 2, "york city"),
     ]
+
+
+def test_small_and_large_lexicons_score_alike(spark, folder, monkeypatch):
+    d = spark.read.parquet(f"{folder}/documents.parquet")
+    lexicon = fx.opinion_lexicon(spark)
+
+    def results():
+        return [
+            sorted(opinion.count_polarity(d, lexicon).collect()),
+            sorted(opinion.sentence_polarity(d, lexicon).collect()),
+            sorted(opinion.negate(d, lexicon, fx.NEGATORS, 3).collect()),
+        ]
+
+    small = results()
+    monkeypatch.setattr(opinion, "inline_words", lambda lexicon: None)
+    assert results() == small and all(small)
