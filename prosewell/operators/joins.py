@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 SLICES = 2_000
+INLINE_VALUES = 20_000
 
 
 def names(key: str | Sequence[str]) -> list[str]:
@@ -40,6 +41,12 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
+def inline_values(df: DataFrame, limit: int = INLINE_VALUES) -> list | None:
+    """The values of a one-column table, to be written into the plan; None beyond `limit`."""
+    rows = df.distinct().limit(limit + 1).collect()
+    return None if len(rows) > limit else sorted(r[0] for r in rows if r[0] is not None)
+
+
 def lookup(
     big: DataFrame,
     small: DataFrame,

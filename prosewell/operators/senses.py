@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
-from prosewell.operators.joins import lookup, names
+from prosewell.operators.joins import inline_values, lookup, names
 from prosewell.operators.opinion import polarity_class
 
 
@@ -79,25 +79,28 @@ def target_contexts(
     col: str = "text",
     key: str | Sequence[str] = "doc_id",
 ) -> DataFrame:
-    """(key, pos, token, context): each target with the array of words within k of it."""
-    keys = names(key)
+    """(key, pos, token, context): each target with the array of words within k of it.
 
-    def around(t: Column) -> Column:
-        return F.transform(
-            t,
-            lambda w, i: F.struct(
-                i.alias("pos"),
-                w.alias("token"),
-                F.concat(
-                    F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k))),
-                    F.slice(t, i + 2, F.lit(k)),
-                ).alias("context"),
-            ),
+    With few enough targets, only their occurrences leave the document's row.
+    """
+    keys = names(key)
+    words = targets.select(F.col("lemma").alias("token")).distinct()
+    listed = inline_values(words)
+
+    def around(t: Column, w: Column, i: Column) -> Column:
+        before = F.slice(t, F.greatest(i - k, F.lit(0)) + 1, F.least(i, F.lit(k)))
+        found = F.struct(
+            i.alias("pos"),
+            w.alias("token"),
+            F.concat(before, F.slice(t, i + 2, F.lit(k))).alias("context"),
         )
+        return found if listed is None else F.when(w.isin(listed), found)
 
-    occurrences = docs.select(*keys, F.inline(T.let(T.words(col), around)))
-    words = targets.select(F.col("lemma").alias("token")).distinct()
-    return lookup(occurrences, words, "token", "left_semi")
+    def occurrences(t: Column) -> Column:
+        return F.filter(F.transform(t, lambda w, i: around(t, w, i)), lambda o: o.isNotNull())
+
+    found = docs.select(*keys, F.inline(T.let(T.words(col), occurrences)))
+    return found if listed is not None else lookup(found, words, "token", "left_semi")
 
 
 def context_words(
@@ -205,8 +208,10 @@ def spot_phrases(
                 ),
             ),
         )
-        return F.flatten(each)
+        found = F.flatten(each)
+        return found if listed is None else F.filter(found, lambda r: r["phrase"].isin(listed))
 
+    listed = inline_values(phrases)
     candidates = docs.select(*keys, F.inline(T.let(T.words(col), runs)))
     hits = lookup(candidates, phrases, "phrase")
     # The last words of a text give short runs twice; a run counts once, at its own length.

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from prosewell.plans.registry import values_sql
@@ -65,8 +66,15 @@ n\t00000027\t0\t0.25\tthe_and#1\tanother phrase with this
 POS_TAGS = [("best", "a"), ("trash", "v"), ("clown", "n"), ("hand", "n"), ("rest", "v"), ("heat", "n")]
 
 
+def table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small table that is part of the plan itself."""
+    names = [field.split()[0] for field in schema.split(", ")]
+    columns = {name: [row[i] for row in rows] for i, name in enumerate(names)}
+    return spark.createDataFrame(pa.table(columns), schema)
+
+
 def lines(spark: SparkSession, content: str) -> DataFrame:
-    return spark.createDataFrame([(line,) for line in content.split("\n")], "value string")
+    return table(spark, [(line,) for line in content.split("\n")], "value string")
 
 
 def opinion_lexicon(spark: SparkSession) -> DataFrame:
@@ -78,15 +86,15 @@ def sense_lexicon(spark: SparkSession) -> DataFrame:
 
 
 def word_table(spark: SparkSession, words: list[str]) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "word string")
+    return table(spark, [(w,) for w in words], "word string")
 
 
 def emoticon_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EMOTICONS, "emoticon string, polarity int")
+    return table(spark, EMOTICONS, "emoticon string, polarity int")
 
 
 def exception_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(EXCEPTIONS, "form string, lemma string, pos string")
+    return table(spark, EXCEPTIONS, "form string, lemma string, pos string")
 
 
 def _words(content: str) -> list[str]:

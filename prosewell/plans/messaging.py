@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from prosewell.operators import messages as M
 from prosewell.operators import opinion
+from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query, values_sql
 from prosewell.plans.sentiment import TURN_LEXICON
 from prosewell.plans.text import documents
@@ -259,7 +260,7 @@ own_scores AS (SELECT m.thread, coalesce(nullif(regexp_extract(m.sender, '[A-Za-
 def own_scores(spark: SparkSession, folder: str) -> DataFrame:
     parsed = messages(spark, folder).withColumn("from_email", F.coalesce("from_email", F.lit("-")))
     keep = [*M.KEY, "thread", "from_email"]
-    lexicon = spark.createDataFrame(TURN_LEXICON, "word string, polarity int")
+    lexicon = fx.table(spark, TURN_LEXICON, "word string, polarity int")
     return opinion.count_polarity(M.own_text(parsed, keep), lexicon, key=keep)
 
 

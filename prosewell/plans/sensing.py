@@ -118,7 +118,7 @@ def e2(spark, folder):
     FROM cand c JOIN {values_sql(fx.POS_TAGS, 'token, pos_tag')} ON c.token = t.token AND c.pos_tag = t.pos_tag""",
 )
 def e2b(spark, folder):
-    tags = spark.createDataFrame(fx.POS_TAGS, "token string, pos_tag string")
+    tags = fx.table(spark, fx.POS_TAGS, "token string, pos_tag string")
     tagged = lookup(terms.tokenize(documents(spark, folder)), tags, "token")
     out = S.candidate_senses(tagged, sense_table(spark))
     return out.select("doc_id", F.col("pos").cast("bigint"), "token", "pos_tag", "synset_id")

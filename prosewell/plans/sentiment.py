@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from prosewell.operators import opinion, terms
 from prosewell.plans import fixtures as fx
-from prosewell.plans.registry import query
+from prosewell.plans.registry import query, values_sql
 from prosewell.plans.text import documents
 from prosewell.sources.tables import read_table
 
@@ -172,7 +172,7 @@ def d10(spark, folder):
 def conversation_scores(spark: SparkSession, folder: str) -> DataFrame:
     """Turns scored by frequent words of the generated prose; none of the insults occurs in them."""
     turns = read_table(spark, folder, "conversations", ["conv_id", "turn"])
-    lexicon = spark.createDataFrame(TURN_LEXICON, "word string, polarity int")
+    lexicon = fx.table(spark, TURN_LEXICON, "word string, polarity int")
     return opinion.count_polarity(turns, lexicon, key=["conv_id", "turn", "role"])
 
 
@@ -180,8 +180,6 @@ TURN_LEXICON = [("the", 1), ("with", 1), ("la", 1), ("die", 1), ("of", -1), ("de
 
 
 def _turn_sql(by: str) -> str:
-    from prosewell.plans.registry import values_sql
-
     return f"""WITH k AS (SELECT conv_id, turn, role, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM conversations),
     h AS (SELECT conv_id, turn, count(*) FILTER (polarity > 0) AS pos, count(*) FILTER (polarity < 0) AS neg
       FROM k JOIN {values_sql(TURN_LEXICON, 'word, polarity')} ON k.token = t.word GROUP BY ALL)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,6 +11,11 @@ from pyspark.sql import functions as F
 from prosewell.operators.joins import names
 
 
+@lru_cache(maxsize=256)
+def _bytes(spark: SparkSession, files: tuple[str, ...]) -> int:
+    return spark.read.format("binaryFile").load(list(files)).agg(F.sum("length")).first()[0]
+
+
 def fan_out(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Spread a small table over all cores.
 
@@ -23,8 +29,7 @@ def fan_out(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     files = df.inputFiles()
     if not files or len(files) >= cores:
         return df
-    total = spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0]
-    if total >= cores * 128 * 1024 * 1024:
+    if _bytes(spark, tuple(files)) >= cores * 128 * 1024 * 1024:
         return df
     return df.repartition(cores, *names(key))
 

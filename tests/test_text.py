@@ -125,3 +125,18 @@ def test_small_and_large_lexicons_score_alike(spark, folder, monkeypatch):
     small = results()
     monkeypatch.setattr(opinion, "inline_words", lambda lexicon: None)
     assert results() == small and all(small)
+
+
+def test_few_and_many_targets_give_the_same_contexts(spark, folder, monkeypatch):
+    d = spark.read.parquet(f"{folder}/documents.parquet")
+    table = senses.explode_senses(fx.sense_lexicon(spark))
+
+    def results():
+        return [
+            sorted(senses.target_contexts(d, table, 3).collect()),
+            sorted(senses.spot_phrases(d, table).collect()),
+        ]
+
+    few = results()
+    monkeypatch.setattr(senses, "inline_values", lambda df: None)
+    assert results() == few and all(few)
