@@ -100,7 +100,9 @@ def target_contexts(
         return F.filter(F.transform(t, lambda w, i: around(t, w, i)), lambda o: o.isNotNull())
 
     found = docs.select(*keys, F.inline(T.let(T.words(col), occurrences)))
-    return found if listed is not None else lookup(found, words, "token", "left_semi")
+    if listed is None:
+        found = lookup(found, words, "token", "left_semi")
+    return found.select(*keys, "pos", "token", "context")
 
 
 def context_words(
