@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -12,7 +16,30 @@ SETTINGS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, once per application.
+
+    Workers start in a folder of their own, so they find the package only if it is installed there or sent
+    along. The archive holds code alone; Spark copies it from the driver to each executor.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="prosewell-code-"), "prosewell.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
 
 
 def local_session(app: str, cores: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
