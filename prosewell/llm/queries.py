@@ -2,4 +2,14 @@
 
 from __future__ import annotations
 
-from prosewell.llm import token_queries  # noqa: F401
+from prosewell.llm import (  # noqa: F401
+    chat_queries,
+    copy_queries,
+    mixing_queries,
+    piece_queries,
+    quality_queries,
+    token_queries,
+    toxicity_queries,
+    url_queries,
+    vector_queries,
+)
