@@ -151,19 +151,23 @@ def decode_segment(data: bytes) -> np.ndarray:
 
 # ---------------------------------------------------------------------------- tokens
 
-_SPECIAL_BLANK = re.compile("[\x1c-\x1f]")
-# Cuts at which byte-level pieces always end: before a blank and a word, around a lone newline, between letters and a
-# stop or comma. A piece found here is split further by the library itself.
-_PIECE = re.compile(
-    r"\n(?=\S)| ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[.,\s]|$)| ?\S+|\s+(?= \S)|\s+\S*"
+# Marks put before what does not follow a blank: a line's first word, a stop or comma. Texts that hold them go whole.
+_FIRST, _STUCK = "\x1d", "\x1f"
+_MARKS = re.compile("[\x1c-\x1f]")
+# Classes of bytes: a letter or digit, a stop or comma, part of a longer character, anything else.
+_CLASSES = bytes(
+    ord("h") if b > 127 else ord(".") if chr(b) in ".," else ord("a") if chr(b).isalnum() else ord("x")
+    for b in range(256)
 )
+_STOP_AFTER_OTHER = re.compile(r"(?:^|[^\w]|_)[.,]")
 
 
 class PieceEncoder:
     """Ids of whole texts by a byte-level tokenizer file.
 
-    Byte-level pieces are encoded alone, so a piece met before is looked up and not encoded again. Both
-    tables of pieces have a bound; beyond it pieces are encoded each time.
+    Such a tokenizer always parts a text before a blank that is followed by a word, around a lone newline, and between a letter or digit
+    and a stop or comma. So a text of single blanks and newlines is encoded part by part, and a part met before is looked up. The
+    table of parts has a bound; beyond it new parts are encoded each time. Any other text is encoded whole.
     """
 
     def __init__(self, path: str, cached: int = CACHED_PIECES) -> None:
@@ -173,89 +177,46 @@ class PieceEncoder:
         self._library = Tokenizer.from_file(path)
         self._specials = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._cached = cached
-        self._first: dict[str, bytes] = {}
-        self._after_blank: dict[str, bytes] = {}
-        self._pieces: dict[str, bytes] = {}
-        self._newline = self._plain(["\n"])["\n"]
+        self._known: dict[str, bytes | None] = {}
 
-    def _plain(self, texts: list[str]) -> dict[str, bytes]:
+    def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return {
-            t: np.array(e.ids, dtype="<u4").tobytes() for t, e in zip(texts, found, strict=True)
-        }
-
-    def _learn(self, words: set[str], blank: str, table: dict[str, bytes]) -> dict[str, bytes]:
-        """`table`, with `words` added; a larger copy for this call once the table is full."""
-        if not words:
-            return table
-        parts = {w: _PIECE.findall(blank + w) for w in words}
-        new = {p for found in parts.values() for p in found if p not in self._pieces}
-        known = self._plain(list(new)) if new else {}
-        if len(self._pieces) + len(known) <= self._cached:
-            self._pieces |= known
-        get = lambda p: known.get(p) or self._pieces[p]
-        added = {w: b"".join(map(get, found)) for w, found in parts.items()}
-        if len(table) + len(added) <= self._cached:
-            table |= added
-            return table
-        return _Both(table, added)
+        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
+
+    def _learn(self, parts: set[str]) -> None:
+        """Add parts to the table; null for one that must not be encoded alone: empty, or with other white space in it."""
+        plain = [p[1:] if p[:1] in (_FIRST, _STUCK) else p if p == "\n" else " " + p for p in parts]
+        words = [p == "\n" or p.split() == [p.removeprefix(" ")] for p in plain]
+        ids = iter(self._ids([p for p, w in zip(plain, words, strict=True) if w]))
+        self._known |= {p: next(ids) if w else None for p, w in zip(parts, words, strict=True)}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        out: list[bytes | None] = [None] * len(texts)
-        lines: list[tuple[int, list[list[str]]]] = []
-        odd: list[int] = []
-        for i, text in enumerate(texts):
-            if self._regular(text):
-                lines.append((i, [line.split(" ") for line in text.split("\n")]))
-            else:
-                odd.append(i)
-        first = {w for _, rows in lines for row in rows for w in row[:1]}
-        after = {w for _, rows in lines for row in rows for w in row[1:]}
-        first_ids = self._learn(first.difference(self._first), "", self._first)
-        after_ids = self._learn(after.difference(self._after_blank), " ", self._after_blank)
-        get_first, get_after = first_ids.__getitem__, after_ids.__getitem__
-        for i, rows in lines:
-            found: list[bytes] = []
-            for row in rows:
-                found.append(get_first(row[0]))
-                found.extend(map(get_after, row[1:]))
-                found.append(self._newline)
-            out[i] = b"".join(found[:-1])
-        for i in odd:
-            out[i] = self._odd(texts[i])
+        parts = [self._parts(t) for t in texts]
+        met: set[str] = set()
+        met.update(*(p for p in parts if p))
+        new = met.difference(self._known)
+        self._learn(new)
+        get = self._known.__getitem__
+        out = []
+        for text, part in zip(texts, parts, strict=True):
+            ids = list(map(get, part)) if part else [None]
+            out.append(b"" if not text else self._ids([text])[0] if None in ids else b"".join(ids))
+        if len(self._known) > self._cached:
+            for part in new:
+                del self._known[part]
         return out
 
-    def _regular(self, text: str) -> bool:
-        """Whether all words are parted by one blank or one newline, and no special token's string occurs."""
-        words = text.split()
-        parts = len(words) - 1
-        return (
-            parts >= 0
-            and text.count(" ") + text.count("\n") == parts
-            and len(text) == sum(map(len, words)) + parts
-            and not any(s in text for s in self._specials)
-        )
-
-    def _odd(self, text: str) -> bytes:
-        if not text:
-            return b""
-        if _SPECIAL_BLANK.search(text) or any(s in text for s in self._specials):
-            return self._plain([text])[text]
-        found = _PIECE.findall(text)
-        table = self._learn(set(found).difference(self._first), "", self._first)
-        return b"".join(map(table.__getitem__, found))
-
-
-class _Both(dict):
-    """Looks in a full table first, then among what is known for this call only."""
-
-    def __init__(self, table: dict[str, bytes], added: dict[str, bytes]) -> None:
-        super().__init__(added)
-        self._table = table
-
-    def __missing__(self, key: str) -> bytes:
-        return self._table[key]
+    def _parts(self, text: str) -> list[str] | None:
+        if _MARKS.search(text) or any(s in text for s in self._specials):
+            return None
+        classes = text.encode("utf-8", "surrogatepass").translate(_CLASSES)
+        alone = b"x." not in classes and b".." not in classes and classes[:1] != b"."
+        if alone and b"h." in classes:
+            alone = not _STOP_AFTER_OTHER.search(text)
+        if alone:
+            text = text.replace(",", " \x1f,").replace(".", " \x1f.")
+        return (_FIRST + text.replace("\n", " \n \x1d")).split(" ")
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -305,7 +266,7 @@ def _writer(
             return _segment_batch([row])
 
         for whole in batches:
-            for batch in sliced(whole, 500):
+            for batch in sliced(whole, 1_000):
                 ids = encoder(tokenizer).encode(batch.column("text").to_pylist())
                 for doc_id, one in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                     doc_ids.append(doc_id)
