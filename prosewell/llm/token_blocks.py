@@ -19,6 +19,7 @@ import os
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -152,13 +153,13 @@ def decode_segment(data: bytes) -> np.ndarray:
 # ---------------------------------------------------------------------------- tokens
 
 # Marks put before what does not follow a blank: a line's first word, a stop or comma. Texts that hold them go whole.
-_FIRST, _STUCK = "\x1d", "\x1f"
-_MARKS = re.compile("[\x1c-\x1f]")
-# Classes of bytes: a letter or digit, a stop or comma, part of a longer character, anything else.
+_FIRST, _STUCK = _MARKS = ("\x1d", "\x1f")
+# Classes of bytes: a letter or digit, a stop or comma, part of a longer character, a mark, anything else.
 _CLASSES = bytes(
-    ord("h") if b > 127 else ord(".") if chr(b) in ".," else ord("a") if chr(b).isalnum() else ord("x")
+    ord("h") if b > 127 else ord(".") if chr(b) in ".," else ord("a") if chr(b).isalnum()
+    else ord("m") if 0x1C <= b <= 0x1F else ord("x")
     for b in range(256)
-)
+)
 _STOP_AFTER_OTHER = re.compile(r"(?:^|[^\w]|_)[.,]")
 
 
@@ -177,40 +178,53 @@ class PieceEncoder:
         self._library = Tokenizer.from_file(path)
         self._specials = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._cached = cached
-        self._known: dict[str, bytes | None] = {}
+        self._known: dict[str, bytes] = {}
+        # Parts that must not be encoded alone: empty, or with other white space in them.
+        self._odd: set[str] = set()
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
-
-    def _learn(self, parts: set[str]) -> None:
-        """Add parts to the table; null for one that must not be encoded alone: empty, or with other white space in it."""
-        plain = [p[1:] if p[:1] in (_FIRST, _STUCK) else p if p == "\n" else " " + p for p in parts]
-        words = [p == "\n" or p.split() == [p.removeprefix(" ")] for p in plain]
-        ids = iter(self._ids([p for p, w in zip(plain, words, strict=True) if w]))
-        self._known |= {p: next(ids) if w else None for p, w in zip(parts, words, strict=True)}
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, parts: list[str]) -> None:
+        """Add parts to the table. Words of A to Z are one piece by themselves and go to the merges at once; a blank is spelled `Ġ` there."""
+        merges, rest = self._library.model.tokenize, []
+        for part in parts:
+            if part.isalpha() and part.isascii():
+                self._known[part] = array("I", [t.id for t in merges("Ġ" + part)]).tobytes()
+            else:
+                rest.append(part)
+        plain = [p[1:] if p[:1] in _MARKS else p if p == "\n" else " " + p for p in rest]
+        self._odd.update(
+            p for p, t in zip(rest, plain, strict=True)
+            if p != "\n" and t.split() != [t.removeprefix(" ")]
+        )
+        self._known |= zip(rest, self._ids(plain), strict=True)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
         parts = [self._parts(t) for t in texts]
         met: set[str] = set()
         met.update(*(p for p in parts if p))
-        new = met.difference(self._known)
+        new = list(met.difference(self._known))
         self._learn(new)
-        get = self._known.__getitem__
-        out = []
-        for text, part in zip(texts, parts, strict=True):
-            ids = list(map(get, part)) if part else [None]
-            out.append(b"" if not text else self._ids([text])[0] if None in ids else b"".join(ids))
+        get, odd = self._known.__getitem__, self._odd
+        out = [
+            b"".join(map(get, part))
+            if part and (not odd or odd.isdisjoint(part))
+            else self._ids([text])[0]
+            for text, part in zip(texts, parts, strict=True)
+        ]
         if len(self._known) > self._cached:
             for part in new:
                 del self._known[part]
+            self._odd.difference_update(new)
         return out
 
     def _parts(self, text: str) -> list[str] | None:
-        if _MARKS.search(text) or any(s in text for s in self._specials):
-            return None
         classes = text.encode("utf-8", "surrogatepass").translate(_CLASSES)
+        if b"m" in classes or any(s in text for s in self._specials):
+            return None
         alone = b"x." not in classes and b".." not in classes and classes[:1] != b"."
         if alone and b"h." in classes:
             alone = not _STOP_AFTER_OTHER.search(text)
