@@ -4,8 +4,8 @@ Confirmed toxic texts are the positives; all other training texts are unlabelled
 non-negative risk: prior * loss on positives as toxic, plus what unlabelled texts lose as clean beyond what the prior says
 the toxic ones among them lose, never below 0. Without that floor a flexible classifier makes the second term negative.
 
-Features are words present in the whole text, hashed to slots. Only slots that positives have clearly more often than unlabelled texts are
-weighted. Both samples are bounded, chosen by a hash of doc_id.
+Features are words and beginnings of words (insults are inflected) present in the whole text, hashed to slots. Only slots that positives
+have clearly more often than unlabelled texts are weighted. Both samples are bounded, chosen by a hash of doc_id.
 """
 
 from __future__ import annotations
@@ -26,9 +26,9 @@ from prosewell.llm.common import fraction, sampled, sliced, text_of
 POSITIVES = 4_000
 UNLABELLED = 12_000
 SLOTS = 1 << 20
+PREFIXES = (4, 5)
 MAX_FEATURES = 512
-MIN_POSITIVES = 3
-MIN_SIGMAS = 4.0
+CHANCE = 0.05
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 CACHED_WORDS = 500_000
@@ -50,8 +50,14 @@ def word_set(text: str) -> set[bytes]:
     return set(text.lower().encode("utf-8", "surrogatepass").translate(_PARTS).split())
 
 
-def slot(word: bytes) -> int:
-    return zlib.crc32(word) & (SLOTS - 1)
+def slots_of(word: bytes) -> tuple[int, ...]:
+    """The slots of a word and of its beginnings."""
+    starts = (b"%d " % n + word[:n] for n in PREFIXES if len(word) > n)
+    return tuple(zlib.crc32(part) & (SLOTS - 1) for part in (word, *starts))
+
+
+def text_slots(text: str) -> np.ndarray:
+    return np.unique([s for w in word_set(text) for s in slots_of(w)]).astype(np.int32)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -61,14 +67,19 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _select(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
-    """Slots that positives have more often, by a two-sample test; the clearest first."""
+    """Slots that more positives have than chance gives to any slot; the clearest first.
+
+    Were a word as likely in positives as elsewhere, `expected` of them would have it; the chance of so many is at most exp(tail).
+    It must be below `CHANCE` by the number of slots that were tried.
+    """
     n_p, n_u = len(positive), len(unlabelled)
     p = np.bincount(np.concatenate(positive), minlength=SLOTS)
     u = np.bincount(np.concatenate(unlabelled), minlength=SLOTS)
-    share = (p + u + 1) / (n_p + n_u + 2)
-    sigmas = (p / n_p - u / n_u) / np.sqrt(share * (1 - share) * (1 / n_p + 1 / n_u))
-    good = np.flatnonzero((p >= MIN_POSITIVES) & (sigmas >= MIN_SIGMAS))
-    return good[np.argsort(-sigmas[good], kind="stable")][:MAX_FEATURES]
+    expected = n_p * (p + u + 1) / (n_p + n_u)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        tail = np.where(p > expected, p - expected - p * np.log(p / expected), 0.0)
+    good = np.flatnonzero(tail < np.log(CHANCE / max(1, int(((p + u) > 0).sum()))))
+    return good[np.argsort(tail[good], kind="stable")][:MAX_FEATURES]
 
 
 def _matrix(rows: list[np.ndarray], chosen: np.ndarray) -> np.ndarray:
@@ -89,9 +100,10 @@ def fit(
     positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     rounds: int = 400, decay: float = 1e-4, rate: float = 0.05,
 ) -> ToxicModel:
-    """Non-negative risk minimized with the logistic loss, by Adam over the whole sample.
+    """Non-negative risk minimized with the sigmoid loss, by Adam over the whole sample.
 
-    Where the second term falls below 0, a step goes up its gradient instead, so that it comes back.
+    The loss has a bound, so a prior that is a little off cannot pull the second term far below 0. Where it falls below, a step goes up its
+    gradient instead, so that it comes back.
     """
     if not positive or not unlabelled or not 0 < prior < 1:
         return ToxicModel()
@@ -106,12 +118,12 @@ def fit(
         w, b = theta[:-1], theta[-1]
         fp, fu = xp @ w + b, xu @ w + b
         sp, su = _sigmoid(fp), _sigmoid(fu)
-        # Gradients of the mean losses: log(1 + exp(-f)) as toxic, log(1 + exp(f)) as clean.
-        as_toxic = np.r_[xp.T @ (sp - 1), (sp - 1).sum()] / len(xp)
-        p_clean = np.r_[xp.T @ sp, sp.sum()] / len(xp)
-        u_clean = np.r_[xu.T @ su, su.sum()] / len(xu)
-        below = np.logaddexp(0, fu).mean() - prior * np.logaddexp(0, fp).mean() < 0
-        grad = -(u_clean - prior * p_clean) if below else prior * as_toxic + u_clean - prior * p_clean
+        # Gradients of the mean losses: 1 - sigmoid(f) as toxic, sigmoid(f) as clean.
+        gp, gu = sp * (1 - sp), su * (1 - su)
+        p_clean = np.r_[xp.T @ gp, gp.sum()] / len(xp)
+        u_clean = np.r_[xu.T @ gu, gu.sum()] / len(xu)
+        below = su.mean() - prior * sp.mean() < 0
+        grad = -(u_clean - prior * p_clean) if below else u_clean - 2 * prior * p_clean
         grad = grad + decay * np.r_[w, 0]
         mean = 0.9 * mean + 0.1 * grad
         square = 0.99 * square + 0.01 * grad**2
@@ -124,8 +136,7 @@ def _slot_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in sliced(whole, 500):
             rows = [
-                np.unique([slot(w) for w in word_set(t)]).astype(np.int32)
-                for t in batch.column("text").to_pylist()
+                text_slots(t) for t in batch.column("text").to_pylist()
             ]
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(rows, pa.list_(pa.int32()))], ["toxic", "slots"]
@@ -171,30 +182,31 @@ def train(
     )
 
 
-class _Weights(dict):
-    """Weight of each word met, looked up by its slot the first time."""
+class _Weighted(dict):
+    """The weighted slots of each word met, hashed the first time; most words have none."""
 
     def __init__(self, weights: dict[int, float]) -> None:
         super().__init__()
         self._weights = weights
 
-    def __missing__(self, word: bytes) -> float:
-        weight = self._weights.get(slot(word), 0.0)
+    def __missing__(self, word: bytes) -> tuple[int, ...]:
+        slots = tuple(s for s in slots_of(word) if s in self._weights)
         if len(self) < CACHED_WORDS:
-            self[word] = weight
-        return weight
+            self[word] = slots
+        return slots
 
 
-def score_text(text: str, model: ToxicModel, known: dict[bytes, float] | None = None) -> float:
-    known = _Weights(model.weights) if known is None else known
-    return float(_sigmoid(np.float64(model.bias + math.fsum(map(known.__getitem__, word_set(text))))))
+def score_text(text: str, model: ToxicModel, known: dict[bytes, tuple[int, ...]] | None = None) -> float:
+    known = _Weighted(model.weights) if known is None else known
+    present = set().union(*filter(None, map(known.__getitem__, word_set(text))))
+    return float(_sigmoid(np.float64(model.bias + math.fsum(model.weights[s] for s in present))))
 
 
 def scores(docs: DataFrame, model: ToxicModel, threshold: float = THRESHOLD) -> DataFrame:
     """(doc_id, held_out, score, predicted): a row per row of `docs` (doc_id, text, any other columns); a null text counts as empty."""
 
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known = _Weights(model.weights)
+        known = _Weighted(model.weights)
         for batch in texts:
             yield pd.Series([score_text(t, model, known) for t in batch], dtype=float)
 
