@@ -11,6 +11,8 @@ from prosewell.operators.joins import lookup, names
 from prosewell.sources.store import cut
 
 MAX_CLASSES = 10_000
+# Beyond this many classes the model is counted in long form: a plan with a sum per class would grow too large.
+WIDE_CLASSES = 100
 
 
 def class_list(df: DataFrame, label: str = "label") -> list:
@@ -70,6 +72,8 @@ def nb_fit(
     known = docs.filter("label is not null").select("label")
     classes = class_list(known)
     train = tf.filter("label is not null").select("token", "label", "tf")
+    if len(classes) > WIDE_CLASSES:
+        return cut(nb_priors(known)), cut(_long_likelihoods(train, known, smoothing))
     per_class = [F.sum(F.when(F.col("label") == c, F.col("tf")).otherwise(0)) for c in classes]
     wide = train.groupBy("token").agg(F.array(*per_class).alias("counts"))
     sums = wide.agg(
@@ -97,20 +101,41 @@ def nb_fit(
     return cut(nb_priors(known)), cut(long)
 
 
+def _long_likelihoods(train: DataFrame, known: DataFrame, smoothing: float) -> DataFrame:
+    """The same table from one count per (token, label). Each token's counts meet in one map, no larger than the classes."""
+    counts = cut(train.groupBy("token", "label").agg(F.sum("tf").alias("n")))
+    totals = known.distinct().join(counts.groupBy("label").agg(F.sum("n").alias("total")), "label", "left")
+    size = counts.select("token").distinct().count()
+    table = cut(totals.select("label", F.coalesce("total", F.lit(0)).alias("total")))
+    listed = table.agg(F.collect_list(F.struct("label", "total")).alias("classes")).scalar()
+    seen = counts.groupBy("token").agg(F.map_from_entries(F.collect_list(F.struct("label", "n"))).alias("seen"))
+    every = seen.select("token", "seen", F.explode(listed).alias("c"))
+    n = F.coalesce(F.try_element_at("seen", F.col("c.label")), F.lit(0))
+    value = F.log((n + smoothing) / (F.col("c.total") + smoothing * size))
+    return every.select("token", F.col("c.label").alias("label"), value.alias("log_likelihood"))
+
+
 def nb_predict(
-    priors: DataFrame, likelihoods: DataFrame, tf: DataFrame, key: str | Sequence[str] = "doc_id"
+    priors: DataFrame,
+    likelihoods: DataFrame,
+    docs: DataFrame,
+    tf: DataFrame,
+    key: str | Sequence[str] = "doc_id",
 ) -> DataFrame:
-    """(key, prediction, score): argmax over classes, ties to the lowest label.
+    """(key, prediction, score): argmax over classes, ties to the lowest label; a row for each of `docs`.
 
-    Words outside the vocabulary are ignored; documents with none inside it get no row.
+    Words outside the vocabulary are ignored. A document with none inside it gets the class of the highest prior.
     """
     keys = names(key)
+    none = docs.select(*keys, F.lit(None).cast("string").alias("token"), F.lit(0).cast("bigint").alias("tf"))
+    tf = tf.select(*keys, "token", F.col("tf").cast("bigint").alias("tf")).unionByName(none)
     classes = sorted((r["label"], r["log_prior"]) for r in priors.collect())
     per_token = likelihoods.groupBy("token").agg(
         *[F.max(F.when(F.col("label") == c, F.col("log_likelihood"))).alias(f"_l{i}") for i, (c, _) in enumerate(classes)]
     )
-    scored = lookup(tf.select(*keys, "token", "tf"), per_token, "token").groupBy(*keys).agg(
-        *[(F.lit(p) + F.sum(F.col("tf") * F.col(f"_l{i}"))).alias(f"_s{i}") for i, (_, p) in enumerate(classes)]
+    weight = [F.coalesce(F.col("tf") * F.col(f"_l{i}"), F.lit(0.0)) for i in range(len(classes))]
+    scored = lookup(tf, per_token, "token", "left").groupBy(*keys).agg(
+        *[(F.lit(p) + F.sum(weight[i])).alias(f"_s{i}") for i, (_, p) in enumerate(classes)]
     )
     best = F.greatest(*[F.struct(F.col(f"_s{i}").alias("score"), F.lit(-i).alias("i")) for i in range(len(classes))]) if len(classes) > 1 else F.struct(F.col("_s0").alias("score"), F.lit(0).alias("i"))
     label_of = F.array(*[F.lit(c) for c, _ in classes])
@@ -130,12 +155,12 @@ def majority_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
 
 def confusion_matrix(predictions: DataFrame) -> DataFrame:
     """(label, prediction, n) for every pair of classes, zero cells kept."""
-    counted = predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n"))
-    classes = counted.select(F.explode(F.array("label", "prediction")).alias("c")).agg(
-        F.collect_set("c").alias("cs")
-    )
-    cells = classes.select(F.explode("cs").alias("label"), "cs").select(
-        "label", F.explode("cs").alias("prediction")
+    counted = cut(predictions.groupBy("label", "prediction").agg(F.count(F.lit(1)).alias("n")))
+    classes = class_list(counted.select(F.explode(F.array("label", "prediction")).alias("c")), "c")
+    kind = counted.schema["label"].dataType.simpleString()
+    each = F.array(*map(F.lit, classes)).cast(f"array<{kind}>")
+    cells = counted.sparkSession.createDataFrame([(c,) for c in classes], f"label {kind}").select(
+        "label", F.explode(each).alias("prediction")
     )
     return cells.join(counted, ["label", "prediction"], "left").select(
         "label", "prediction", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")

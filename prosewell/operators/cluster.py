@@ -25,6 +25,11 @@ from prosewell.sources.store import cut
 
 CF_SCHEMA = "part int, cf_id int, n bigint, ls array<double>, ss double, threshold double"
 MAX_CENTERS = 20_000
+# Centers that a batch of points meets at once, and points that are absorbed at once.
+CENTER_BLOCK = 512
+CHUNK = 256
+# Groups of points that are summarized apart. They come from the key, so results do not depend on the number of cores.
+GROUPS = 64
 
 
 def unit_vectors(
@@ -125,6 +130,24 @@ class MicroClusters:
         for n, ls, ss in old:
             self.add(n, ls, ss)
 
+    def absorb(self, x: np.ndarray) -> None:
+        """Add points: those of an entry that stays within the threshold with all of them by grouped sums, the rest one by one."""
+        m = self.size
+        if m:
+            near = np.argmax(x @ self.direction[:m].T, axis=1)
+            n, ss = self.n[:m].copy(), self.ss[:m].copy()
+            ls = self.ls[:m].copy()
+            np.add.at(n, near, 1)
+            np.add.at(ls, near, x)
+            np.add.at(ss, near, np.einsum("ij,ij->i", x, x))
+            radius = ss / n - np.einsum("ij,ij->i", ls, ls) / n**2
+            fits = radius <= self.threshold**2
+            for i in np.unique(near[fits[near]]):
+                self._put(i, n[i], ls[i], ss[i])
+            x = x[~fits[near]]
+        for row in x:
+            self.add(1.0, row, float(row @ row))
+
     def rows(self, part: int) -> pd.DataFrame:
         m = self.size
         return pd.DataFrame(
@@ -139,64 +162,75 @@ class MicroClusters:
         )
 
 
+def _by_part(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[int, pd.DataFrame]]:
+    """Rows sorted by part in chunks of `CHUNK` rows of one part, whatever the batches are cut like."""
+    held = None
+    for batch in batches:
+        held = batch if held is None else pd.concat([held, batch], ignore_index=True)
+        while len(held):
+            same = int((held["part"] == held["part"].iloc[0]).sum())
+            if same < CHUNK and same == len(held):
+                break
+            take = min(same, CHUNK)
+            yield int(held["part"].iloc[0]), held.iloc[:take]
+            held = held.iloc[take:].reset_index(drop=True)
+    if held is not None and len(held):
+        yield int(held["part"].iloc[0]), held
+
+
+def _summarized(threshold: float, max_entries: int, points: bool):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        part, found = None, None
+        for number, chunk in _by_part(batches):
+            if number != part:
+                if found is not None:
+                    yield found.rows(part)
+                part, found = number, MicroClusters(threshold, max_entries)
+            if points:
+                found.absorb(np.stack([np.asarray(v, dtype="float64") for v in chunk["vector"]]))
+                continue
+            for n, ls, ss, t in zip(chunk["n"], chunk["ls"], chunk["ss"], chunk["threshold"]):
+                found.threshold = max(found.threshold, float(t))
+                found.add(float(n), np.asarray(ls, dtype="float64"), float(ss))
+        if found is not None:
+            yield found.rows(part)
+
+    return run
+
+
 def cluster_features(
     df: DataFrame,
     threshold: float,
     max_entries: int = 256,
     key: str | Sequence[str] = "doc_id",
     vector: str = "vector",
+    groups: int = GROUPS,
 ) -> DataFrame:
-    """One pass per partition over the points. Memory is bounded by `max_entries` vectors.
+    """One pass over the points in `groups` groups by a hash of the key. Memory is bounded by `max_entries` vectors.
 
-    Rows are put in key order inside each partition, so a retried task gives the same CFs.
+    Within a group points are taken in key order and in chunks of a fixed size, so the CFs are the same on any number of
+    cores. A group holds 1/`groups` of the points: raise it with the data.
     """
-
-    def absorb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        found = MicroClusters(threshold, max_entries)
-        for batch in batches:
-            for x in batch["vector"]:
-                x = np.asarray(x, dtype="float64")
-                found.add(1.0, x, float(x @ x))
-        if found.size:
-            yield found.rows(TaskContext.get().partitionId())
-
-    points = df.select(*names(key), F.col(vector).cast("array<double>").alias("vector"))
-    ordered = points.sortWithinPartitions(*names(key)).select("vector")
-    return ordered.mapInPandas(absorb, CF_SCHEMA)
+    part = F.pmod(F.xxhash64(*names(key)), F.lit(groups)).cast("int")
+    points = df.select(*names(key), part.alias("part"), F.col(vector).cast("array<double>").alias("vector"))
+    ordered = points.repartition("part").sortWithinPartitions("part", *names(key), "vector")
+    return ordered.select("part", "vector").mapInPandas(_summarized(threshold, max_entries, True), CF_SCHEMA)
 
 
 def condense(
-    cf: DataFrame, threshold: float, max_entries: int = 256, partitions: int = 64, fan_in: int = 8
+    cf: DataFrame, threshold: float, max_entries: int = 256, partitions: int = GROUPS, fan_in: int = 8
 ) -> DataFrame:
-    """Merge CF tables level by level, `fan_in` partitions into one, until one is left.
+    """Merge CF tables level by level, `fan_in` groups into one, until one is left.
 
-    A task sees at most about `fan_in` × `max_entries` CFs, whatever the size of the corpus.
+    A group sees at most `fan_in` × `max_entries` CFs, whatever the size of the corpus, and a task holds one group at a time.
     """
-
-    def absorb(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyspark import TaskContext
-
-        found = MicroClusters(threshold, max_entries)
-        for batch in batches:
-            for n, ls, ss, t in zip(batch["n"], batch["ls"], batch["ss"], batch["threshold"]):
-                found.threshold = max(found.threshold, float(t))
-                found.add(float(n), np.asarray(ls, dtype="float64"), float(ss))
-        if found.size:
-            yield found.rows(TaskContext.get().partitionId())
-
     out = cf
     left = max(1, partitions)
     while True:
         left = max(1, -(-left // fan_in))
-        grouped = (
-            out.withColumn("_to", F.pmod(F.col("part"), F.lit(left)))
-            .repartition(left, "_to")
-            .sortWithinPartitions("_to", "part", "cf_id")
-            .drop("_to")
-        )
-        out = cut(grouped.mapInPandas(absorb, CF_SCHEMA))
+        moved = out.withColumn("_from", F.col("part")).withColumn("part", F.pmod("part", F.lit(left)))
+        grouped = moved.repartition("part").sortWithinPartitions("part", "_from", "cf_id").drop("_from")
+        out = cut(grouped.mapInPandas(_summarized(threshold, max_entries, False), CF_SCHEMA))
         if left == 1:
             return out
 
@@ -231,7 +265,7 @@ def _center_matrix(centers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFrame:
     """Adds `k` and `sim`: the center of largest cosine, ties to the lowest k.
 
-    One matrix product per Arrow batch. Points are not joined with centers, so nothing is
+    One matrix product per Arrow batch and block of centers. Points are not joined with centers, so nothing is
     multiplied by k and nothing is shuffled. A vector without length gets a null.
     """
     ids, matrix = _center_matrix(centers)
@@ -243,10 +277,15 @@ def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFra
             return pd.DataFrame({"k": pd.Series(dtype="int32"), "sim": pd.Series(dtype="float64")})
         x = np.stack([np.asarray(v, dtype="float64") for v in batch])
         length = np.linalg.norm(x, axis=1)
-        sims = x @ matrix.T
-        best = sims.argmax(axis=1)
+        best, top = np.zeros(len(x), dtype=np.int64), np.full(len(x), -np.inf)
+        for start in range(0, len(matrix), CENTER_BLOCK):
+            sims = x @ matrix[start : start + CENTER_BLOCK].T
+            here = sims.argmax(axis=1)
+            value = sims[np.arange(len(x)), here]
+            better = value > top
+            best[better], top[better] = here[better] + start, value[better]
         with np.errstate(divide="ignore", invalid="ignore"):
-            sim = np.where(length > 0, sims[np.arange(len(x)), best] / length, np.nan)
+            sim = np.where(length > 0, top / length, np.nan)
         chosen = pd.Series(ids[best].astype("int32"))
         return pd.DataFrame({"k": chosen, "sim": pd.Series(sim)})
 
@@ -290,8 +329,7 @@ def birch(
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(assigned, centers, cf): summarize, condense, cluster the summary, assign every point."""
     first = cut(cluster_features(df, threshold, max_entries, key, vector))
-    parts = first.agg(F.max("part")).first()[0]
-    cf = condense(first, threshold, max_entries, parts + 1)
+    cf = condense(first, threshold, max_entries)
     centers = spherical_kmeans_cf(cf, k, seed)
     return assign(df, centers, vector), centers, cf
 
@@ -301,12 +339,12 @@ def cluster_terms(
 ) -> DataFrame:
     """(k, token, score, rank): the k terms of highest TF-IDF weight in each cluster.
 
-    Documents learn their cluster before their terms are counted, so the join moves documents.
+    Documents learn their cluster before their terms are counted, so the join moves documents. Document frequencies are those of all
+    documents, with or without a cluster.
     """
-    df = cut(terms.doc_freq(terms.term_counts(docs, col, key)))
-    placed = docs.select(key, col).join(assigned.select(key, "k"), key)
-    tf = terms.term_counts(placed, col, [key, "k"])
-    return terms.top_terms(terms.tf_idf(tf, df, docs.count()), "k", k)
+    placed = docs.select(key, col).join(assigned.select(key, "k"), key, "left")
+    weights = terms.group_tf_idf(terms.term_counts(placed, col, [key, "k"]), "k", docs.count())
+    return terms.top_terms(weights.filter("k is not null"), "k", k)
 
 
 def contingency(assigned: DataFrame, label: str = "label") -> DataFrame:
@@ -315,7 +353,12 @@ def contingency(assigned: DataFrame, label: str = "label") -> DataFrame:
 
 
 def contingency_pivot(assigned: DataFrame, values: Sequence, label: str = "label") -> DataFrame:
-    return assigned.groupBy("k").pivot(label, list(values)).agg(F.count(F.lit(1))).fillna(0)
+    """(k, one column per value, other): `other` counts points of any other label or none."""
+    listed = F.coalesce(F.col(label).isin(list(values)), F.lit(False))
+    return assigned.groupBy("k").agg(
+        *[F.count_if(F.col(label) == v).alias(str(v)) for v in values],
+        F.count_if(~listed).alias("other"),
+    )
 
 
 def cluster_quality(cells: DataFrame) -> DataFrame:

@@ -17,10 +17,17 @@ from pyspark.ml.feature import (
     VectorAssembler,
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
 
+# Slots that words are hashed to before they are projected, and signed places of the projection per slot.
+SLOTS = 1 << 18
+PLACES = 8
+
 
 def token_stage(col: str = "text") -> SQLTransformer:
     """The same tokens as `tokenize`, as a stage that is saved with the pipeline."""
@@ -30,7 +37,11 @@ def token_stage(col: str = "text") -> SQLTransformer:
 
 
 def vectorize(n: int = 1 << 18, kind: str = "hash", min_df: float = 1.0) -> list:
-    """Bag-of-words stages: hashed (one pass, no vocabulary on the driver) or counted."""
+    """Bag-of-words stages: hashed (one pass, no vocabulary on the driver) or counted.
+
+    A counted vocabulary holds the `n` commonest words and drops the others, so `n` must be above the corpus's distinct words
+    where every word is to count; the driver holds them all. Beyond that, hash: no word is dropped.
+    """
     if kind == "hash":
         counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=n)
     elif kind == "count":
@@ -129,3 +140,34 @@ def cross_validate(
 def lexicon_features(columns: Sequence[str], target: str = "features") -> VectorAssembler:
     """Lexicon scores and style counts as model input."""
     return VectorAssembler(inputCols=list(columns), outputCol=target, handleInvalid="keep")
+
+
+def project_text(
+    docs: DataFrame, width: int, keep: Sequence[str], col: str = "text", seed: int = 11
+) -> DataFrame:
+    """(keep, vector): TF-IDF weights over 2^18 hashed words, projected at random to `width` dimensions.
+
+    A hashed word has eight places with random signs, the same in every task, so that dot products of the long sparse vectors are
+    kept in the mean. Document frequencies are counted over all documents; they are one number per slot, whatever the corpus.
+    A text without words has a zero vector.
+    """
+    slots = F.transform(T.words(col), lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(SLOTS)).cast("int"))
+    rows = docs.select(*keep, F.coalesce(slots, F.array().cast("array<int>")).alias("_slots"))
+    found = rows.select(F.explode(F.array_distinct("_slots")).alias("s")).groupBy("s").count().collect()
+    df = np.zeros(SLOTS)
+    for r in found:
+        df[r["s"]] = r["count"]
+    idf = np.log((docs.count() + 1) / (df + 1))
+    rng = np.random.default_rng(seed)
+    place = rng.integers(0, width, (SLOTS, PLACES), dtype=np.int32)
+    sign = rng.integers(0, 2, (SLOTS, PLACES), dtype=np.int8) * 2 - 1
+
+    def project(lists: pd.Series) -> pd.Series:
+        out = []
+        for slots in lists:
+            seen, n = np.unique(np.asarray(slots, dtype=np.int64), return_counts=True)
+            weight = (n * idf[seen])[:, None] * sign[seen]
+            out.append(np.bincount(place[seen].ravel(), weight.ravel(), minlength=width).tolist())
+        return pd.Series(out)
+
+    return rows.select(*keep, F.pandas_udf(project, "array<double>")("_slots").alias("vector"))

@@ -24,6 +24,14 @@ NAME_BEFORE = r'^\s*"?([^"<]*[^"<\s])"?\s*<'
 NAME_AFTER = r"\(([^)]*)\)"
 REPLY_PREFIX = r"(?i)^(\s*re(\[\d+\])?:\s*)+"
 QUOTE_PREFIX = r"^(?:\s*(?:[A-Za-z]{1,3}>|[>|:]))+"
+# A colon that begins an emoticon quotes nothing; `:Don't` is a quote.
+EMOTICON_LINE = r"^\s*[:;]-?[)(DP](?:[^A-Za-z]|$)"
+# Headers that some messages repeat at the start of the body.
+INNER_HEADER = (
+    r"(?i)^(?:from|subject|organization|lines|keywords|distribution|reply-to|nntp-posting-host|newsgroups|date"
+    r"|message-id|summary|expires|article-i\.d\.|sender|path|references|followup-to|x-[a-z-]+)[ ]*:"
+)
+INNER_OR_BLANK = INNER_HEADER + r"|^\s*$"
 ATTRIBUTION = r"(?i)^\s*in article\b|\b(?:writes|wrote|says|said)\s*:\s*$"
 SIGNATURE = r"^--\s*$"
 ARMOR_MARK = r"^-----(?:BEGIN|END) PGP [A-Z ]+-----"
@@ -150,24 +158,29 @@ def check_lines(messages: DataFrame) -> DataFrame:
     )
 
 
-def _places(lines: Column, pattern: str) -> Column:
-    """Indexes of the lines that match."""
-    found = F.transform(lines, lambda x, i: F.when(x.rlike(pattern), i))
+def _places(lines: Column, pattern: str, matching: bool = True) -> Column:
+    """Indexes of the lines that match, or of those that do not."""
+    found = F.transform(lines, lambda x, i: F.when(x.rlike(pattern) == matching, i))
     return F.filter(found, lambda i: i.isNotNull())
 
 
 def _line_records(body: Column | str) -> Column:
-    """array<struct<line_no, depth, kind, line>>. Markers change the kind of what follows them."""
+    """array<struct<line_no, depth, kind, line>>. Markers change the kind of what follows them.
+
+    Header lines before the first other line of a body are a second header block, kind `header`.
+    """
 
     def record(line: Column, i: Column, at: Column) -> Column:
         opened = F.size(F.filter(at["begins"], lambda b: b <= i))
         closed = F.size(F.filter(at["ends"], lambda e: e < i))
-        marks = F.regexp_replace(F.regexp_extract(line, QUOTE_PREFIX, 0), "[^>|:]", "")
+        prefix = F.when(line.rlike(EMOTICON_LINE), F.lit("")).otherwise(F.regexp_extract(line, QUOTE_PREFIX, 0))
+        marks = F.regexp_replace(prefix, "[^>|:]", "")
         kind = (
             F.when(line.rlike(ARMOR_MARK) | (opened > closed), "armor")
             .when(at["signature"].isNotNull() & (i >= at["signature"]), "signature")
             .when(F.trim(F.translate(line, "\t", " ")) == "", "blank")
-            .when(line.rlike(QUOTE_PREFIX), "quote")
+            .when((i < at["plain"]) & line.rlike(INNER_HEADER), "header")
+            .when(prefix != "", "quote")
             .when(line.rlike(ATTRIBUTION), "attribution")
             .otherwise("text")
         )
@@ -180,6 +193,7 @@ def _line_records(body: Column | str) -> Column:
             F.array_min(_places(lines, SIGNATURE)).alias("signature"),
             _places(lines, ARMOR_BEGIN).alias("begins"),
             _places(lines, ARMOR_END).alias("ends"),
+            F.coalesce(F.array_min(_places(lines, INNER_OR_BLANK, False)), F.size(lines)).alias("plain"),
         )
         return T.let(markers, lambda at: F.transform(lines, lambda x, i: record(x, i, at)))
 

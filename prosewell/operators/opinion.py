@@ -15,7 +15,8 @@ INLINE_WORDS = 20_000
 
 
 def _entries(lexicon: DataFrame) -> DataFrame:
-    return lexicon.select(F.col("word").alias("token"), "polarity").filter("polarity <> 0")
+    """(token, polarity), each pair once however often the lexicon lists it."""
+    return lexicon.select(F.col("word").alias("token"), "polarity").filter("polarity <> 0").distinct()
 
 
 def spot_words(tokens: DataFrame, lexicon: DataFrame) -> DataFrame:
@@ -48,7 +49,8 @@ def count_polarity(
 
     A lexicon of a few thousand words becomes a set inside the plan: every document is scored in
     its own row, without a join, an aggregate or a shuffle. A larger one is looked up by a join;
-    a document's tokens are then combined in the task that made them.
+    a document's tokens are then combined in the task that made them. Both give the same rows: a word listed twice counts
+    once, one listed with both signs counts on both sides, and documents that share a key keep a row each.
     """
     keys = names(key)
     small = inline_words(lexicon)
@@ -64,13 +66,19 @@ def count_polarity(
         )
         scored = docs.select(*keys, F.inline(F.array(counts)))
     else:
-        tokens = docs.select(*keys, F.explode_outer(T.words(col)).alias("token"))
-        marked = lookup(tokens, _entries(lexicon), "token", "left")
-        scored = marked.groupBy(*keys).agg(
+        per_word = _entries(lexicon).groupBy("token").agg(
+            F.max((F.col("polarity") > 0).cast("int")).alias("_pos"),
+            F.max((F.col("polarity") < 0).cast("int")).alias("_neg"),
+        )
+        rows = docs.withColumn("_row", F.monotonically_increasing_id())
+        tokens = rows.select(*keys, "_row", F.explode_outer(T.words(col)).alias("token"))
+        marked = lookup(tokens, per_word, "token", "left")
+        scored = marked.groupBy(*keys, "_row").agg(
             F.count("token").alias("tokens"),
-            F.count_if(F.col("polarity") > 0).alias("pos"),
-            F.count_if(F.col("polarity") < 0).alias("neg"),
+            F.coalesce(F.sum("_pos"), F.lit(0)).alias("pos"),
+            F.coalesce(F.sum("_neg"), F.lit(0)).alias("neg"),
         )
+        scored = scored.drop("_row")
     return scored.withColumn("net", F.col("pos") - F.col("neg"))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,9 +24,10 @@ def text_digest(col: str = "text") -> Column:
 
 
 def duplicate_sets(docs: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
-    """(digest, copies, first): every text with its number of copies and lowest key."""
+    """(digest, copies, first): every text with its number of copies and lowest key. A null text is no copy of another."""
     return (
-        docs.select(key, text_digest(col).alias("digest"))
+        docs.filter(F.col(col).isNotNull())
+        .select(key, text_digest(col).alias("digest"))
         .groupBy("digest")
         .agg(F.count(F.lit(1)).alias("copies"), F.min(key).alias("first"))
     )
@@ -36,13 +39,17 @@ def exact_duplicates(docs: DataFrame, col: str = "text", key: str = "doc_id") ->
 
 
 def drop_duplicates(docs: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Keep the row of lowest key of each set.
+    """Keep the row of lowest key of each set, and every row without a text.
 
     The lowest keys are found by a map-side combined aggregate, so a text that makes up a third
-    of the corpus costs one row per task. They select rows by key, which is unique and even.
+    of the corpus costs one row per task. Only the surplus keys meet the texts again: they are a small part of
+    a corpus, so within the measured bounds the texts do not move.
     """
-    first = duplicate_sets(docs, col, key).select(F.col("first").alias(key))
-    return docs.join(first, key, "left_semi")
+    digests = cut(docs.filter(F.col(col).isNotNull()).select(key, text_digest(col).alias("digest")))
+    sets = digests.groupBy("digest").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("copies"))
+    sets = cut(sets.filter("copies > 1"))
+    copies = lookup(digests, sets, "digest", rows_per_key="copies").filter(F.col(key) != F.col("first"))
+    return lookup(docs, cut(copies.select(key)), key, "left_anti")
 
 
 def blank_documents(docs: DataFrame, col: str = "text", key: str | Sequence[str] = "doc_id") -> DataFrame:
@@ -63,7 +70,7 @@ def cross_group_threads(df: DataFrame, thread: str = "thread", group: str = "grp
 def shared_documents(a: DataFrame, b: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
     """Keys of `a` whose text also occurs in `b`: a leak when a and b are sides of a split."""
     left = a.select(key, text_digest(col).alias("digest"))
-    per_text = b.select(text_digest(col).alias("digest")).distinct()
+    per_text = cut(b.select(text_digest(col).alias("digest")).distinct())
     return lookup(left, per_text, "digest", "left_semi").select(key)
 
 
@@ -115,7 +122,7 @@ def md5_number(col: Column) -> Column:
 
 def shingle_sets(
     docs: DataFrame,
-    n: int = 3,
+    n: int = 5,
     col: str = "text",
     key: str = "doc_id",
     hashed: Callable[[Column], Column] = F.xxhash64,
@@ -139,35 +146,37 @@ def permutations(count: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, digest, mins, buckets): digest of the whole set, its min-hashes, a bucket per band.
+def min_hashes(shingles: Column | str, pairs: Sequence[tuple[int, int]]) -> Column:
+    """array<bigint>: the least (a·x + b) mod p over a set, per pair (a, b). One numpy product per set, nothing is exploded."""
+    a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
+    b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
 
-    Sets are never empty. The outer explode only keeps the optimizer from building each set
-    once more to test that.
-    """
-    x = F.pmod(F.col("_s"), F.lit(PRIME))
-    digested = sets.withColumn("digest", F.md5(F.array_join("shingles", " ")))
-    spread = digested.select(key, "digest", F.explode_outer("shingles").alias("_s")).withColumn("_x", x)
-    lowest = spread.groupBy(key, "digest").agg(
-        *[
-            F.min((F.col("_x") * a + b) % PRIME).alias(f"_m{i}")
-            for i, (a, b) in enumerate(permutations(bands * rows))
-        ]
+    def least(sets: pd.Series) -> pd.Series:
+        return pd.Series([((np.asarray(s) % PRIME * a + b) % PRIME).min(axis=1).tolist() for s in sets])
+
+    return F.pandas_udf(least, "array<bigint>")(shingles)
+
+
+def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
+    """(key, digest, mins, buckets): digest of the whole set, its min-hashes, a bucket per band. Sets are never empty."""
+    signed = sets.select(
+        key,
+        F.md5(F.array_join("shingles", " ")).alias("digest"),
+        min_hashes("shingles", permutations(bands * rows)).alias("mins"),
     )
     buckets = F.array(
         *[
-            F.xxhash64(F.lit(band), *[F.col(f"_m{band * rows + r}") for r in range(rows)])
+            F.xxhash64(F.lit(band), *[F.get("mins", F.lit(band * rows + r)) for r in range(rows)])
             for band in range(bands)
         ]
     )
-    mins = F.array(*[F.col(f"_m{i}") for i in range(bands * rows)])
-    return lowest.select(key, "digest", mins.alias("mins"), buckets.alias("buckets"))
+    return signed.withColumn("buckets", buckets)
 
 
 def near_duplicates(
     docs: DataFrame,
     threshold: float = 0.8,
-    n: int = 3,
+    n: int = 5,
     bands: int = 12,
     rows: int = 3,
     col: str = "text",
@@ -183,13 +192,13 @@ def near_duplicates(
        until every member has led, points at a leader or is alone.
 
     A bucket of m members costs m pairs per round and falls apart in about log m rounds; there is
-    never a pair for each two members. Every returned index is exact; as with any min-hash
+    never a pair for each two members. Rounds part members by the min-hashes of the signature first, then by fresh ones, so
+    members that the threshold keeps apart go different ways with a chance of at least 1 - threshold every round. Every returned index is exact; as with any min-hash
     method, a near pair is missed with a small probability set by `bands` and `rows`.
-    Hot sets, buckets and leaders are sliced by the joins. The text is read twice: for the
-    signatures, and for the shingles of the documents that share a bucket. Everything read
+    Hot sets, buckets and leaders are sliced by the joins. The text is read once. Everything read
     again is written to the shared folder first.
     """
-    sets = shingle_sets(docs, n, col, key, hashed)
+    sets = cut(shingle_sets(docs, n, col, key, hashed))
     signed = cut(signatures(sets, bands, rows, key))
     firsts = cut(
         signed.groupBy("digest")
@@ -226,12 +235,14 @@ def near_duplicates(
         )
         found = cut(scored.filter(F.col("jaccard") >= threshold))
         edges = edges.unionByName(found)
-        place = refinement(turn, bands, rows)
-        left = cut(
-            members.join(found.select(key, "leader"), [key, "leader"], "left_anti")
-            .join(mins, key)
-            .select(key, F.xxhash64("bucket", F.get("mins", F.lit(place))).alias("bucket"))
-        )
+        apart = members.join(found.select(key, "leader"), [key, "leader"], "left_anti")
+        if turn < bands * rows:
+            place = refinement(turn, bands, rows)
+            parted = apart.join(mins, key).withColumn("_part", F.get("mins", F.lit(place)))
+        else:
+            fresh = min_hashes("shingles", permutations(turn + 1)[-1:])
+            parted = apart.join(mine, key).withColumn("_part", F.get(fresh, F.lit(0)))
+        left = cut(parted.select(key, F.xxhash64("bucket", "_part").alias("bucket")))
         turn += 1
         leaders = _leaders(left, key)
     return edges.distinct()

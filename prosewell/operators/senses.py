@@ -16,6 +16,9 @@ from prosewell.functions import text as T
 from prosewell.operators.joins import inline_values, lookup, names
 from prosewell.operators.opinion import polarity_class
 
+# A synset id is unique within its part of speech only.
+SYNSET = ["pos_tag", "synset_id"]
+
 
 def explode_senses(synsets: DataFrame) -> DataFrame:
     """(lemma, pos_tag, sense_no, synset_id, pos_score, neg_score, gloss), one row per term."""
@@ -118,22 +121,20 @@ def context_words(
 
 
 def gloss_words(senses: DataFrame, stops: DataFrame) -> DataFrame:
-    """(synset_id, word): the distinct words of each gloss without the stop words."""
-    words = senses.select("synset_id", F.explode(T.words("gloss")).alias("word")).distinct()
+    """(pos_tag, synset_id, word): the distinct words of each gloss without the stop words."""
+    words = senses.select(*SYNSET, F.explode(T.words("gloss")).alias("word")).distinct()
     return lookup(words, stops.select("word").distinct(), "word", "left_anti")
 
 
 def sense_inventory(senses: DataFrame, stops: DataFrame, with_pos: bool = False) -> DataFrame:
     """One row per lemma: its senses in order of sense number, each with its gloss words."""
     by = ["lemma", "pos_tag"] if with_pos else ["lemma"]
-    signature = gloss_words(senses, stops).groupBy("synset_id").agg(
-        F.collect_set("word").alias("words")
-    )
-    full = senses.join(signature, "synset_id", "left").withColumn(
+    signature = gloss_words(senses, stops).groupBy(*SYNSET).agg(F.collect_set("word").alias("words"))
+    full = senses.join(signature, SYNSET, "left").withColumn(
         "words", F.coalesce("words", F.array().cast("array<string>"))
     )
     order = F.struct(
-        "sense_no", "synset_id", F.col("pos_tag").alias("tag"), "pos_score", "neg_score", "words"
+        "sense_no", F.col("pos_tag").alias("tag"), "synset_id", "pos_score", "neg_score", "words"
     )
     return full.groupBy(*by).agg(F.array_sort(F.collect_list(order)).alias("senses"))
 
@@ -162,6 +163,7 @@ def disambiguate(contexts: DataFrame, inventory: DataFrame) -> DataFrame:
     return chosen.select(
         *kept,
         F.col("_s.sense_no").alias("sense_no"),
+        F.col("_s.tag").alias("sense_pos_tag"),
         F.col("_s.synset_id").alias("synset_id"),
         F.col("_s.pos_score").alias("pos_score"),
         F.col("_s.neg_score").alias("neg_score"),
@@ -192,26 +194,36 @@ def spot_phrases(
         .select(F.regexp_replace("lemma", "_", " ").alias("phrase"))
         .distinct()
     )
-    longest = phrases.agg(F.max(F.size(F.split("phrase", " ")))).first()[0]
+    length = F.size(F.split("phrase", " "))
+    longest = phrases.agg(F.max(length)).first()[0]
     if longest is None:
         return docs.select(
             *keys, F.lit(0).alias("pos"), F.lit(0).alias("n"), F.lit("").alias("phrase")
         ).limit(0)
 
+    def run(t: Column, i: Column, n: Column) -> Column:
+        return F.struct(
+            i.alias("pos"), n.alias("n"), F.array_join(F.slice(t, i + 1, n), " ").alias("phrase")
+        )
+
     def runs(t: Column) -> Column:
-        each = F.transform(
+        if listed is None:
+            lengths = F.sequence(F.lit(2), F.lit(longest))
+            return F.flatten(F.transform(t, lambda w, i: F.transform(lengths, lambda n: run(t, i, n))))
+        # Most words begin no phrase: they are dropped before any string is built.
+        first = {}
+        for phrase in listed:
+            word, *rest = phrase.split(" ")
+            first.setdefault(len(rest) + 1, set()).add(word)
+        starts = F.transform(
             t,
-            lambda w, i: F.transform(
-                F.sequence(F.lit(2), F.lit(longest)),
-                lambda n: F.struct(
-                    i.alias("pos"),
-                    n.alias("n"),
-                    F.array_join(F.slice(t, i + 1, n), " ").alias("phrase"),
-                ),
+            lambda w, i: F.filter(
+                F.array(*(F.when(w.isin(sorted(first[n])), F.struct(i.alias("i"), F.lit(n).alias("n"))) for n in sorted(first))),
+                lambda x: x.isNotNull(),
             ),
         )
-        found = F.flatten(each)
-        return found if listed is None else F.filter(found, lambda r: r["phrase"].isin(listed))
+        found = F.transform(F.flatten(starts), lambda x: run(t, x["i"], x["n"]))
+        return F.filter(found, lambda r: r["phrase"].isin(listed))
 
     listed = inline_values(phrases)
     candidates = docs.select(*keys, F.inline(T.let(T.words(col), runs)))
@@ -230,15 +242,11 @@ def spot_phrases(
 
 
 def sense_distribution(chosen: DataFrame, by: str, sense_nos: Sequence[int]) -> DataFrame:
-    """(lemma, by, sense_1, ...): how often each group uses each sense of a word."""
-    counts = (
-        chosen.groupBy("token", by)
-        .pivot("sense_no", list(sense_nos))
-        .agg(F.count(F.lit(1)))
-        .fillna(0)
-    )
-    return counts.select(
-        F.col("token").alias("lemma"), by, *[F.col(str(s)).alias(f"sense_{s}") for s in sense_nos]
+    """(lemma, by, sense_1, ..., other): how often each group uses each sense of a word; `other` counts senses not listed."""
+    listed = F.col("sense_no").isin(list(sense_nos))
+    return chosen.groupBy(F.col("token").alias("lemma"), by).agg(
+        *[F.count_if(F.col("sense_no") == s).alias(f"sense_{s}") for s in sense_nos],
+        F.count_if(~F.coalesce(listed, F.lit(False))).alias("other"),
     )
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
 from prosewell.operators.joins import lookup, names, top_k
+from prosewell.sources.store import cut
 
 # The published WordNet detachment rules, (part of speech, suffix, ending).
 DETACHMENT_RULES = [
@@ -160,6 +161,20 @@ def tf_idf(tf: DataFrame, df: DataFrame, n_docs: int) -> DataFrame:
     return joined.withColumn("tf_idf", weight)
 
 
+def group_tf_idf(tf: DataFrame, by: str | Sequence[str], n_docs: int) -> DataFrame:
+    """(by, token, tf_idf): total tf · idf per group, from (by, token, tf) with a row per document and token.
+
+    The idf is the token's own, so terms are summed first and one row per group and token meets its document frequency,
+    in place of one per document and token. Both sums come from one pass over `tf`: `_docs` counts its rows.
+    """
+    sums = cut(
+        tf.groupBy(*names(by), "token").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("_docs"))
+    )
+    df = sums.groupBy("token").agg(F.sum("_docs").alias("df"))
+    idf = F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))
+    return sums.join(df, "token").select(*names(by), "token", (F.col("tf") * idf).alias("tf_idf"))
+
+
 def top_terms(
     weights: DataFrame, by: str | Sequence[str], k: int, score: str = "tf_idf"
 ) -> DataFrame:
@@ -242,7 +257,6 @@ def term_association(
 
 
 def select_features(association: DataFrame, k: int) -> DataFrame:
-    """(token, score, rank): the k tokens with the best score over any label, ties by token."""
+    """(token, score): the k tokens with the best score over any label, ties by token."""
     best = association.groupBy("token").agg(F.max(F.round("score", 9)).alias("score"))
-    chosen = best.orderBy(F.desc("score"), F.asc("token")).limit(k)
-    return chosen
+    return best.orderBy(F.desc("score"), F.asc("token")).limit(k)

@@ -11,7 +11,7 @@ from prosewell.plans.learning import _fold_sql
 from prosewell.plans.messaging import MESSAGES_SQL, messages
 from prosewell.plans.registry import query
 from prosewell.plans.text import documents
-from prosewell.sources.store import cut, fresh_path
+from prosewell.sources.store import fresh_path
 from prosewell.sources.tables import read_table
 from prosewell.streaming.scoring import score_stream
 
@@ -36,16 +36,20 @@ def h3(spark, folder):
     return quality.drop_duplicates(documents(spark, folder)).select("doc_id", "lang", "source", "text")
 
 
+# No document is blank; those of some lengths lose their letters, alike in both engines.
+BLANKED = "CASE WHEN n_chars % 25 = 0 THEN replace(repeat('0.', 20), '.', chr(10)) ELSE text END"
+
+
 @query(
     "H4_blank_documents",
-    """WITH a AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+    f"""WITH documents AS (SELECT doc_id, {BLANKED} AS text FROM documents), a AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
     b AS (SELECT doc_id, unnest(l) AS line, (generate_subscripts(l, 1) - 1)::BIGINT AS line_no FROM a)
     SELECT doc_id, line_no FROM b WHERE len(regexp_extract_all(lower(line), '[a-z]+')) = 0
     UNION ALL SELECT doc_id, -1 FROM documents WHERE text IS NULL OR len(regexp_extract_all(lower(text), '[a-z]+')) = 0""",
 )
 def h4(spark, folder):
     """Blank documents, as line -1, and blank lines, each line taken as a text of its own."""
-    docs = documents(spark, folder)
+    docs = read_table(spark, folder, "documents", "doc_id").select("doc_id", F.expr(BLANKED).alias("text"))
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "text"))
     blank_lines = quality.blank_documents(lines, key=["doc_id", "line_no"])
     blank_docs = quality.blank_documents(docs).withColumn("line_no", F.lit(-1))
@@ -166,10 +170,10 @@ def _near_sql() -> str:
     found = " UNION ".join(f"SELECT * FROM f{r}" for r in range(ROUNDS))
     return f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
     k AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
-    g AS (SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o AS gram FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    g AS (SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o || ' ' || lead(a, 3) OVER o || ' ' || lead(a, 4) OVER o AS gram FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
     h AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(gram), 1, 15))::BIGINT AS s FROM (
       SELECT doc_id, gram FROM g WHERE gram IS NOT NULL
-      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 2)),
+      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 4)),
     sets AS MATERIALIZED (SELECT doc_id, list(s ORDER BY s) AS s FROM h GROUP BY doc_id),
     lows AS MATERIALIZED (SELECT doc_id, {lowest} FROM (SELECT doc_id, s % {quality.PRIME} AS x FROM h) GROUP BY doc_id),
     firsts AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS leader FROM sets),
@@ -181,6 +185,6 @@ def _near_sql() -> str:
 @query("H2_near_duplicates", _near_sql())
 def h2(spark, folder):
     out = quality.near_duplicates(
-        documents(spark, folder), 0.8, 3, BANDS, ROWS, hashed=quality.md5_number
+        documents(spark, folder), 0.8, 5, BANDS, ROWS, hashed=quality.md5_number
     )
     return out.withColumn("jaccard", F.round("jaccard", 6))

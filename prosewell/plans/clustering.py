@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,10 +85,20 @@ def summaries(spark: SparkSession, folder: str, max_entries: int = 64) -> DataFr
     return cluster.cluster_features(points(spark, folder), 0.4, max_entries, "vec_id")
 
 
-@query("G3_cluster_features")
+SUMS_SQL = f"""WITH {POINTS_SQL}, z AS (SELECT count(*) AS n, sum(list_inner_product(v, v)) AS ss FROM p),
+    x AS (SELECT i, sum(x) AS ls FROM e GROUP BY i) SELECT n::BIGINT AS n, round(ss, 4) AS ss, i::BIGINT AS i, round(ls, 4) AS ls FROM x, z"""
+
+
+def feature_sums(cf: DataFrame) -> DataFrame:
+    """(n, ss, i, ls): what all cluster features add up to. It must be what all points add up to."""
+    total = cf.agg(F.sum("n").alias("n"), F.sum("ss").alias("ss"), cluster.vector_sum("ls").alias("ls"))
+    rows = total.select("n", F.round("ss", 4).alias("ss"), F.posexplode("ls").alias("i", "ls"))
+    return rows.select("n", "ss", (F.col("i") + 1).cast("bigint").alias("i"), F.round("ls", 4).alias("ls"))
+
+
+@query("G3_cluster_features", SUMS_SQL)
 def g3(spark, folder):
-    cf = summaries(spark, folder)
-    return cf.select("part", "cf_id", "n", F.round("ss", 6).alias("ss"), F.round("threshold", 6).alias("threshold"))
+    return feature_sums(summaries(spark, folder))
 
 
 MERGED_SQL = f"""WITH {POINTS_SQL},
@@ -111,11 +119,13 @@ def g4(spark, folder):
     ).select("k", (F.col("i") + 1).cast("bigint").alias("i"), "n", "ss", F.round("ls", 6).alias("ls"))
 
 
-@query("G5_condense")
+def condensed(spark: SparkSession, folder: str, max_entries: int = 64) -> DataFrame:
+    return cluster.condense(summaries(spark, folder, max_entries), 0.4, max_entries)
+
+
+@query("G5_condense", SUMS_SQL)
 def g5(spark, folder):
-    cf = cut(summaries(spark, folder, 32))
-    out = cluster.condense(cf, 0.4, 32, spark.sparkContext.defaultParallelism, 4)
-    return out.select("part", "cf_id", "n", F.round("ss", 6).alias("ss"))
+    return feature_sums(condensed(spark, folder, 32))
 
 
 @query(
@@ -208,13 +218,13 @@ def g12(spark, folder):
 @query(
     "G12_contingency_pivot",
     f"WITH {POINTS_SQL} SELECT k::BIGINT AS k, "
-    + ", ".join(f'count(*) FILTER (label = {i}) AS "l{i}"' for i in range(10))
-    + " FROM assigned GROUP BY k",
+    + ", ".join(f'count(*) FILTER (label = {i}) AS "l{i}"' for i in range(8))
+    + ", count(*) FILTER (label IS NULL OR label NOT BETWEEN 0 AND 7) AS other FROM assigned GROUP BY k",
 )
 def g12b(spark, folder):
-    out = cluster.contingency_pivot(assigned(spark, folder), list(range(10)))
+    out = cluster.contingency_pivot(assigned(spark, folder), list(range(8)))
     return out.select(
-        F.col("k").cast("bigint"), *[F.col(str(i)).cast("bigint").alias(f"l{i}") for i in range(10)]
+        F.col("k").cast("bigint"), *[F.col(str(i)).cast("bigint").alias(f"l{i}") for i in range(8)], "other"
     )
 
 
@@ -249,13 +259,12 @@ def g14(spark, folder):
 
 @query("G15_choose_k")
 def g15(spark, folder):
-    cf = cut(summaries(spark, folder))
-    return cluster.choose_k(cf, [5, 10, 15])
+    return cluster.choose_k(condensed(spark, folder), [5, 10, 15])
 
 
 @query("G16_outliers")
 def g16(spark, folder):
-    return cluster.outliers(summaries(spark, folder), 3).select("part", "cf_id", "n")
+    return cluster.outliers(condensed(spark, folder), 3).select("part", "cf_id", "n")
 
 
 @query(
@@ -281,15 +290,15 @@ WIDTH = 256
 
 @query("G17_cluster_documents")
 def cluster_documents(spark, folder):
-    """Documents by topic: hashed TF-IDF, unit length, summary, clusters; compared with language.
+    """Documents by topic: projected TF-IDF, unit length, summary, clusters; compared with language.
 
     The vectors are narrow on purpose: a cluster feature is as wide as they are.
     """
-    docs = documents(spark, folder).select("doc_id", "lang", "text")
-    features = Pipeline(stages=[*learn.vectorize(WIDTH), *learn.weight(2)]).fit(docs)
-    vectors = features.transform(docs).select(
-        "doc_id", F.col("lang").alias("label"), vector_to_array("features").alias("vector")
-    )
-    units, _ = cluster.unit_vectors(vectors, ["doc_id", "label"])
+    docs = documents(spark, folder).select("doc_id", F.col("lang").alias("label"), "text")
+    vectors = learn.project_text(docs, WIDTH, ["doc_id", "label"])
+    vectors = cut(vectors)
+    units, rejects = cluster.unit_vectors(vectors, ["doc_id", "label"])
     found, _, _ = cluster.birch(cut(units), 8, 0.4, 128)
-    return cluster.contingency(found)
+    # Documents without a word that counts have no direction and no cluster.
+    lost = rejects.select("label", F.lit(None).cast("int").alias("k"))
+    return cluster.contingency(found.select("label", "k").unionByName(lost))

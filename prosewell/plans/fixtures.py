@@ -35,27 +35,27 @@ EXCEPTIONS = [("been", "be", "v"), ("was", "be", "v"), ("were", "be", "v"), ("me
 # A tiny graded sense lexicon; scores and glosses are invented.
 SENSE_FILE = """# pos\tid\tpos_score\tneg_score\tterms\tgloss
 a\t00000001\t0.75\t0\tbest#1\tof the highest quality that is in reach
-r\t00000002\t0.5\t0.125\tbest#2\tin the way that was on for it; "by the best"
+r\t00000001\t0.5\t0.125\tbest#2\tin the way that was on for it; "by the best"
 n\t00000003\t0\t0.625\tidiot#1 moron#1\ta person that is not with it at all
 n\t00000004\t0\t0.25\tmoron#2\tan old word for one that was by the shore
 n\t00000005\t0\t0.375\ttrash#1\tthings to be thrown out from here
-v\t00000006\t0\t0.75\ttrash#2\tto speak of it as are the worst
+v\t00000005\t0\t0.75\ttrash#2\tto speak of it as are the worst
 n\t00000007\t0\t0.5\tscum#1\ta film that is on the water
 n\t00000008\t0\t0.875\tscum#2 trash#3\tpeople that are as low as this
 n\t00000009\t0.125\t0.25\tclown#1\tone that is in the show for this
-v\t00000010\t0\t0.375\tclown#2\tto act as it was with you
+v\t00000009\t0\t0.375\tclown#2\tto act as it was with you
 a\t00000011\t0\t0.75\tworthless#1\tof no use by or for this
 a\t00000012\t0\t0.5\tpathetic#1 stupid#2\tthat is to be pitied
 n\t00000013\t0\t0.625\tloser#1\tone that was on the end of it
 a\t00000014\t0\t1\tdisgusting#1\twith a taste that are to be left
-a\t00000015\t0\t0.625\tstupid#1\tnot at all with it
+a\t00000003\t0\t0.625\tstupid#1\tnot at all with it
 n\t00000016\t0\t0\thand#1\tthe end of the arm that is to hold with
 n\t00000017\t0.25\t0\thand#2\tone that was for work as this
-v\t00000018\t0.125\t0\thand#3\tto pass it on by arm from one to another
+v\t00000016\t0.125\t0\thand#3\tto pass it on by arm from one to another
 n\t00000019\t0.25\t0\trest#1\tan end of work for you
-v\t00000020\t0.125\t0.125\trest#2\tto be at ease on it
+v\t00000019\t0.125\t0.125\trest#2\tto be at ease on it
 n\t00000021\t0\t0.125\theat#1\tthat which is from fire
-v\t00000022\t0\t0\theat#2\tto warm it with or by fire
+v\t00000021\t0\t0\theat#2\tto warm it with or by fire
 n\t00000023\t0\t0.5\tsting#1\ta hurt that was by this
 n\t00000024\t0\t0\tof_the#1\ta phrase that is from the text
 n\t00000025\t0.125\t0\tthe_of#1\ta phrase that was from it

@@ -15,6 +15,8 @@ from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query, values_sql
 from prosewell.plans.sentiment import TURN_LEXICON
 from prosewell.plans.text import documents
+from prosewell.sources.corpus import read_corpus, write_files
+from prosewell.sources.store import fresh_path
 from prosewell.sources.tables import read_table
 
 # One expression, read alike by both engines.
@@ -32,8 +34,10 @@ CASE WHEN turn % 7 = 3 THEN ' relay!site' || chr(10) ELSE '' END
 || 'Keywords: talk, ' || role || chr(10)
 || 'NNTP-Posting-Host: host' || cast(turn AS string) || '.example' || chr(10)
 || chr(10)
+|| CASE WHEN turn % 3 = 2 THEN 'Followup-To:talk.' || role || chr(10) || 'Keywords: ' || chr(10) || chr(10) ELSE '' END
 || coalesce('In article <' || cast(conv_id AS string) || '@site> ' || prev_role || ' writes:' || chr(10)
   || '> ' || replace(prev_text, chr(10), chr(10) || 'AB>> ') || chr(10) || chr(10), '')
+|| CASE WHEN turn % 4 = 1 THEN ':-) well' || chr(10) || ':Don''t tell me' || chr(10) ELSE '' END
 || text
 || CASE turn % 3 WHEN 0 THEN chr(10) || '-- ' || chr(10) || role || ' of talk'
   WHEN 1 THEN chr(10) || '-----BEGIN PGP SIGNATURE-----' || chr(10) || 'iQCVAgUBK' || chr(10) || '-----END PGP SIGNATURE-----'
@@ -169,11 +173,13 @@ l1 AS (SELECT grp, msg_no, unnest(a) AS line, generate_subscripts(a, 1) - 1 AS l
 l2 AS (SELECT *, regexp_matches(line, '^--\s*$') AS sig, regexp_matches(line, '^-----(?:BEGIN|END) PGP [A-Z ]+-----') AS mark,
   regexp_matches(line, '^-----BEGIN PGP (?:SIGNATURE|MESSAGE|PUBLIC KEY BLOCK|PRIVATE KEY BLOCK)') AS opens,
   regexp_matches(line, '^-----END PGP') AS closes,
-  regexp_extract(line, '^(?:\s*(?:[A-Za-z]{1,3}>|[>|:]))+', 0) AS prefix FROM l1),
-l3 AS (SELECT *, max(sig::INT) OVER w AS after_sig, sum(opens::INT) OVER w - (sum(closes::INT) OVER w - closes::INT) AS depth_in
+  CASE WHEN regexp_matches(line, '^\s*[:;]-?[)(DP](?:[^A-Za-z]|$)') THEN '' ELSE regexp_extract(line, '^(?:\s*(?:[A-Za-z]{1,3}>|[>|:]))+', 0) END AS prefix,
+  regexp_matches(line, '""" + M.INNER_HEADER + r"""') AS inner_header FROM l1),
+l3 AS (SELECT *, max((NOT inner_header AND NOT regexp_matches(line, '^\s*$'))::INT) OVER w AS begun, max(sig::INT) OVER w AS after_sig, sum(opens::INT) OVER w - (sum(closes::INT) OVER w - closes::INT) AS depth_in
   FROM l2 WINDOW w AS (PARTITION BY grp, msg_no ORDER BY line_no)),
 lines AS (SELECT grp, msg_no, line_no, line, length(regexp_replace(prefix, '[^>|:]', '', 'g')) AS depth,
   CASE WHEN mark OR depth_in > 0 THEN 'armor' WHEN after_sig = 1 THEN 'signature' WHEN trim(replace(line, chr(9), ' ')) = '' THEN 'blank'
+    WHEN inner_header AND begun = 0 THEN 'header'
     WHEN prefix <> '' THEN 'quote' WHEN regexp_matches(line, '(?i)^\s*in article\b|\b(?:writes|wrote|says|said)\s*:\s*$') THEN 'attribution'
     ELSE 'text' END AS kind FROM l3)
 """
@@ -280,3 +286,15 @@ def own_by_thread(spark, folder):
 )
 def own_by_sender(spark, folder):
     return opinion.sender_polarity(own_scores(spark, folder))
+
+
+@query(
+    "A1_read_corpus",
+    f"WITH {MESSAGES_SQL} SELECT grp || ' c++' AS grp, msg_no, md5(raw || chr(10)) AS raw FROM corpus",
+)
+def a1(spark, folder):
+    """The messages written as folders of files, one row per file, and read back."""
+    path = fresh_path(spark, "corpus")
+    named = corpus(spark, folder).withColumn("grp", F.concat("grp", F.lit(" c++")))
+    write_files(named, path)
+    return read_corpus(spark, path, partitions=True).select("grp", "msg_no", F.md5("raw").alias("raw"))

@@ -29,13 +29,13 @@ first_ AS (SELECT *, row_number() OVER (PARTITION BY doc_id, pos ORDER BY sense_
 first_sense AS (SELECT * FROM first_ WHERE rn = 1),
 ctx AS (SELECT a.doc_id, a.pos, a.token, b.token AS word FROM targets a
   JOIN tokens b ON a.doc_id = b.doc_id AND b.pos BETWEEN a.pos - {K} AND a.pos + {K} AND a.pos <> b.pos),
-gw AS (SELECT DISTINCT synset_id, word FROM (SELECT synset_id, unnest(regexp_extract_all(lower(gloss), '[a-z]+')) AS word FROM synsets)
+gw AS (SELECT DISTINCT pos_tag, synset_id, word FROM (SELECT pos AS pos_tag, synset_id, unnest(regexp_extract_all(lower(gloss), '[a-z]+')) AS word FROM synsets)
   WHERE word NOT IN (SELECT word FROM {fx.STOPS_SQL})),
-ov AS (SELECT c.doc_id, c.pos, c.synset_id, c.sense_no, count(DISTINCT x.word) AS overlap FROM cand c
-  JOIN gw g ON g.synset_id = c.synset_id JOIN ctx x ON x.doc_id = c.doc_id AND x.pos = c.pos AND x.word = g.word GROUP BY ALL),
+ov AS (SELECT c.doc_id, c.pos, c.pos_tag, c.synset_id, c.sense_no, count(DISTINCT x.word) AS overlap FROM cand c
+  JOIN gw g ON g.synset_id = c.synset_id AND g.pos_tag = c.pos_tag JOIN ctx x ON x.doc_id = c.doc_id AND x.pos = c.pos AND x.word = g.word GROUP BY ALL),
 rk AS (SELECT c.*, coalesce(o.overlap, 0) AS overlap, row_number() OVER (PARTITION BY c.doc_id, c.pos
-  ORDER BY coalesce(o.overlap, 0) DESC, c.sense_no, c.synset_id) AS rn
-  FROM cand c LEFT JOIN ov o ON o.doc_id = c.doc_id AND o.pos = c.pos AND o.synset_id = c.synset_id AND o.sense_no = c.sense_no),
+  ORDER BY coalesce(o.overlap, 0) DESC, c.sense_no, c.pos_tag, c.synset_id) AS rn
+  FROM cand c LEFT JOIN ov o ON o.doc_id = c.doc_id AND o.pos = c.pos AND o.pos_tag = c.pos_tag AND o.synset_id = c.synset_id AND o.sense_no = c.sense_no),
 chosen AS (SELECT * FROM rk WHERE rn = 1),
 ss AS (SELECT doc_id, sum(pos_score) AS p, sum(neg_score) AS q FROM chosen GROUP BY doc_id),
 sense_scores AS (SELECT doc_id, p, q, round(p - q, 9) AS net,
@@ -57,16 +57,16 @@ def chosen(spark: SparkSession, folder: str, key: list[str] | None = None) -> Da
 @query(
     "A4_read_sense_lexicon",
     f"""WITH {SENSE_CTES} SELECT y.synset_id, y.pos AS pos_tag, round(1 - y.pos_score::DOUBLE - y.neg_score::DOUBLE, 6) AS obj_score, y.gloss,
-      count(c.doc_id) AS uses FROM synsets y LEFT JOIN cand c ON c.synset_id = y.synset_id GROUP BY ALL""",
+      count(c.doc_id) AS uses FROM synsets y LEFT JOIN cand c ON c.synset_id = y.synset_id AND c.pos_tag = y.pos GROUP BY ALL""",
 )
 def a4(spark, folder):
     synsets = fx.sense_lexicon(spark)
     uses = (
         S.candidate_senses(terms.tokenize(documents(spark, folder)), S.explode_senses(synsets))
-        .groupBy("synset_id")
+        .groupBy(F.col("sense_pos_tag").alias("pos"), "synset_id")
         .agg(F.count(F.lit(1)).alias("uses"))
     )
-    return synsets.join(uses, "synset_id", "left").select(
+    return synsets.join(uses, ["pos", "synset_id"], "left").select(
         "synset_id",
         F.col("pos").alias("pos_tag"),
         F.round("obj_score", 6).alias("obj_score"),
@@ -84,10 +84,10 @@ def e1(spark, folder):
     table = sense_table(spark)
     found = (
         S.candidate_senses(terms.tokenize(documents(spark, folder)), table)
-        .groupBy(F.col("token").alias("lemma"), "synset_id", "sense_no")
+        .groupBy(F.col("token").alias("lemma"), F.col("sense_pos_tag").alias("pos_tag"), "synset_id", "sense_no")
         .agg(F.count(F.lit(1)).alias("occurrences"))
     )
-    return table.join(found, ["lemma", "synset_id", "sense_no"], "left").select(
+    return table.join(found, ["lemma", "pos_tag", "synset_id", "sense_no"], "left").select(
         "lemma",
         "pos_tag",
         F.col("sense_no").cast("bigint"),
@@ -164,7 +164,7 @@ def e5(spark, folder):
 @query(
     "E6_gloss_words",
     f"""WITH {SENSE_CTES}, f AS (SELECT token, count(*) AS n FROM tokens GROUP BY token)
-    SELECT synset_id, word, coalesce(f.n, 0) AS n FROM gw LEFT JOIN f ON gw.word = f.token""",
+    SELECT pos_tag, synset_id, word, coalesce(f.n, 0) AS n FROM gw LEFT JOIN f ON gw.word = f.token""",
 )
 def e6(spark, folder):
     words = S.gloss_words(sense_table(spark), fx.word_table(spark, fx.STOP_WORDS))
@@ -175,13 +175,13 @@ def e6(spark, folder):
         .agg(F.count(F.lit(1)).alias("n"))
     )
     return words.join(seen, "word", "left").select(
-        "synset_id", "word", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
+        "pos_tag", "synset_id", "word", F.coalesce("n", F.lit(0)).cast("bigint").alias("n")
     )
 
 
 @query(
     "E7_disambiguate",
-    f"""WITH {SENSE_CTES} SELECT doc_id, pos::BIGINT AS pos, token, sense_no::BIGINT AS sense_no, synset_id,
+    f"""WITH {SENSE_CTES} SELECT doc_id, pos::BIGINT AS pos, token, sense_no::BIGINT AS sense_no, pos_tag, synset_id,
     overlap FROM chosen""",
 )
 def e7(spark, folder):
@@ -190,6 +190,7 @@ def e7(spark, folder):
         F.col("pos").cast("bigint"),
         "token",
         F.col("sense_no").cast("bigint"),
+        F.col("sense_pos_tag").alias("pos_tag"),
         "synset_id",
         F.col("overlap").cast("bigint"),
     )
@@ -225,10 +226,10 @@ def e9(spark, folder):
 @query(
     "E10_sense_distribution",
     f"""WITH {SENSE_CTES} SELECT token AS lemma, lang, count(*) FILTER (sense_no = 1) AS sense_1,
-    count(*) FILTER (sense_no = 2) AS sense_2, count(*) FILTER (sense_no = 3) AS sense_3 FROM chosen GROUP BY ALL""",
+    count(*) FILTER (sense_no = 2) AS sense_2, count(*) FILTER (sense_no NOT IN (1, 2)) AS other FROM chosen GROUP BY ALL""",
 )
 def e10(spark, folder):
-    return S.sense_distribution(chosen(spark, folder, ["doc_id", "lang"]), "lang", [1, 2, 3])
+    return S.sense_distribution(chosen(spark, folder, ["doc_id", "lang"]), "lang", [1, 2])
 
 
 FIRST_SCORES_SQL = """, fs AS (SELECT doc_id, round(sum(pos_score) - sum(neg_score), 9) AS net FROM first_sense GROUP BY doc_id),

@@ -193,7 +193,7 @@ def c9(spark, folder):
 )
 def c10(spark, folder):
     tf = terms.term_counts(documents(spark, folder), key=["doc_id", "lang", "source"])
-    weights = terms.tf_idf(tf, cut(terms.doc_freq(tf)), doc_count(spark, folder))
+    weights = terms.group_tf_idf(tf, ["lang", "source"], doc_count(spark, folder))
     out = terms.top_terms(weights, ["lang", "source"], 10)
     return out.select(
         "lang", "source", "token", F.round("score", 6).alias("score"), F.col("rank").cast("bigint")

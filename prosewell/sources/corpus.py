@@ -2,28 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_corpus(spark: SparkSession, root: str) -> DataFrame:
+def read_corpus(spark: SparkSession, root: str, partitions: bool = False) -> DataFrame:
     """(grp, msg_no, raw), one row per file `<root>/<grp>/<msg_no>`.
 
+    With `partitions`, the layout of `write_files`: `<root>/grp=<grp>/msg_no=<msg_no>/<any file>`.
     Thousands of tiny files cost far more to open than to read: read them once, then
     `write_corpus` and work from the compact copy.
     """
-    parts = F.split(F.input_file_name(), "/")
+    # Spark writes some signs of a path as %XX; a `+` in it is a plus and no blank.
+    parts = F.split(F.regexp_replace(F.input_file_name(), r"\+", "%2B"), "/")
+    last = -2 if partitions else -1
+
+    def part(i: int) -> Column:
+        value = F.url_decode(F.element_at(parts, i))
+        return F.url_decode(F.regexp_replace(F.substr(value, F.instr(value, "=") + 1), r"\+", "%2B")) if partitions else value
+
     return (
         spark.read.text(root, wholetext=True, recursiveFileLookup=True)
         .select(
-            F.url_decode(F.element_at(parts, -2)).alias("grp"),
-            F.element_at(parts, -1).try_cast("bigint").alias("msg_no"),
+            part(last - 1).alias("grp"),
+            part(last).try_cast("bigint").alias("msg_no"),
             F.col("value").alias("raw"),
         )
         .filter("msg_no is not null")
     )
 
 
+def write_files(df: DataFrame, root: str) -> None:
+    """One text file per row of (grp, msg_no, raw), ended by a newline, for tools that read messages as files."""
+    df.select("grp", "msg_no", "raw").write.partitionBy("grp", "msg_no").text(root)
+
+
 def write_corpus(
     df: DataFrame, path: str, partition_by: str | None = None, mode: str = "errorifexists"
 ) -> None:

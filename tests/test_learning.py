@@ -13,8 +13,8 @@ def test_naive_bayes_tables_agree_with_the_pipeline(spark, folder):
     model = learn.train_nb(train, n=1 << 20, vectorizer="count")
     library = {r.doc_id: r.prediction for r in learn.score_table(model, test, ["doc_id"]).collect()}
     priors, likelihoods = classify.nb_fit(terms.term_counts(train, key=["doc_id", "label"]), train)
-    mine = classify.nb_predict(priors, likelihoods, terms.term_counts(test)).collect()
-    assert len(mine) > 5
+    mine = classify.nb_predict(priors, likelihoods, test, terms.term_counts(test)).collect()
+    assert len(mine) == test.count() > 5
     # The library smooths the class priors as well, which can only matter at a near tie.
     assert np.mean([library[r.doc_id] == r.prediction for r in mine]) > 0.9
 
@@ -64,6 +64,45 @@ def test_cluster_features_keep_the_sums(points, max_entries):
     assert cluster.cf_stats(cf).filter("radius > threshold + 1e-6").count() == 0
 
 
+def test_documents_without_known_words_get_the_prior(spark):
+    train = spark.createDataFrame([(1, 0, "a b"), (2, 0, "a"), (3, 1, "c")], "doc_id int, label int, text string")
+    test = spark.createDataFrame([(4, "zz"), (5, None), (6, "c c c"), (7, "")], "doc_id int, text string")
+    priors, likelihoods = classify.nb_fit(terms.term_counts(train, key=["doc_id", "label"]), train)
+    found = {r.doc_id: r.prediction for r in classify.nb_predict(priors, likelihoods, test, terms.term_counts(test)).collect()}
+    assert found == {4: 0, 5: 0, 6: 1, 7: 0}
+
+
+def test_long_form_equals_the_wide_one(spark, folder, monkeypatch):
+    train = learning.labelled(spark, folder).filter("side = 'train'")
+    tf = terms.term_counts(train, key=["doc_id", "label"])
+    wide = {(r.token, r.label): r.log_likelihood for r in classify.nb_fit(tf, train)[1].collect()}
+    monkeypatch.setattr(classify, "WIDE_CLASSES", 1)
+    long = {(r.token, r.label): r.log_likelihood for r in classify.nb_fit(tf, train)[1].collect()}
+    assert long == pytest.approx(wide)
+
+
+def test_summaries_do_not_depend_on_the_partitions(points):
+    rows = []
+    for n in (2, 4, 8):
+        first = cluster.cluster_features(points.repartition(n), 0.4, 16, "vec_id", groups=6)
+        out = cluster.condense(first, 0.4, 16, 6, 3)
+        rows.append(sorted((r.cf_id, r.n, r.ss, tuple(r.ls)) for r in out.collect()))
+    assert rows[0] == rows[1] == rows[2]
+
+
+def test_center_blocks(spark, points, monkeypatch):
+    centers = cluster.spherical_kmeans(points, 7)
+    whole = sorted(cluster.assign(points, centers).select("vec_id", "k").collect())
+    monkeypatch.setattr(cluster, "CENTER_BLOCK", 2)
+    assert sorted(cluster.assign(points, centers).select("vec_id", "k").collect()) == whole
+
+
+def test_pivot_counts_other_labels(spark):
+    rows = spark.createDataFrame([(0, 1), (0, 2), (0, None), (1, 9)], "k int, label int")
+    found = {r.k: (r["1"], r.other) for r in cluster.contingency_pivot(rows, [1]).collect()}
+    assert found == {0: (1, 2), 1: (0, 1)}
+
+
 def test_condense_keeps_the_sums(spark, points):
     cf = cluster.cluster_features(points, 0.3, 16, "vec_id")
     out = cluster.condense(cf, 0.3, 16, 8, 2)
@@ -100,3 +139,13 @@ def test_zero_vectors(spark):
 def test_quality_of_a_perfect_clustering(spark):
     cells = spark.createDataFrame([(0, "a", 5), (1, "b", 7)], "k int, label string, n long")
     assert [round(v, 9) for v in cluster.cluster_quality(cells).first()] == [1.0, 1.0, 1.0]
+
+
+def test_projection_keeps_what_is_alike(spark):
+    texts = ["red green blue", "red green blue", "one two three", "", None, "red green three"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    v = {r.doc_id: np.array(r.vector) for r in learn.project_text(docs, 256, ["doc_id"]).collect()}
+    assert len(v) == 6 and not v[3].any() and not v[4].any()
+    assert np.array_equal(v[0], v[1])
+    cos = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+    assert abs(cos(v[0], v[2])) < 0.35 < cos(v[0], v[5])

@@ -5,7 +5,7 @@ import os
 import pytest
 from prosewell.operators import messages as M
 from prosewell.operators import quality, terms
-from prosewell.sources.corpus import read_corpus, write_corpus
+from prosewell.sources.corpus import read_corpus, write_corpus, write_files
 from pyspark.sql import functions as F
 
 
@@ -162,3 +162,26 @@ def test_corpus_numbers(spark, tmp_path):
         "keywords": 989,
         "sets": (47, 82, 34),
     }
+
+
+def kinds_of(spark, body):
+    rows = spark.createDataFrame([("g", 1, body)], "grp string, msg_no long, body string")
+    return [(r.kind, r.depth) for r in M.body_lines(rows).orderBy("line_no").collect()]
+
+
+def test_second_header_block_and_emoticon_lines(spark):
+    block = "Followup-To:kedz@wpi.wpi.edu \nDistribution: ne\nOrganization: Somewhere\nKeywords: \n\nI am looking\nSubject: no header now"
+    assert [k for k, _ in kinds_of(spark, block)] == ["header"] * 4 + ["blank", "text", "text"]
+    assert kinds_of(spark, ">quoted\n\tPlease do!\n:-) I don't know") == [("quote", 1), ("text", 0), ("text", 0)]
+    assert kinds_of(spark, ":Don't tell me\n;-) so\n:) \n:D\n:Dx") == [("quote", 1), ("text", 0), ("text", 0), ("text", 0), ("quote", 1)]
+
+
+def test_files_with_odd_folder_names(spark, tmp_path):
+    for name, number, raw in (("c++", 7, "a\n\nb\n"), ("x y%", 8, "c\n")):
+        (tmp_path / "in" / name).mkdir(parents=True)
+        (tmp_path / "in" / name / str(number)).write_text(raw)
+    read = read_corpus(spark, str(tmp_path / "in"))
+    assert sorted(map(tuple, read.collect())) == [("c++", 7, "a\n\nb\n"), ("x y%", 8, "c\n")]
+    write_files(read, str(tmp_path / "out"))
+    again = read_corpus(spark, str(tmp_path / "out"), partitions=True)
+    assert sorted((r.grp, r.msg_no, r.raw[:-1]) for r in again.collect()) == sorted(map(tuple, read.collect()))

@@ -11,7 +11,7 @@ from prosewell.streaming.scoring import score_stream
 BASE = [f"w{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(120)]
 
 
-def shingles(text, n=3):
+def shingles(text, n=5):
     words = re.findall("[a-z]+", text.lower())
     return {" ".join(words[i : i + n]) for i in range(len(words) - n + 1)} or {" ".join(words)}
 
@@ -46,6 +46,19 @@ def test_near_duplicates_against_brute_force(spark, texts):
     assert len(got) < 2 * len(texts)  # linear, though 190 pairs of the hot group are near
 
 
+def test_fresh_min_hashes_part_what_the_signature_cannot(spark, texts):
+    """With a signature of one min-hash, every further round needs a fresh one."""
+    docs = spark.createDataFrame([(i, t) for i, t in texts.items() if i < 30], "doc_id long, text string")
+    found = {(r.doc_id, r.leader) for r in quality.near_duplicates(docs, 0.8, bands=1, rows=1).collect()}
+    assert {b for b, _ in found} == set(range(1, 20))
+
+
+def test_null_texts_are_no_copies(spark):
+    docs = spark.createDataFrame([(1, None), (2, None), (3, "a"), (4, "a"), (5, " a")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in quality.drop_duplicates(docs).collect()) == [1, 2, 3]
+    assert [(r["first"], r.copies) for r in quality.exact_duplicates(docs).collect()] == [(3, 3)]
+
+
 def test_duplicates(spark, texts):
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     sets = {r["first"]: r.copies for r in quality.exact_duplicates(docs).collect()}

@@ -127,6 +127,31 @@ def test_small_and_large_lexicons_score_alike(spark, folder, monkeypatch):
     assert results() == small and all(small)
 
 
+def test_repeated_lexicon_words_and_keys_count_alike(spark, monkeypatch):
+    rows = [("good", 1), ("good", 1), ("bad", -1), ("odd", 1), ("odd", -1)]
+    lexicon = spark.createDataFrame(rows, "word string, polarity int")
+    d = spark.createDataFrame([(1, "good good bad odd"), (1, "good"), (2, None), (3, "none")], "doc_id int, text string")
+    small = sorted(map(tuple, opinion.count_polarity(d, lexicon).collect()))
+    assert small == [(1, 1, 1, 0, 1), (1, 4, 3, 2, 1), (2, 0, 0, 0, 0), (3, 1, 0, 0, 0)]
+    hits = sorted(opinion.negate(d, lexicon, ["not"], 3).collect())
+    monkeypatch.setattr(opinion, "inline_words", lambda lexicon: None)
+    assert sorted(map(tuple, opinion.count_polarity(d, lexicon).collect())) == small
+    assert sorted(opinion.negate(d, lexicon, ["not"], 3).collect()) == hits
+
+
+def test_synsets_are_known_by_part_of_speech_and_id(spark):
+    rows = [("a", "00001740", 0.5, 0.0, "able#1", "having strength"), ("v", "00001740", 0.0, 0.0, "breathe#1", "draw air into lungs"),
+            ("a", "2", 0.0, 0.5, "able#2", "big")]
+    schema = "pos string, synset_id string, pos_score double, neg_score double, terms string, gloss string"
+    table = senses.explode_senses(spark.createDataFrame(rows, schema))
+    stops = spark.createDataFrame([("the",)], "word string")
+    words = {(r.pos_tag, r.word) for r in senses.gloss_words(table, stops).collect()}
+    assert ("a", "air") not in words and ("v", "air") in words
+    d = docs(spark, "able air lungs big")
+    chosen = senses.disambiguate(senses.target_contexts(d, table, 5), senses.sense_inventory(table, stops)).collect()
+    assert [(r.sense_no, r.overlap) for r in chosen] == [(2, 1)]
+
+
 def test_few_and_many_targets_give_the_same_contexts(spark, folder, monkeypatch):
     d = spark.read.parquet(f"{folder}/documents.parquet")
     table = senses.explode_senses(fx.sense_lexicon(spark))
