@@ -45,7 +45,7 @@ def random_prints(n, seed):
     return out
 
 
-@pytest.mark.parametrize("bits,long_list,forest", [(2, 256, True), (2, 1, True), (2, 3, False), (1, 2, True), (3, 4, True)])
+@pytest.mark.parametrize("bits,long_list,forest", [(2, 256, False), (2, 1, True), (3, 4, True)])
 def test_links_and_components(spark, bits, long_list, forest):
     prints = sorted(set(random_prints(400, bits)))
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
