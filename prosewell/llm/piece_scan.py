@@ -14,7 +14,8 @@ that every text comes back exactly.
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterator
+from array import array
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,22 +31,26 @@ GIANT = 1 << 16
 # Added to the least piece score for a character no piece spells.
 UNKNOWN_PENALTY = 10_000
 LOW = -(1 << 60)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
+# Characters of a part whose sum of scores is exact in single precision.
+EXACT = 256
 # Stands for U+2581 in a text. It is half a surrogate pair, so neither a text nor a piece has it.
 _OWN_BLANK = "\ud800"
 
 
 @dataclass(frozen=True)
 class Pieces:
-    """The vocabulary: id and score of each piece, ids of bytes, and where a text may be cut whatever stands around."""
+    """The vocabulary: id and score of each piece, 0 for what only begins pieces, ids of bytes, and where no piece reaches across."""
 
     ids: dict[str, int]
     scores: dict[str, int]
+    begun: dict[str, int]
     longest: int
     bytes_: list[int]
     unknown: int
     spelled: dict[int, bytes]
-    parts_at_blank: bool
+    words: re.Pattern | None
+    library: object
 
 
 _loaded: dict[str, Pieces] = {}
@@ -67,14 +72,36 @@ def load(path: str) -> Pieces:
     bytes_ = [byte_ids[f"<0x{b:02X}>"] for b in range(256)]
     spelled = {i: piece.replace(BLANK, " ").encode() for i, piece, _ in normal}
     spelled |= {i: bytes([b]) for b, i in enumerate(bytes_)}
-    inner = any(BLANK in p.lstrip(BLANK) or "\n" in p for p in scores)
+    begun = {p[:n]: 0 for p in scores for n in range(1, len(p))} | scores
     _loaded[path] = Pieces(
-        {piece: i for i, piece, _ in normal}, scores, max(map(len, scores)), bytes_,
-        min(scores.values()) - UNKNOWN_PENALTY, spelled, not inner,
+        {piece: i for i, piece, _ in normal}, scores, begun, max(map(len, scores)), bytes_,
+        min(scores.values()) - UNKNOWN_PENALTY, spelled, _forced_cuts(scores), _library(proto, scores),
     )
     return _loaded[path]
 
 
+def _library(proto, scores: dict[str, int]):
+    """The library's own best-path search with these scores, for parts of a text: no blank is put before them."""
+    from sentencepiece import SentencePieceProcessor
+
+    proto.trainer_spec.model_type = proto.trainer_spec.UNIGRAM
+    proto.normalizer_spec.add_dummy_prefix = False
+    for p in proto.pieces:
+        if p.type == p.NORMAL:
+            p.score = scores[p.piece]
+    return SentencePieceProcessor(model_proto=proto.SerializeToString())
+
+
+def _forced_cuts(pieces: Iterable[str]) -> re.Pattern | None:
+    """What finds the parts of a text that no piece reaches across: words, and letters before a stop or comma, if the pieces are such."""
+    if any(BLANK in p.lstrip(BLANK) or "\n" in p for p in pieces):
+        return None
+    words = r" *[^ \n]+| +|\n"
+    if any(re.search(r"[^\W\d_][.,]", p) for p in pieces):
+        return re.compile(words)
+    return re.compile(rf" *[^ \n.,]*[^\W\d_](?=[.,])|{words}")
+
+
 def _shown(text: str) -> str:
     """The text as pieces spell it, character for character."""
     return text.replace(BLANK, _OWN_BLANK).replace(" ", BLANK)
@@ -87,26 +114,37 @@ def _char_ids(pieces: Pieces, char: str) -> list[int]:
 
 def _steps(pieces: Pieces, text: str, at: int) -> list[tuple[int, int]]:
     """(length, score) of each piece that starts at `at`; one character always can be passed."""
-    get = pieces.scores.get
-    out = [
-        (length, score)
-        for length in range(1, min(pieces.longest, len(text) - at) + 1)
-        if (score := get(text[at : at + length])) is not None
-    ]
+    get, out = pieces.begun.get, []
+    for length in range(1, min(pieces.longest, len(text) - at) + 1):
+        score = get(text[at : at + length])
+        if score is None:
+            break
+        if score:
+            out.append((length, score))
     return out if out and out[0][0] == 1 else [(1, pieces.unknown), *out]
 
 
 def _sums(pieces: Pieces, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
     """Best sum at each place from text[start] on, and the length of the last piece there. Of equal sums the longest one wins."""
-    n = end - start
-    best, back = [LOW] * (n + pieces.longest + 1), [0] * (n + pieces.longest + 1)
+    n, get, longest, last = end - start, pieces.begun.get, pieces.longest, len(text)
+    best, back = [LOW] * (n + longest + 1), [0] * (n + longest + 1)
     best[0] = 0
     for at in range(n):
         base = best[at]
-        if base > LOW:
-            for length, score in _steps(pieces, text, start + at):
-                if base + score > best[at + length]:
-                    best[at + length], back[at + length] = base + score, length
+        if base == LOW:
+            continue
+        here, one = start + at, False
+        for stop in range(here + 1, min(here + longest, last) + 1):
+            score = get(text[here:stop])
+            if score is None:
+                break
+            if score:
+                to = stop - start
+                one = one or to == at + 1
+                if base + score > best[to]:
+                    best[to], back[to] = base + score, to - at
+        if not one and base + pieces.unknown > best[at + 1]:
+            best[at + 1], back[at + 1] = base + pieces.unknown, 1
     return best, back
 
 
@@ -178,35 +216,36 @@ def boundary_states(matrices: list[np.ndarray]) -> list[int]:
 
 
 class WordEncoder:
-    """Ids of texts of ordinary length. Where no piece crosses a word's start, words are searched alone and remembered."""
-
-    _words = re.compile(rf"{BLANK}*[^{BLANK}\n]+|{BLANK}+|\n")
+    """Ids of texts of ordinary length. The parts that no piece reaches across are searched alone and remembered."""
 
     def __init__(self, pieces: Pieces, cached: int = CACHED_WORDS) -> None:
         self._pieces = pieces
         self._cached = cached
         self._known: dict[str, bytes] = {}
 
-    def _search(self, word: str) -> bytes:
-        ids = best_path(self._pieces, word, 0, len(word), 0)
-        return np.array(ids, dtype="<i4").tobytes()
+    def _learn(self, parts: list[str]) -> None:
+        """Add the ids of parts. The library sums in single precision, which is exact for short parts; it takes U+2581 for a blank."""
+        plain = [p for p in parts if len(p) <= EXACT and BLANK not in p]
+        found = self._pieces.library.encode(plain, num_threads=1) if plain else []
+        self._known |= {p: array("i", ids).tobytes() for p, ids in zip(plain, found, strict=True)}
+        for part in parts:
+            if part not in self._known:
+                ids = best_path(self._pieces, _shown(part), 0, len(part), 0)
+                self._known[part] = array("i", ids).tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian int32 ids of each text."""
-        out = []
-        known = self._known
-        for text in texts:
-            prepared = _shown(" " + text)
-            words = self._words.findall(prepared) if self._pieces.parts_at_blank else [prepared]
-            found = []
-            for word in words:
-                ids = known.get(word)
-                if ids is None:
-                    ids = self._search(word)
-                    if len(known) < self._cached and len(word) < 64:
-                        known[word] = ids
-                found.append(ids)
-            out.append(b"".join(found))
+        words = self._pieces.words
+        parts = [words.findall(" " + t) if words else [" " + t] for t in texts]
+        met: set[str] = set()
+        met.update(*parts)
+        new = list(met.difference(self._known))
+        self._learn(new)
+        get = self._known.__getitem__
+        out = [b"".join(map(get, part)) for part in parts]
+        if len(self._known) > self._cached:
+            for part in new:
+                del self._known[part]
         return out
 
 
@@ -237,7 +276,7 @@ def _lists(data: list[bytes]) -> pa.Array:
 def _encode_short(model: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in sliced(whole, 200):
+            for batch in sliced(whole, 1_000):
                 ids = _encoder(model).encode(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids)], ["doc_id", "ids"])
 
