@@ -53,10 +53,10 @@ def test_lexicon_files(spark, tmp_path):
     assert {(r.word, r.polarity) for r in got.collect()} == {("good", 1), ("fine", 1), ("bad", -1), ("odd", 0)}
     (tmp_path / "swn").write_text(fx.SENSE_FILE)
     table = read_sense_lexicon(spark, str(tmp_path / "swn"))
-    rows = {r.synset_id: r for r in table.collect()}
+    rows = {(r.pos, r.synset_id): r for r in table.collect()}
     assert len(rows) == len(fx.SENSE_ROWS)
-    assert rows["00000002"].gloss.endswith('for it; "by the best"')
-    assert rows["00000002"].obj_score == pytest.approx(0.375)
+    assert rows["r", "00000001"].gloss.endswith('for it; "by the best"')
+    assert rows["r", "00000001"].obj_score == pytest.approx(0.375)
 
 
 def test_negation_window(spark):
