@@ -31,7 +31,7 @@ GIANT = 1 << 16
 # Added to the least piece score for a character no piece spells.
 UNKNOWN_PENALTY = 10_000
 LOW = -(1 << 60)
-CACHED_WORDS = 600_000
+CACHED_WORDS = 300_000
 # Characters of a part whose sum of scores is exact in single precision.
 EXACT = 256
 # Stands for U+2581 in a text. It is half a surrogate pair, so neither a text nor a piece has it.
@@ -276,7 +276,7 @@ def _lists(data: list[bytes]) -> pa.Array:
 def _encode_short(model: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in sliced(whole, 1_000):
+            for batch in sliced(whole, 400):
                 ids = _encoder(model).encode(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(ids)], ["doc_id", "ids"])
 
@@ -374,12 +374,15 @@ def encode_giant(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
     rows = docs.withColumn("name", F.expr("uuid()"))
     kinds = "name string, doc_id long, number int, size int, part string"
     parts = stored(rows.mapInArrow(_cut_up(chunk, longest), kinds), "chunks")
-    spread = parts.repartition("name", "number")
+    # A given number of partitions is kept: chunks are few bytes but much work, and would else be put into one task.
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = parts.repartition(tasks, "name", "number")
     matrices = spread.mapInArrow(_matrices(model), "name string, number int, matrix binary")
     ordered = matrices.repartition("name").sortWithinPartitions("name", "number")
     states = ordered.mapInArrow(_scan(longest), "name string, number int, enter int, leave int")
     kinds = "name string, doc_id long, number int, ids array<int>"
-    traced = parts.join(states, ["name", "number"]).mapInArrow(_trace(model), kinds)
+    known = parts.join(states, ["name", "number"]).repartition(tasks, "name", "number")
+    traced = known.mapInArrow(_trace(model), kinds)
     by_number = F.array_sort(F.collect_list(F.struct("number", "ids")))
     whole = traced.groupBy("name", "doc_id").agg(F.flatten(by_number["ids"]).alias("ids"))
     return whole.select("doc_id", "ids")
