@@ -170,7 +170,7 @@ def kinds_of(spark, body):
 
 
 def test_second_header_block_and_emoticon_lines(spark):
-    block = "Followup-To:kedz@wpi.wpi.edu \nDistribution: ne\nOrganization: Somewhere\nKeywords: \n\nI am looking\nSubject: no header now"
+    block = "Followup-To:someone@site.example \nDistribution: ne\nOrganization: Somewhere\nKeywords: \n\nI am looking\nSubject: no header now"
     assert [k for k, _ in kinds_of(spark, block)] == ["header"] * 4 + ["blank", "text", "text"]
     assert kinds_of(spark, ">quoted\n\tPlease do!\n:-) I don't know") == [("quote", 1), ("text", 0), ("text", 0)]
     assert kinds_of(spark, ":Don't tell me\n;-) so\n:) \n:D\n:Dx") == [("quote", 1), ("text", 0), ("text", 0), ("text", 0), ("quote", 1)]
