@@ -66,6 +66,14 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(rest == HELD_OUT, F.lit(False))
 
 
+def _document_counts(rows: list[np.ndarray]) -> np.ndarray:
+    """Texts that have each slot; a row names a slot once."""
+    counts = np.zeros(SLOTS, dtype=np.int64)
+    for row in rows:
+        counts[row] += 1
+    return counts
+
+
 def _select(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
     """Slots that more positives have than chance gives to any slot; the clearest first.
 
@@ -73,8 +81,7 @@ def _select(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndar
     It must be below `CHANCE` by the number of slots that were tried.
     """
     n_p, n_u = len(positive), len(unlabelled)
-    p = np.bincount(np.concatenate(positive), minlength=SLOTS)
-    u = np.bincount(np.concatenate(unlabelled), minlength=SLOTS)
+    p, u = _document_counts(positive), _document_counts(unlabelled)
     expected = n_p * (p + u + 1) / (n_p + n_u)
     with np.errstate(divide="ignore", invalid="ignore"):
         tail = np.where(p > expected, p - expected - p * np.log(p / expected), 0.0)
@@ -173,8 +180,7 @@ def train(
         .mapInArrow(_slot_rows, "toxic int, slots array<int>")
         .toPandas()
     )
-    slots = [np.asarray(s, dtype=np.int64) for s in table["slots"]]
-    kind = table["toxic"].to_numpy()
+    slots, kind = [np.asarray(s, dtype=np.int32) for s in table["slots"]], table["toxic"].to_numpy()
     return fit(
         [s for s, k in zip(slots, kind, strict=True) if k],
         [s for s, k in zip(slots, kind, strict=True) if k != 1],
