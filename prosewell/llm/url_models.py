@@ -5,8 +5,9 @@ long a context may be varies with how often it was met. Probabilities are interp
 A URL is scored by the difference of the two log likelihoods by length, and held against a threshold that separates the ruled
 URLs kept out of the counts best.
 
-Counts are over all ruled URLs, summed in each task before they are shuffled. Contexts met fewer than total / `CONTEXTS` times are
-dropped, so at most `CONTEXTS` stay, whatever the data; with an alphabet of `SYMBOLS` that bounds the model.
+Counts are over all ruled URLs, summed in each task before they are shuffled. Every counted context stays: the models are one table in the
+shared folder, a row per context with its followers (no more than `SYMBOLS`), and grow with the URLs. Distinct URLs are cut into grams;
+each distinct gram gets its log ratio order by order, and a URL is the sum of its grams' ratios.
 """
 
 from __future__ import annotations
@@ -21,13 +22,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from prosewell.llm.common import sliced
+from prosewell.operators.joins import sliced_join
 from prosewell.sources.store import cut
 
 ORDER = 5
-CONTEXTS = 8_192
 SYMBOLS = 128
 HELD = 200_000
 CACHED = 300_000
+# Log ratios are summed as whole numbers of this part, so that a sum does not depend on the order of its rows.
+PARTS = 1 << 32
 FOLDS, CALIBRATION = 4, 2
 BINS, WIDEST = 2_000, 5.0
 ACCEPT, REJECT = 1, 0
@@ -173,13 +177,18 @@ def scored(urls: DataFrame, model: UrlFilter) -> DataFrame:
 
 
 def calibrated(ruled: DataFrame, model: UrlFilter) -> float:
-    """The threshold that errs least on both kinds of ruled URLs (kind, host, path), each kind weighing the same.
+    """The threshold for ruled URLs (kind, host, path) by a model in memory."""
+    return threshold_of(scored(ruled, model))
+
+
+def threshold_of(scores: DataFrame) -> float:
+    """The threshold that errs least on both kinds of ruled URLs (kind, score), each kind weighing the same.
 
     Scores are counted in bins, so the driver gets a bounded table. Of equally good bounds the middle one is taken.
     """
     spot = F.floor((F.col("score") + WIDEST) / (2 * WIDEST) * BINS)
     spot = F.least(F.greatest(spot, F.lit(0)), F.lit(BINS - 1)).alias("bin")
-    rows = scored(ruled, model).groupBy("kind", spot).count().collect()
+    rows = scores.groupBy("kind", spot).count().collect()
     counts = {ACCEPT: [0] * BINS, REJECT: [0] * BINS}
     for row in rows:
         counts[row["kind"]][row["bin"]] += row["count"]
@@ -199,22 +208,101 @@ def calibrated(ruled: DataFrame, model: UrlFilter) -> float:
     return (at[0] + at[-1]) / 2 / BINS * 2 * WIDEST - WIDEST
 
 
-def train(ruled: DataFrame, contexts: int = CONTEXTS) -> UrlFilter | None:
-    """A filter from (kind, host, path, key); about a quarter of the URLs, by a hash of `key`, is kept out of the counts to calibrate.
+def _kept_out() -> Column:
+    """About a quarter of the URLs, by a hash of `key`, is kept out of the counts to calibrate."""
+    return F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")) % FOLDS == CALIBRATION
+
+
+def _grams(ruled: DataFrame) -> DataFrame:
+    counted = ruled.filter(~_kept_out()).select("kind", "host", "path")
+    grams = counted.mapInArrow(_counted, "kind int, gram string, n long")
+    return grams.groupBy("kind", "gram").agg(F.sum("n").alias("n"))
+
+
+def train(ruled: DataFrame, contexts: int) -> UrlFilter | None:
+    """A filter in memory of at most `contexts` contexts a kind, from (kind, host, path, key). `judged` keeps every context instead.
 
     Without URLs of both kinds there is nothing to tell apart: None.
     """
-    kept_out = F.crc32(F.coalesce(F.col("key").cast("string"), F.lit("")).cast("binary")) % FOLDS == CALIBRATION
-    counted = ruled.filter(~kept_out).select("kind", "host", "path")
-    grams = counted.mapInArrow(_counted, "kind int, gram string, n long")
-    grams = cut(grams.groupBy("kind", "gram").agg(F.sum("n").alias("n")))
+    grams = cut(_grams(ruled))
     model = UrlFilter(_model(grams, ACCEPT, contexts), _model(grams, REJECT, contexts))
     if not model.accepted.contexts or not model.rejected.contexts:
         return None
-    model.threshold = calibrated(ruled.filter(kept_out), model)
+    model.threshold = calibrated(ruled.filter(_kept_out()), model)
     return model
 
 
+def context_table(ruled: DataFrame) -> DataFrame:
+    """(context, a, r, a_kinds, r_kinds, followers) of every context of the counted URLs (kind, host, path, key).
+
+    a and r: how often accepted and rejected URLs have the context, and how many characters follow it; followers: both counts by character.
+    """
+    n = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("n")).otherwise(0))
+    both = _grams(ruled).groupBy("gram").agg(n(ACCEPT).alias("a"), n(REJECT).alias("r"))
+    both = both.select(F.expr("left(gram, length(gram) - 1)").alias("context"), F.expr("right(gram, 1)").alias("char"), "a", "r")
+    return cut(
+        both.groupBy("context").agg(
+            F.sum("a").alias("a"),
+            F.sum("r").alias("r"),
+            F.count_if(F.col("a") > 0).alias("a_kinds"),
+            F.count_if(F.col("r") > 0).alias("r_kinds"),
+            F.map_from_entries(F.collect_list(F.struct("char", F.struct("a", "r")))).alias("followers"),
+        )
+    )
+
+
+def _url_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, gram, n) of (id, host, path): the longest grams of each URL."""
+    for whole in batches:
+        for batch in sliced(whole, 500):
+            ids, grams, counts = [], [], []
+            for id_, host, path in zip(*(batch.column(c).to_pylist() for c in ("id", "host", "path")), strict=True):
+                text = spelled(host, path)
+                found = Counter(text[at - ORDER : at + 1] for at in range(ORDER, len(text)))
+                ids += [id_] * len(found)
+                grams += found.keys()
+                counts += found.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(grams, pa.string()), pa.array(counts, pa.int64())], ["id", "gram", "n"]
+            )
+
+
+def ratios(needed: DataFrame, contexts: DataFrame) -> DataFrame:
+    """Adds the log ratio, in `PARTS`, to the distinct `gram`s of full length.
+
+    Order by order, each order from the one below. Grams are distinct, so no context or ending has more rows than there are characters.
+    """
+    below = None
+    for k in range(ORDER + 1):
+        own = needed if k == ORDER else needed.select(F.expr(f"right(gram, {k + 1})").alias("gram")).distinct()
+        own = own.withColumn("context", F.expr(f"left(gram, {k})"))
+        own = own.join(contexts.filter(F.length("context") == k), "context", "left")
+        own = own.withColumn("own", F.try_element_at("followers", F.expr("right(gram, 1)")))
+        if below is None:
+            own = own.withColumn("pa", F.lit(1.0 / SYMBOLS)).withColumn("pr", F.lit(1.0 / SYMBOLS))
+        else:
+            own = own.withColumn("ending", F.expr(f"right(gram, {k})")).join(below, "ending")
+        p = {}
+        for side in "ar":
+            seen, kinds = F.coalesce(F.col(f"own.{side}"), F.lit(0)), F.col(f"{side}_kinds")
+            lower = F.col(f"p{side}")
+            p[side] = F.when(F.col(side) > 0, (seen + kinds * lower) / (F.col(side) + kinds)).otherwise(lower)
+        if k < ORDER:
+            below = own.select(F.col("gram").alias("ending"), p["a"].alias("pa"), p["r"].alias("pr"))
+    ratio = F.round(F.log(p["a"] / p["r"]) * PARTS).cast("bigint")
+    return own.select(*needed.columns, ratio.alias("ratio"))
+
+
+def url_scores(urls: DataFrame, contexts: DataFrame) -> DataFrame:
+    """(id, score) of (id, host, path): difference of the log likelihoods by length."""
+    grams = urls.select("id", "host", "path").mapInArrow(_url_grams, "id long, gram string, n long")
+    needed = cut(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")))
+    table = cut(ratios(needed, contexts))
+    found = sliced_join(grams, table, "gram", rows_per_key="rows")
+    sums = found.groupBy("id").agg(F.sum(F.col("n") * F.col("ratio")).alias("sum"), F.sum("n").alias("length"))
+    return sums.select("id", (F.col("sum") / F.col("length") / PARTS).alias("score"))
+
+
 def judged(urls: DataFrame, allow: list[str], block: list[str]) -> DataFrame:
     """Adds host, path, rule, score and verdict to (key, url): one row per row.
 
@@ -228,14 +316,18 @@ def judged(urls: DataFrame, allow: list[str], block: list[str]) -> DataFrame:
     ruled = parts.filter("ruled IS NOT NULL").select(
         F.when(F.col("ruled") == "allow", ACCEPT).otherwise(REJECT).alias("kind"), "host", "path", "key"
     )
-    model = train(ruled)
-    if model is None:
+    kinds = [r["kind"] for r in ruled.filter(~_kept_out()).select("kind").distinct().collect()]
+    if len(kinds) < 2:
         kinds = [r["kind"] for r in ruled.select("kind").distinct().collect()]
         rest = F.lit("block" if kinds == [REJECT] else "allow")
         rows = parts.withColumn("score", F.lit(None).cast("double"))
     else:
-        rows = scored(parts, model)
-        rest = F.when(F.col("score") >= model.threshold, "allow").otherwise("block")
+        urls = cut(parts.select("host", "path").distinct().withColumn("id", F.monotonically_increasing_id()))
+        scores = urls.join(url_scores(urls, context_table(ruled)), "id").drop("id")
+        rows = cut(sliced_join(parts, scores, ["host", "path"]))
+        kind = F.when(F.col("ruled") == "allow", ACCEPT).otherwise(REJECT).alias("kind")
+        threshold = threshold_of(rows.filter(F.col("ruled").isNotNull() & _kept_out()).select(kind, "score"))
+        rest = F.when(F.col("score") >= threshold, "allow").otherwise("block")
     return rows.select(
         "key", "host", "path", "rule", F.coalesce("ruled", rest).alias("verdict"), "score"
     )

@@ -1,4 +1,5 @@
 import math
+import zlib
 from collections import Counter
 
 import pytest
@@ -94,3 +95,30 @@ def test_separates_what_the_rules_separate(spark):
     found = {r.key: r for r in um.judged(pages(spark, urls), ALLOW, BLOCK).collect()}
     assert found[600].verdict == "allow" and found[601].verdict == "block"
     assert math.isfinite(found[600].score)
+
+
+def test_every_context_counts(spark):
+    """The tables give what a plain model of all counted contexts gives, however rare the context."""
+    urls = [f"http://s{i}.org/{i * 7919 % 1000}/x" for i in range(200)] + [f"http://t{i}.com/de/{i * 31}" for i in range(200)]
+    urls += ["http://never.net/qqqq", "http://s1.net/5"]
+    counts = {um.ACCEPT: Counter(), um.REJECT: Counter()}
+    ruled = []
+    for i, url in enumerate(urls[:400]):
+        kind = um.ACCEPT if ".org" in url else um.REJECT
+        ruled.append((kind, *parts(url), i))
+        if zlib.crc32(str(i).encode()) % um.FOLDS != um.CALIBRATION:
+            s = um.spelled(*parts(url))
+            counts[kind].update(s[at - k : at + 1] for at in range(um.ORDER, len(s)) for k in range(um.ORDER + 1))
+    models = []
+    for kind in (um.ACCEPT, um.REJECT):
+        contexts = {}
+        for g, n in counts[kind].items():
+            total, kinds = contexts.get(g[:-1], (0, 0))
+            contexts[g[:-1]] = (total + n, kinds + 1)
+        models.append(um.UrlModel(contexts, dict(counts[kind])))
+    plain = um.UrlFilter(*models)
+    table = um.context_table(spark.createDataFrame(ruled, "kind int, host string, path string, key long"))
+    assert table.count() == len(set(models[0].contexts) | set(models[1].contexts))
+    found = {r.key: r.score for r in um.judged(pages(spark, urls), ALLOW, BLOCK).collect()}
+    for i, url in enumerate(urls):
+        assert found[i] == pytest.approx(plain.score(um.spelled(*parts(url)), {}), abs=1e-8)
