@@ -1,7 +1,7 @@
 """URL filter: rules first, then the ratio of two character language models.
 
-URLs that an allow rule fits teach one model, those that a block rule fits the other. A model holds contexts of up to `ORDER` characters; how
-long a context may be varies with how often it was met. Probabilities are interpolated with those of the shorter context (Witten-Bell).
+URLs that an allow rule fits teach one model, those that a block rule fits the other. Whole URLs are read, with what follows ? or #. A model
+holds contexts of up to `ORDER` characters; how long a context may be varies with how often it was met. Probabilities are interpolated with those of the shorter context (Witten-Bell).
 A URL is scored by the difference of the two log likelihoods by length, and held against a threshold that separates the ruled
 URLs kept out of the counts best.
 
@@ -65,9 +65,9 @@ def rule_for(host: Column, path: Column, rules: list[str]) -> Column:
     return F.coalesce(*fits) if fits else F.lit(None).cast("string")
 
 
-def spelled(host: str, path: str) -> str:
-    """What the models read: the URL's host and path between a begin and an end mark, rare characters as one."""
-    body = "".join(c if "\x20" <= c < "\x7f" else OTHER for c in host + path)
+def spelled(*pieces: str) -> str:
+    """What the models read: the URL between a begin and an end mark, rare characters as one."""
+    body = "".join(c if "\x20" <= c < "\x7f" else OTHER for c in "".join(pieces))
     return BEGIN * ORDER + body + END
 
 
@@ -112,6 +112,12 @@ class UrlFilter:
         return total / (len(text) - ORDER)
 
 
+def _texts(batch: pa.RecordBatch) -> Iterator[str]:
+    """The spelled URLs of a batch with `url`, or with `host` and `path`."""
+    names = ["url"] if "url" in batch.schema.names else ["host", "path"]
+    return (spelled(*pieces) for pieces in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: Counter = Counter()
 
@@ -126,9 +132,8 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return out
 
     for batch in batches:
-        columns = (batch.column(c).to_pylist() for c in ("kind", "host", "path"))
-        for kind, host, path in zip(*columns, strict=True):
-            text = spelled(host, path)
+        kinds = batch.column("kind").to_pylist()
+        for kind, text in zip(kinds, _texts(batch), strict=True):
             held.update(
                 (kind, text[at - k : at + 1])
                 for at in range(ORDER, len(text))
@@ -214,7 +219,7 @@ def _kept_out() -> Column:
 
 
 def _grams(ruled: DataFrame) -> DataFrame:
-    counted = ruled.filter(~_kept_out()).select("kind", "host", "path")
+    counted = ruled.filter(~_kept_out()).drop("key")
     grams = counted.mapInArrow(_counted, "kind int, gram string, n long")
     return grams.groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
@@ -233,7 +238,7 @@ def train(ruled: DataFrame, contexts: int) -> UrlFilter | None:
 
 
 def context_table(ruled: DataFrame) -> DataFrame:
-    """(context, a, r, a_kinds, r_kinds, followers) of every context of the counted URLs (kind, host, path, key).
+    """(context, a, r, a_kinds, r_kinds, followers) of every context of the counted URLs (kind, url, key).
 
     a and r: how often accepted and rejected URLs have the context, and how many characters follow it; followers: both counts by character.
     """
@@ -252,12 +257,11 @@ def context_table(ruled: DataFrame) -> DataFrame:
 
 
 def _url_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, gram, n) of (id, host, path): the longest grams of each URL."""
+    """(id, gram, n) of (id, url): the longest grams of each URL."""
     for whole in batches:
         for batch in sliced(whole, 500):
             ids, grams, counts = [], [], []
-            for id_, host, path in zip(*(batch.column(c).to_pylist() for c in ("id", "host", "path")), strict=True):
-                text = spelled(host, path)
+            for id_, text in zip(batch.column("id").to_pylist(), _texts(batch), strict=True):
                 found = Counter(text[at - ORDER : at + 1] for at in range(ORDER, len(text)))
                 ids += [id_] * len(found)
                 grams += found.keys()
@@ -294,8 +298,8 @@ def ratios(needed: DataFrame, contexts: DataFrame) -> DataFrame:
 
 
 def url_scores(urls: DataFrame, contexts: DataFrame) -> DataFrame:
-    """(id, score) of (id, host, path): difference of the log likelihoods by length."""
-    grams = urls.select("id", "host", "path").mapInArrow(_url_grams, "id long, gram string, n long")
+    """(id, score) of (id, url): difference of the log likelihoods by length."""
+    grams = urls.select("id", "url").mapInArrow(_url_grams, "id long, gram string, n long")
     needed = cut(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")))
     table = cut(ratios(needed, contexts))
     found = sliced_join(grams, table, "gram", rows_per_key="rows")
@@ -307,14 +311,19 @@ def judged(urls: DataFrame, allow: list[str], block: list[str]) -> DataFrame:
     """Adds host, path, rule, score and verdict to (key, url): one row per row.
 
     A URL without a rule is allowed if its score reaches the threshold. With one kind of ruled URLs only, it gets their verdict; with none it
-    is allowed, and there is no score. A null url has an empty host and path and is judged like any other.
+    is allowed, and there is no score. Rules read host and path, scores the whole url. A null url is empty and judged like any other.
     """
-    parts = urls.select("key", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
+    parts = urls.select(
+        "key",
+        F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
+        host_of(F.col("url")).alias("host"),
+        path_of(F.col("url")).alias("path"),
+    )
     parts = parts.withColumn("rule", rule_for(F.col("host"), F.col("path"), allow + block))
     by_rule = F.when(F.col("rule").isin(allow), "allow").when(F.col("rule").isNotNull(), "block")
     parts = cut(parts.withColumn("ruled", by_rule))
     ruled = parts.filter("ruled IS NOT NULL").select(
-        F.when(F.col("ruled") == "allow", ACCEPT).otherwise(REJECT).alias("kind"), "host", "path", "key"
+        F.when(F.col("ruled") == "allow", ACCEPT).otherwise(REJECT).alias("kind"), "url", "key"
     )
     kinds = [r["kind"] for r in ruled.filter(~_kept_out()).select("kind").distinct().collect()]
     if len(kinds) < 2:
@@ -322,9 +331,9 @@ def judged(urls: DataFrame, allow: list[str], block: list[str]) -> DataFrame:
         rest = F.lit("block" if kinds == [REJECT] else "allow")
         rows = parts.withColumn("score", F.lit(None).cast("double"))
     else:
-        urls = cut(parts.select("host", "path").distinct().withColumn("id", F.monotonically_increasing_id()))
+        urls = cut(parts.select("url").distinct().withColumn("id", F.monotonically_increasing_id()))
         scores = urls.join(url_scores(urls, context_table(ruled)), "id").drop("id")
-        rows = cut(sliced_join(parts, scores, ["host", "path"]))
+        rows = cut(sliced_join(parts, scores, "url"))
         kind = F.when(F.col("ruled") == "allow", ACCEPT).otherwise(REJECT).alias("kind")
         threshold = threshold_of(rows.filter(F.col("ruled").isNotNull() & _kept_out()).select(kind, "score"))
         rest = F.when(F.col("score") >= threshold, "allow").otherwise("block")
