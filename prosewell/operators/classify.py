@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosewell.operators.joins import lookup, names
@@ -51,15 +51,15 @@ def split(df: DataFrame, key: str | Sequence[str], n: int = 5, test: int = 0) ->
     return out.withColumn("side", side).drop("_fold")
 
 
-def nb_priors(labels: DataFrame) -> DataFrame:
+def nb_priors(labels: DataFrame, smoothing: float = 0.0) -> DataFrame:
     """(label, docs, log_prior) of `labels(key, label)`."""
     counts = labels.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("docs"))
-    total = counts.agg(F.sum("docs").alias("n")).scalar()
-    return counts.withColumn("log_prior", F.log(F.col("docs") / total))
+    total = counts.agg((F.sum("docs") + smoothing * F.count(F.lit(1))).alias("n")).scalar()
+    return counts.withColumn("log_prior", F.log((F.col("docs") + smoothing) / total))
 
 
 def nb_fit(
-    tf: DataFrame, docs: DataFrame, smoothing: float = 1.0
+    tf: DataFrame, docs: DataFrame, smoothing: float = 1.0, prior_smoothing: float = 0.0
 ) -> tuple[DataFrame, DataFrame]:
     """Multinomial Naive Bayes as two tables: (label, docs, log_prior), (label, token, log_likelihood).
 
@@ -73,7 +73,7 @@ def nb_fit(
     classes = class_list(known)
     train = tf.filter("label is not null").select("token", "label", "tf")
     if len(classes) > WIDE_CLASSES:
-        return cut(nb_priors(known)), cut(_long_likelihoods(train, known, smoothing))
+        return cut(nb_priors(known, prior_smoothing)), cut(_long_likelihoods(train, known, smoothing))
     per_class = [F.sum(F.when(F.col("label") == c, F.col("tf")).otherwise(0)) for c in classes]
     wide = train.groupBy("token").agg(F.array(*per_class).alias("counts"))
     sums = wide.agg(
@@ -98,7 +98,7 @@ def nb_fit(
             )
         ),
     )
-    return cut(nb_priors(known)), cut(long)
+    return cut(nb_priors(known, prior_smoothing)), cut(long)
 
 
 def _long_likelihoods(train: DataFrame, known: DataFrame, smoothing: float) -> DataFrame:
@@ -146,6 +146,16 @@ def nb_predict(
     )
 
 
+def save_nb(priors: DataFrame, likelihoods: DataFrame, path: str) -> None:
+    """Write both tables of a model below `path`."""
+    priors.write.mode("overwrite").parquet(f"{path}/priors")
+    likelihoods.write.mode("overwrite").parquet(f"{path}/likelihoods")
+
+
+def load_nb(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    return spark.read.parquet(f"{path}/priors"), spark.read.parquet(f"{path}/likelihoods")
+
+
 def majority_baseline(train: DataFrame, test: DataFrame) -> DataFrame:
     """Adds `prediction`, the most frequent training label, ties to the lowest."""
     counts = train.filter("label is not null").groupBy("label").agg(F.count(F.lit(1)).alias("n"))

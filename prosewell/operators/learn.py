@@ -10,6 +10,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import (
     IDF,
     CountVectorizer,
+    CountVectorizerModel,
     HashingTF,
     Normalizer,
     SQLTransformer,
@@ -39,8 +40,8 @@ def token_stage(col: str = "text") -> SQLTransformer:
 def vectorize(n: int = 1 << 18, kind: str = "hash", min_df: float = 1.0) -> list:
     """Bag-of-words stages: hashed (one pass, no vocabulary on the driver) or counted.
 
-    A counted vocabulary holds the `n` commonest words and drops the others, so `n` must be above the corpus's distinct words
-    where every word is to count; the driver holds them all. Beyond that, hash: no word is dropped.
+    A counted vocabulary lives on the driver, and `n` must be above the corpus's distinct words: `train` refuses one that is full.
+    Beyond that, hash, or take the tables of `classify`: no word is dropped.
     """
     if kind == "hash":
         counts = HashingTF(inputCol="tokens", outputCol="counts", numFeatures=n)
@@ -93,7 +94,11 @@ def svm(n: int = 1 << 18, max_iter: int = 30, reg: float = 0.001) -> Pipeline:
 def train(pipeline: Pipeline, docs: DataFrame) -> PipelineModel:
     """Fit on labelled rows. The rows are read once per pass of the solver, so keep them near."""
     rows = docs.filter("label is not null").select("text", docs["label"].cast("double").alias("label"))
-    return pipeline.fit(rows)
+    model = pipeline.fit(rows)
+    for stage in model.stages:
+        if isinstance(stage, CountVectorizerModel) and len(stage.vocabulary) >= stage.getVocabSize():
+            raise ValueError(f"the vocabulary of {stage.getVocabSize()} words is full; words may be missing")
+    return model
 
 
 def train_nb(docs: DataFrame, kind: str = "multinomial", **options) -> PipelineModel:

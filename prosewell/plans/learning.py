@@ -203,8 +203,6 @@ def f13b(spark, folder):
 
 
 FEATURES = 1 << 16
-# More words than any of the given tables has; a counted vocabulary lives on the driver.
-VOCABULARY = 1 << 22
 
 
 def prepared(spark: SparkSession, folder: str) -> DataFrame:
@@ -234,11 +232,17 @@ def f3(spark, folder):
 )
 def f4(spark, folder):
     docs = documents(spark, folder).select("doc_id", "text")
-    model = Pipeline(stages=[*learn.vectorize(VOCABULARY, "count"), *learn.weight()]).fit(docs)
-    # A sparse vector reaches a plain function as it is; as an array it would be as long as the vocabulary.
-    seen = F.udf(lambda v: (len(v.indices), float(max(v.values, default=0.0))), "terms long, largest double")
-    found = model.transform(docs).select("doc_id", seen("features").alias("f"))
-    return found.select("doc_id", "f.terms", F.round("f.largest", 6).alias("largest"))
+    tf = terms.term_counts(docs).groupBy("doc_id", "token").agg(F.sum("tf").alias("tf"))
+    weights = terms.tf_idf(tf, cut(terms.doc_freq(tf)), docs.count())
+    w = F.col("tf_idf")
+    found = weights.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("terms"), F.try_divide(F.max(w), F.sqrt(F.sum(w * w))).alias("largest")
+    )
+    return docs.select("doc_id").join(found, "doc_id", "left").select(
+        "doc_id",
+        F.coalesce("terms", F.lit(0)).cast("bigint").alias("terms"),
+        F.round(F.coalesce("largest", F.lit(0.0)), 6).alias("largest"),
+    )
 
 
 def _pipeline(pipeline_of):
@@ -269,10 +273,23 @@ def _library_sql(train: str, scored: str) -> str:
     pred AS (SELECT doc_id, arg_max(label, score)::DOUBLE AS prediction FROM s GROUP BY doc_id)"""
 
 
+def _fit_smoothed(train: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The library's multinomial Naive Bayes as tables: priors are smoothed too."""
+    return classify.nb_fit(terms.term_counts(train, key=["doc_id", "label"]), train, prior_smoothing=1.0)
+
+
+def _multinomial(spark, folder):
+    data = prepared(spark, folder)
+    test = data.filter("side = 'test'")
+    tf = terms.term_counts(test, key=["doc_id", "label"])
+    found = classify.nb_predict(*_fit_smoothed(data.filter("side = 'train'")), test, tf, ["doc_id", "label"])
+    return found.select("doc_id", F.col("label").cast("bigint"), F.col("prediction").cast("double"))
+
+
 query(
     "F8_naive_bayes_multinomial",
     f"WITH {_library_sql('NOT test', '(SELECT * FROM lab WHERE test)')} SELECT doc_id, label::BIGINT AS label, prediction FROM pred JOIN lab USING (doc_id)",
-)(_pipeline(lambda: learn.naive_bayes("multinomial", VOCABULARY, "count")))
+)(_multinomial)
 query("F8_naive_bayes_complement")(_pipeline(lambda: learn.naive_bayes("complement", FEATURES)))
 query("F8_naive_bayes_bernoulli")(_pipeline(lambda: learn.naive_bayes("bernoulli", FEATURES)))
 query("F9_logistic")(_pipeline(lambda: learn.logistic(FEATURES, 20)))
@@ -293,9 +310,10 @@ def f14(spark, folder):
 @query("F15_save_model_score_table", f"WITH {_library_sql('true', 'documents')} SELECT doc_id, prediction FROM pred")
 def f15(spark, folder):
     path = fresh_path(spark, "model")
-    learn.save_model(learn.train_nb(prepared(spark, folder), n=VOCABULARY, vectorizer="count"), path)
+    classify.save_nb(*_fit_smoothed(prepared(spark, folder)), path)
     docs = documents(spark, folder).select("doc_id", "text")
-    return learn.score_table(learn.load_model(path), docs, ["doc_id"])
+    found = classify.nb_predict(*classify.load_nb(spark, path), docs, terms.term_counts(docs))
+    return found.select("doc_id", F.col("prediction").cast("double"))
 
 
 @query("F16_lexicon_features")

@@ -2,8 +2,10 @@
 
 import numpy as np
 import pytest
+from oracle import differences, duck
 from prosewell.operators import classify, cluster, learn, terms
 from prosewell.plans import clustering, learning
+from prosewell.plans.registry import ORACLE, QUERIES
 from pyspark.sql import functions as F
 
 
@@ -149,3 +151,17 @@ def test_projection_keeps_what_is_alike(spark):
     assert np.array_equal(v[0], v[1])
     cos = lambda a, b: a @ b / np.linalg.norm(a) / np.linalg.norm(b)
     assert abs(cos(v[0], v[2])) < 0.35 < cos(v[0], v[5])
+
+
+def test_no_vocabulary_caps_the_queries(spark, folder, monkeypatch):
+    monkeypatch.setattr(learning, "VOCABULARY", 3, raising=False)
+    con = duck(folder)
+    for name in ("F4_weight", "F8_naive_bayes_multinomial", "F15_save_model_score_table"):
+        assert differences(spark, con, QUERIES[name], ORACLE[name], folder) == []
+
+
+def test_a_full_vocabulary_is_refused(spark):
+    rows = spark.createDataFrame([(0, "a b c"), (1, "c d")], "label int, text string")
+    with pytest.raises(ValueError):
+        learn.train_nb(rows, n=3, vectorizer="count")
+    assert len(learn.train_nb(rows, n=5, vectorizer="count").stages[1].vocabulary) == 4
