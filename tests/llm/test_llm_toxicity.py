@@ -77,3 +77,25 @@ def test_held_out_accuracy(spark):
     held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
     toxic, clean = [p for y, p in held if y], [p for y, p in held if not y]
     assert np.mean(toxic) > 0.75 and np.mean(clean) < 0.03
+
+
+def test_slots_are_counted_in_all_texts(spark):
+    """An insult that the sampled positives hold too seldom, or not at all, is found by the counts over all texts."""
+    rng = np.random.default_rng(3)
+    word = lambda n: "w" + spelled(int(n))
+    texts = [" ".join(word(n) for n in rng.integers(300, size=30)) for _ in range(2_400)]
+    toxic = [i for i in range(2_400) if i % 4 == 0]
+    for i in toxic:
+        texts[i] += " scornful" if i % 40 else " qvxzj"
+    docs = documents(spark, [(i, t, "en", "a") for i, t in enumerate(texts)])
+    labels = spark.createDataFrame([(i, 1, int(i % 4 == 0)) for i in range(2_400)], "doc_id long, quality int, toxic int")
+    model = tx.train(docs, labels, positives=12, unlabelled=60)
+    assert set(tx.slots_of(b"qvxzj")) & set(model.weights)
+    assert tx.score_text(texts[1] + " qvxzj", model) > tx.score_text(texts[1], model)
+
+
+def test_more_than_512_slots_keep_a_weight():
+    insults = ["".join(chr(97 + d) for d in (i // 26, i % 26, 25 - i // 26, 7)) for i in range(600)]
+    positive = [tx.text_slots(w).astype(np.int64) for w in insults for _ in range(60)]
+    clean = [tx.text_slots(f"word{chr(97 + i % 26)}").astype(np.int64) for i in range(60_000)]
+    assert len(tx.fit(positive, clean, 0.3, rounds=2).weights) >= 590
