@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,6 +52,18 @@ def sliced(batch: pa.RecordBatch, rows: int = BATCH_ROWS) -> Iterator[pa.RecordB
         yield batch.slice(start, rows)
 
 
+def sliced_by_bytes(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces of about `most` bytes of a text column; a longer text is a piece by itself."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0)
+    ends = np.cumsum(sizes.to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def ascii_words(text: str) -> list[bytes]:
     """The words of `text` as UTF-8; bytes.split() parts at exactly the six separators of WORD."""
     return text.encode("utf-8", "surrogatepass").split()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from prosewell.llm import (  # noqa: F401
     chat_queries,
     copy_queries,
+    merge_queries,
     mixing_queries,
     piece_queries,
     quality_queries,
