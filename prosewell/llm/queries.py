@@ -9,6 +9,7 @@ from prosewell.llm import (  # noqa: F401
     mixing_queries,
     piece_queries,
     quality_queries,
+    run_queries,
     token_queries,
     toxicity_queries,
     url_queries,
