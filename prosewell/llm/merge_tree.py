@@ -21,14 +21,15 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from prosewell.llm.common import sliced_by_bytes, text_of
+from prosewell.llm.common import sliced, sliced_by_bytes, text_of
 
 # Longest part, in bytes, that moves together with others.
 TOGETHER = 64
 # Cells of the arrays that hold the parts of one round.
-CELLS = 1 << 20
-CACHED_PARTS = 400_000
+CELLS = 1 << 16
+CACHED_PARTS = 300_000
 BATCH_BYTES = 4 << 20
+DECODED_ROWS = 1_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -48,82 +49,97 @@ class MergeCoder:
         self._ranks = ranks
         self._longest = max(map(len, ranks))
         self._byte = np.array([ranks[bytes([b])] for b in range(256)], dtype=np.int64)
-        self._vocabulary = [b""] * (max(ranks.values()) + 1)
-        for spelled, rank in ranks.items():
-            self._vocabulary[rank] = spelled
         self._cached = cached
         self._known: dict[str, bytes] = {}
-        size = len(self._vocabulary)
-        pairs = [
-            (ranks[a] * size + ranks[b], rank)
-            for spelled, rank in ranks.items()
-            for cut in range(1, len(spelled))
-            if (a := spelled[:cut]) in ranks and (b := spelled[cut:]) in ranks
-        ]
-        table = np.array(sorted(pairs) or [(0, 0)], dtype=np.int64)
-        self._pairs, self._merged = np.ascontiguousarray(table.T)
-        if not pairs:
-            self._merged[:] = NONE
+        size = self._size = max(ranks.values()) + 1
+        keys, merged = array("q"), array("q")
+        for spelled, rank in ranks.items():
+            for cut in range(1, len(spelled)):
+                left, right = ranks.get(spelled[:cut]), ranks.get(spelled[cut:])
+                if left is not None and right is not None:
+                    keys.append(left * size + right)
+                    merged.append(rank)
+        # One pair that no ids spell keeps the table from being empty.
+        keys.append(size * size)
+        merged.append(0)
+        order = np.argsort(keys)
+        self._pairs = np.asarray(keys)[order]
+        self._merged = np.asarray(merged)[order]
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, NONE where no merge joins them."""
-        key = left * len(self._vocabulary) + right
-        at = np.minimum(np.searchsorted(self._pairs, key), len(self._pairs) - 1)
+        key = left * np.int64(self._size) + right
+        at = self._pairs.searchsorted(key)
         return np.where(self._pairs[at] == key, self._merged[at], NONE)
 
     def merge_together(self, parts: Sequence[bytes], bits: int) -> list[bytes]:
-        """Ids (little-endian uint32) of parts of 1 to 2**bits bytes, a merge of each in every round."""
+        """Ids (little-endian uint32) of parts of 1 to 2**bits bytes, a merge of each in every round.
+
+        Cell `row * width + i` of the flat arrays is byte i of a row's part, node j of its tree is `row * 2 * width + j`.
+        """
         n, width = len(parts), 1 << bits
         lengths = np.fromiter(map(len, parts), dtype=np.int64, count=n)
-        column = np.arange(width)
-        alive = column < lengths[:, None]
-        ids = np.zeros((n, width), dtype=np.int64)
-        ids[alive] = self._byte[np.frombuffer(b"".join(parts), dtype=np.uint8)]
-        following = np.repeat(column[None, :] + 1, n, axis=0)
+        alive = np.arange(width) < lengths[:, None]
+        ids = np.zeros(n * width, dtype=np.int64)
+        cells = np.flatnonzero(alive)
+        ids[cells] = self._byte[np.frombuffer(b"".join(parts), dtype=np.uint8)]
+        following = np.arange(1, n * width + 1)
         before = following - 2
+        stops = np.arange(n) * width + lengths
+        alive = alive.ravel()
         tree = np.full((n, 2 * width), NONE, dtype=np.int64)
 
-        def leaves(rank: np.ndarray, position: np.ndarray) -> np.ndarray:
-            return np.where(rank == NONE, NONE, (rank << bits) | position)
+        def leaves(rank: np.ndarray, cell: np.ndarray) -> np.ndarray:
+            return np.where(rank == NONE, NONE, (rank << bits) | (cell & (width - 1)))
 
-        has_pair = alive[:, 1:]
-        row, at = np.nonzero(has_pair)
-        tree[row, width + at] = leaves(self._rank(ids[row, at], ids[row, at + 1]), at)
+        inner = np.ones(len(cells), dtype=bool)
+        inner[np.cumsum(lengths) - 1] = False
+        cells = cells[inner]
+        # Leaf of a cell: its row's tree begins at twice the row's first cell, its leaves `width` nodes later.
+        start = cells & -width
+        tree.ravel()[cells + start + width] = leaves(self._rank(ids[cells], ids[cells + 1]), cells)
         for level in range(bits - 1, -1, -1):
             below = tree[:, 2 << level : 4 << level]
-            tree[:, 1 << level : 2 << level] = np.minimum(below[:, ::2], below[:, 1::2])
-        rows = np.arange(n)
+            np.minimum(below[:, ::2], below[:, 1::2], out=tree[:, 1 << level : 2 << level])
+        tree = tree.ravel()
+        root = np.arange(n) * (2 * width) + 1
         while True:
-            rows = rows[tree[rows, 1] != NONE]
-            if not len(rows):
-                break
-            best = tree[rows, 1]
-            at = best & (width - 1)
-            ids[rows, at] = best >> bits
-            gone = following[rows, at]
-            after = following[rows, gone]
-            following[rows, at] = after
-            alive[rows, gone] = False
-            tree[rows, width + gone] = NONE
-            last = after >= lengths[rows]
-            inside = np.where(last, 0, after)
-            before[rows[~last], after[~last]] = at[~last]
-            rank = self._rank(ids[rows, at], ids[rows, inside])
-            tree[rows, width + at] = np.where(last, NONE, leaves(rank, at))
-            first = at == 0
-            left = np.where(first, at, before[rows, at])
-            rank = self._rank(ids[rows, left], ids[rows, at])
-            tree[rows, width + left] = np.where(first, tree[rows, width + left], leaves(rank, left))
-            nodes = np.concatenate([gone + width, at + width, left + width])
-            thrice = np.tile(rows, 3)
+            best = tree[root]
+            busy = best != NONE
+            if not busy.all():
+                root, best, stops = root[busy], best[busy], stops[busy]
+                if not len(root):
+                    break
+            start = root >> 1
+            at = start + (best & (width - 1))
+            joined = best >> bits
+            ids[at] = joined
+            gone = following[at]
+            after = following[gone]
+            following[at] = after
+            alive[gone] = False
+            inside = after < stops
+            after = np.where(inside, after, at)
+            before[after[inside]] = at[inside]
+            left = np.where(at > start, before[at], at)
+            shift = start + width
+            tree[gone + shift] = NONE
+            rank = self._rank(joined, ids[after])
+            tree[at + shift] = np.where(inside, leaves(rank, at), NONE)
+            has_left = np.flatnonzero(left < at)
+            rank = self._rank(ids[left[has_left]], joined[has_left])
+            tree[(left + shift)[has_left]] = leaves(rank, left[has_left])
+            # The nodes above the three leaves, level by level; a tree is an even number of nodes, so halves stay in it.
+            first = root - 1
+            nodes = np.concatenate([gone - start, at - start, left - start]) + width
+            first = np.concatenate([first, first, first])
             for _ in range(bits):
                 nodes >>= 1
-                tree[thrice, nodes] = np.minimum(
-                    tree[thrice, 2 * nodes], tree[thrice, 2 * nodes + 1]
-                )
+                child = first + 2 * nodes
+                tree[first + nodes] = np.minimum(tree[child], tree[child + 1])
         flat = ids[alive].astype("<u4").tobytes()
-        ends = 4 * np.cumsum(alive.sum(axis=1))
-        return [flat[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        ends = np.cumsum(alive.reshape(n, width).sum(axis=1) * 4).tolist()
+        return [flat[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def merge_alone(self, part: bytes) -> bytes:
         """Ids (little-endian uint32) of one part of any length."""
@@ -210,10 +226,6 @@ class MergeCoder:
                 del self._known[part]
         return out
 
-    def decode(self, ids: Sequence[int]) -> bytes:
-        """The bytes that the ids spell."""
-        return b"".join(map(self._vocabulary.__getitem__, ids))
-
 
 _coders: dict[tuple[str, str], MergeCoder] = {}
 
@@ -225,6 +237,25 @@ def coder(path: str, pattern: str) -> MergeCoder:
     return _coders[path, pattern]
 
 
+def spellings(ranks: dict[bytes, int]) -> pa.BinaryArray:
+    """The bytes of each id."""
+    spelled = [b""] * (max(ranks.values()) + 1)
+    for one, rank in ranks.items():
+        spelled[rank] = one
+    return pa.array(spelled, pa.large_binary())
+
+
+def decode_lists(lists: pa.ListArray, spelled: pa.BinaryArray) -> pa.BinaryArray:
+    """The bytes that each list of ids spells: one gather of all, cut where the lists end."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    bytes_ = spelled.take(lists.flatten())
+    _, offsets, data = bytes_.buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64, count=len(bytes_) + 1 + bytes_.offset)
+    at = offsets[bytes_.offset + np.cumsum(np.append(0, sizes))]
+    buffers = [None, pa.py_buffer(at.astype(np.int64).tobytes()), data]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(lists), buffers)
+
+
 def encode_documents(
     docs: DataFrame, ranks: str, pattern: str, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -250,19 +281,18 @@ def encode_documents(
     )
 
 
-def decode_documents(encoded: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def decode_documents(encoded: DataFrame, ranks: str) -> DataFrame:
     """`encoded` with `decoded binary`: the bytes that `ids` spell. Ids null: no bytes."""
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = coder(ranks, pattern)
-        for batch in batches:
-            ids = batch.column(batch.schema.get_field_index("ids"))
-            sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
-            flat, ends = ids.flatten().to_pylist(), np.cumsum(sizes).tolist()
-            found = [known.decode(flat[a:b]) for a, b in zip([0, *ends[:-1]], ends, strict=False)]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(found, pa.binary())], [*batch.schema.names, "decoded"]
-            )
+        spelled = spellings(read_ranks(ranks))
+        for whole in batches:
+            for batch in sliced(whole, DECODED_ROWS):
+                lists = batch.column(batch.schema.get_field_index("ids"))
+                found = decode_lists(lists, spelled).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [*batch.columns, found], [*batch.schema.names, "decoded"]
+                )
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(decode, f"{fields}, decoded binary")

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings
@@ -15,6 +16,7 @@ RANKS = merge_tree.read_ranks(FILE)
 LIBRARY = tiktoken.Encoding(
     "own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=RANKS, special_tokens={}
 )
+SPELLED = merge_tree.spellings(RANKS)
 CODER = merge_tree.MergeCoder(RANKS, public_tokenizers.PATTERN, cached=50)
 
 
@@ -48,7 +50,13 @@ def test_texts_equal_library(texts):
     texts = [t.encode("utf-8", "replace").decode() for t in texts]
     for text, found in zip(texts, CODER.encode(texts), strict=True):
         assert ids(found) == LIBRARY.encode_ordinary(text)
-        assert CODER.decode(ids(found)) == text.encode()
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.none() | st.lists(st.integers(0, 50_255), max_size=9), max_size=6), st.integers(0, 3))
+def test_decoding_equals_library(lists, skipped):
+    found = merge_tree.decode_lists(pa.array(lists, pa.list_(pa.int32()))[skipped:], SPELLED)
+    assert found.to_pylist() == [LIBRARY.decode_bytes(x or []) for x in lists[skipped:]]
 
 
 def test_long_parts():
@@ -73,14 +81,14 @@ def expected(text):
 def test_odd_documents(spark):
     file = FILE, public_tokenizers.PATTERN
     rows = merge_tree.decode_documents(
-        merge_tree.encode_documents(documents(spark, ODD), *file), *file
+        merge_tree.encode_documents(documents(spark, ODD), *file), FILE
     ).collect()
     key = lambda r: (str(r[0]), r[1])
     found = sorted(((r.doc_id, r.ids, bytes(r.decoded)) for r in rows), key=key)
     wanted = [(d, LIBRARY.encode_ordinary(t or ""), (t or "").encode()) for d, t, *_ in ODD]
     assert found == sorted(wanted, key=key)
     empty = merge_tree.encode_documents(documents(spark, []), *file)
-    assert merge_tree.decode_documents(empty, *file).count() == 0
+    assert merge_tree.decode_documents(empty, FILE).count() == 0
 
 
 @pytest.mark.parametrize("name", ["op13_merge_tree"])
