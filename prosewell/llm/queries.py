@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from prosewell.llm import (  # noqa: F401
+    alignment_queries,
     chat_queries,
     copy_queries,
     merge_queries,
