@@ -1,4 +1,5 @@
 import hashlib
+from bisect import bisect_left
 from collections import Counter
 from functools import reduce
 
@@ -47,11 +48,11 @@ def plain(text):
     """(n_a, n_b, n_groups, groups, links) by looking at every token's bytes."""
     a, b = plain_tokens(text)
     cuts = sorted({e for _, _, e in a} & {e for _, _, e in b})
-    groups, low = [], 0
-    for cut in cuts:
-        inside = [",".join(str(i) for i, s, e in side if s >= low and e <= cut) for side in (a, b)]
-        groups.append("|".join(inside))
-        low = cut
+    groups = [([], []) for _ in cuts]
+    for side in (0, 1):
+        for i, _, e in (a, b)[side]:
+            groups[bisect_left(cuts, e)][side].append(str(i))
+    groups = ["|".join(map(",".join, g)) for g in groups]
     links, k = Counter(), 0
     for i, s, e in a:
         while k < len(b) and b[k][2] <= s:
