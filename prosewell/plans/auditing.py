@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosewell.operators import classify, quality, terms
+from prosewell.operators import classify, quality, similarity, terms
 from prosewell.plans import fixtures as fx
 from prosewell.plans.learning import _fold_sql
 from prosewell.plans.messaging import MESSAGES_SQL, messages
@@ -144,6 +144,13 @@ def i1(spark, folder):
     )
 
 
+SHINGLES_SQL = """t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
+    k AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
+    g AS (SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o || ' ' || lead(a, 3) OVER o || ' ' || lead(a, 4) OVER o AS gram FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+    h AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(gram), 1, 15))::BIGINT AS s FROM (
+      SELECT doc_id, gram FROM g WHERE gram IS NOT NULL
+      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 4)),"""
+
 BANDS, ROWS, ROUNDS = 12, 3, 6
 
 
@@ -168,12 +175,7 @@ def _near_sql() -> str:
     left{r + 1} AS MATERIALIZED (SELECT p.doc_id, p.bucket || ':' || o.m{quality.refinement(r, BANDS, ROWS)} AS bucket
       FROM p{r} p JOIN ones o ON o.doc_id = p.doc_id ANTI JOIN f{r} f ON p.doc_id = f.doc_id AND p.leader = f.leader)"""
     found = " UNION ".join(f"SELECT * FROM f{r}" for r in range(ROUNDS))
-    return f"""WITH t AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+') AS w FROM documents),
-    k AS (SELECT doc_id, len(w) AS n, unnest(w) AS a, generate_subscripts(w, 1) AS i FROM t),
-    g AS (SELECT doc_id, n, i, a || ' ' || lead(a, 1) OVER o || ' ' || lead(a, 2) OVER o || ' ' || lead(a, 3) OVER o || ' ' || lead(a, 4) OVER o AS gram FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
-    h AS (SELECT DISTINCT doc_id, ('0x' || substr(md5(gram), 1, 15))::BIGINT AS s FROM (
-      SELECT doc_id, gram FROM g WHERE gram IS NOT NULL
-      UNION ALL SELECT doc_id, array_to_string(w, ' ') FROM t WHERE len(w) BETWEEN 1 AND 4)),
+    return f"""WITH {SHINGLES_SQL}
     sets AS MATERIALIZED (SELECT doc_id, list(s ORDER BY s) AS s FROM h GROUP BY doc_id),
     lows AS MATERIALIZED (SELECT doc_id, {lowest} FROM (SELECT doc_id, s % {quality.PRIME} AS x FROM h) GROUP BY doc_id),
     firsts AS MATERIALIZED (SELECT doc_id, min(doc_id) OVER (PARTITION BY s) AS leader FROM sets),
@@ -188,3 +190,19 @@ def h2(spark, folder):
         documents(spark, folder), 0.8, 5, BANDS, ROWS, hashed=quality.md5_number
     )
     return out.withColumn("jaccard", F.round("jaccard", 6))
+
+
+@query(
+    "H2_exact_near_duplicates",
+    f"""WITH {SHINGLES_SQL}
+    sets AS MATERIALIZED (SELECT doc_id, list(s ORDER BY s) AS s FROM h GROUP BY doc_id),
+    firsts AS MATERIALIZED (SELECT doc_id, len(s) AS n, min(doc_id) OVER (PARTITION BY s) AS leader FROM sets),
+    ones AS MATERIALIZED (SELECT h.doc_id, h.s, n FROM h JOIN firsts USING (doc_id) WHERE leader = doc_id),
+    pairs AS (SELECT y.doc_id, x.doc_id AS leader, count(*) AS c, any_value(x.n + y.n) AS t FROM ones x JOIN ones y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL)
+    SELECT doc_id, leader, 1.0::DOUBLE AS jaccard FROM firsts WHERE leader <> doc_id
+    UNION ALL SELECT doc_id, leader, round(c / (t - c), 6) FROM pairs WHERE c / (t - c) >= 0.8""",
+)
+def h2_exact(spark, folder):
+    """The pairs of all classes of equal shingles, and each class's members."""
+    out = similarity.exact_near_duplicates(documents(spark, folder), hashed=quality.md5_number)
+    return out.withColumn("jaccard", F.round("jaccard", 6))
