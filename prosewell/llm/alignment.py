@@ -19,6 +19,7 @@ import os
 import re
 from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -34,7 +35,7 @@ PIECE = 1 << 16
 # Bytes of a fragment, and how many neighbours a step composes.
 RANGE = 1 << 14
 FAN = 8
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 CACHED_UNITS = 200_000
 # The table of linked pairs is broadcast up to this many rows (and the bytes of `joins.lookup`).
 PAIR_ROWS = 2_000_000
@@ -49,7 +50,8 @@ LINK_TYPE = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.i
 _CUT = re.compile(r"(?<=\S) (?=.)", re.S)
 # Blanks that do not stand alone between two words.
 _ODD = re.compile(r"(?:^|\s) | $")
-_PLAIN = re.compile(r"([A-Za-z]+)([.,]?)")
+# A word of Latin letters, and a stop or comma after it.
+_PLAIN = re.compile("([A-Za-zªµºÀ-ÖØ-öø-ɏ]+)([.,]?)")
 
 
 def units_of(text: str) -> list[str]:
@@ -78,7 +80,7 @@ def _byte_of_letter() -> dict[str, int]:
 
 
 class TokenTables:
-    """Both tokenizers' ids and byte lengths of units, each unit looked up once."""
+    """Both tokenizers' ids of units, each unit looked up once."""
 
     def __init__(self, byte_level: str, pieces: str, cached: int = CACHED_UNITS) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -89,6 +91,7 @@ class TokenTables:
         self._a.encode_special_tokens = True
         self._b = SentencePieceProcessor(model_file=pieces)
         letters = _byte_of_letter()
+        self._letters = {b: ord(c) for c, b in letters.items()}
         vocabulary = self._a.get_vocab(with_added_tokens=True)
         self.a_bytes = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
@@ -115,12 +118,13 @@ class TokenTables:
         self._starts = [np.zeros(1, dtype=np.int64)] * 2
 
     def _encode_a(self, units: list[str]) -> list[list[int]]:
-        """Ids of a blank and each unit. A word of A to Z is one part for the merges, a stop or comma after it another."""
+        """Ids of a blank and each unit. A word is one part for the merges, a stop or comma after it another."""
         merges, out, rest = self._a.model.tokenize, [], []
         for k, unit in enumerate(units):
             plain = _PLAIN.fullmatch(unit)
             if plain:
-                ids = [t.id for t in merges("Ġ" + plain[1])]
+                spelled = plain[1].encode().decode("latin-1").translate(self._letters)
+                ids = [t.id for t in merges("Ġ" + spelled)]
                 out.append(ids + [t.id for t in merges(plain[2])] if plain[2] else ids)
             else:
                 out.append([])
@@ -132,18 +136,32 @@ class TokenTables:
 
     def _learn(self, units: list[str]) -> None:
         a, b = self._encode_a(units), self._b.encode(units, num_threads=1)
-        spell_a, spell_b = self.a_bytes.__getitem__, self.b_bytes.__getitem__
-        ok = np.zeros(len(units), dtype=bool)
-        for k, unit in enumerate(units):
-            wanted = b" " + unit.encode("utf-8", "surrogatepass")
-            ok[k] = b"".join(map(spell_a, a[k])) == wanted == b"".join(map(spell_b, b[k]))
-        self._known |= zip(units, range(len(self._known), len(self._known) + len(units)), strict=True)
+        ids, starts = [], []
+        for found in (a, b):
+            counts = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+            flat = array("i", chain.from_iterable(found))
+            ids.append(np.asarray(flat, dtype=np.int32))
+            starts.append(np.append(0, np.cumsum(counts)))
+        wanted = [b" " + u.encode("utf-8", "surrogatepass") for u in units]
+        lengths = np.fromiter(map(len, wanted), dtype=np.int64, count=len(wanted))
+        ok = np.ones(len(units), dtype=bool)
+        for flat, start, size, spelled in zip(
+            ids, starts, (self.a_size, self.b_size), (self.a_bytes, self.b_bytes), strict=True
+        ):
+            upto = np.append(0, np.cumsum(size[flat]))[start]
+            whole = b"".join(map(spelled.__getitem__, flat.tolist()))
+            if (np.diff(upto) == lengths).all() and whole == b"".join(wanted):
+                continue
+            for k, (x, y) in enumerate(zip(upto[:-1].tolist(), upto[1:].tolist(), strict=True)):
+                ok[k] &= whole[x:y] == wanted[k]
+        first = len(self._known)
+        self._known |= zip(units, range(first, first + len(units)), strict=True)
         self._ok = np.append(self._ok, ok)
-        for side, ids in enumerate((a, b)):
-            flat = np.asarray(array("i", [i for one in ids for i in one]), dtype=np.int32)
-            ends = self._starts[side][-1] + np.cumsum([len(one) for one in ids], dtype=np.int64)
-            self._ids[side] = np.append(self._ids[side], flat)
-            self._starts[side] = np.append(self._starts[side], ends)
+        for side in (0, 1):
+            self._ids[side] = np.append(self._ids[side], ids[side])
+            self._starts[side] = np.append(
+                self._starts[side], self._starts[side][-1] + starts[side][1:]
+            )
 
     def tokens(self, texts: Sequence[str]) -> tuple[np.ndarray, list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
         """Which texts both tokenizers keep, and for A and B: ids, ends and number of tokens per text.
@@ -160,7 +178,7 @@ class TokenTables:
         counts = np.fromiter(map(len, split), dtype=np.int64, count=len(split))
         total = int(counts.sum())
         codes = np.fromiter(
-            (c for one in split for c in map(self._known.__getitem__, one)), np.int64, total
+            map(self._known.__getitem__, chain.from_iterable(split)), np.int64, total
         )
         text = np.repeat(np.arange(len(split)), counts)
         ok = np.bincount(text[~self._ok[codes]], minlength=len(split)) == 0
