@@ -42,6 +42,14 @@ def _among(tokens: Column, listed: list[str]) -> Column:
     return F.size(F.filter(tokens, lambda t: t.isin(listed))).cast("bigint")
 
 
+def lexicon_signs(lexicon: DataFrame) -> DataFrame:
+    """(token, _pos, _neg): 1 where the lexicon lists the word with that sign, else 0."""
+    return _entries(lexicon).groupBy("token").agg(
+        F.max((F.col("polarity") > 0).cast("int")).alias("_pos"),
+        F.max((F.col("polarity") < 0).cast("int")).alias("_neg"),
+    )
+
+
 def count_polarity(
     docs: DataFrame, lexicon: DataFrame, col: str = "text", key: str | Sequence[str] = "doc_id"
 ) -> DataFrame:
@@ -66,10 +74,7 @@ def count_polarity(
         )
         scored = docs.select(*keys, F.inline(F.array(counts)))
     else:
-        per_word = _entries(lexicon).groupBy("token").agg(
-            F.max((F.col("polarity") > 0).cast("int")).alias("_pos"),
-            F.max((F.col("polarity") < 0).cast("int")).alias("_neg"),
-        )
+        per_word = lexicon_signs(lexicon)
         rows = docs.withColumn("_row", F.monotonically_increasing_id())
         tokens = rows.select(*keys, "_row", F.explode_outer(T.words(col)).alias("token"))
         marked = lookup(tokens, per_word, "token", "left")

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 Query = Callable[[SparkSession, str], DataFrame]
 
 # The modules of this package that register queries.
-MODULES = ["text", "sentiment", "messaging", "sensing", "learning", "clustering", "auditing", "timeline"]
+MODULES = ["text", "sentiment", "messaging", "sensing", "learning", "clustering", "auditing", "timeline", "streams"]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}

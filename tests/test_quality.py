@@ -80,3 +80,35 @@ def test_stream_resumes_and_equals_the_batch(spark, folder, tmp_path):
     both = score_stream(spark, source, "doc_id bigint, text string", lexicon, target, files_per_batch=2)
     batch = opinion.classify_polarity(opinion.count_polarity(docs, lexicon))
     assert sorted(both.select(batch.columns).collect()) == sorted(batch.collect())
+
+
+@pytest.mark.parametrize("limit", [opinion.INLINE_WORDS, 3])
+def test_stream_after_a_batch_that_was_killed(spark, folder, tmp_path, monkeypatch, limit):
+    """Files of a batch that never was committed are not seen, and the batch is written once more; with sets and with a join."""
+    import glob
+    import os
+
+    monkeypatch.setattr(opinion.inline_words, "__defaults__", (limit,))
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    docs = docs.unionByName(docs.limit(3)).unionByName(docs.limit(1).selectExpr("NULL AS doc_id", "CAST(NULL AS string) AS text"))
+    lexicon = fx.opinion_lexicon(spark)
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    args = spark, source, "doc_id bigint, text string", lexicon, target
+    assert score_stream(*args).count() == 0
+    os.makedirs(source)
+    assert score_stream(*args).count() == 0
+    docs.repartition(4).write.mode("append").parquet(source)
+    first = score_stream(*args, files_per_batch=2)
+    batch = opinion.classify_polarity(opinion.count_polarity(docs, lexicon))
+    wanted = sorted(batch.select(first.columns).collect(), key=str)
+    assert sorted(first.collect(), key=str) == wanted
+    whole = spark.read.parquet(f"{target}/rows").count()
+    # Take back the last batch's commit, as if the driver had died between writing and committing.
+    os.remove(max(glob.glob(f"{target}/progress/commits/[0-9]*"), key=os.path.getmtime))
+    for crc in glob.glob(f"{target}/progress/commits/.*.crc") + glob.glob(f"{target}/rows/_spark_metadata/.*.crc"):
+        os.remove(crc)
+    os.remove(max(glob.glob(f"{target}/rows/_spark_metadata/[0-9]*"), key=os.path.getmtime))
+    assert spark.read.parquet(f"{target}/rows").count() < whole
+    again = score_stream(*args, files_per_batch=2)
+    assert sorted(again.collect(), key=str) == wanted
+    assert sorted(score_stream(*args).collect(), key=str) == wanted
