@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosewell.operators import temporal
+from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query
+from prosewell.plans.sentiment import TURN_LEXICON, _turn_sql
 from prosewell.sources.store import fresh_path
 from prosewell.sources.tables import read_table
 from prosewell.streaming import windows
+from prosewell.streaming.running import running_polarity
 
 EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 # Files arrive every three days; one event in thirteen arrives late by a week. Windows are a day, the watermark two days behind.
@@ -51,3 +54,18 @@ def k4(spark, folder):
     return out.select(
         started, "event_type", "arrived", "rows", F.round("total", 4).alias("total"), "late", "closed"
     )
+
+
+@query("K5_running_polarity", _turn_sql("conv_id"))
+def k5(spark, folder):
+    """Polarity of every conversation after its turns have arrived in three files, kept as state in between."""
+    turns = read_table(spark, folder, "conversations")
+    source = fresh_path(spark, "turns")
+    for part in range(3):
+        turns.filter(F.col("turn") % 3 == part).write.mode("append").parquet(source)
+    schema = "conv_id bigint, turn bigint, role string, text string"
+    lexicon = fx.table(spark, TURN_LEXICON, "word string, polarity int")
+    totals, _ = running_polarity(
+        spark, source, schema, lexicon, fresh_path(spark, "running"), "conv_id", files_per_batch=1
+    )
+    return totals.select("conv_id", "docs", "pos", "neg", "net")

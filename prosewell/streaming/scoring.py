@@ -17,11 +17,11 @@ PLACE = ["_file", "_row"]
 
 
 def partial_counts(stream: DataFrame, lexicon: DataFrame, col: str, keys: Sequence[str]) -> DataFrame:
-    """(keys, _file, _row, tokens, pos, neg) in parts that add up to a document's counts. No state, no aggregate.
+    """(keys, _file, _row, tokens, pos, neg, _whole) in parts that add up to a document's counts. No state, no aggregate.
 
     A lexicon of a few thousand words becomes sets in the plan, and a document is one part. A larger one is joined: a static
     table that is broadcast if its measured size allows it, else shuffled; then a document has a part for all of its tokens and
-    one for each distinct word of it that the lexicon lists.
+    one for each distinct word of it that the lexicon lists. `_whole` marks one part of each document.
     """
     placed = stream.select(
         *(F.col(f"`{k}`") for k in keys),
@@ -30,7 +30,8 @@ def partial_counts(stream: DataFrame, lexicon: DataFrame, col: str, keys: Sequen
         F.col("_metadata.row_index").alias("_row"),
     )
     if opinion.inline_words(lexicon) is not None:
-        return opinion.count_polarity(placed, lexicon, "_text", [*keys, *PLACE]).drop("net")
+        whole = opinion.count_polarity(placed, lexicon, "_text", [*keys, *PLACE])
+        return whole.drop("net").withColumn("_whole", F.lit(True))
     words = F.coalesce(T.words("_text"), F.array().cast("array<string>"))
     whole = F.array(F.struct(F.lit(None).cast("string").alias("token"), F.size("_words").cast("bigint").alias("tf")))
     parts = placed.withColumn("_words", words).select(
@@ -49,6 +50,7 @@ def partial_counts(stream: DataFrame, lexicon: DataFrame, col: str, keys: Sequen
         F.when(F.col("token").isNull(), F.col("tf")).otherwise(0).alias("tokens"),
         counted("_pos").alias("pos"),
         counted("_neg").alias("neg"),
+        F.col("token").isNull().alias("_whole"),
     )
 
 
@@ -81,5 +83,5 @@ def score_stream(
     if opinion.inline_words(lexicon) is None:
         sums = [F.sum(c).alias(c) for c in ("tokens", "pos", "neg")]
         parts = parts.groupBy(*keys, *PLACE).agg(*sums)
-    scores = parts.drop(*PLACE).withColumn("net", F.col("pos") - F.col("neg"))
+    scores = parts.drop(*PLACE, "_whole").withColumn("net", F.col("pos") - F.col("neg"))
     return opinion.classify_polarity(scores)

@@ -3,8 +3,11 @@
 import datetime as dt
 import os
 
-from prosewell.operators import temporal
+import pytest
+from prosewell.operators import opinion, temporal
+from prosewell.session import ship
 from prosewell.streaming import windows
+from prosewell.streaming.running import running_polarity
 
 SCHEMA = "id long, ts timestamp_ntz, by string, value double, start string"
 DAY = dt.datetime(2024, 1, 1)
@@ -102,3 +105,60 @@ def test_closed_windows_equal_the_batch(spark, folder, tmp_path):
     assert got.items() <= wanted.items()
     last = max(r[1] for r in wanted)
     assert len(got) >= len([r for r in wanted if r[2] < last - dt.timedelta(days=1)])
+
+
+TURNS = "conv_id long, turn long, text string"
+WORDS = [("good", 1), ("bad", -1), ("mixed", 1), ("mixed", -1)]
+
+
+def plain_totals(turns):
+    out = {}
+    for conv, _, text in turns:
+        words = (text or "").split()
+        pos = sum(w in ("good", "mixed") for w in words)
+        neg = sum(w in ("bad", "mixed") for w in words)
+        was = out.get(conv, (0, 0, 0, 0))
+        out[conv] = tuple(a + b for a, b in zip(was, (1, len(words), pos, neg), strict=True))
+    return out
+
+
+@pytest.mark.parametrize("limit", [opinion.INLINE_WORDS, 1])
+def test_running_polarity_resumes_and_expires(spark, tmp_path, monkeypatch, limit):
+    """Three calls over growing input equal the batch after each; state idle for long is dropped, its counts are not."""
+    monkeypatch.setattr(opinion.inline_words, "__defaults__", (limit,))
+    ship(spark)
+    source, target = str(tmp_path / "in"), str(tmp_path / "out")
+    lexicon = spark.createDataFrame(WORDS, "word string, polarity int")
+    # Conversation 0 has a third of all turns.
+    turns = [(0 if i % 3 == 0 else i % 7, i, ["good day", "bad mixed bad", None, "", "good good"][i % 5]) for i in range(60)]
+    turns += [(None, 1, "good"), (None, 1, "good"), (3, 5, "bad")]
+
+    def run(idle_ms):
+        totals, history = running_polarity(
+            spark, source, TURNS, lexicon, target, "conv_id", idle_ms=idle_ms, files_per_batch=1
+        )
+        columns = ["docs", "tokens", "pos", "neg"]
+        rows = totals.collect()
+        assert all(r.net == r.pos - r.neg for r in rows)
+        return {r.conv_id: tuple(r[c] for c in columns) for r in rows}, {r.conv_id: r.episodes for r in rows}, history
+
+    assert run(60_000)[0] == {}
+    for k in range(2):
+        spark.createDataFrame(turns[k::4], TURNS).coalesce(1).write.mode("append").parquet(source)
+    found, episodes, history = run(60_000)
+    assert found == plain_totals(turns[0::4] + turns[1::4]) and history.filter("expired").count() == 0
+    spark.createDataFrame(turns[2::4], TURNS).coalesce(1).write.mode("append").parquet(source)
+    found, episodes, history = run(1)
+    assert found == plain_totals(turns[0::4] + turns[1::4] + turns[2::4])
+    # State that was set idle after a millisecond has expired by the next batch, and begins anew.
+    spark.createDataFrame(turns[3::4], TURNS).coalesce(1).write.mode("append").parquet(source)
+    found, episodes, history = run(1)
+    assert found == plain_totals(turns) and max(episodes.values()) > 1
+    assert history.filter("expired").count() > 0
+    # A conversation's history only grows within an episode.
+    steps = {}
+    for r in history.collect():
+        steps.setdefault((r.conv_id, r._slice, r.since), []).append((r.version, r.docs, r.tokens))
+    for some in steps.values():
+        some.sort()
+        assert all(a[0] < b[0] and a[1] <= b[1] and a[2] <= b[2] for a, b in zip(some, some[1:], strict=False))
