@@ -21,9 +21,11 @@ import struct
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,7 @@ END_ID = 2
 HEAD = struct.Struct("<4sIQI")
 BLOCK_HEAD = struct.Struct("<IBH")
 CACHED_PIECES = 400_000
+ROWS = 2_000
 
 SEGMENTS = (
     "part int, segment int, first long, doc_ids array<long>, lengths array<long>, payload binary"
@@ -160,15 +163,20 @@ _CLASSES = bytes(
     else ord("m") if 0x1C <= b <= 0x1F else ord("x")
     for b in range(256)
 )
-_STOP_AFTER_OTHER = re.compile(r"(?:^|[^\w]|_)[.,]")
+_LATIN = re.compile("[A-Za-zªµºÀ-ÖØ-öø-ɏ]+")
+# The letters that byte-level vocabularies are spelled with: printable Latin-1 is itself, the rest follows from U+0100 on.
+_OWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_LETTERS = {b: 256 + i for i, b in enumerate(b for b in range(256) if b not in set(_OWN))}
+_BEFORE_STOP = re.compile(r"([^\x00-\x7F])[.,]")
 
 
 class PieceEncoder:
     """Ids of whole texts by a byte-level tokenizer file.
 
     Such a tokenizer always parts a text before a blank that is followed by a word, around a lone newline, and between a letter or digit
-    and a stop or comma. So a text of single blanks and newlines is encoded part by part, and a part met before is looked up. The
-    table of parts has a bound; beyond it new parts are encoded each time. Any other text is encoded whole.
+    and a stop or comma. So a text of single blanks and newlines is encoded part by part, and a part met before is looked up. The parts of a
+    batch are cut and told apart by Arrow; only distinct ones come to Python, and ids are gathered for all at once. The
+    table of parts has a bound; beyond it the parts that were met in fewest batches go. Any other text is encoded whole.
     """
 
     def __init__(self, path: str, cached: int = CACHED_PIECES) -> None:
@@ -178,59 +186,95 @@ class PieceEncoder:
         self._library = Tokenizer.from_file(path)
         self._specials = [t.content for t in self._library.get_added_tokens_decoder().values()]
         self._cached = cached
-        self._known: dict[str, bytes] = {}
-        # Parts that must not be encoded alone: empty, or with other white space in them.
-        self._odd: set[str] = set()
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
+        self._known: dict[str, int] = {}
+        # By part: its ids, from one start to the next, and whether it must not be encoded alone: empty, or with other white space in it.
+        self._ids = np.zeros(0, dtype="<u4")
+        self._starts = np.zeros(1, dtype=np.int64)
+        self._odd = np.zeros(0, dtype=bool)
+        self._met = np.zeros(0, dtype=np.int32)
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
         found = self._library.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        return [e.ids for e in found]
 
     def _learn(self, parts: list[str]) -> None:
-        """Add parts to the table. Words of A to Z are one piece by themselves and go to the merges at once; a blank is spelled `Ġ` there."""
-        merges, rest = self._library.model.tokenize, []
-        for part in parts:
-            if part.isalpha() and part.isascii():
-                self._known[part] = array("I", [t.id for t in merges("Ġ" + part)]).tobytes()
-            else:
-                rest.append(part)
-        plain = [p[1:] if p[:1] in _MARKS else p if p == "\n" else " " + p for p in rest]
-        self._odd.update(
-            p for p, t in zip(rest, plain, strict=True)
-            if p != "\n" and t.split() != [t.removeprefix(" ")]
-        )
-        self._known |= zip(rest, self._ids(plain), strict=True)
+        """Add parts to the table. Words of Latin letters are one piece by themselves and go to the merges at once, spelled as their vocabulary is."""
+        merges, latin, letters = self._library.model.tokenize, _LATIN.fullmatch, _LETTERS
+        ids: list[list[int]] = [[]] * len(parts)
+        odd = np.zeros(len(parts), dtype=bool)
+        rest, plain = [], []
+        for k, part in enumerate(parts):
+            if latin(part):
+                spelled = part if part.isascii() else part.encode().decode("latin-1").translate(letters)
+                ids[k] = [t.id for t in merges("Ġ" + spelled)]
+                continue
+            text = part[1:] if part[:1] in _MARKS else part if part == "\n" else " " + part
+            odd[k] = part != "\n" and text.split() != [text.removeprefix(" ")]
+            rest.append(k)
+            plain.append(text)
+        for k, one in zip(rest, self._whole(plain), strict=True):
+            ids[k] = one
+        first = len(self._known)
+        self._known |= zip(parts, range(first, first + len(parts)), strict=True)
+        ends = self._starts[-1] + np.cumsum([len(one) for one in ids], dtype=np.int64)
+        flat = array("I", chain.from_iterable(ids))
+        self._ids = np.append(self._ids, np.asarray(flat, dtype="<u4"))
+        self._starts = np.append(self._starts, ends)
+        self._odd = np.append(self._odd, odd)
+        self._met = np.append(self._met, np.zeros(len(parts), dtype=np.int32))
+
+    def _forget(self) -> None:
+        """Keep the parts met in most batches: those of more than one, at most half of the bound."""
+        least = 2
+        while (kept := self._met >= least).sum() > self._cached // 2:
+            least *= 2
+        sizes = np.diff(self._starts)
+        self._ids = self._ids[np.repeat(kept, sizes)]
+        self._starts = np.append(0, np.cumsum(sizes[kept]))
+        self._odd, self._met = self._odd[kept], self._met[kept] // 2
+        parts = compress(self._known, kept.tolist())
+        self._known = dict(zip(parts, range(int(kept.sum())), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian uint32 ids of each text."""
-        parts = [self._parts(t) for t in texts]
-        met: set[str] = set()
-        met.update(*(p for p in parts if p))
-        new = list(met.difference(self._known))
+        prepared = pa.array([self._prepared(t) for t in texts], pa.large_string())
+        lists = pc.split_pattern(prepared, " ")
+        counts = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+        parts = lists.flatten().dictionary_encode()
+        distinct = parts.dictionary.to_pylist()
+        new = [p for p in distinct if p not in self._known]
         self._learn(new)
-        get, odd = self._known.__getitem__, self._odd
-        out = [
-            b"".join(map(get, part))
-            if part and (not odd or odd.isdisjoint(part))
-            else self._ids([text])[0]
-            for text, part in zip(texts, parts, strict=True)
-        ]
+        codes = np.fromiter(map(self._known.__getitem__, distinct), np.int32, len(distinct))
+        self._met[codes] += 1
+        alone = prepared.is_valid().to_numpy(zero_copy_only=False)
+        odd = self._odd[codes]
+        if odd.any():
+            text = np.repeat(np.arange(len(texts)), counts)
+            alone &= np.bincount(text[odd[parts.indices.to_numpy()]], minlength=len(texts)) == 0
+        table = pa.LargeListArray.from_arrays(self._starts, pa.array(self._ids))
+        found = table.take(pa.array(codes)).take(parts.indices)
+        flat = memoryview(found.flatten().to_numpy()).cast("B")
+        ends = found.offsets.to_numpy()[np.append(0, np.cumsum(counts))] - found.offsets[0].as_py()
+        ends = (4 * ends).tolist()
+        out = [bytes(flat[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        whole = np.flatnonzero(~alone).tolist()
+        for k, ids in zip(whole, self._whole([texts[k] for k in whole]), strict=True):
+            out[k] = array("I", ids).tobytes()
         if len(self._known) > self._cached:
-            for part in new:
-                del self._known[part]
-            self._odd.difference_update(new)
+            self._forget()
         return out
 
-    def _parts(self, text: str) -> list[str] | None:
+    def _prepared(self, text: str) -> str | None:
+        """The text with a blank between any two of its parts; None if it is to be encoded whole."""
         classes = text.encode("utf-8", "surrogatepass").translate(_CLASSES)
         if b"m" in classes or any(s in text for s in self._specials):
             return None
         alone = b"x." not in classes and b".." not in classes and classes[:1] != b"."
         if alone and b"h." in classes:
-            alone = not _STOP_AFTER_OTHER.search(text)
+            alone = all(map(str.isalnum, set(_BEFORE_STOP.findall(text))))
         if alone:
             text = text.replace(",", " \x1f,").replace(".", " \x1f.")
-        return (_FIRST + text.replace("\n", " \n \x1d")).split(" ")
+        return _FIRST + text.replace("\n", " \n \x1d")
 
 
 _encoders: dict[str, PieceEncoder] = {}
@@ -280,7 +324,7 @@ def _writer(
             return _segment_batch([row])
 
         for whole in batches:
-            for batch in sliced(whole, 1_000):
+            for batch in sliced(whole, ROWS):
                 ids = encoder(tokenizer).encode(batch.column("text").to_pylist())
                 for doc_id, one in zip(batch.column("doc_id").to_pylist(), ids, strict=True):
                     doc_ids.append(doc_id)
