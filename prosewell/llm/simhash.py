@@ -12,13 +12,14 @@ but `bits`, where a list holds at most 256**bits entries, whatever the data, and
 from __future__ import annotations
 
 import itertools
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from prosewell.llm.common import LOWER, sliced, stored, text_of
 from prosewell.operators.joins import lookup
@@ -80,16 +81,17 @@ def _fingerprints(shingle: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator
                     _signed(fingerprint(t, shingle)) for t in batch.column("text").to_pylist()
                 ]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(found, pa.int64())], ["doc_id", "fp"]
+                    [*batch.columns[:-1], pa.array(found, pa.int64())], [*batch.schema.names[:-1], "fp"]
                 )
 
     return run
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): a row per document; a null text counts as empty, and an empty one has fingerprint 0."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    return rows.mapInArrow(_fingerprints(shingle), "doc_id long, fp long")
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, marks: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, marks, fp): a row per document; a null text counts as empty, and an empty one has fingerprint 0. `marks` are whole numbers to carry along."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *marks, text_of().alias("text"))
+    kinds = "".join(f"{m} long, " for m in marks)
+    return rows.mapInArrow(_fingerprints(shingle), f"doc_id long, {kinds}fp long")
 
 
 # ---------------------------------------------------------------------------- links
@@ -333,35 +335,50 @@ def near_copies(
     group of none but such rows has none. Empty and null texts share fingerprint 0 and link like any other. Repeated rows stay.
     An empty table gives no row.
     """
-    prints = stored(fingerprints(docs, shingle), "fingerprints")
+    rows = grouped(stored(fingerprints(docs, shingle), "fingerprints"), bits, long_list)
+    return rows.select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+    )
+
+
+def grouped(prints: DataFrame, bits: int = BITS, long_list: int = LONG_LIST) -> DataFrame:
+    """The rows of `prints` (doc_id, fp, any other columns), stored, with `root`, the least fingerprint that theirs reaches, and `component_id`."""
     entries = cut(prints.groupBy("fp").agg(F.min("doc_id").alias("first")))
     roots = components(links(entries.select("fp"), bits, long_list))
     linked = roots.unionByName(roots.select(F.col("root").alias("node"), "root").distinct())
     linked = cut(entries.join(linked, entries["fp"] == linked["node"]).select("fp", "first", "root"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
     groups = lookup(linked.select("fp", "root"), cut(least), "root", max_rows=BROADCAST_ROWS)
+    component = F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id"))
     whole = entries.join(groups, "fp", "left").select(
-        "fp", F.when(F.col("root").isNull(), F.col("first")).otherwise(F.col("component_id")).alias("component_id")
-    )
-    rows = lookup(prints, cut(whole), "fp", max_rows=BROADCAST_ROWS)
-    return rows.select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
+        "fp", F.coalesce("root", "fp").alias("root"), component.alias("component_id")
     )
+    return lookup(prints, cut(whole), "fp", max_rows=BROADCAST_ROWS)
+
+
+# Two hashes of a whole row, as its name: rows of one name are equal.
+MARKS = ["_mark1", "_mark2"]
 
 
 def one_of_each(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The rows of `docs` (doc_id, text, any other columns) but for one document of each group: that of the smallest doc_id.
+    """The rows of `docs` (doc_id, text, any other columns) but for one row of each group: of the smallest doc_id, and of its rows the one of the smallest hash.
 
-    Rows that share a doc_id are one document, and one of them stays. A row without doc_id stays. Only the ids of documents that go, and of
-    repeated ones, are joined with the texts.
+    Rows decide, not ids: doc_ids may repeat with unlike texts or be missing (they come last), and every group keeps exactly one row. The rows that go, and
+    the names of rows that occur more than once, are joined with the texts; a name is a hash of the whole row, 128 bits long.
     """
-    groups = stored(near_copies(docs, shingle, bits), "groups")
-    gone = cut(groups.filter("doc_id <> component_id").select("doc_id").distinct())
-    kept = lookup(docs, gone, "doc_id", "left_anti", max_rows=BROADCAST_ROWS)
-    again = cut(groups.groupBy("doc_id").count().filter("count > 1 AND doc_id IS NOT NULL"))
+    columns = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, T.MapType)]
+    named = docs.withColumns({m: F.xxhash64(F.lit(i), *columns) for i, m in enumerate(MARKS)})
+    rows = stored(grouped(stored(fingerprints(named, shingle, MARKS), "fingerprints"), bits), "groups")
+    own = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *MARKS)
+    winners = cut(rows.groupBy("root").agg(F.min(own).alias("w"), F.count(F.lit(1)).alias("members")))
+    several = winners.filter("members > 1").select("root", F.col("w._mark1").alias("_w1"), F.col("w._mark2").alias("_w2"), "members")
+    met = lookup(rows.select("root", *MARKS), several, "root", rows_per_key="members", max_rows=BROADCAST_ROWS)
+    wins = (F.col("_mark1") == F.col("_w1")) & (F.col("_mark2") == F.col("_w2"))
+    gone = cut(met.filter(~wins).select(*MARKS).distinct())
+    again = cut(met.filter(wins).groupBy(*MARKS).count().filter("count > 1").select(*MARKS))
+    kept = lookup(named, gone, MARKS, "left_anti", max_rows=BROADCAST_ROWS)
     if again.isEmpty():
-        return kept
-    again = again.select("doc_id")
-    single = lookup(kept, again, "doc_id", "left_anti", max_rows=BROADCAST_ROWS)
-    repeated = lookup(kept, again, "doc_id", "left_semi", max_rows=BROADCAST_ROWS)
-    return single.unionByName(repeated.dropDuplicates(["doc_id"]))
+        return kept.drop(*MARKS)
+    single = lookup(kept, again, MARKS, "left_anti", max_rows=BROADCAST_ROWS)
+    repeated = lookup(kept, again, MARKS, "left_semi", max_rows=BROADCAST_ROWS)
+    return single.unionByName(repeated.dropDuplicates(MARKS)).drop(*MARKS)

@@ -104,6 +104,29 @@ def test_one_of_each(spark):
     assert sh.one_of_each(documents(spark, [])).count() == 0
 
 
+A, B, C = ("".join(f"{w}{i} " for i in range(40)) for w in "xyz")
+
+
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(3, A), (5, A), (5, B), (8, B)],
+        [(None, A), (None, A), (None, B), (2, B), (2, B), (2, A), (2, C), (None, None), (4, "")],
+        [(1, A)] * 5 + [(1, B)] * 3 + [(None, C)] * 4,
+    ],
+)
+def test_every_group_keeps_one_row(spark, rows):
+    """Repeated and missing ids: each text keeps exactly one row, that of the smallest id."""
+    docs = documents(spark, [(i, t, "en", f"s{n % 2}") for n, (i, t) in enumerate(rows)])
+    kept = sh.one_of_each(docs).collect()
+    want = {}
+    for i, t in rows:
+        want.setdefault(t or "", set()).add(i)
+    want = [(min((i for i in ids if i is not None), default=None), t) for t, ids in want.items()]
+    assert sorted(((r.doc_id, r.text or "") for r in kept), key=str) == sorted(want, key=str)
+    assert {tuple(r) for r in kept} <= {tuple(r) for r in docs.collect()}
+
+
 def test_query_equals_brute_force(spark, folder):
     from prosewell.plans.registry import QUERIES
 
