@@ -3,7 +3,7 @@
 A document's hash says when its turn comes. What a source's target has beyond whole passes over the source is met by taking every
 document up to a threshold hash. The threshold is found from sums of sizes by source and hash bucket: the bucket in which the running
 sum meets the target is cut into smaller buckets, again and again, and only its documents are summed for that. Nothing is sorted
-or gathered: a task holds a sum per source and bucket that it meets, and at most 4,096 sums of a source meet in one window.
+or gathered: a task holds a sum per source and bucket that it meets, and at most 4,096 sums of a source meet in one window. Sources are ranked in one task, a row each.
 """
 
 from __future__ import annotations
@@ -26,10 +26,14 @@ def word_count(column: str = "text") -> Column:
     return F.regexp_count(text_of(column), F.lit(WORD)).cast("long")
 
 
-def turn(doc_id: Column) -> Column:
-    """A 60-bit hash: the first 15 hex digits of the MD5 of doc_id as text (null: 'null')."""
+def turn(doc_id: Column, text: Column) -> Column:
+    """A 60-bit hash: the first 15 hex digits of the MD5 of doc_id as text (null: 'null'), a colon and the MD5 of the text (null: empty).
+
+    Only rows of one id and one text have the same turn; how many of them are taken is told apart by `mixed`.
+    """
     name = F.coalesce(doc_id.cast("string"), F.lit("null"))
-    return F.conv(F.substring(F.md5(name), 1, 15), 16, 10).cast("long")
+    whole = F.concat(name, F.lit(":"), F.md5(F.coalesce(text, F.lit(""))))
+    return F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("long")
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -38,7 +42,7 @@ def sized(docs: DataFrame) -> DataFrame:
         "doc_id",
         F.col("source").cast("string").alias("source"),
         word_count().alias("size"),
-        turn(F.col("doc_id")).alias("turn"),
+        turn(F.col("doc_id"), text_of()).alias("turn"),
     )
 
 
@@ -85,10 +89,11 @@ def _key(source: Column) -> Column:
 def thresholds(
     sizes: DataFrame, targets: DataFrame, bits: int = HASH_BITS, level_bits: int = LEVEL_BITS
 ) -> DataFrame:
-    """(key, source, source_size, target, passes, threshold) for (source, size, turn) and (source, source_size, target).
+    """(key, source, source_size, target, passes, threshold, edge, edge_rows) for (source, size, turn) and (source, source_size, target).
 
-    The mix takes each document `passes` times, and once more if its turn is at most the threshold. Of the documents in
-    order of their turns it takes those up to the sum nearest to the target; documents of the same turn go together.
+    The mix takes each document `passes` times, and once more if its turn is at most the threshold, or if it is among `edge_rows` of the rows
+    whose turn is `edge`. In order of their turns that are the documents up to the sum nearest to the target; rows of one turn are of one size.
+    An empty table has no sources. A source without words has passes 0 and nothing to take.
     """
     docs = sizes.select(_key(F.col("source")).alias("key"), "size", "turn")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")))
@@ -103,7 +108,8 @@ def thresholds(
     plan = cut(plan.withColumn("rest", rest))
     state = plan.select(
         "key", "rest", F.lit(0).cast("long").alias("bucket"), F.lit(0).cast("long").alias("below"),
-        F.lit(-1).cast("long").alias("threshold"), F.col("rest").__gt__(0).alias("unclear"),
+        F.lit(-1).cast("long").alias("threshold"), F.lit(None).cast("struct<turn:bigint,rows:bigint>").alias("edge"),
+        F.col("rest").__gt__(0).alias("unclear"),
     )
     running = Window.partitionBy("key").orderBy("child")
     for used in range(level_bits, bits + level_bits, level_bits):
@@ -115,17 +121,21 @@ def thresholds(
         sums = (
             lookup(inside, unclear, ["key", "bucket"])
             .groupBy("key", "child", "below", "rest")
-            .agg(F.sum("size").alias("size"), F.min("turn").alias("first"), F.max("turn").alias("last"))
+            .agg(
+                F.sum("size").alias("size"), F.count(F.lit(1)).alias("rows"),
+                F.min("turn").alias("first"), F.max("turn").alias("last"),
+            )
             .withColumn("end", F.col("below") + F.sum("size").over(running))
             .withColumn("start", F.col("end") - F.col("size"))
         )
         one = F.col("first") == F.col("last")
         meets = (F.col("start") < F.col("rest")) & (F.col("end") > F.col("rest"))
-        nearer = F.col("start") + F.col("end") <= 2 * F.col("rest")
+        # Of rows of one turn, as many as bring the sum nearest to the target; of two equally near sums the greater.
+        rows = F.floor((F.col("rest") - F.col("start")) * F.col("rows") / F.col("size") + 0.5)
         top = F.shiftleft(F.col("child") + 1, shift) - 1
-        taken = F.when(F.col("end") <= F.col("rest"), top).when(meets & one & nearer, F.col("last"))
         found = sums.groupBy("key").agg(
-            F.max(taken).alias("found"),
+            F.max(F.when(F.col("end") <= F.col("rest"), top)).alias("found"),
+            F.max(F.when(meets & one, F.struct(F.col("first").alias("turn"), rows.cast("long").alias("rows")))).alias("at_edge"),
             F.max(F.when(meets & ~one, F.struct("child", "start"))).alias("next"),
         )
         state = cut(
@@ -135,20 +145,42 @@ def thresholds(
                 F.coalesce("next.child", "bucket").alias("bucket"),
                 F.coalesce("next.start", "below").alias("below"),
                 F.greatest("threshold", "found").alias("threshold"),
+                F.coalesce("at_edge", "edge").alias("edge"),
                 F.col("next").isNotNull().alias("unclear"),
             )
         )
         if state.filter("unclear").isEmpty():
             break
-    return plan.drop("rest").join(state.select("key", "threshold"), "key")
+    edge = state.select("key", "threshold", F.col("edge.turn").alias("edge"), F.col("edge.rows").alias("edge_rows"))
+    return plan.drop("rest").join(edge, "key")
+
+
+def _numbered(rows: DataFrame, key: str) -> DataFrame:
+    """`rows`, stored, with `_number` from 1 within each key: counted within each task's rows, after what the tasks before have."""
+    held = cut(rows).withColumn("_task", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
+    held = cut(held)
+    tasks = held.groupBy(key, "_task").agg(F.count(F.lit(1)).alias("_own"))
+    before = Window.partitionBy(key).orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    tasks = tasks.withColumn("_before", F.coalesce(F.sum("_own").over(before), F.lit(0))).drop("_own")
+    own = F.row_number().over(Window.partitionBy(key, "_task").orderBy("_at"))
+    numbered = held.withColumn("_own", own).join(tasks, [key, "_task"])
+    return numbered.withColumn("_number", F.col("_before") + F.col("_own")).drop("_task", "_at", "_own", "_before")
 
 
 def mixed(docs: DataFrame, plan: DataFrame, copies: str = "copies") -> DataFrame:
-    """`docs` (source, turn, any other columns) with the number of times the mix takes each row, and its source's plan."""
+    """`docs` (source, turn, any other columns) with the number of times the mix takes each row, and its source's plan.
+
+    Rows of the turn at the edge of a source's target, one document and its repeated rows, are counted off; equal rows are told apart by their place alone, so
+    reruns give the same rows. An empty table gives an empty one.
+    """
     rows = docs.withColumn("key", _key(F.col("source")))
     joined = lookup(rows, plan.drop("source"), "key")
-    again = (F.col("turn") <= F.col("threshold")).cast("long")
-    return joined.withColumn(copies, F.col("passes") + again).drop("key", "passes", "threshold")
+    at_edge = F.coalesce(F.col("turn") == F.col("edge"), F.lit(False))
+    edge = _numbered(joined.filter(at_edge), "key")
+    inner = joined.filter(~at_edge).withColumn("_again", (F.col("turn") <= F.col("threshold")).cast("long"))
+    edge = edge.withColumn("_again", (F.col("_number") <= F.col("edge_rows")).cast("long")).drop("_number")
+    both = inner.unionByName(edge).withColumn(copies, F.col("passes") + F.col("_again"))
+    return both.drop("key", "passes", "threshold", "edge", "edge_rows", "_again")
 
 
 def plan_mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -158,12 +190,15 @@ def plan_mix(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """The rows of `docs` (doc_id, source, text, any other columns), each as often as the mix takes it."""
+    """The rows of `docs` (doc_id, source, text, any other columns), each as often as the mix takes it.
+
+    A null source is a source of its own, null and repeated ids are told apart by their texts, and an empty table gives an empty one.
+    """
     sizes = stored(sized(docs).drop("doc_id"), "sizes")
     rows = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
         F.col("source").cast("string").alias("source"),
-        turn(F.col("doc_id")).alias("turn"),
+        turn(F.col("doc_id"), text_of()).alias("turn"),
     )
     taken = mixed(rows, plan_mix(sizes, weights)).filter("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")

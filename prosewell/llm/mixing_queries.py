@@ -13,7 +13,7 @@ from prosewell.sources.tables import read_table
 OP4_SQL = r"""
 WITH docs AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
-    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null')), 1, 15))::BIGINT AS turn
+    ('0x' || substr(md5(coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS turn
   FROM documents
 ), totals AS (
   SELECT source, sum(size)::BIGINT AS source_size,
@@ -34,11 +34,11 @@ WITH docs AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS passes FROM targets
 ), summed AS (
   SELECT d.*, p.source_size, p.target, p.passes, p.target - p.passes * p.source_size AS rest,
-    sum(size) OVER (PARTITION BY d.source ORDER BY turn) AS upto, sum(size) OVER (PARTITION BY d.source, turn) AS same
+    sum(size) OVER (PARTITION BY d.source ORDER BY turn ROWS UNBOUNDED PRECEDING) AS upto
   FROM docs d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source
 )
 SELECT doc_id, size, source_size, target,
-  (size * (passes + CASE WHEN upto - same < rest AND 2 * upto - same <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
+  (size * (passes + CASE WHEN 2 * upto - size <= 2 * rest THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM summed
 """
 

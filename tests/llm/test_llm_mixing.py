@@ -1,3 +1,4 @@
+import itertools
 import random
 
 import pytest
@@ -39,7 +40,9 @@ def test_weights_by_code_point_and_null_last(spark):
 def test_threshold_is_nearest(spark, bits, level):
     rng = random.Random(level)
     docs = [(rng.choice(["a", "b", None]), rng.choice([0, 1, 5, 400]), rng.getrandbits(bits)) for _ in range(300)]
-    docs += docs[:5]
+    # Rows of one turn are rows of one document, so of one size.
+    size_of = {}
+    docs = [(o, size_of.setdefault((o, t), s), t) for o, s, t in docs + docs[:5] + [("a", 40, 77)] * 60]
     sizes = spark.createDataFrame(docs, "source string, size long, turn long")
     for share in (0.1, 0.7, 1.5, 1.99):
         totals = mixing.share_out(mixing.rotating_weights(mixing.source_totals(sizes)), share)
@@ -48,7 +51,10 @@ def test_threshold_is_nearest(spark, bits, level):
             own = [(t, s) for o, s, t in docs if o == source]
             rest = row.target - row.passes * row.source_size
             taken = sum(s for t, s in own if t <= row.threshold)
-            sums = [0] + [sum(s for t, s in own if t <= at) for at in sorted({t for t, _ in own})]
+            at_edge = [s for t, s in own if t == row.edge]
+            assert row.edge is None or (row.edge > row.threshold and 0 <= row.edge_rows <= len(at_edge))
+            taken += sum(at_edge[: row.edge_rows or 0])
+            sums = [0, *itertools.accumulate(s for _, s in sorted(own))]
             assert abs(taken - rest) == pytest.approx(min(abs(x - rest) for x in sums))
 
 
@@ -63,6 +69,20 @@ def test_mix_of_odd_documents(spark):
     assert mixing.mix(documents(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("ids", [[7] * 101, [None] * 101, list(range(50)) + [None] * 51])
+def test_equal_rows_do_not_go_together(spark, ids):
+    """101 rows of one text and of few ids, next to a source of other texts: the target is met to half a row."""
+    same = "word " * 101
+    docs = documents(spark, [(i, same, "en", "a") for i in ids] + [(900 + i, f"t{i} " * 30, "en", "b") for i in range(400)])
+    sizes = mixing.sized(docs)
+    rows = mixing.mixed(sizes, mixing.plan_mix(sizes)).filter("source = 'a'").collect()
+    assert len(rows) == 101 and {r.copies for r in rows} <= {0, 1, 2}
+    assert abs(sum(r["size"] * r.copies for r in rows) - rows[0].target) <= 101 / 2
+    mixed = sorted(map(str, mixing.mix(docs).collect()))
+    assert mixed == sorted(map(str, mixing.mix(docs).collect()))
+    assert len([r for r in mixed if "source='a'" in r]) == sum(r.copies for r in rows)
+
+
 def test_sources_come_near_their_targets(spark, folder):
     from prosewell.plans.registry import QUERIES
 
