@@ -16,11 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosewell.llm import text_counts
-from prosewell.llm.common import sampled, sliced, text_of
+from prosewell.llm.common import sampled, sliced, stored, text_of
 
-# Bounds of the training sample: documents, and bytes of a document that may be in it.
+# Bounds of the training sample: documents, bytes of a document that may be in it.
 SAMPLE_DOCS = 6_000
 SAMPLE_BYTES = 40_000
+# Lines of all documents of the sample, about, and of a chain in training.
+SAMPLE_LINES = 400_000
+STRETCH = 256
 MIN_WORDS = 10
 REPEAT_PERCENT = 20
 MIN_CONTENT = 0.5
@@ -103,59 +106,72 @@ def _log_sum(x: np.ndarray, axis: int) -> np.ndarray:
 def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 150, decay: float = 1e-3) -> LineModel:
     """Maximum conditional likelihood by gradient steps; a document's lines all have its label.
 
-    Forward and backward sums run over all documents at once, a line a step.
+    A document longer than `STRETCH` lines is learnt from as several chains of that length at most. Lines are kept in one array, line 0 of
+    all chains first, then line 1 of those that have one, longest chain first: nothing is padded, and memory follows the number of lines.
+    Forward and backward sums run over all chains at once, a line a step.
     """
     model = LineModel()
     if len({label for _, label in documents}) < 2:
         return model
-    documents = sorted(documents, key=lambda d: -len(d[0]))
-    lengths = np.array([len(x) for x, _ in documents])
-    gold = np.array([label for _, label in documents])
-    share = np.bincount(gold, minlength=2) / len(gold)
-    n, longest = len(documents), int(lengths[0])
-    x = np.zeros((longest, n, FEATURES))
-    for i, (rows, _) in enumerate(documents):
-        x[: len(rows), i] = rows
+    chains = [
+        (rows[at : at + STRETCH], label)
+        for rows, label in documents
+        for at in range(0, len(rows), STRETCH)
+    ]
+    chains.sort(key=lambda d: -len(d[0]))
+    lengths = np.array([len(x) for x, _ in chains])
+    gold = np.array([label for _, label in chains])
+    share = np.bincount([label for _, label in documents], minlength=2) / len(documents)
+    n, longest = len(chains), int(lengths[0])
     active = [int((lengths > t).sum()) for t in range(longest)]
+    starts = np.append(0, np.cumsum(active))
+    # Place of line t of chain i: starts[t] + i.
+    at = np.concatenate([starts[: len(rows)] + i for i, (rows, _) in enumerate(chains)])
+    x = np.empty((int(lengths.sum()), FEATURES), dtype=np.float32)
+    x[at] = np.concatenate([rows for rows, _ in chains])
+    line = [slice(int(starts[t]), int(starts[t + 1])) for t in range(longest)]
+    label = np.empty(len(x))
+    for t in range(longest):
+        label[line[t]] = gold[: active[t]]
+    last = starts[lengths - 1] + np.arange(n)
     total = lengths.sum()
     theta = np.zeros(FEATURES + 6)
     theta[0] = np.log(share[1] / share[0])
     mean, square = np.zeros_like(theta), np.zeros_like(theta)
+    forward, backward = np.zeros((len(x), 2)), np.zeros((len(x), 2))
+    norms = np.empty(len(x))
     for step in range(1, rounds + 1):
         w, steps, first = theta[:FEATURES], theta[FEATURES : FEATURES + 4].reshape(2, 2), theta[-2:]
         emit = x @ w
-        forward = np.zeros((longest, n, 2))
-        backward = np.zeros((longest, n, 2))
-        forward[0] = first + np.stack([np.zeros(n), emit[0]], 1)
+        forward[line[0]] = first + np.stack([np.zeros(n), emit[line[0]]], 1)
         for t in range(1, longest):
-            k = active[t]
-            new = _log_sum(forward[t - 1, :k, :, None] + steps, 1)
-            new[:, 1] += emit[t, :k]
-            forward[t, :k] = new
+            before = forward[line[t - 1]][: active[t]]
+            new = _log_sum(before[:, :, None] + steps, 1)
+            new[:, 1] += emit[line[t]]
+            forward[line[t]] = new
+        backward[:] = 0
         for t in range(longest - 2, -1, -1):
             k = active[t + 1]
-            after = backward[t + 1, :k].copy()
-            after[:, 1] += emit[t + 1, :k]
-            backward[t, :k] = _log_sum(steps[None] + after[:, None, :], 2)
-        norm = _log_sum(forward[lengths - 1, np.arange(n)], 1)
+            after = backward[line[t + 1]].copy()
+            after[:, 1] += emit[line[t + 1]]
+            backward[starts[t] : starts[t] + k] = _log_sum(steps[None] + after[:, None, :], 2)
+        norm = _log_sum(forward[last], 1)
+        for t in range(longest):
+            norms[line[t]] = norm[: active[t]]
+        missing = label - np.exp(forward[:, 1] + backward[:, 1] - norms)
         grad = np.zeros_like(theta)
+        grad[:FEATURES] = missing @ x
+        grad[-1] = missing[line[0]].sum()
+        grad[-2] = -grad[-1]
         g_steps = np.zeros((2, 2))
-        for t in range(longest):
+        for t in range(1, longest):
             k = active[t]
-            p = np.exp(forward[t, :k, 1] + backward[t, :k, 1] - norm[:k])
-            grad[:FEATURES] += (gold[:k] - p) @ x[t, :k]
-            if t == 0:
-                grad[-1] += (gold - p).sum()
-                grad[-2] -= (gold - p).sum()
-            else:
-                after = backward[t, :k].copy()
-                after[:, 1] += emit[t, :k]
-                pair = np.exp(
-                    forward[t - 1, :k, :, None] + steps + after[:, None, :] - norm[:k, None, None]
-                )
-                g_steps -= pair.sum(axis=0)
-                seen = np.bincount(gold[:k], minlength=2)
-                g_steps[[0, 1], [0, 1]] += seen
+            after = backward[line[t]].copy()
+            after[:, 1] += emit[line[t]]
+            before = forward[line[t - 1]][:k]
+            pair = np.exp(before[:, :, None] + steps + after[:, None, :] - norm[:k, None, None])
+            g_steps -= pair.sum(axis=0)
+            g_steps[[0, 1], [0, 1]] += np.bincount(gold[:k], minlength=2)
         grad[FEATURES : FEATURES + 4] = g_steps.ravel()
         grad = grad / total - decay * theta
         mean = 0.9 * mean + 0.1 * grad
@@ -169,9 +185,9 @@ def fit(documents: list[tuple[np.ndarray, int]], rounds: int = 150, decay: float
 def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in sliced(whole, 200):
-            rows = [line_features(t.split("\n")).ravel() for t in batch.column("text").to_pylist()]
+            rows = [line_features(t.split("\n")).astype("<f4").tobytes() for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("quality"), pa.array(rows, pa.list_(pa.float64()))],
+                [batch.column("quality"), pa.array(rows, pa.binary())],
                 ["quality", "features"],
             )
 
@@ -179,8 +195,8 @@ def _line_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> LineModel:
     """A model from `docs` (doc_id, text) and `labels` (doc_id, quality; 0 is bad).
 
-    Reads about `sample` labelled documents of at most `SAMPLE_BYTES`, chosen by a hash of doc_id. Without both kinds of documents
-    the model marks every line content.
+    Reads about `sample` labelled documents of at most `SAMPLE_BYTES` with about `SAMPLE_LINES` lines in all, chosen by a hash of doc_id. Without both kinds of documents
+    the model marks every line content. Null ids and other labels are left out; a text of an id that repeats counts as often as it occurs.
     """
     known = labels.filter("quality IN (0, 1) AND doc_id IS NOT NULL").select(
         F.col("doc_id").alias("key"), F.col("quality").cast("int").alias("quality")
@@ -188,9 +204,12 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS) -> Line
     chosen = sampled(known, [F.col("key")], sample, known.count())
     rows = docs.select(F.col("doc_id").alias("key"), text_of().alias("text"))
     rows = rows.filter(F.octet_length("text").between(1, SAMPLE_BYTES))
-    found = rows.join(F.broadcast(chosen), "key").select("quality", "text")
-    table = found.mapInArrow(_line_rows, "quality int, features array<double>").collect()
-    return fit([(np.array(r.features).reshape(-1, FEATURES), 1 - r.quality) for r in table])
+    found = stored(rows.join(F.broadcast(chosen), "key").select("key", "quality", "text"), "labelled")
+    lines = found.agg(F.coalesce(F.sum(F.size(F.split("text", "\n"))), F.lit(0))).first()[0]
+    found = sampled(found, [F.lit("lines"), F.col("key")], SAMPLE_LINES, lines).select("quality", "text")
+    table = found.mapInArrow(_line_rows, "quality int, features binary").collect()
+    rows = [(np.frombuffer(r.features, "<f4").reshape(-1, FEATURES), 1 - r.quality) for r in table]
+    return fit(sorted(rows, key=lambda r: (r[1], r[0].tobytes())))
 
 
 def judge(text: str, model: LineModel, min_content: float = MIN_CONTENT) -> tuple:

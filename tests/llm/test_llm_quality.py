@@ -77,6 +77,32 @@ def test_fit_raises_the_likelihood():
     assert likelihood(fitted) > np.mean([likelihood(m) for m in moved])
 
 
+def test_memory_of_training_follows_the_lines():
+    """A document of 40,000 lines among 6,000 short ones costs what its own lines cost."""
+    import tracemalloc
+
+    rng = np.random.default_rng(3)
+    docs = [(rng.normal(size=(10, line_crf.FEATURES)), k % 2) for k in range(6_000)]
+    docs.append((rng.normal(size=(40_000, line_crf.FEATURES)), 1))
+    tracemalloc.start()
+    model = line_crf.fit(docs, rounds=2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.isfinite(model.weights).all() and peak < 300e6
+
+
+def test_long_documents_are_learnt_as_stretches(monkeypatch):
+    """Four documents of 8 lines, cut in two, give the model of their eight halves."""
+    rng = np.random.default_rng(4)
+    docs = [(rng.normal(size=(8, line_crf.FEATURES)), k % 2) for k in range(4)]
+    halves = [(x[i : i + 4], label) for x, label in docs for i in (0, 4)]
+    whole, wanted = line_crf.fit(docs, rounds=5), line_crf.fit(halves, rounds=5)
+    monkeypatch.setattr(line_crf, "STRETCH", 4)
+    found = line_crf.fit(docs, rounds=5)
+    assert np.allclose(found.weights, wanted.weights) and np.allclose(found.steps, wanted.steps)
+    assert not np.allclose(found.steps, whole.steps)
+
+
 def test_without_both_labels_all_lines_are_content(spark):
     docs = documents(spark, ODD)
     for rows in ([], [(3, 1, 0)], [(None, 0, 0), (4, None, None)]):
