@@ -14,6 +14,7 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -65,9 +66,7 @@ def fit(sample: np.ndarray, total: int, probed: float = PROBED) -> Lists:
         sums = np.zeros_like(centers)
         np.add.at(sums, at, sample)
         centers = np.where(counts[:, None] > 0, sums / np.maximum(counts, 1)[:, None], centers)
-    # A table of a few blocks is scanned whole, so that no query goes without its k.
-    probes = n if total <= 4 * BLOCK else max(1, math.ceil(probed * n))
-    return Lists(rotation, centers, sample, probes)
+    return Lists(rotation, centers, sample, max(1, math.ceil(probed * n)))
 
 
 def _vectors(batch: pa.RecordBatch, column: str) -> np.ndarray:
@@ -237,15 +236,12 @@ def _scanned(lists: Lists, k: int) -> Callable:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """(vec_id, vector) of rows with an id and a finite vector other than zero. Of several lengths the commonest takes part."""
+    """(vec_id, vector) of rows with an id and a finite vector other than zero, of any length."""
     values = F.col("embedding").cast("array<double>")
     bad = F.exists(values, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), values.alias("vector"), bad.alias("bad"))
     rows = rows.filter("vec_id IS NOT NULL AND vector IS NOT NULL AND NOT bad AND size(vector) > 0")
-    rows = rows.filter(F.exists("vector", lambda x: x != 0)).select("vec_id", "vector")
-    sizes = rows.groupBy(F.size("vector").alias("size")).count()
-    first = sizes.orderBy(F.desc("count"), F.desc("size")).first()
-    return rows.filter(F.size("vector") == (first["size"] if first else 0))
+    return rows.filter(F.exists("vector", lambda x: x != 0)).select("vec_id", "vector")
 
 
 def _search(searches: DataFrame, index: DataFrame, lists: Lists, k: int) -> DataFrame:
@@ -262,20 +258,39 @@ def _search(searches: DataFrame, index: DataFrame, lists: Lists, k: int) -> Data
     return best.select("search", F.col("vec_id").alias("near"), "score")
 
 
+_NEAREST = "query_id long, rank int, vec_id long, score double"
+
+
 def nearest(vectors: DataFrame, every: int = 100, k: int = 10, probed: float = PROBED) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row whose vec_id is divisible by `every`, the `k` nearest found of all other rows.
 
-    Equal vectors are one entry with their k + 1 smallest ids, which are all that any answer can need, and equal queries are one search.
-    A repeated row counts once. Without usable vectors there are no rows.
+    Vectors of one length are searched among themselves, each length in turn: there is no distance between different lengths. A vec_id that has vectors of several
+    lengths, or several of one, is asked with each, and its nearest rows of all are ranked together; each of them counts once, by its nearest vector. Equal vectors are one entry with
+    their k + 1 smallest ids, which are all that any answer can need, and equal queries are one search. Repeated rows count once. Without usable vectors there are no rows.
     """
     rows = stored(usable(vectors), "vectors")
+    lengths = sorted(r[0] for r in rows.select(F.size("vector")).distinct().collect())
+    found = [_nearest_of(rows.filter(F.size("vector") == n), every, k, probed) for n in lengths]
+    if not found:
+        return rows.sparkSession.createDataFrame([], _NEAREST)
+    if len(found) == 1:
+        return found[0]
+    pairs = reduce(DataFrame.unionByName, found).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
+    return _ranked(pairs, k)
+
+
+def _ranked(pairs: DataFrame, k: int) -> DataFrame:
+    ranked = top_k(pairs, "query_id", [F.col("score"), F.col("vec_id")], k)
+    return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _nearest_of(rows: DataFrame, every: int, k: int, probed: float) -> DataFrame:
+    """`nearest` over (vec_id, vector) of one length, at least one row."""
     smallest = Window.partitionBy("vector").orderBy("vec_id")
     few = rows.withColumn("place", F.dense_rank().over(smallest)).filter(F.col("place") <= k + 1)
     groups = few.groupBy("vector").agg(F.array_sort(F.collect_set("vec_id")).alias("ids"))
     groups = stored(groups.select("ids", "vector"), "entries")
     total = groups.count()
-    if not total:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     chosen = sampled(groups, [F.col("ids")], SAMPLE, total).select("vector").toPandas()
     sample = np.array(chosen["vector"].tolist(), dtype=np.float64)
     if not len(sample):
@@ -297,8 +312,5 @@ def nearest(vectors: DataFrame, every: int = 100, k: int = 10, probed: float = P
         best = cut(best.join(short, "search", "left_anti").unionByName(again))
     named = lookup(asking, searches, "vector").select("vec_id", "search")
     pairs = lookup(cut(named), best, "search").filter("vec_id <> near")
-    ranked = top_k(
-        pairs.select(F.col("vec_id").alias("query_id"), F.col("near").alias("vec_id"), "score"),
-        "query_id", [F.col("score"), F.col("vec_id")], k,
-    )
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    pairs = pairs.select(F.col("vec_id").alias("query_id"), F.col("near").alias("vec_id"), "score")
+    return _ranked(pairs, k)

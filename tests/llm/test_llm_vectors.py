@@ -37,10 +37,36 @@ def test_odd_vectors(spark):
         (200, None), (201, [None] * 8), (202, [0.0] * 8), (203, [float("nan")] * 8), (204, [1.0] * 5),
         (205, [float("inf")] + [1.0] * 7), (None, [1.0] * 8), (206, []),
     ]
-    found = answers(vs.nearest(table(spark, good + copies + odd + good[:20]), every=10))
+    found = answers(vs.nearest(table(spark, good + copies + odd + good[:20]), every=10, probed=1.0))
     assert found == brute(good + copies, 10, 10)
 
 
+def test_each_length_is_searched_among_its_own(spark):
+    rng = np.random.default_rng(7)
+    long = [(i, rng.normal(size=8).tolist()) for i in range(150)]
+    short = [(1_000 + i, rng.normal(size=4).tolist()) for i in range(120)]
+    lone = [(5_000, [1.0, 2.0, 3.0])]
+    found = answers(vs.nearest(table(spark, long + short + lone), probed=1.0))
+    assert found == brute(long, 100, 10) | brute(short, 100, 10)
+
+
+def test_an_id_with_vectors_of_two_lengths(spark):
+    rows = [(100, [0.0, 1.0]), (100, [1.0, 1.0, 1.0]), (1, [0.0, 3.0]), (1, [1.0, 1.0, 2.0]), (2, [1.0, 1.0, 9.0])]
+    found = answers(vs.nearest(table(spark, rows), probed=1.0))
+    assert found == {100: [(1, 1.0), (2, 8.0)]}
+
+
+@pytest.mark.parametrize("rows", [300, 2_000])
+def test_one_rule_at_every_size(spark, rows):
+    """Small tables are probed like large ones, and reach the recall that is asked for."""
+    rng = np.random.default_rng(rows)
+    some = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(rows, 24)).astype(np.float32))]
+    found, want = answers(vs.nearest(table(spark, some), every=20)), brute(some, 20, 10)
+    assert {q: len(a) for q, a in found.items()} == {q: len(a) for q, a in want.items()}
+    hits = [len({i for i, _ in found[q]} & {i for i, _ in want[q]}) / 10 for q in want]
+    assert np.mean(hits) >= 0.9
+
+
 def test_few_or_no_vectors(spark):
     assert vs.nearest(table(spark, [])).count() == 0
     assert vs.nearest(table(spark, [(0, [1.0, 2.0])])).count() == 0
