@@ -3,8 +3,10 @@
 A text, with a blank before it and blanks written as U+2581, is cut into pieces of a model file so that the sum of their scores is greatest. Scores
 are whole numbers, so sums are exact and may be taken in any grouping. The state at a place in the text is by how many characters the
 last piece reaches beyond it. A chunk of text is then a matrix: the best sum from each state at its start to each state at its end. Matrices combine by
-(max, +), which is associative. So chunks give their matrices in parallel, a scan over a document's matrices gives the
-states at all boundaries, and each chunk is traced back alone between its two states.
+(max, +), which is associative. So chunks give their matrices in parallel, blocks of neighbouring matrices are combined in parallel, a scan over the few block
+products gives the best sums at the start of every block, and from there at every chunk. With these each chunk tells alone from which state at its start the path to each state
+at its end comes; following that from the text's end gives the states at all boundaries, and each chunk is traced back alone between its two. Of equal sums the
+longest last piece wins everywhere, so chunks give the path that a search of the whole text gives.
 
 The file's merges have ranks, not probabilities. A piece of rank r scores log(1 / (r + 2)) as a rank-frequency law has it, in
 thousandths. Characters that no piece spells become byte pieces. U+2581 itself in a text becomes its three byte pieces, so
@@ -13,9 +15,10 @@ that every text comes back exactly.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -24,6 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosewell.llm.common import sliced, stored, text_of
+from prosewell.operators.joins import lookup
+from prosewell.sources.store import cut
 
 BLANK = "▁"
 CHUNK = 1 << 15
@@ -31,6 +36,8 @@ GIANT = 1 << 16
 # Added to the least piece score for a character no piece spells.
 UNKNOWN_PENALTY = 10_000
 LOW = -(1 << 60)
+# Neighbouring chunks whose matrices are combined to one.
+BLOCK = 16
 CACHED_WORDS = 300_000
 # Characters of a part whose sum of scores is exact in single precision.
 EXACT = 256
@@ -124,11 +131,16 @@ def _steps(pieces: Pieces, text: str, at: int) -> list[tuple[int, int]]:
     return out if out and out[0][0] == 1 else [(1, pieces.unknown), *out]
 
 
-def _sums(pieces: Pieces, text: str, start: int, end: int) -> tuple[list[int], list[int]]:
-    """Best sum at each place from text[start] on, and the length of the last piece there. Of equal sums the longest one wins."""
+def _sums(
+    pieces: Pieces, text: str, start: int, end: int, first: Sequence[int] = (0,)
+) -> tuple[list[int], list[int]]:
+    """Best sum at each place from text[start] on, and the length of the last piece there. Of equal sums the longest one wins.
+
+    `first` are the sums with which ways from before arrive at the first places; those places have 0 for the length.
+    """
     n, get, longest, last = end - start, pieces.begun.get, pieces.longest, len(text)
     best, back = [LOW] * (n + longest + 1), [0] * (n + longest + 1)
-    best[0] = 0
+    best[: len(first)] = first
     for at in range(n):
         base = best[at]
         if base == LOW:
@@ -148,6 +160,25 @@ def _sums(pieces: Pieces, text: str, start: int, end: int) -> tuple[list[int], l
     return best, back
 
 
+def came_from(pieces: Pieces, text: str, size: int, ahead: np.ndarray) -> list[int]:
+    """For each state at the end of the chunk text[:size], the state at its start that the best path comes through; -1 where there is no path.
+
+    `ahead` are the best sums from the text's start to the states at the chunk's start.
+    """
+    states = pieces.longest
+    best, back = _sums(pieces, text, 0, size, ahead.tolist())
+    out = []
+    for state in range(states):
+        at = size + state
+        if best[at] == LOW:
+            out.append(-1)
+            continue
+        while back[at]:
+            at -= back[at]
+        out.append(at)
+    return out
+
+
 def best_path(pieces: Pieces, text: str, enter: int, size: int, leave: int) -> list[int]:
     """Ids of the best path from place `enter` to place `size + leave` of text, by pieces that start before place `size`."""
     if enter >= size:
@@ -198,21 +229,15 @@ def combine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return sums.max(axis=1)
 
 
-def boundary_states(matrices: list[np.ndarray]) -> list[int]:
-    """The states of the best path at the start of each chunk and at the end, which is state 0."""
-    n = len(matrices)
-    ahead = [np.full(matrices[0].shape[0], LOW, dtype=np.int64)]
-    ahead[0][0] = 0
-    for m in matrices:
-        before = ahead[-1]
-        ahead.append(np.where((before[:, None] == LOW) | (m == LOW), LOW, before[:, None] + m).max(axis=0))
-    states = [0] * (n + 1)
-    for k in range(n - 1, -1, -1):
-        column = matrices[k][:, states[k + 1]]
-        before = ahead[k]
-        total = np.where((before == LOW) | (column == LOW), LOW, before + column)
-        states[k] = int(total.argmax())
-    return states
+def applied(ahead: np.ndarray, matrix: np.ndarray) -> np.ndarray:
+    """The sums behind a chunk from those before it."""
+    sums = np.where((ahead[:, None] == LOW) | (matrix == LOW), LOW, ahead[:, None] + matrix)
+    return sums.max(axis=0)
+
+
+def at_start(states: int) -> np.ndarray:
+    """The sums before a text's first chunk: there is only state 0."""
+    return np.where(np.arange(states) == 0, 0, LOW).astype(np.int64)
 
 
 class WordEncoder:
@@ -302,87 +327,135 @@ def _cut_up(chunk: int, longest: int) -> Callable:
     return run
 
 
-def _matrices(model: str) -> Callable:
+def _batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in columns.values()], list(columns))
+
+
+def _per_chunk(model: str, name: str, kind: pa.DataType, columns: list[str], step: Callable) -> Callable:
+    """(name, doc_id, number, `name`) of every chunk: `step(pieces, part, size, *columns)`."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(model)
         for batch in batches:
-            found = [
-                transfer(pieces, _shown(part), size).tobytes()
-                for part, size in zip(
-                    batch.column("part").to_pylist(), batch.column("size").to_pylist(), strict=True
-                )
-            ]
+            rows = zip(*(batch.column(c).to_pylist() for c in ["part", "size", *columns]), strict=True)
+            found = [step(pieces, _shown(part), size, *rest) for part, size, *rest in rows]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), batch.column("number"), pa.array(found, pa.binary())],
-                ["name", "number", "matrix"],
+                [*(batch.column(c) for c in ("name", "doc_id", "number")), pa.array(found, kind)],
+                ["name", "doc_id", "number", name],
             )
 
     return run
 
 
-def _scan(states: int) -> Callable:
-    """The states around each chunk of one document, from its matrices in order."""
+def _matrix(data: bytes) -> np.ndarray:
+    flat = np.frombuffer(data, np.int64)
+    return flat.reshape(math.isqrt(len(flat)), -1)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def give(name: str, held: list[np.ndarray]) -> pa.RecordBatch:
-            at = boundary_states(held)
-            n = len(held)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([name] * n, pa.string()), pa.array(range(n), pa.int32()),
-                 pa.array(at[:-1], pa.int32()), pa.array(at[1:], pa.int32())],
-                ["name", "number", "enter", "leave"],
-            )
-
-        current, held = None, []
-        for batch in batches:
-            for name, data in zip(
-                batch.column("name").to_pylist(), batch.column("matrix").to_pylist(), strict=True
-            ):
-                if name != current and held:
-                    yield give(current, held)
-                    held = []
-                current = name
-                held.append(np.frombuffer(data, np.int64).reshape(states, states))
-        if held:
-            yield give(current, held)
 
-    return run
+def _block_products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One matrix per block, from its chunks' matrices in order."""
+    held: tuple[tuple[str, int], np.ndarray] | None = None
 
+    def give() -> pa.RecordBatch:
+        (name, block), product = held
+        return _batch({"name": ([name], pa.string()), "block": ([block], pa.int32()), "matrix": ([product.tobytes()], pa.binary())})
 
-def _trace(model: str) -> Callable:
-    columns = ["part", "size", "enter", "leave"]
+    for batch in batches:
+        columns = (batch.column(c).to_pylist() for c in ("name", "block", "matrix"))
+        for name, block, data in zip(*columns, strict=True):
+            matrix = _matrix(data)
+            if held and held[0] == (name, block):
+                held = held[0], combine(held[1], matrix)
+                continue
+            if held:
+                yield give()
+            held = (name, block), matrix
+    if held:
+        yield give()
+
+
+def _running(place: str, first: str | None) -> Callable:
+    """The sums before each matrix of a run, in order of `place`: from a text's start, or from what `first` holds for the run's first row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = load(model)
+        key, ahead = None, None
         for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in columns), strict=True)
-            ids = [
-                np.array(best_path(pieces, _shown(part), enter, size, leave), dtype="<i4").tobytes()
-                for part, size, enter, leave in rows
-            ]
+            group = ["name"] if first is None else ["name", "block"]
+            rows = list(zip(*(batch.column(c).to_pylist() for c in [*group, place, "matrix", *([first] if first else [])]), strict=True))
+            out = []
+            for row in rows:
+                own, data = row[: len(group)], row[len(group) + 1]
+                matrix = _matrix(data)
+                if own != key:
+                    key = own
+                    ahead = np.frombuffer(row[-1], np.int64) if first else at_start(len(matrix))
+                out.append(ahead.tobytes())
+                ahead = applied(ahead, matrix)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("name"), batch.column("doc_id"), batch.column("number"), _lists(ids)],
-                ["name", "doc_id", "number", "ids"],
+                [batch.column("name"), batch.column(place), pa.array(out, pa.binary())], ["name", place, "ahead"]
             )
 
     return run
 
 
+def _followed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The states around each chunk, from last to first: a text ends in state 0."""
+    current, state = None, 0
+    for batch in batches:
+        enter, leave = [], []
+        for name, came in zip(batch.column("name").to_pylist(), batch.column("came").to_pylist(), strict=True):
+            if name != current:
+                current, state = name, 0
+            leave.append(state)
+            state = came[state]
+            enter.append(state)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("name"), batch.column("number"), pa.array(enter, pa.int32()), pa.array(leave, pa.int32())],
+            ["name", "number", "enter", "leave"],
+        )
+
+
 def encode_giant(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, ids) of (doc_id, text), every text by chunks. A document's chunks lie in several tasks until its ids are put together."""
-    longest = load(model).longest
+    """(doc_id, ids) of (doc_id, text), every text by chunks. A document's chunks lie in several tasks until its ids are put together.
+
+    Beside a text's chunks a task holds a matrix of 2 kB per chunk of one block, or a few numbers per chunk or block of one text. What the chunks are joined with is
+    broadcast only if its measured size allows it; the texts never are.
+    """
+    pieces = load(model)
     rows = docs.withColumn("name", F.expr("uuid()"))
     kinds = "name string, doc_id long, number int, size int, part string"
-    parts = stored(rows.mapInArrow(_cut_up(chunk, longest), kinds), "chunks")
+    parts = stored(rows.mapInArrow(_cut_up(chunk, pieces.longest), kinds), "chunks")
+    if parts.isEmpty():
+        return docs.sparkSession.createDataFrame([], "doc_id long, ids array<int>")
     # A given number of partitions is kept: chunks are few bytes but much work, and would else be put into one task.
     tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = parts.repartition(tasks, "name", "number")
-    matrices = spread.mapInArrow(_matrices(model), "name string, number int, matrix binary")
-    ordered = matrices.repartition("name").sortWithinPartitions("name", "number")
-    states = ordered.mapInArrow(_scan(longest), "name string, number int, enter int, leave int")
-    kinds = "name string, doc_id long, number int, ids array<int>"
-    known = parts.join(states, ["name", "number"]).repartition(tasks, "name", "number")
-    traced = known.mapInArrow(_trace(model), kinds)
+    place = ["name", "number"]
+    head = "name string, doc_id long, number int"
+
+    def per_chunk(df: DataFrame, name: str, kind: str, arrow: pa.DataType, columns: list[str], step: Callable) -> DataFrame:
+        return df.mapInArrow(_per_chunk(model, name, arrow, columns, step), f"{head}, {name} {kind}")
+
+    of_chunk = per_chunk(spread, "matrix", "binary", pa.binary(), [], lambda p, part, size: transfer(p, part, size).tobytes())
+    matrices = stored(of_chunk.withColumn("block", F.floor(F.col("number") / BLOCK).cast("int")), "matrices")
+    in_blocks = matrices.repartition("name", "block").sortWithinPartitions("name", "block", "number")
+    products = in_blocks.select("name", "block", "matrix").mapInArrow(_block_products, "name string, block int, matrix binary")
+    ordered = products.repartition("name").sortWithinPartitions("name", "block")
+    starts = cut(ordered.mapInArrow(_running("block", None), "name string, block int, ahead binary"))
+    begun = lookup(matrices, starts, ["name", "block"]).repartition("name", "block")
+    begun = begun.sortWithinPartitions("name", "block", "number").select("name", "block", "number", "matrix", F.col("ahead").alias("first"))
+    ahead = cut(begun.mapInArrow(_running("number", "first"), "name string, number int, ahead binary"))
+    known = lookup(spread, ahead, place)
+    came = per_chunk(
+        known, "came", "array<int>", pa.list_(pa.int32()), ["ahead"],
+        lambda p, part, size, sums: came_from(p, part, size, np.frombuffer(sums, np.int64)),
+    )
+    backward = came.select("name", "number", "came").repartition("name").sortWithinPartitions("name", F.desc("number"))
+    states = cut(backward.mapInArrow(_followed, "name string, number int, enter int, leave int"))
+    traced = per_chunk(
+        lookup(spread, states, place), "ids", "array<int>", pa.list_(pa.int32()), ["enter", "leave"],
+        lambda p, part, size, enter, leave: best_path(p, part, enter, size, leave),
+    )
     by_number = F.array_sort(F.collect_list(F.struct("number", "ids")))
     whole = traced.groupBy("name", "doc_id").agg(F.flatten(by_number["ids"]).alias("ids"))
     return whole.select("doc_id", "ids")
@@ -393,7 +466,7 @@ def encode_documents(
 ) -> DataFrame:
     """(doc_id, ids): a row per row of `docs` (doc_id, text, any other columns).
 
-    Texts of more than `giant` characters go by chunks, the others whole; both give the same ids. A null text counts as
+    Texts of more than `giant` characters go by chunks, the others whole; both give the same ids, equal sums being settled alike. A null text counts as
     empty: a blank alone. Rows without doc_id and repeated rows are encoded like any other.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
