@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from prosewell.operators.cluster import vector_sum
 from prosewell.operators.joins import lookup, names
 from prosewell.sources.store import cut
 
@@ -72,6 +73,11 @@ def nb_fit(
     known = docs.filter("label is not null").select("label")
     classes = class_list(known)
     train = tf.filter("label is not null").select("token", "label", "tf")
+    if not classes:
+        kind = docs.schema["label"].dataType.simpleString()
+        spark = docs.sparkSession
+        priors = spark.createDataFrame([], f"label {kind}, docs bigint, log_prior double")
+        return priors, spark.createDataFrame([], f"token string, label {kind}, log_likelihood double")
     if len(classes) > WIDE_CLASSES:
         return cut(nb_priors(known, prior_smoothing)), cut(_long_likelihoods(train, known, smoothing))
     per_class = [F.sum(F.when(F.col("label") == c, F.col("tf")).otherwise(0)) for c in classes]
@@ -124,12 +130,18 @@ def nb_predict(
 ) -> DataFrame:
     """(key, prediction, score): argmax over classes, ties to the lowest label; a row for each of `docs`.
 
-    Words outside the vocabulary are ignored. A document with none inside it gets the class of the highest prior.
+    Words outside the vocabulary are ignored. A document with none inside it gets the class of the highest prior. A model without classes gives
+    nulls. Up to `WIDE_CLASSES` classes are columns of the plan; more of them are the elements of one array, which is summed as a vector.
     """
     keys = names(key)
     none = docs.select(*keys, F.lit(None).cast("string").alias("token"), F.lit(0).cast("bigint").alias("tf"))
     tf = tf.select(*keys, "token", F.col("tf").cast("bigint").alias("tf")).unionByName(none)
     classes = sorted((r["label"], r["log_prior"]) for r in priors.collect())
+    label_of = F.array(*[F.lit(c) for c, _ in classes]).cast(f"array<{priors.schema['label'].dataType.simpleString()}>")
+    if not classes:
+        return docs.select(*keys, F.get(label_of, F.lit(0)).alias("prediction"), F.lit(None).cast("double").alias("score"))
+    if len(classes) > WIDE_CLASSES:
+        return _predict_many(classes, likelihoods, tf, keys, label_of)
     per_token = likelihoods.groupBy("token").agg(
         *[F.max(F.when(F.col("label") == c, F.col("log_likelihood"))).alias(f"_l{i}") for i, (c, _) in enumerate(classes)]
     )
@@ -138,7 +150,6 @@ def nb_predict(
         *[(F.lit(p) + F.sum(weight[i])).alias(f"_s{i}") for i, (_, p) in enumerate(classes)]
     )
     best = F.greatest(*[F.struct(F.col(f"_s{i}").alias("score"), F.lit(-i).alias("i")) for i in range(len(classes))]) if len(classes) > 1 else F.struct(F.col("_s0").alias("score"), F.lit(0).alias("i"))
-    label_of = F.array(*[F.lit(c) for c, _ in classes])
     return scored.select(*keys, best.alias("_best")).select(
         *keys,
         F.get(label_of, -F.col("_best.i")).alias("prediction"),
@@ -146,6 +157,33 @@ def nb_predict(
     )
 
 
+def _predict_many(
+    classes: Sequence[tuple], likelihoods: DataFrame, tf: DataFrame, keys: Sequence[str], label_of: Column
+) -> DataFrame:
+    """`nb_predict` with one array of scores a document, in the order of the classes."""
+    n = len(classes)
+    kind = likelihoods.schema["label"].dataType.simpleString()
+    places = likelihoods.sparkSession.createDataFrame([(c, i) for i, (c, _) in enumerate(classes)], f"label {kind}, _i int")
+    entries = lookup(likelihoods, places, "label", max_rows=MAX_CLASSES)
+    # A token has an entry per class; one that lacks some counts 0 there.
+    found = entries.groupBy("token").agg(F.array_sort(F.collect_list(F.struct("_i", "log_likelihood"))).alias("_e"))
+    listed = F.transform("_e", lambda e: e["log_likelihood"])
+    held = F.map_from_entries("_e")
+    filled = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.coalesce(F.try_element_at(held, i), F.lit(0.0)))
+    per_token = found.select("token", F.when(F.size("_e") == n, listed).otherwise(filled).alias("_l"))
+    nothing = F.array_repeat(F.lit(0.0), n)
+    parts = lookup(tf, per_token, "token", "left").withColumn(
+        "_s", F.coalesce(F.transform("_l", lambda x: x * F.col("tf")), nothing)
+    )
+    priors = F.array(*[F.lit(float(p)) for _, p in classes])
+    summed = parts.groupBy(*keys).agg(vector_sum("_s").alias("_s"))
+    scores = summed.select(*keys, F.zip_with("_s", priors, lambda s, p: s + p).alias("_s"))
+    best = F.array_max("_s")
+    return scores.select(
+        *keys, F.get(label_of, F.array_position("_s", best).cast("int") - 1).alias("prediction"), best.alias("score")
+    )
+
+
 def save_nb(priors: DataFrame, likelihoods: DataFrame, path: str) -> None:
     """Write both tables of a model below `path`."""
     priors.write.mode("overwrite").parquet(f"{path}/priors")

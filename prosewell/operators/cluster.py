@@ -28,8 +28,11 @@ MAX_CENTERS = 20_000
 # Centers that a batch of points meets at once, and points that are absorbed at once.
 CENTER_BLOCK = 512
 CHUNK = 256
-# Groups of points that are summarized apart. They come from the key, so results do not depend on the number of cores.
+# Entries of a tree node.
+BRANCHING = 16
+# Groups of points that are summarized apart: so many at least, and one for every so many points. They come from the key, so results do not depend on the number of cores.
 GROUPS = 64
+GROUP_POINTS = 1 << 16
 
 
 def unit_vectors(
@@ -77,86 +80,176 @@ def cf_stats(cf: DataFrame) -> DataFrame:
     )
 
 
-class MicroClusters:
-    """A bounded set of CFs that absorbs points and CFs, widening its threshold when full.
+class Node:
+    """Up to `branching` CFs and their directions; in an inner node each CF is the sum of a child's."""
 
-    The nearest entry is the one of nearest direction. By distance to the mean, a wide entry
-    near the origin would draw everything to itself.
-    """
-
-    def __init__(self, threshold: float, max_entries: int):
-        self.threshold = threshold
-        self.max_entries = max_entries
-        self.size = 0
-        self.n = self.ls = self.ss = self.direction = None
+    __slots__ = ("n", "ls", "ss", "direction", "size", "children")
 
-    def _start(self, width: int) -> None:
-        room = self.max_entries + 1
+    def __init__(self, branching: int, width: int, leaf: bool):
+        room = branching + 1
         self.n, self.ss = np.zeros(room), np.zeros(room)
         self.ls, self.direction = np.zeros((room, width)), np.zeros((room, width))
+        self.size = 0
+        self.children: list[Node] | None = None if leaf else []
 
-    def add(self, n: float, ls: np.ndarray, ss: float) -> None:
-        if self.n is None:
-            self._start(len(ls))
-        if self.size:
-            near = int(np.argmax(self.direction[: self.size] @ ls))
-            total, vector, squares = self.n[near] + n, self.ls[near] + ls, self.ss[near] + ss
-            if squares / total - float(vector @ vector) / total**2 <= self.threshold**2:
-                self._put(near, total, vector, squares)
-                return
-        self._put(self.size, n, ls, ss)
-        self.size += 1
-        while self.size > self.max_entries:
-            self._widen()
-
-    def _put(self, i: int, n: float, ls: np.ndarray, ss: float) -> None:
+    def put(self, i: int, n: float, ls: np.ndarray, ss: float) -> None:
         length = float(np.sqrt(ls @ ls))
         self.n[i], self.ls[i], self.ss[i] = n, ls, ss
         self.direction[i] = ls / length if length > 0 else 0.0
 
-    def _widen(self) -> None:
-        """Raise the threshold until half the entries could merge with their neighbor, and re-insert."""
+    def append(self, n: float, ls: np.ndarray, ss: float, child: Node | None = None) -> None:
+        self.put(self.size, n, ls, ss)
+        self.size += 1
+        if child is not None:
+            self.children.append(child)
+
+    def total(self) -> tuple[float, np.ndarray, float]:
         m = self.size
-        alike = self.direction[:m] @ self.direction[:m].T
-        np.fill_diagonal(alike, -np.inf)
-        near = np.argmax(alike, axis=1)
-        total = self.n[:m] + self.n[near]
-        mean = (self.ls[:m] + self.ls[near]) / total[:, None]
-        radius = (self.ss[:m] + self.ss[near]) / total - np.einsum("ij,ij->i", mean, mean)
-        wanted = float(np.sqrt(max(np.median(radius), 0.0)))
-        self.threshold = max(wanted, self.threshold * 1.01, 1e-9)
-        old = list(zip(self.n[:m].copy(), self.ls[:m].copy(), self.ss[:m].copy()))
-        self.size = 0
-        for n, ls, ss in old:
-            self.add(n, ls, ss)
+        return float(self.n[:m].sum()), self.ls[:m].sum(axis=0), float(self.ss[:m].sum())
+
+
+class CFTree:
+    """A height-balanced tree of CFs that absorbs points and CFs, and is built anew with a wider threshold when it has too many leaf entries.
+
+    A point goes down to the entry of nearest direction, `branching` comparisons a level, and joins it if the radius stays within the threshold; else it is an
+    entry of its own. A node above `branching` entries is split by its two entries of least like direction. By distance to the mean, a wide entry near the
+    origin would draw everything to itself, so nearness is by direction.
+    """
+
+    def __init__(self, threshold: float, max_entries: int, branching: int = BRANCHING):
+        self.threshold = threshold
+        self.max_entries = max(1, max_entries)
+        self.branching = max(2, branching)
+        self.entries = 0
+        self.compared = 0
+        self.root: Node | None = None
+
+    def _fits(self, n: float, ls: np.ndarray, ss: float) -> bool:
+        return ss / n - float(ls @ ls) / n**2 <= self.threshold**2
+
+    def _insert(self, node: Node, n: float, ls: np.ndarray, ss: float) -> tuple[Node, Node] | None:
+        """Add a CF below `node`; the two nodes that take its place if it had to be split."""
+        m = node.size
+        near = int(np.argmax(node.direction[:m] @ ls)) if m else -1
+        self.compared += m
+        if node.children is None:
+            if m:
+                merged = node.n[near] + n, node.ls[near] + ls, node.ss[near] + ss
+                if self._fits(*merged):
+                    node.put(near, *merged)
+                    return None
+            node.append(n, ls, ss)
+            self.entries += 1
+        else:
+            halves = self._insert(node.children[near], n, ls, ss)
+            if halves is None:
+                node.put(near, node.n[near] + n, node.ls[near] + ls, node.ss[near] + ss)
+                return None
+            node.children[near] = halves[0]
+            node.put(near, *halves[0].total())
+            node.append(*halves[1].total(), halves[1])
+        return self._split(node) if node.size > self.branching else None
+
+    def _split(self, node: Node) -> tuple[Node, Node]:
+        m = node.size
+        alike = node.direction[:m] @ node.direction[:m].T
+        a, b = divmod(int(np.argmin(alike)), m)
+        if a == b:
+            a, b = 0, m - 1
+        to_b = alike[:, b] > alike[:, a]
+        to_b[a], to_b[b] = False, True
+        halves = tuple(Node(self.branching, node.ls.shape[1], node.children is None) for _ in range(2))
+        for i in range(m):
+            child = node.children[i] if node.children is not None else None
+            halves[int(to_b[i])].append(node.n[i], node.ls[i], node.ss[i], child)
+        return halves
+
+    def add(self, n: float, ls: np.ndarray, ss: float) -> None:
+        if self.root is None:
+            self.root = Node(self.branching, len(ls), True)
+        halves = self._insert(self.root, n, ls, ss)
+        if halves is not None:
+            self.root = Node(self.branching, len(ls), False)
+            for half in halves:
+                self.root.append(*half.total(), half)
+        while self.entries > self.max_entries:
+            self._rebuild()
 
     def absorb(self, x: np.ndarray) -> None:
-        """Add points: those of an entry that stays within the threshold with all of them by grouped sums, the rest one by one."""
-        m = self.size
-        if m:
-            near = np.argmax(x @ self.direction[:m].T, axis=1)
-            n, ss = self.n[:m].copy(), self.ss[:m].copy()
-            ls = self.ls[:m].copy()
-            np.add.at(n, near, 1)
-            np.add.at(ls, near, x)
-            np.add.at(ss, near, np.einsum("ij,ij->i", x, x))
-            radius = ss / n - np.einsum("ij,ij->i", ls, ls) / n**2
-            fits = radius <= self.threshold**2
-            for i in np.unique(near[fits[near]]):
-                self._put(i, n[i], ls[i], ss[i])
-            x = x[~fits[near]]
-        for row in x:
+        """Add points. They go down together; those of an entry that stays within the threshold with all of them join by grouped sums, the rest one by one."""
+        rest = self._absorb(self.root, x) if self.root is not None else x
+        for row in rest:
             self.add(1.0, row, float(row @ row))
 
+    def _absorb(self, node: Node, x: np.ndarray) -> np.ndarray:
+        """The points that found no place."""
+        m = node.size
+        near = np.argmax(x @ node.direction[:m].T, axis=1)
+        self.compared += m * len(x)
+        if node.children is not None:
+            rest = []
+            for i in np.unique(near):
+                mine = x[near == i]
+                left = self._absorb(node.children[i], mine)
+                if len(left) < len(mine):
+                    node.put(i, *node.children[i].total())
+                rest.append(left)
+            return np.concatenate(rest)
+        n, ss, ls = node.n[:m].copy(), node.ss[:m].copy(), node.ls[:m].copy()
+        np.add.at(n, near, 1)
+        np.add.at(ls, near, x)
+        np.add.at(ss, near, np.einsum("ij,ij->i", x, x))
+        fits = ss / n - np.einsum("ij,ij->i", ls, ls) / n**2 <= self.threshold**2
+        for i in np.unique(near[fits[near]]):
+            node.put(i, n[i], ls[i], ss[i])
+        return x[~fits[near]]
+
+    def leaves(self) -> Iterator[Node]:
+        """The leaves, from left to right."""
+        waiting = [self.root] if self.root is not None else []
+        while waiting:
+            node = waiting.pop()
+            if node.children is None:
+                yield node
+            else:
+                waiting += reversed(node.children)
+
+    def height(self) -> int:
+        node, levels = self.root, 0
+        while node is not None:
+            levels, node = levels + 1, node.children[0] if node.children else None
+        return levels
+
+    def _rebuild(self) -> None:
+        """Raise the threshold until a quarter of the entries could merge with the nearest one of their leaf, and insert them anew."""
+        radii, old = [], []
+        for leaf in self.leaves():
+            m = leaf.size
+            old += [(leaf.n[i], leaf.ls[i].copy(), leaf.ss[i]) for i in range(m)]
+            if m > 1:
+                alike = leaf.direction[:m] @ leaf.direction[:m].T
+                np.fill_diagonal(alike, -np.inf)
+                near = np.argmax(alike, axis=1)
+                total = leaf.n[:m] + leaf.n[near]
+                mean = (leaf.ls[:m] + leaf.ls[near]) / total[:, None]
+                radii.append((leaf.ss[:m] + leaf.ss[near]) / total - np.einsum("ij,ij->i", mean, mean))
+        wanted = float(np.sqrt(max(np.quantile(np.concatenate(radii), 0.25), 0.0))) if radii else 0.0
+        # Where no two entries share a leaf, and where that is not enough, the threshold grows all the same.
+        self.threshold = max(wanted, self.threshold * (1.01 if radii else 1.5), 1e-9)
+        self.root, self.entries = None, 0
+        for n, ls, ss in old:
+            self.add(float(n), ls, float(ss))
+
     def rows(self, part: int) -> pd.DataFrame:
-        m = self.size
+        found = [(leaf.n[i], leaf.ls[i].copy(), leaf.ss[i]) for leaf in self.leaves() for i in range(leaf.size)]
+        m = len(found)
         return pd.DataFrame(
             {
                 "part": np.full(m, part, dtype="int32"),
                 "cf_id": np.arange(m, dtype="int32"),
-                "n": self.n[:m].astype("int64") if m else np.zeros(0, dtype="int64"),
-                "ls": [row.copy() for row in self.ls[:m]] if m else [],
-                "ss": self.ss[:m] if m else np.zeros(0),
+                "n": np.array([f[0] for f in found]).astype("int64"),
+                "ls": [f[1] for f in found],
+                "ss": np.array([f[2] for f in found], dtype="float64"),
                 "threshold": np.full(m, self.threshold),
             }
         )
@@ -185,7 +278,7 @@ def _summarized(threshold: float, max_entries: int, points: bool):
             if number != part:
                 if found is not None:
                     yield found.rows(part)
-                part, found = number, MicroClusters(threshold, max_entries)
+                part, found = number, CFTree(threshold, max_entries)
             if points:
                 found.absorb(np.stack([np.asarray(v, dtype="float64") for v in chunk["vector"]]))
                 continue
@@ -198,33 +291,52 @@ def _summarized(threshold: float, max_entries: int, points: bool):
     return run
 
 
+def _usable(vector: Column) -> Column:
+    """Not null, with elements, all of them finite."""
+    bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    return vector.isNotNull() & (F.size(vector) > 0) & ~bad
+
+
+def _points(df: DataFrame, keep: Sequence[Column], vector: str) -> DataFrame:
+    """`keep` and `vector array<double>` of the rows whose vector is usable and of the commonest length: vectors of unlike lengths have no sum."""
+    values = F.col(vector).cast("array<double>")
+    rows = df.select(*keep, values.alias("vector")).filter(_usable(F.col("vector")))
+    widths = rows.groupBy(F.size("vector").alias("w")).count().orderBy(F.desc("count"), F.desc("w")).limit(2).collect()
+    return rows.filter(F.size("vector") == widths[0]["w"]) if len(widths) > 1 else rows
+
+
 def cluster_features(
     df: DataFrame,
     threshold: float,
     max_entries: int = 256,
     key: str | Sequence[str] = "doc_id",
     vector: str = "vector",
-    groups: int = GROUPS,
+    groups: int | None = None,
 ) -> DataFrame:
-    """One pass over the points in `groups` groups by a hash of the key. Memory is bounded by `max_entries` vectors.
+    """One pass over the points, a CF tree for each group of them by a hash of the key. Memory is bounded by `max_entries` vectors.
 
     Within a group points are taken in key order and in chunks of a fixed size, so the CFs are the same on any number of
-    cores. A group holds 1/`groups` of the points: raise it with the data.
+    cores. Without `groups` there is one for every `GROUP_POINTS` points, and `GROUPS` at least. Vectors that are null, empty or not finite, or not of the commonest
+    length, are left out. An empty table gives an empty one.
     """
+    points = _points(df, [F.col(f"`{c}`") for c in names(key)], vector)
+    groups = groups or max(GROUPS, -(-points.count() // GROUP_POINTS))
     part = F.pmod(F.xxhash64(*names(key)), F.lit(groups)).cast("int")
-    points = df.select(*names(key), part.alias("part"), F.col(vector).cast("array<double>").alias("vector"))
-    ordered = points.repartition("part").sortWithinPartitions("part", *names(key), "vector")
+    ordered = points.withColumn("part", part).repartition(groups, "part").sortWithinPartitions("part", *names(key), "vector")
     return ordered.select("part", "vector").mapInPandas(_summarized(threshold, max_entries, True), CF_SCHEMA)
 
 
 def condense(
-    cf: DataFrame, threshold: float, max_entries: int = 256, partitions: int = GROUPS, fan_in: int = 8
+    cf: DataFrame, threshold: float, max_entries: int = 256, partitions: int | None = None, fan_in: int = 8
 ) -> DataFrame:
     """Merge CF tables level by level, `fan_in` groups into one, until one is left.
 
     A group sees at most `fan_in` × `max_entries` CFs, whatever the size of the corpus, and a task holds one group at a time.
     """
     out = cf
+    if partitions is None:
+        out = cut(cf)
+        partitions = (out.agg(F.max("part")).first()[0] or 0) + 1
     left = max(1, partitions)
     while True:
         left = max(1, -(-left // fan_in))
@@ -235,17 +347,22 @@ def condense(
             return out
 
 
+def _cosine_centers(points: DataFrame, k: int, seed: int, max_iter: int) -> DataFrame:
+    """(k, center) of (vector, w); without a vector of some length there are none."""
+    points = points.filter("w > 0").select(array_to_vector(V.scaled("vector", V.norm("vector"))).alias("features"), "w")
+    if points.isEmpty():
+        return points.sparkSession.createDataFrame([], "k int, center array<double>")
+    if k == 1:
+        # The solver asks for two clusters at least. The best single center is the direction of the weighted sum.
+        weighted = points.select(F.transform(vector_to_array("features"), lambda x: x * F.col("w")).alias("v"))
+        return _center_table(points, [np.array(weighted.agg(vector_sum("v")).first()[0])])
+    model = KMeans(k=k, seed=seed, maxIter=max_iter, distanceMeasure="cosine", weightCol="w").fit(points)
+    return _center_table(points, model.clusterCenters())
+
+
 def spherical_kmeans_cf(cf: DataFrame, k: int, seed: int = 7, max_iter: int = 20) -> DataFrame:
-    """(k, center) from CFs: a point ls/‖ls‖ of weight ‖ls‖ keeps Σ x·c of the CF exactly."""
-    points = (
-        cf.withColumn("w", V.norm("ls"))
-        .filter("w > 0")
-        .select(array_to_vector(V.scaled("ls", F.col("w"))).alias("features"), "w")
-    )
-    model = KMeans(
-        k=k, seed=seed, maxIter=max_iter, distanceMeasure="cosine", weightCol="w"
-    ).fit(points)
-    return _center_table(cf, model.clusterCenters())
+    """(k, center) from CFs: a point ls/‖ls‖ of weight ‖ls‖ keeps Σ x·c of the CF exactly. No CFs, no centers."""
+    return _cosine_centers(cf.select(F.col("ls").alias("vector"), V.norm("ls").alias("w")), k, seed, max_iter)
 
 
 def _center_table(df: DataFrame, centers: Sequence[np.ndarray]) -> DataFrame:
@@ -257,8 +374,8 @@ def _center_table(df: DataFrame, centers: Sequence[np.ndarray]) -> DataFrame:
 def _center_matrix(centers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The centers as one matrix. k × width values, the size every k-means holds on the driver."""
     found = centers.select("k", "center").orderBy("k").limit(MAX_CENTERS + 1).collect()
-    if not 0 < len(found) <= MAX_CENTERS:
-        raise ValueError(f"between 1 and {MAX_CENTERS} centers are needed")
+    if len(found) > MAX_CENTERS:
+        raise ValueError(f"at most {MAX_CENTERS} centers can be met at once")
     return np.array([r["k"] for r in found]), np.array([r["center"] for r in found], dtype="float64")
 
 
@@ -266,16 +383,21 @@ def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFra
     """Adds `k` and `sim`: the center of largest cosine, ties to the lowest k.
 
     One matrix product per Arrow batch and block of centers. Points are not joined with centers, so nothing is
-    multiplied by k and nothing is shuffled. A vector without length gets a null.
+    multiplied by k and nothing is shuffled. A vector without length gets a null, as does one that is null, not finite or not as long as the
+    centers, and every one if there are no centers.
     """
     ids, matrix = _center_matrix(centers)
+    if not len(ids):
+        return df.withColumns({"k": F.lit(None).cast("int"), "sim": F.lit(None).cast("double")})
     matrix = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
 
     @F.pandas_udf("k int, sim double")
     def nearest(batch: pd.Series) -> pd.DataFrame:
         if batch.empty:
             return pd.DataFrame({"k": pd.Series(dtype="int32"), "sim": pd.Series(dtype="float64")})
-        x = np.stack([np.asarray(v, dtype="float64") for v in batch])
+        width = matrix.shape[1]
+        x = np.stack([np.zeros(width) if v is None or len(v) != width else np.asarray(v, dtype="float64") for v in batch])
+        x[~np.isfinite(x).all(axis=1)] = 0.0
         length = np.linalg.norm(x, axis=1)
         best, top = np.zeros(len(x), dtype=np.int64), np.full(len(x), -np.inf)
         for start in range(0, len(matrix), CENTER_BLOCK):
@@ -312,10 +434,9 @@ def recenter(assigned: DataFrame, centers: DataFrame, vector: str = "vector") ->
 def spherical_kmeans(
     df: DataFrame, k: int, seed: int = 7, max_iter: int = 20, vector: str = "vector"
 ) -> DataFrame:
-    """(k, center) from all points: the full-data form to compare with the CF form."""
-    points = df.select(array_to_vector(F.col(vector).cast("array<double>")).alias("features"))
-    model = KMeans(k=k, seed=seed, maxIter=max_iter, distanceMeasure="cosine").fit(points)
-    return _center_table(df, model.clusterCenters())
+    """(k, center) from all points: the full-data form to compare with the CF form. Vectors without a direction take no part."""
+    points = _points(df, [], vector)
+    return _cosine_centers(points.withColumn("w", F.when(V.norm("vector") > 0, 1.0).otherwise(0.0)), k, seed, max_iter)
 
 
 def birch(

@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType, VariantType
 
 from prosewell.functions import text as T
 from prosewell.operators.joins import lookup, names, sliced_join
@@ -39,17 +40,26 @@ def exact_duplicates(docs: DataFrame, col: str = "text", key: str = "doc_id") ->
 
 
 def drop_duplicates(docs: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
-    """Keep the row of lowest key of each set, and every row without a text.
+    """One row of each text, the one of lowest key, and every row without a text.
 
-    The lowest keys are found by a map-side combined aggregate, so a text that makes up a third
-    of the corpus costs one row per task. Only the surplus keys meet the texts again: they are a small part of
-    a corpus, so within the measured bounds the texts do not move.
+    Rows decide, not keys: keys may repeat, with one text or with several, or be missing (such rows come last). Rows of one text and key are told apart by a hash of the whole row;
+    equal rows are as good as each other. Texts that occur once stay where they are. Of the others each task hands on the best row of a
+    text that it has met, so a text that makes up a third of the corpus costs one row per task.
     """
-    digests = cut(docs.filter(F.col(col).isNotNull()).select(key, text_digest(col).alias("digest")))
-    sets = digests.groupBy("digest").agg(F.min(key).alias("first"), F.count(F.lit(1)).alias("copies"))
-    sets = cut(sets.filter("copies > 1"))
-    copies = lookup(digests, sets, "digest", rows_per_key="copies").filter(F.col(key) != F.col("first"))
-    return lookup(docs, cut(copies.select(key)), key, "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (MapType, VariantType))]
+    rows = docs.select(F.struct(*columns).alias("_row"), F.when(F.col(col).isNotNull(), text_digest(col)).alias("_digest"))
+    sets = rows.groupBy("_digest").agg(F.count(F.lit(1)).alias("_copies"))
+    sets = cut(sets.filter("_copies > 1 AND _digest IS NOT NULL"))
+    single = lookup(rows, sets.select("_digest"), "_digest", "left_anti")
+    keyed = docs.select(
+        F.struct(*columns).alias("_row"),
+        text_digest(col).alias("_digest"),
+        F.struct(F.col(key).isNull().alias("last"), F.col(key).alias("key"), F.xxhash64(*hashed).alias("hash")).alias("_order"),
+    )
+    several = lookup(keyed, sets, "_digest", rows_per_key="_copies")
+    best = several.groupBy("_digest").agg(F.min_by("_row", "_order").alias("_row"))
+    return single.select("_row.*").unionByName(best.select("_row.*"))
 
 
 def blank_documents(docs: DataFrame, col: str = "text", key: str | Sequence[str] = "doc_id") -> DataFrame:
