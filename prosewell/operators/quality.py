@@ -84,6 +84,43 @@ def shared_documents(a: DataFrame, b: DataFrame, col: str = "text", key: str = "
     return lookup(left, per_text, "digest", "left_semi").select(key)
 
 
+def text_multiplicities(a: DataFrame, b: DataFrame, col: str = "text") -> DataFrame:
+    """(digest, in_a, in_b, both, only_a, only_b): how often each text is on each side, as multisets: `both` is matched one to one, the rest is left over.
+
+    Counts are summed before they move, so a text of any number of copies costs a row per task. Rows without a text are no text.
+    """
+    sides = [
+        side.filter(F.col(col).isNotNull()).select(
+            text_digest(col).alias("digest"), F.lit(in_a).alias("_a"), F.lit(1 - in_a).alias("_b")
+        )
+        for side, in_a in ((a, 1), (b, 0))
+    ]
+    counts = sides[0].unionByName(sides[1]).groupBy("digest").agg(F.sum("_a").alias("in_a"), F.sum("_b").alias("in_b"))
+    both = F.least("in_a", "in_b")
+    return counts.withColumns({"both": both, "only_a": F.col("in_a") - both, "only_b": F.col("in_b") - both})
+
+
+def multiset_difference(a: DataFrame, b: DataFrame, col: str = "text", key: str = "doc_id") -> DataFrame:
+    """(key, side, matched) of every row of both sides that has a text: which are matched one to one, and which are on one side only.
+
+    Of a text that is m times on one side and n times on the other, the min(m, n) rows of lowest key are matched on each side, rows without a key last. Keys are whole numbers or times. A text of any share of
+    the rows is numbered in pieces; see `temporal.numbered`.
+    """
+    from prosewell.operators.temporal import instant, numbered
+
+    last = (1 << 63) - 1
+    rows = None
+    for side, name in ((a, "a"), (b, "b")):
+        one = side.filter(F.col(col).isNotNull()).select(
+            F.col(f"`{key}`"), text_digest(col).alias("digest"), F.lit(name).alias("side"),
+            F.coalesce(instant(side, key), F.lit(last)).alias("_t"), F.lit(0).alias("_tie"),
+        )
+        rows = one if rows is None else rows.unionByName(one)
+    both = cut(text_multiplicities(a, b, col).select("digest", "both", (F.col("in_a") + F.col("in_b")).alias("_rows")))
+    placed = lookup(numbered(rows, ["digest", "side"]), both, "digest", rows_per_key="_rows")
+    return placed.select(F.col(f"`{key}`"), "side", (F.col("_number") <= F.col("both")).alias("matched"))
+
+
 def vocabulary_overlap(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: words in both, only in a, only in b, and the Jaccard index, from two token tables."""
     marked = (

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from prosewell.operators import classify, quality, similarity, terms
+from prosewell.functions import text as T
+from prosewell.operators import classify, quality, similarity, sketches, terms
 from prosewell.plans import fixtures as fx
 from prosewell.plans.learning import _fold_sql
 from prosewell.plans.messaging import MESSAGES_SQL, messages
@@ -206,3 +207,67 @@ def h2_exact(spark, folder):
     """The pairs of all classes of equal shingles, and each class's members."""
     out = similarity.exact_near_duplicates(documents(spark, folder), hashed=quality.md5_number)
     return out.withColumn("jaccard", F.round("jaccard", 6))
+
+
+# Sides with copies of their own: texts of one source against those of all others, by the first letters of their folded text.
+SHORT_SQL = f"""sides AS (SELECT doc_id, source = (SELECT min(source) FROM documents) OR doc_id % 3 = 0 AS in_a,
+  left(trim(regexp_replace(text, '[ \\t\\n\\r\\f\\x0b]+', ' ', 'g')), 2) AS text FROM documents),
+  digested AS (SELECT doc_id, in_a, {DIGEST_SQL} AS digest FROM sides),
+  counted AS (SELECT digest, count(*) FILTER (in_a) AS in_a, count(*) FILTER (NOT in_a) AS in_b FROM digested GROUP BY 1)"""
+
+
+def short_sides(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Beginnings of texts, of which many are alike, on two sides."""
+    docs = documents(spark, folder)
+    first = docs.agg(F.min("source")).scalar()
+    short = docs.select(
+        "doc_id", F.coalesce((F.col("source") == first) | (F.col("doc_id") % 3 == 0), F.lit(False)).alias("in_a"),
+        F.substring(T.folded("text"), 1, 2).alias("text"),
+    )
+    return short.filter("in_a"), short.filter("NOT in_a")
+
+
+@query(
+    "H6_text_multiplicities",
+    f"""WITH {SHORT_SQL} SELECT digest, in_a, in_b, least(in_a, in_b) AS "both", in_a - least(in_a, in_b) AS only_a, in_b - least(in_a, in_b) AS only_b FROM counted""",
+)
+def h6_counts(spark, folder):
+    return quality.text_multiplicities(*short_sides(spark, folder))
+
+
+@query(
+    "H6_multiset_difference",
+    f"""WITH {SHORT_SQL}, placed AS (SELECT doc_id, in_a, digest, row_number() OVER (PARTITION BY digest, in_a ORDER BY doc_id) AS n FROM digested)
+    SELECT doc_id, CASE WHEN p.in_a THEN 'a' ELSE 'b' END AS side, n <= least(c.in_a, c.in_b) AS matched FROM placed p JOIN counted c USING (digest)""",
+)
+def h6_rows(spark, folder):
+    """Which rows of two sides match one to one, and which are left over on either."""
+    return quality.multiset_difference(*short_sides(spark, folder))
+
+
+@query(
+    "H7_sketch_sums",
+    """SELECT lang, count(*) AS docs, sum(len(regexp_extract_all(lower(text), '[a-z]+')))::BIGINT AS tokens, sum(strlen(text))::BIGINT AS bytes,
+      count(*) FILTER (len(regexp_extract_all(lower(text), '[a-z]+')) = 0) AS blank, min(strlen(text))::BIGINT AS smallest, max(strlen(text))::BIGINT AS largest FROM documents GROUP BY 1""",
+)
+def h7_sums(spark, folder):
+    """Profiles by language, merged from profiles by language and source; what sketches hold exactly."""
+    apart = sketches.sketch_profile(documents(spark, folder), ["lang", "source"])
+    found = sketches.read_profile(sketches.merge_profiles(apart, "lang"), (0.0, 1.0))
+    ends = [F.get("size_quantiles", F.lit(i)).alias(n) for i, n in enumerate(("smallest", "largest"))]
+    return found.select("lang", *sketches.SUMS, *ends)
+
+
+@query("H7_sketch_profile")
+def h7_sketched(spark, folder):
+    """Quantiles and distinct counts by language, estimated from merged sketches."""
+    apart = sketches.sketch_profile(documents(spark, folder), ["lang", "source"])
+    return sketches.read_profile(sketches.merge_profiles(apart, "lang"))
+
+
+@query("H6_sketched_overlap")
+def h6_sketched(spark, folder):
+    """Words of documents and of conversations, from two stored sketches."""
+    docs = documents(spark, folder).withColumn("all", F.lit(0))
+    turns = read_table(spark, folder, "conversations", ["conv_id", "turn"]).withColumn("all", F.lit(0))
+    return sketches.sketched_overlap(*(sketches.sketch_profile(x, "all") for x in (docs, turns)))
