@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,6 +109,84 @@ def nb_fit(
     return cut(nb_priors(known, prior_smoothing)), cut(long)
 
 
+def _class_counts(tf: DataFrame, classes: Sequence, value: Column) -> tuple[DataFrame, Column, Column]:
+    """(token, counts): `value` summed per class, side by side; and, as scalars, the classes' totals and the number of tokens."""
+    per_class = [F.sum(F.when(F.col("label") == c, value).otherwise(0)) for c in classes]
+    wide = cut(tf.groupBy("token").agg(F.array(*per_class).alias("counts")))
+    sums = wide.agg(
+        F.array(*[F.sum(F.get("counts", F.lit(i))) for i in range(len(classes))]).alias("totals"),
+        F.count(F.lit(1)).alias("vocabulary"),
+    )
+    whole = sums.select(F.struct("totals", "vocabulary").alias("s")).scalar()
+    return wide, whole["totals"], whole["vocabulary"]
+
+
+def _few_classes(docs: DataFrame) -> list:
+    classes = class_list(docs.filter("label is not null").select("label"))
+    if not 0 < len(classes) <= WIDE_CLASSES:
+        raise ValueError(f"between 1 and {WIDE_CLASSES} classes are needed")
+    return classes
+
+
+def _per_class(wide: DataFrame, classes: Sequence, of: Callable[[int], Column]) -> DataFrame:
+    """(token, label, log_likelihood) with `of(i)` for class i."""
+    entries = [F.struct(F.lit(c).alias("label"), of(i).alias("log_likelihood")) for i, c in enumerate(classes)]
+    return wide.select("token", F.inline(F.array(*entries)))
+
+
+def nb_fit_bernoulli(
+    tf: DataFrame, docs: DataFrame, smoothing: float = 1.0, prior_smoothing: float = 0.0
+) -> tuple[DataFrame, DataFrame]:
+    """Naive Bayes over which words a document has, as the tables of `nb_fit`.
+
+    A word's likelihood is the log odds of it being in a document of the class, and the prior holds what all words' absence adds, so `nb_predict` scores it
+    from the words that are there, each with tf 1: see `presence`.
+    """
+    classes = _few_classes(docs)
+    known = docs.filter("label is not null").select("label")
+    priors = cut(nb_priors(known, prior_smoothing))
+    n = {r["label"]: r["docs"] for r in priors.collect()}
+    present = tf.filter("label is not null AND tf > 0").select("token", "label")
+    wide, _, _ = _class_counts(present, classes, F.lit(1))
+
+    def chance(i: int) -> Column:
+        return (F.get("counts", F.lit(i)) + smoothing) / (n[classes[i]] + 2 * smoothing)
+
+    absent = wide.agg(F.array(*[F.sum(F.log(1 - chance(i))) for i in range(len(classes))]).alias("a"))
+    absent = absent.select(F.posexplode(F.arrays_zip(F.array(*map(F.lit, classes)).alias("label"), F.col("a"))).alias("i", "z"))
+    absent = absent.select("z.label", F.coalesce("z.a", F.lit(0.0)).alias("a"))
+    whole = priors.join(absent, "label").select("label", "docs", (F.col("log_prior") + F.col("a")).alias("log_prior"))
+    odds = _per_class(wide, classes, lambda i: F.log(chance(i) / (1 - chance(i))))
+    return cut(whole), cut(odds)
+
+
+def presence(tf: DataFrame) -> DataFrame:
+    """Every counted word once."""
+    return tf.filter("tf > 0").withColumn("tf", F.lit(1).cast("bigint"))
+
+
+def nb_fit_complement(tf: DataFrame, docs: DataFrame, smoothing: float = 1.0) -> tuple[DataFrame, DataFrame]:
+    """Complement Naive Bayes as the tables of `nb_fit`: a word counts for a class by how rare it is in all others.
+
+    A class's weights are the logs of the word's smoothed share in the other classes, divided by their sum. Priors play no part: they are 0.
+    """
+    classes = _few_classes(docs)
+    train = tf.filter("label is not null").select("token", "label", "tf")
+    wide, totals, vocabulary = _class_counts(train, classes, F.col("tf"))
+
+    def total(values: Column) -> Column:
+        return reduce(add, (F.get(values, F.lit(i)) for i in range(len(classes))))
+
+    def weight(i: int) -> Column:
+        others = total(F.col("counts")) - F.get("counts", F.lit(i)) + smoothing
+        return F.log(others / (total(totals) - F.get(totals, F.lit(i)) + smoothing * vocabulary))
+
+    sums = wide.agg(F.array(*[F.sum(weight(i)) for i in range(len(classes))]).alias("s")).scalar()
+    weights = _per_class(wide, classes, lambda i: F.try_divide(weight(i), F.get(sums, F.lit(i))))
+    priors = nb_priors(docs.select("label")).withColumn("log_prior", F.lit(0.0))
+    return cut(priors), cut(weights)
+
+
 def _long_likelihoods(train: DataFrame, known: DataFrame, smoothing: float) -> DataFrame:
     """The same table from one count per (token, label). Each token's counts meet in one map, no larger than the classes."""
     counts = cut(train.groupBy("token", "label").agg(F.sum("tf").alias("n")))

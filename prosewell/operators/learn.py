@@ -76,7 +76,7 @@ def naive_bayes(kind: str = "multinomial", n: int = 1 << 18, vectorizer: str = "
     stages = vectorize(n, vectorizer)
     source = "counts"
     if kind == "bernoulli":
-        stages = [token_stage(), HashingTF(inputCol="tokens", outputCol="counts", numFeatures=n, binary=True)]
+        stages[1].setBinary(True)
     model = NaiveBayes(modelType=kind, featuresCol=source, labelCol="label", smoothing=1.0)
     return Pipeline(stages=[*stages, model])
 

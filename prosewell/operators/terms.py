@@ -260,3 +260,10 @@ def select_features(association: DataFrame, k: int) -> DataFrame:
     """(token, score): the k tokens with the best score over any label, ties by token."""
     best = association.groupBy("token").agg(F.max(F.round("score", 9)).alias("score"))
     return best.orderBy(F.desc("score"), F.asc("token")).limit(k)
+
+
+def unit_weights(weights: DataFrame, key: str | Sequence[str] = "doc_id", value: str = "tf_idf") -> DataFrame:
+    """`weights` (key, token, value) with `weight`: each document's values divided by their length as a vector; null where that is 0."""
+    keys = names(key)
+    length = weights.groupBy(*keys).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_length"))
+    return weights.join(length, keys).withColumn("weight", F.try_divide(F.col(value), F.col("_length"))).drop("_length")

@@ -279,10 +279,18 @@ def g16b(spark, folder):
     )
 
 
-@query("G14_silhouette")
+@query(
+    "G14_silhouette",
+    f"""WITH {POINTS_SQL}, u AS (SELECT vec_id, k, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) AS v FROM assigned),
+    e2 AS (SELECT k, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM u), s2 AS (SELECT k, i, sum(x) AS x FROM e2 GROUP BY ALL),
+    sums AS (SELECT s2.k, list(x ORDER BY i) AS s, any_value(n) AS n FROM s2 JOIN (SELECT k, count(*) AS n FROM u GROUP BY k) c ON c.k = s2.k GROUP BY s2.k),
+    far AS (SELECT u.vec_id, u.k = m.k AS own, m.n, 1 - list_inner_product(u.v, m.s) / m.n AS d FROM u CROSS JOIN sums m),
+    ab AS (SELECT vec_id, max(n) FILTER (own) AS n, max(d * n / nullif(n - 1, 0)) FILTER (own) AS a, min(d) FILTER (NOT own) AS b FROM far GROUP BY vec_id)
+    SELECT round(avg(CASE WHEN n = 1 THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS silhouette FROM ab""",
+)
 def g14b(spark, folder):
     found = cut(assigned(spark, folder))
-    return spark.createDataFrame([(float(cluster.silhouette(found)),)], "silhouette double")
+    return spark.createDataFrame([(round(float(cluster.silhouette(found)), 6),)], "silhouette double")
 
 
 WIDTH = 256

@@ -210,39 +210,39 @@ def prepared(spark: SparkSession, folder: str) -> DataFrame:
     return cut(labelled(spark, folder))
 
 
+# So many slots that words of one document do not meet by chance.
+WIDE = 1 << 30
+
+
 @query(
     "F3_vectorize",
-    "SELECT doc_id, coalesce(len(regexp_extract_all(lower(text), '[a-z]+')), 0)::DOUBLE AS tokens FROM documents",
+    """WITH k AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents),
+    tf AS (SELECT doc_id, token, count(*) AS tf FROM k GROUP BY ALL), v AS (SELECT doc_id, count(*) AS slots, string_agg(tf, ',' ORDER BY tf) AS counts FROM tf GROUP BY 1)
+    SELECT doc_id, coalesce(slots, 0)::BIGINT AS slots, coalesce(counts, '') AS counts FROM documents LEFT JOIN v USING (doc_id)""",
 )
 def f3(spark, folder):
+    """How many slots each document's vector has, and what they hold, in order."""
     docs = documents(spark, folder).select("doc_id", "text")
-    model = Pipeline(stages=learn.vectorize(1 << 12)).fit(docs)
-    return model.transform(docs).select(
-        "doc_id", F.aggregate(vector_to_array("counts"), F.lit(0.0), lambda a, x: a + x).alias("tokens")
-    )
+    model = Pipeline(stages=learn.vectorize(WIDE)).fit(docs)
+    # Of a sparse vector's text, (size, [slots], [values]), the values.
+    values = F.from_json(F.concat(F.lit("["), F.regexp_extract(F.col("counts").cast("string"), r"\],\[(.*)\]\)$", 1), F.lit("]")), "array<double>")
+    held = model.transform(docs).select("doc_id", F.array_sort(values.cast("array<bigint>")).alias("v"))
+    return held.select("doc_id", F.size("v").cast("bigint").alias("slots"), F.array_join("v", ",").alias("counts"))
 
 
 @query(
     "F4_weight",
     """WITH k AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM documents),
     tf AS (SELECT doc_id, token, count(*) AS tf FROM k GROUP BY ALL), df AS (SELECT token, count(*) AS df FROM tf GROUP BY token),
-    w AS (SELECT doc_id, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS w FROM tf JOIN df USING (token)),
-    d AS (SELECT doc_id, count(*) AS terms, max(w) / nullif(sqrt(sum(w * w)), 0) AS largest FROM w GROUP BY doc_id)
-    SELECT doc_id, coalesce(terms, 0)::BIGINT AS terms, round(coalesce(largest, 0), 6) AS largest FROM documents LEFT JOIN d USING (doc_id)""",
+    w AS (SELECT doc_id, token, tf * ln(((SELECT count(*) FROM documents) + 1) / (df + 1)) AS w FROM tf JOIN df USING (token))
+    SELECT doc_id, token, round(w / nullif(sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 0), 6) AS weight FROM w""",
 )
 def f4(spark, folder):
+    """Every word's weight in its document, as vectors of length 1."""
     docs = documents(spark, folder).select("doc_id", "text")
     tf = terms.term_counts(docs).groupBy("doc_id", "token").agg(F.sum("tf").alias("tf"))
-    weights = terms.tf_idf(tf, cut(terms.doc_freq(tf)), docs.count())
-    w = F.col("tf_idf")
-    found = weights.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("terms"), F.try_divide(F.max(w), F.sqrt(F.sum(w * w))).alias("largest")
-    )
-    return docs.select("doc_id").join(found, "doc_id", "left").select(
-        "doc_id",
-        F.coalesce("terms", F.lit(0)).cast("bigint").alias("terms"),
-        F.round(F.coalesce("largest", F.lit(0.0)), 6).alias("largest"),
-    )
+    weights = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), docs.count()))
+    return weights.select("doc_id", "token", F.round("weight", 6).alias("weight"))
 
 
 def _pipeline(pipeline_of):
@@ -290,8 +290,51 @@ query(
     "F8_naive_bayes_multinomial",
     f"WITH {_library_sql('NOT test', '(SELECT * FROM lab WHERE test)')} SELECT doc_id, label::BIGINT AS label, prediction FROM pred JOIN lab USING (doc_id)",
 )(_multinomial)
-query("F8_naive_bayes_complement")(_pipeline(lambda: learn.naive_bayes("complement", FEATURES)))
-query("F8_naive_bayes_bernoulli")(_pipeline(lambda: learn.naive_bayes("bernoulli", FEATURES)))
+NB_SQL = f"""lab AS (SELECT l.doc_id, l.toxic AS label, d.text, {_fold_sql('l.doc_id', 5)} = 0 AS test
+      FROM labels l JOIN documents d ON l.doc_id = d.doc_id WHERE l.toxic IS NOT NULL),
+    k AS (SELECT doc_id, label, test, unnest(regexp_extract_all(lower(text), '[a-z]+')) AS token FROM lab),
+    tf AS (SELECT doc_id, label, test, token, count(*) AS tf FROM k GROUP BY ALL),
+    classes AS (SELECT label, count(*) AS n FROM lab WHERE NOT test GROUP BY label),
+    vocab AS (SELECT token, sum(tf) AS t FROM tf WHERE NOT test GROUP BY token),
+    cells AS (SELECT v.token, c.label, c.n, v.t, coalesce(sum(tf.tf), 0) AS f, count(tf.tf) AS d FROM vocab v CROSS JOIN classes c
+      LEFT JOIN (SELECT * FROM tf WHERE NOT test) tf ON tf.token = v.token AND tf.label = c.label GROUP BY ALL)"""
+SCORED_SQL = """scores AS (SELECT l.doc_id, l.label AS truth, c.label, any_value(c.prior) + coalesce(sum(x.w * m.w), 0) AS score
+      FROM (SELECT * FROM lab WHERE test) l CROSS JOIN prior c LEFT JOIN seen x ON x.doc_id = l.doc_id LEFT JOIN model m ON m.token = x.token AND m.label = c.label GROUP BY ALL)
+    SELECT doc_id, truth::BIGINT AS label, arg_max(label, (round(score, 9), -label))::DOUBLE AS prediction, round(max(score), 6) AS score FROM scores GROUP BY ALL"""
+
+
+def _nb_tables(spark: SparkSession, folder: str, fit, seen) -> DataFrame:
+    data = prepared(spark, folder)
+    train, test = (data.filter(f"side = '{side}'") for side in ("train", "test"))
+    tf = terms.term_counts(data, key=["doc_id", "label", "side"])
+    model = fit(tf.filter("side = 'train'"), train)
+    asked = seen(tf.filter("side = 'test'").drop("side"))
+    found = classify.nb_predict(*model, test, asked, ["doc_id", "label"])
+    return found.select(
+        "doc_id", F.col("label").cast("bigint"), F.col("prediction").cast("double"), F.round("score", 6).alias("score")
+    )
+
+
+@query(
+    "F8_naive_bayes_complement",
+    f"""WITH {NB_SQL}, raw AS (SELECT token, label, ln((t - f + 1) / (sum(t) OVER l - sum(f) OVER l + count(*) OVER l)) AS w FROM cells WINDOW l AS (PARTITION BY label)),
+    model AS (SELECT token, label, w / sum(w) OVER (PARTITION BY label) AS w FROM raw), prior AS (SELECT label, 0.0 AS prior FROM classes),
+    seen AS (SELECT doc_id, token, tf AS w FROM tf WHERE test), {SCORED_SQL}""",
+)
+def f8_complement(spark, folder):
+    return _nb_tables(spark, folder, classify.nb_fit_complement, lambda tf: tf)
+
+
+@query(
+    "F8_naive_bayes_bernoulli",
+    f"""WITH {NB_SQL}, raw AS (SELECT token, label, (d + 1) / (n + 2) AS p FROM cells), model AS (SELECT token, label, ln(p / (1 - p)) AS w FROM raw),
+    prior AS (SELECT label, ln(any_value(n) / (SELECT sum(n) FROM classes)) + sum(ln(1 - p)) AS prior FROM raw JOIN classes USING (label) GROUP BY label),
+    seen AS (SELECT doc_id, token, 1 AS w FROM tf WHERE test), {SCORED_SQL}""",
+)
+def f8_bernoulli(spark, folder):
+    return _nb_tables(spark, folder, classify.nb_fit_bernoulli, classify.presence)
+
+
 query("F9_logistic")(_pipeline(lambda: learn.logistic(FEATURES, 20)))
 query("F10_svm")(_pipeline(lambda: learn.svm(FEATURES, 10)))
 

@@ -15,7 +15,7 @@ from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query, values_sql
 from prosewell.plans.sentiment import TURN_LEXICON
 from prosewell.plans.text import documents
-from prosewell.sources.corpus import read_corpus, write_files
+from prosewell.sources.corpus import read_bundles, write_bundles
 from prosewell.sources.store import fresh_path
 from prosewell.sources.tables import read_table
 
@@ -290,11 +290,11 @@ def own_by_sender(spark, folder):
 
 @query(
     "A1_read_corpus",
-    f"WITH {MESSAGES_SQL} SELECT grp || ' c++' AS grp, msg_no, md5(raw || chr(10)) AS raw FROM corpus",
+    f"WITH {MESSAGES_SQL} SELECT grp || ' c++' AS grp, msg_no, md5(raw) AS raw FROM corpus",
 )
 def a1(spark, folder):
-    """The messages written as folders of files, one row per file, and read back."""
+    """The messages written as bundles, a folder per group, and read back. One file per message is read in tests."""
     path = fresh_path(spark, "corpus")
     named = corpus(spark, folder).withColumn("grp", F.concat("grp", F.lit(" c++")))
-    write_files(named, path)
-    return read_corpus(spark, path, partitions=True).select("grp", "msg_no", F.md5("raw").alias("raw"))
+    write_bundles(named, path)
+    return read_bundles(spark, path).select("grp", "msg_no", F.md5("raw").alias("raw"))

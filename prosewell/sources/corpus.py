@@ -32,6 +32,34 @@ def read_corpus(spark: SparkSession, root: str, partitions: bool = False) -> Dat
     )
 
 
+# What ends a record of a bundle, and what stands for it and for itself inside one.
+RECORD_END, ESCAPE = "\x1e", "\x1f"
+
+
+def write_bundles(df: DataFrame, root: str, rows_per_file: int = 100_000) -> None:
+    """(grp, msg_no, raw) as text files of many messages, in a folder per group: a record is the number, a newline and the message.
+
+    The number of files follows the rows, not the messages. A message may hold any character: the record's end is escaped in it.
+    """
+    raw = F.replace(F.replace("raw", F.lit(ESCAPE), F.lit(ESCAPE + "1")), F.lit(RECORD_END), F.lit(ESCAPE + "0"))
+    records = df.select(F.concat_ws("\n", F.col("msg_no").cast("string"), raw).alias("value"), "grp")
+    (
+        records.hint("rebalance", "grp")
+        .write.partitionBy("grp")
+        .option("lineSep", RECORD_END)
+        .option("maxRecordsPerFile", rows_per_file)
+        .text(root)
+    )
+
+
+def read_bundles(spark: SparkSession, root: str) -> DataFrame:
+    """(grp, msg_no, raw) of the files of `write_bundles`. Files are split only between records; groups are text whatever they look like."""
+    records = spark.read.schema("value string, grp string").option("lineSep", RECORD_END).text(root)
+    number, raw = F.substring_index("value", "\n", 1), F.expr("substr(value, instr(value, '\n') + 1)")
+    raw = F.replace(F.replace(raw, F.lit(ESCAPE + "0"), F.lit(RECORD_END)), F.lit(ESCAPE + "1"), F.lit(ESCAPE))
+    return records.select("grp", number.try_cast("bigint").alias("msg_no"), raw.alias("raw"))
+
+
 def write_files(df: DataFrame, root: str) -> None:
     """One text file per row of (grp, msg_no, raw), ended by a newline, for tools that read messages as files."""
     df.select("grp", "msg_no", "raw").write.partitionBy("grp", "msg_no").text(root)

@@ -6,6 +6,10 @@ from oracle import differences, duck
 from prosewell.operators import classify, cluster, learn, terms
 from prosewell.plans import clustering, learning
 from prosewell.plans.registry import ORACLE, QUERIES
+from prosewell.sources.store import cut
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import NaiveBayes
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import functions as F
 
 
@@ -165,3 +169,118 @@ def test_a_full_vocabulary_is_refused(spark):
     with pytest.raises(ValueError):
         learn.train_nb(rows, n=3, vectorizer="count")
     assert len(learn.train_nb(rows, n=5, vectorizer="count").stages[1].vocabulary) == 4
+
+
+@pytest.fixture(scope="module")
+def small(spark):
+    """Labelled texts of few words, so that solvers can run to their optimum."""
+    rng = np.random.default_rng(12)
+    words = ["red", "green", "blue", "one", "two", "three", "four"]
+    rows = []
+    for i in range(90):
+        label = i % 3
+        weights = np.ones(len(words)) + 3 * (np.arange(len(words)) % 3 == label)
+        rows.append((i, label, " ".join(rng.choice(words, 8, p=weights / weights.sum())), i % 3))
+    return cut(spark.createDataFrame(rows, "doc_id long, label int, text string, fold int"))
+
+
+@pytest.mark.parametrize("kind", ["multinomial", "complement", "bernoulli"])
+def test_naive_bayes_tables_equal_the_library(small, kind):
+    """The kinds as tables against the solver's, over the same words."""
+    model = learn.train(learn.naive_bayes(kind, 100, "count"), small.select("text", "label"))
+    wanted = {r.doc_id: r.prediction for r in learn.score_table(model, small, ["doc_id"]).collect()}
+    tf = terms.term_counts(small, key=["doc_id", "label"])
+    fit = {
+        "multinomial": lambda: classify.nb_fit(tf, small, prior_smoothing=1.0),
+        "complement": lambda: classify.nb_fit_complement(tf, small),
+        "bernoulli": lambda: classify.nb_fit_bernoulli(tf, small, prior_smoothing=1.0),
+    }[kind]()
+    seen = classify.presence(tf) if kind == "bernoulli" else tf
+    found = {r.doc_id: r.prediction for r in classify.nb_predict(*fit, small, seen).collect()}
+    assert found == wanted
+
+
+def design(model, docs):
+    """Features as a matrix, and labels."""
+    rows = model.transform(docs.withColumn("label", F.col("label").cast("double"))).orderBy("doc_id").collect()
+    return np.array([r.features.toArray() for r in rows]), np.array([int(r.label) for r in rows]), rows
+
+
+def is_least(loss, at, rng):
+    """No step of any size in 200 random directions makes the loss smaller."""
+    least = loss(at)
+    for scale in (1.0, 0.1, 0.01):
+        for _ in range(70):
+            if loss(at + scale * rng.normal(size=at.shape)) < least - 1e-7:
+                return False
+    return True
+
+
+def test_logistic_regression_is_at_its_optimum(small):
+    reg = 0.01
+    model = learn.train(learn.logistic(64, 500, reg), small.select("text", "label"))
+    x, y, rows = design(model, small)
+    spread = x.std(axis=0, ddof=1)
+    stage = model.stages[-1]
+    at = np.c_[stage.coefficientMatrix.toArray(), stage.interceptVector.toArray()]
+
+    def loss(theta):
+        scores = x @ theta[:, :-1].T + theta[:, -1]
+        top = scores.max(axis=1)
+        norm = top + np.log(np.exp(scores - top[:, None]).sum(axis=1))
+        return (norm - scores[np.arange(len(y)), y]).mean() + reg / 2 * ((theta[:, :-1] * spread) ** 2).sum()
+
+    assert is_least(loss, at, np.random.default_rng(1))
+    assert [int(r.prediction) for r in rows] == (x @ at[:, :-1].T + at[:, -1]).argmax(axis=1).tolist()
+
+
+def test_svm_is_at_its_optimum_for_each_class(small):
+    reg = 0.01
+    model = learn.train(learn.svm(64, 150, reg), small.select("text", "label"))
+    x, y, rows = design(model, small)
+    spread = x.std(axis=0, ddof=1)
+    margins = []
+    for c, one in enumerate(model.stages[-1].models):
+        sign = np.where(y == c, 1, -1)
+        at = np.append(one.coefficients.toArray(), one.intercept)
+
+        def loss(theta, sign=sign):
+            hinge = np.maximum(0, 1 - sign * (x @ theta[:-1] + theta[-1])).mean()
+            return hinge + reg / 2 * ((theta[:-1] * spread) ** 2).sum()
+
+        # The hinge has corners: the solver stops near the least loss, not on it.
+        rng = np.random.default_rng(c)
+        best = min(loss(at + s * rng.normal(size=at.shape)) for s in (0.3, 0.1, 0.03, 0.01) for _ in range(60))
+        assert loss(at) <= best + 2e-3 and loss(at) < 0.9 * loss(np.zeros_like(at))
+        margins.append(x @ at[:-1] + at[-1])
+    assert [int(r.prediction) for r in rows] == np.argmax(margins, axis=0).tolist()
+
+
+def test_cross_validation_is_the_mean_over_folds(small):
+    nb = NaiveBayes(featuresCol="counts", labelCol="label")
+    pipeline = Pipeline(stages=[*learn.vectorize(1 << 10), nb])
+    grid = ParamGridBuilder().addGrid(nb.smoothing, [0.1, 5.0]).build()
+    found = learn.cross_validate(pipeline, grid, small, "fold", 3, "accuracy")
+    for params, metric in zip(grid, found.avgMetrics, strict=True):
+        right = []
+        for k in range(3):
+            one = pipeline.copy(params)
+            model = learn.train(one, small.filter(f"fold <> {k}"))
+            rows = learn.score_table(model, small.filter(f"fold = {k}"), ["label"]).collect()
+            right.append(np.mean([r.label == r.prediction for r in rows]))
+        assert metric == pytest.approx(np.mean(right))
+
+
+def test_weights_of_pipeline_and_tables_agree(small):
+    """IDF and unit length by `pyspark.ml` over counted words, against the tables."""
+    model = Pipeline(stages=[*learn.vectorize(50, "count"), *learn.weight()]).fit(small)
+    names = model.stages[1].vocabulary
+    wanted = {
+        (r.doc_id, names[i]): v
+        for r in model.transform(small).collect()
+        for i, v in zip(r.features.indices.tolist(), r.features.values.tolist(), strict=True)
+    }
+    tf = terms.term_counts(small)
+    found = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), small.count())).collect()
+    got = {(r.doc_id, r.token): r.weight for r in found if r.weight}
+    assert got == pytest.approx({k: v for k, v in wanted.items() if v})

@@ -5,7 +5,7 @@ import os
 import pytest
 from prosewell.operators import messages as M
 from prosewell.operators import quality, terms
-from prosewell.sources.corpus import read_corpus, write_corpus, write_files
+from prosewell.sources.corpus import read_bundles, read_corpus, write_bundles, write_corpus, write_files
 from pyspark.sql import functions as F
 
 
@@ -185,3 +185,14 @@ def test_files_with_odd_folder_names(spark, tmp_path):
     write_files(read, str(tmp_path / "out"))
     again = read_corpus(spark, str(tmp_path / "out"), partitions=True)
     assert sorted((r.grp, r.msg_no, r.raw[:-1]) for r in again.collect()) == sorted(map(tuple, read.collect()))
+
+
+def test_bundles_hold_any_message(spark, tmp_path):
+    """Many messages a file, whatever they hold: the record's end, its escape, returns, blank lines, no newline at the end, nothing."""
+    texts = ["a\n\nb\n", "", "\n", "no end", "x\x1ey\x1fz\x1f0\x1f1", "\r\n\r", "tab\there", "é 你"]
+    rows = [(f"g{i % 3}", i, texts[i % len(texts)]) for i in range(200)] + [("12", 5, "number"), ("x y%/c++", 6, "odd")]
+    df = spark.createDataFrame(rows, "grp string, msg_no long, raw string")
+    write_bundles(df, str(tmp_path / "b"), rows_per_file=20)
+    assert sorted(map(tuple, read_bundles(spark, str(tmp_path / "b")).collect())) == sorted(rows)
+    files = [f for _, _, names in os.walk(tmp_path / "b") for f in names if f.endswith(".txt")]
+    assert 11 <= len(files) <= 60
