@@ -15,9 +15,7 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass, field
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +27,6 @@ from prosewell.sources.store import cut
 ORDER = 5
 SYMBOLS = 128
 HELD = 200_000
-CACHED = 300_000
 # Log ratios are summed as whole numbers of this part, so that a sum does not depend on the order of its rows.
 PARTS = 1 << 32
 FOLDS, CALIBRATION = 4, 2
@@ -71,51 +68,9 @@ def spelled(*pieces: str) -> str:
     return BEGIN * ORDER + body + END
 
 
-@dataclass
-class UrlModel:
-    """n and kinds of what follows each context, and n of each follower."""
-
-    contexts: dict[str, tuple[int, int]] = field(default_factory=dict)
-    grams: dict[str, int] = field(default_factory=dict)
-
-    def probability(self, context: str, char: str) -> float:
-        p = 1.0 / SYMBOLS
-        for k in range(len(context) + 1):
-            seen = self.contexts.get(context[len(context) - k :])
-            if seen is None:
-                break
-            n, kinds = seen
-            p = (self.grams.get(context[len(context) - k :] + char, 0) + kinds * p) / (n + kinds)
-        return p
-
-
-@dataclass
-class UrlFilter:
-    accepted: UrlModel
-    rejected: UrlModel
-    threshold: float = 0.0
-
-    def score(self, text: str, known: dict[str, float]) -> float:
-        """Difference of log likelihoods by length; above 0: likelier accepted."""
-        total = 0.0
-        for at in range(ORDER, len(text)):
-            gram = text[at - ORDER : at + 1]
-            value = known.get(gram)
-            if value is None:
-                value = math.log(
-                    self.accepted.probability(gram[:-1], gram[-1])
-                    / self.rejected.probability(gram[:-1], gram[-1])
-                )
-                if len(known) < CACHED:
-                    known[gram] = value
-            total += value
-        return total / (len(text) - ORDER)
-
-
 def _texts(batch: pa.RecordBatch) -> Iterator[str]:
-    """The spelled URLs of a batch with `url`, or with `host` and `path`."""
-    names = ["url"] if "url" in batch.schema.names else ["host", "path"]
-    return (spelled(*pieces) for pieces in zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+    """The spelled URLs of a batch."""
+    return map(spelled, batch.column("url").to_pylist())
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -145,47 +100,6 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield give()
 
 
-def _model(grams: DataFrame, kind: int, contexts: int) -> UrlModel:
-    """At most `contexts` contexts and what follows them, from (gram, n)."""
-    own = grams.filter(F.col("kind") == kind)
-    with_context = own.withColumn("context", F.expr("left(gram, length(gram) - 1)"))
-    totals = with_context.groupBy("context").agg(
-        F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")
-    )
-    everything = own.agg(F.sum("n")).first()[0] or 0
-    least = max(2, math.ceil(everything / contexts))
-    often = cut(totals.filter(F.col("total") >= least))
-    followers = with_context.join(F.broadcast(often), "context").select("gram", "n")
-    found = often.toPandas()
-    grams_ = followers.toPandas()
-    return UrlModel(
-        {c: (int(n), int(k)) for c, n, k in zip(found["context"], found["total"], found["kinds"], strict=True)},
-        dict(zip(grams_["gram"], grams_["n"].astype(int), strict=True)),
-    )
-
-
-def scored(urls: DataFrame, model: UrlFilter) -> DataFrame:
-    """Adds `score` to (host, path, any other columns)."""
-
-    def score(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
-        known: dict[str, float] = {}
-        for hosts, paths in parts:
-            yield pd.Series(
-                [model.score(spelled(h, p), known) for h, p in zip(hosts, paths, strict=True)],
-                dtype=float,
-            )
-
-    score.__annotations__ = {
-        "parts": Iterator[tuple[pd.Series, pd.Series]], "return": Iterator[pd.Series]
-    }
-    return urls.withColumn("score", F.pandas_udf(score, "double")("host", "path"))
-
-
-def calibrated(ruled: DataFrame, model: UrlFilter) -> float:
-    """The threshold for ruled URLs (kind, host, path) by a model in memory."""
-    return threshold_of(scored(ruled, model))
-
-
 def threshold_of(scores: DataFrame) -> float:
     """The threshold that errs least on both kinds of ruled URLs (kind, score), each kind weighing the same.
 
@@ -224,19 +138,6 @@ def _grams(ruled: DataFrame) -> DataFrame:
     return grams.groupBy("kind", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(ruled: DataFrame, contexts: int) -> UrlFilter | None:
-    """A filter in memory of at most `contexts` contexts a kind, from (kind, host, path, key). `judged` keeps every context instead.
-
-    Without URLs of both kinds there is nothing to tell apart: None.
-    """
-    grams = cut(_grams(ruled))
-    model = UrlFilter(_model(grams, ACCEPT, contexts), _model(grams, REJECT, contexts))
-    if not model.accepted.contexts or not model.rejected.contexts:
-        return None
-    model.threshold = calibrated(ruled.filter(_kept_out()), model)
-    return model
-
-
 def context_table(ruled: DataFrame) -> DataFrame:
     """(context, a, r, a_kinds, r_kinds, followers) of every context of the counted URLs (kind, url, key).
 

@@ -165,3 +165,43 @@ def test_repeat_words_of_equal_hashes(monkeypatch):
     words = b"a b c d e f g a b c d e".split()
     assert text_counts.repeat_words(words) == 10
     assert text_counts.repeat_words(b"a b c d e f g h h i j k l".split()) == 0
+
+
+def plain_strength(groups):
+    """(n, good, toward) of groups: weight of what they are drawn to."""
+    total = sum(n for n, _, _ in groups)
+    spread = sum(n * (g / n - t) ** 2 for n, g, t in groups) / total
+    chance = sum(t * (1 - t) for _, _, t in groups) / total
+    even = sum(n * t * (1 - t) for n, _, t in groups) / total
+    low, high = site_quality.STRENGTH
+    return min(max(even / max(spread - chance, 1e-9) - 1, low), high)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_posteriors_equal_a_plain_computation(spark, seed):
+    """Sums, both strengths and every row's score, by loops over sites: sparse ones, a hot one, null hosts and paths."""
+    rng = np.random.default_rng(seed)
+    sites = [("hot", "/")] * 60 + [(f"h{i % 9}", f"p{i % 4}") for i in range(50)] + [(None, None), (None, "p"), ("h1", None)]
+    rows = [(h, p, float(rng.normal(1.5 * ((len(str(h)) + seed) % 3 - 1), 1.0))) for h, p in sites]
+    table = spark.createDataFrame(rows, "host string, path string, _evidence double")
+    found = site_quality.combined(table, site_quality.site_posteriors(table)).collect()
+    good = [1 / (1 + np.exp(-e)) for *_, e in rows]
+    mean = min(max(np.mean(good), 1e-3), 1 - 1e-3)
+    hosts, paths = {}, {}
+    for (h, p, _), g in zip(rows, good, strict=True):
+        for held, key in ((hosts, h), (paths, (h, p))):
+            n, total = held.get(key, (0, 0.0))
+            held[key] = n + 1, total + g
+    k_host = plain_strength([(n, g, mean) for n, g in hosts.values()])
+    drawn = {h: (k_host * mean + g) / (n + k_host) for h, (n, g) in hosts.items()}
+    k_path = plain_strength([(n, g, drawn[h]) for (h, _), (n, g) in paths.items()])
+    wanted = []
+    inside = lambda x: min(max(x, 1e-3), 1 - 1e-3)
+    logit = lambda x: np.log(x / (1 - x))
+    for (h, p, e), g in zip(rows, good, strict=True):
+        host = inside((k_host * mean + hosts[h][1] - g) / (k_host + hosts[h][0] - 1))
+        path = inside((k_path * host + paths[h, p][1] - g) / (k_path + paths[h, p][0] - 1))
+        wanted.append((str(h), str(p), e, host, path, 1 / (1 + np.exp(-(e - logit(mean) + logit(path))))))
+    got = sorted((str(r.host), str(r.path), r._evidence, r.host_posterior, r.path_posterior, r.score) for r in found)
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(wanted)], atol=1e-9)
+    assert all(r.kept == (r.score >= site_quality.KEEP_AT) for r in found)

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 from tables import ODD, documents
 
 from prosewell.llm import toxicity as tx
@@ -71,7 +72,7 @@ def test_held_out_accuracy(spark):
 
     folder = "/root/testdata/sf0.1"
     if not os.path.isdir(folder):
-        return
+        pytest.skip(f"no test tables at {folder}")
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
     rows = QUERIES["op5_pu_toxicity"](spark, folder).collect()
     held = [(labels[r.doc_id], r.predicted) for r in rows if r.held_out and r.doc_id in labels]
