@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from prosewell.functions import vectors as V
 from prosewell.operators import cluster, learn
+from prosewell.plans import messaging
 from prosewell.plans.registry import query
 from prosewell.plans.text import TF_SQL, documents
 from prosewell.sources.store import cut
@@ -296,17 +297,28 @@ def g14b(spark, folder):
 WIDTH = 256
 
 
-@query("G17_cluster_documents")
-def cluster_documents(spark, folder):
-    """Documents by topic: projected TF-IDF, unit length, summary, clusters; compared with language.
+def topics(docs: DataFrame, keys: list[str], label: str, k: int) -> DataFrame:
+    """(k, label, n): texts by topic, as projected TF-IDF, unit length, summary and clusters; texts without a word that counts are in no cluster.
 
     The vectors are narrow on purpose: a cluster feature is as wide as they are.
     """
+    vectors = cut(learn.project_text(docs, WIDTH, [*keys, label]))
+    units, rejects = cluster.unit_vectors(vectors, [*keys, label])
+    found, _, _ = cluster.birch(cut(units), k, 0.4, 128, key=keys)
+    lost = rejects.select(label, F.lit(None).cast("int").alias("k"))
+    return cluster.contingency(found.select(label, "k").unionByName(lost), label)
+
+
+@query("G17_cluster_documents")
+def cluster_documents(spark, folder):
+    """Documents by topic, compared with language."""
     docs = documents(spark, folder).select("doc_id", F.col("lang").alias("label"), "text")
-    vectors = learn.project_text(docs, WIDTH, ["doc_id", "label"])
-    vectors = cut(vectors)
-    units, rejects = cluster.unit_vectors(vectors, ["doc_id", "label"])
-    found, _, _ = cluster.birch(cut(units), 8, 0.4, 128)
-    # Documents without a word that counts have no direction and no cluster.
-    lost = rejects.select("label", F.lit(None).cast("int").alias("k"))
-    return cluster.contingency(found.select("label", "k").unionByName(lost))
+    return topics(docs, ["doc_id"], "label", 8)
+
+
+@query("G17_cluster_messages")
+def cluster_messages(spark, folder):
+    """Messages by the words of their bodies, compared with their groups."""
+    found = messaging.messages(spark, folder).select("grp", "msg_no", F.col("body").alias("text"))
+    keyed = found.withColumn("label", F.col("grp"))
+    return topics(keyed, ["grp", "msg_no"], "label", 4)
