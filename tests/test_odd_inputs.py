@@ -7,6 +7,7 @@ import random
 import numpy as np
 import pytest
 from prosewell.operators import classify, cluster, quality
+from prosewell.sources.store import cut
 
 
 def test_duplicates_are_dropped_by_row(spark):
@@ -185,3 +186,35 @@ def test_groups_follow_the_points(spark, monkeypatch):
     for r in whole.collect():
         ls = np.array(r.ls)
         assert r.ss / r.n - ls @ ls / r.n**2 <= r.threshold**2 + 1e-9
+
+
+@pytest.mark.parametrize("form", ["points", "summary"])
+def test_centers_are_a_fixed_point(spark, form):
+    """Once the solver has stopped, giving every point to its nearest center and taking the direction of each sum moves no center."""
+    rng = np.random.default_rng(17)
+    x = random_units(rng, 900, 6, 8, 0.15)
+    df = cut(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], VECTORS))
+    if form == "points":
+        centers = cut(cluster.spherical_kmeans(df, 5, max_iter=200))
+        weighted = df
+    else:
+        cf = cut(cluster.cluster_features(df, 0.1, 64))
+        centers = cut(cluster.spherical_kmeans_cf(cf, 5, max_iter=200))
+        weighted = cf.withColumnRenamed("ls", "vector")
+    assert centers.count() == 5
+    moved = cluster.recenter(cut(cluster.assign(weighted, centers)), centers)
+    old, new = ({r.k: np.array(r.center) for r in c.collect()} for c in (centers, moved))
+    assert all(old[k] @ new[k] > 1 - 1e-4 for k in old)
+
+
+def test_cohesion_for_several_k_is_that_of_the_points(spark):
+    """What `choose_k` reads off the summary is the mean similarity of the summary's own sums, by hand."""
+    rng = np.random.default_rng(18)
+    x = random_units(rng, 400, 5, 4, 0.2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], VECTORS)
+    cf = cut(cluster.cluster_features(df, 0.1, 32))
+    sums = [(r.n, np.array(r.ls)) for r in cf.collect()]
+    for row in cluster.choose_k(cf, [2, 5]).collect():
+        centers = np.array([r.center for r in cluster.spherical_kmeans_cf(cf, row[0]).collect()])
+        wanted = sum((centers @ ls).max() for _, ls in sums) / sum(n for n, _ in sums)
+        assert row[1] == pytest.approx(wanted, abs=1e-9)
