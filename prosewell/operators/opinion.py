@@ -179,10 +179,23 @@ def spot_emoticons(
     return lookup(found, emoticons.select("emoticon", "polarity"), "emoticon")
 
 
-def polarity_by(scores: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """Mean net and share of each class per group of `dims`, with every subtotal (rollup)."""
+def polarity_by(
+    scores: DataFrame, dims: Sequence[str], how: str | Sequence[Sequence[str]] = "rollup"
+) -> DataFrame:
+    """Mean net and share of each class per group of `dims`.
+
+    `how` is "rollup" (subtotals from the right), "cube" (every combination), "groups" (no subtotal), or a list of the sets of `dims` to group by.
+    `level` tells a subtotal's null from a null in the data: a bit per dimension, set where it is summed over.
+    """
     share = {c: F.avg((F.col("class") == c).cast("double")) for c in ("positive", "negative", "neutral")}
-    return scores.rollup(*dims).agg(
+    if how == "rollup":
+        grouped = scores.rollup(*dims)
+    elif how == "cube":
+        grouped = scores.cube(*dims)
+    else:
+        sets = [list(dims)] if how == "groups" else [list(s) for s in how]
+        grouped = scores.groupingSets([[F.col(f"`{c}`") for c in s] for s in sets], *(F.col(f"`{c}`") for c in dims))
+    return grouped.agg(
         F.grouping_id().cast("bigint").alias("level"),
         F.count(F.lit(1)).alias("docs"),
         F.avg("net").alias("mean_net"),

@@ -143,6 +143,39 @@ query(
 )(score_opinions)
 
 
+def _grouped_sql(grouping: str) -> str:
+    return f"""WITH {fx.HITS_SQL}, g AS (SELECT *, doc_id % 3 AS part FROM classed)
+    SELECT coalesce(lang, '(all)') AS lang, coalesce(source, '(all)') AS source, coalesce(part, -1)::BIGINT AS part, grouping(lang, source, part)::BIGINT AS level,
+      count(*) AS docs, round(avg(net), 6) AS mean_net, round(avg((class = 'negative')::INT), 6) AS share_negative FROM g GROUP BY {grouping}"""
+
+
+def _grouped(spark: SparkSession, folder: str, how: str | list[list[str]]) -> DataFrame:
+    docs = documents(spark, folder).select("doc_id", "lang", "source", "text")
+    counted = opinion.count_polarity(docs, fx.opinion_lexicon(spark), key=["doc_id", "lang", "source"])
+    classed = opinion.classify_polarity(counted).withColumn("part", F.col("doc_id") % 3)
+    out = opinion.polarity_by(classed, ["lang", "source", "part"], how)
+    return out.select(
+        F.coalesce("lang", F.lit("(all)")).alias("lang"),
+        F.coalesce("source", F.lit("(all)")).alias("source"),
+        F.coalesce("part", F.lit(-1)).cast("bigint").alias("part"),
+        "level",
+        "docs",
+        F.round("mean_net", 6).alias("mean_net"),
+        F.round("share_negative", 6).alias("share_negative"),
+    )
+
+
+@query("D8_polarity_cube", _grouped_sql("CUBE (lang, source, part)"))
+def d8_cube(spark, folder):
+    """Polarity by every combination of language, source and a third of the documents."""
+    return _grouped(spark, folder, "cube")
+
+
+@query("D8_polarity_sets", _grouped_sql("GROUPING SETS ((lang, part), (source), ())"))
+def d8_sets(spark, folder):
+    return _grouped(spark, folder, [["lang", "part"], ["source"], []])
+
+
 @query(
     "D9_top_opinion_words",
     f"""WITH {fx.HITS_SQL}, c AS (SELECT lang, polarity, token, count(*) AS n FROM hits GROUP BY ALL),
