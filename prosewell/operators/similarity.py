@@ -4,22 +4,143 @@ A set's elements are ordered by how many sets hold them, rarest first. Two sets
 among the first n - ceil(t·n) + 1 of each, so only these are indexed. Elements of one set alone come first in that order and
 meet nobody: they take up places of the prefix and need no index row. Most sets of a corpus have no other elements there.
 Index entries of one element meet if their lengths and their places in the two orders still allow the threshold. Each pair is then verified once.
+
+Elements move once, to be counted, as (element, set, size) with the element cut to as many bits as tell all elements apart but for a few thousandths. Elements that fall together
+count as one and only cost a candidate: pairs are verified on the whole sets. Shingle sets of documents are not stored; they are made again where they are needed.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosewell.operators.joins import lookup, sliced_join
-from prosewell.operators.quality import shingle_sets
 from prosewell.sources.store import cut
 
 # Slack for products of a threshold and a count: a bound may only err to the safe side.
 EPS = 1e-9
+# Bits by which an element is told apart beyond those that number all elements.
+SPARE_BITS = 12
+CACHED_WORDS = 200_000
+BATCH_ROWS = 200
+# An odd factor for rolling a hash along words, and the two steps that spread its bits.
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
+SPREAD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_NOT_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
+
+
+def _spread(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * SPREAD[0]
+    x = (x ^ (x >> np.uint64(27))) * SPREAD[1]
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_hashes(texts: Sequence[str | None], n: int, known: dict[bytes, int]) -> list[np.ndarray]:
+    """The sorted distinct 64-bit hashes of each text's shingles of n words (a to z, lower-cased); a shorter text is one shingle, one without a word none.
+
+    `known` remembers the hashes of words, up to a bound.
+    """
+    import xxhash
+
+    split = [
+        (text or "").lower().encode("utf-8", "surrogatepass").translate(_NOT_LETTERS).split() for text in texts
+    ]
+    if len(known) > CACHED_WORDS:
+        known.clear()
+    new: set[bytes] = set()
+    new.update(*split)
+    new.difference_update(known)
+    known |= zip(new, map(xxhash.xxh64_intdigest, new), strict=True)
+    out = []
+    for words in split:
+        codes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
+        if not len(codes):
+            out.append(codes)
+            continue
+        size = min(n, len(codes))
+        rolled = np.zeros(len(codes) - size + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for i in range(size):
+                rolled = rolled * FACTOR + codes[i : i + len(rolled)]
+            # The number of words is part of a shingle, so that a short text is no part of a longer one.
+            out.append(np.unique(_spread(rolled + np.uint64(size))))
+    return out
+
+
+def _shingled(n: int, of: Callable) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                sets = shingle_hashes(batch.column("_text").to_pylist(), n, known)
+                yield from of(batch, [k for k, s in enumerate(sets) if len(s)], sets)
+
+    return run
+
+
+def _digest(values: np.ndarray) -> tuple[int, int]:
+    """A name of a set, 128 bits."""
+    import xxhash
+
+    both = xxhash.xxh3_128_digest(values.tobytes())
+    return tuple(np.frombuffer(both, dtype=np.int64).tolist())  # type: ignore[return-value]
+
+
+def document_sets(docs: DataFrame, n: int, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, _id, _check, _n, shingles) of every document with a word: `_id` and `_check` name its set, 64 bits each."""
+    names = [*keep, "_id", "_check", "_n", "shingles"]
+
+    def rows(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        digests = [_digest(sets[k]) for k in kept]
+        sizes = [len(sets[k]) for k in kept]
+        flat = np.concatenate([sets[k] for k in kept]) if kept else np.zeros(0, dtype=np.uint64)
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat.view(np.int64)))
+        yield pa.RecordBatch.from_arrays(
+            [*(batch.column(c).take(pa.array(kept, pa.int64())) for c in keep),
+             pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
+             pa.array(sizes, pa.int32()), lists], names,
+        )
+
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    rows_in = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{col}`").cast("string").alias("_text"))
+    return rows_in.mapInArrow(_shingled(n, rows), f"{kinds}_id long, _check long, _n int, shingles array<long>")
+
+
+def set_bits(elements: int) -> int:
+    """Bits that tell so many elements apart but for a few thousandths."""
+    return min(64, max(1, elements).bit_length() + SPARE_BITS)
+
+
+def as_elements(sets: DataFrame, bits: int, values: str = "shingles") -> DataFrame:
+    """(element, _id, _n, _m): the elements of each set, cut to their last `bits` bits, and how many of them fall together there."""
+    cut_to = F.col("element") if bits >= 64 else F.col("element").bitwiseAND(F.lit((1 << bits) - 1))
+    rows = sets.select("_id", "_n", F.explode(values).alias("element"))
+    return rows.groupBy(cut_to.alias("element"), "_id", "_n").agg(F.count(F.lit(1)).cast("int").alias("_m"))
+
+
+def document_elements(docs: DataFrame, n: int, col: str, bits: int) -> DataFrame:
+    """`as_elements` of the documents' sets; documents of one set give the same rows."""
+    mask = np.uint64((1 << bits) - 1)
+
+    def rows(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        cut_sets = [np.unique(sets[k] & mask, return_counts=True) for k in kept]
+        sizes = [len(c[0]) for c in cut_sets]
+        flat = [np.concatenate([c[i] for c in cut_sets]) if kept else np.zeros(0, dtype=np.uint64) for i in (0, 1)]
+        ids = np.repeat(np.array([_digest(sets[k])[0] for k in kept], dtype=np.int64), sizes)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(flat[0].view(np.int64)), pa.array(ids),
+             pa.array(np.repeat([len(sets[k]) for k in kept], sizes), pa.int32()), pa.array(flat[1], pa.int32())],
+            ["element", "_id", "_n", "_m"],
+        )
+
+    texts = docs.select(F.col(f"`{col}`").cast("string").alias("_text"))
+    return texts.mapInArrow(_shingled(n, rows), "element long, _id long, _n int, _m int")
 
 
 def set_classes(sets: DataFrame, key: str = "doc_id", values: str = "shingles") -> tuple[DataFrame, DataFrame]:
@@ -42,35 +163,49 @@ def set_classes(sets: DataFrame, key: str = "doc_id", values: str = "shingles")
     return members.select(key, "_id", "leader"), classes.drop("_digest")
 
 
-def prefix_index(classes: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
-    """(element, _id, _n, place): the elements of each prefix that another set holds too, with their place in the set's order."""
-    elements = classes.select("_id", "_n", F.explode(values).alias("element"))
-    shared = cut(elements.groupBy("element").agg(F.count(F.lit(1)).alias("sets")).filter("sets > 1"))
-    ordered = (
-        lookup(elements, shared, "element", rows_per_key="sets")
-        .groupBy("_id", "_n")
-        .agg(F.array_sort(F.collect_list(F.struct("sets", "element"))).alias("_shared"))
+def shared_elements(elements: DataFrame) -> DataFrame:
+    """(element, _id, _n, _m, sets): the elements that two sets or more hold, each with their number, a row per set that holds it.
+
+    One shuffle by element. An element that is in a third of all sets is a small part of all elements; its rows are counted and handed on as a stream that spills.
+    """
+    spread = elements.repartition(F.col("element")).dropDuplicates(["element", "_id"])
+    held = F.count(F.lit(1)).over(Window.partitionBy("element"))
+    return spread.withColumn("sets", held).filter("sets > 1")
+
+
+def prefix_index(shared: DataFrame, threshold: float) -> DataFrame:
+    """(element, _id, _n, place, last): the shared elements that lie in each set's prefix, with their first and last place in the set's order.
+
+    Elements that fall together are as many places next to each other.
+    """
+    ordered = shared.groupBy("_id", "_n").agg(
+        F.array_sort(F.collect_list(F.struct("sets", "element", "_m"))).alias("_shared"), F.sum("_m").alias("_held")
     )
     prefix = F.col("_n") - F.ceil(F.col("_n") * threshold - EPS) + 1
-    alone = F.col("_n") - F.size("_shared")
-    kept = F.greatest(prefix - alone, F.lit(0)).cast("int")
-    return (
-        ordered.select("_id", "_n", alone.alias("_alone"), F.slice("_shared", F.lit(1), kept).alias("_kept"))
-        .select("_id", "_n", "_alone", F.posexplode("_kept").alias("_at", "_entry"))
-        .select("_entry.element", "_id", "_n", (F.col("_alone") + F.col("_at")).alias("place"))
-    )
+    # Elements of no other set come first.
+    start = F.struct((F.col("_n") - F.col("_held")).alias("next"), F.array().cast("array<struct<element:bigint,place:bigint,last:bigint>>").alias("placed"))
 
+    def place(state: Column, e: Column) -> Column:
+        one = F.struct(e["element"].alias("element"), state["next"].alias("place"), (state["next"] + e["_m"] - 1).alias("last"))
+        inside = state["next"] < prefix
+        return F.struct(
+            (state["next"] + e["_m"]).alias("next"), F.when(inside, F.concat(state["placed"], F.array(one))).otherwise(state["placed"]).alias("placed")
+        )
 
-def similar_classes(classes: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
-    """(a, b, jaccard): each pair of classes whose index reaches the threshold once, by their `_id`.
+    # Not many elements are shared and early at once, so the list that grows is short.
+    early = F.slice("_shared", F.lit(1), F.greatest(prefix - (F.col("_n") - F.col("_held")), F.lit(0)).cast("int"))
+    placed = F.reduce(early, start, place)["placed"]
+    return ordered.select("_id", "_n", F.explode(placed).alias("_entry")).select("_entry.*", "_id", "_n")
+
+
+def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
+    """(a, b): each pair of sets that may reach the threshold, once.
 
     Entries meet by element and class of length: the shorter set looks among lengths up to its own by the threshold, two classes as a rule. An
     element that is in many prefixes is sliced by the join; its entries are paired only within the lengths that can match. What is stored and shuffled
     grows with the index, the candidates and the pairs found, never with the square of the table.
     """
-    if not 0 < threshold <= 1:
-        raise ValueError("the threshold is above 0 and at most 1")
-    index = cut(prefix_index(classes, threshold, values))
+    index = cut(index)
     step = max(-math.log(threshold), 0.01)
 
     def length_class(n: Column) -> Column:
@@ -85,21 +220,26 @@ def similar_classes(classes: DataFrame, threshold: float, values: str = "shingle
         F.col("_id").alias("_other"),
         n.alias("_other_n"),
         F.col("place").alias("_other_place"),
+        F.col("last").alias("_other_last"),
     )
     # What two sets can share at most: all before the two places, this element, and all behind the two.
     place, other_place = F.col("place"), F.col("_other_place")
-    most = F.least(place, other_place) + F.least(n - place, other_n - other_place)
+    most = F.least("last", "_other_last") + F.least(n - place, other_n - other_place)
     least = F.ceil((n + other_n) * (threshold / (1 + threshold)) - EPS)
     first = (n < other_n) | ((n == other_n) & (F.col("_id") < F.col("_other")))
-    candidates = cut(
+    return cut(
         sliced_join(shorter, longer, ["element", "_class"])
         .filter(first & (n >= other_n * threshold - EPS) & (most >= least))
         .select(F.col("_id").alias("a"), F.col("_other").alias("b"))
         .distinct()
     )
-    sets_a = classes.select(F.col("_id").alias("a"), F.col(values).alias("_set_a"))
-    sets_b = classes.select(F.col("_id").alias("b"), F.col(values).alias("_set_b"))
-    both = sliced_join(sliced_join(candidates, sets_a, "a"), sets_b, "b")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
+    """(a, b, jaccard) of the pairs that reach the threshold, measured on the whole `sets` (_id, values)."""
+    sets_a = sets.select(F.col("_id").alias("a"), F.col(values).alias("_set_a"))
+    sets_b = sets.select(F.col("_id").alias("b"), F.col(values).alias("_set_b"))
+    both = sliced_join(sliced_join(pairs, sets_a, "a"), sets_b, "b")
     shared = F.size(F.array_intersect("_set_a", "_set_b"))
     union = F.size("_set_a") + F.size("_set_b") - F.col("_shared")
     return (
@@ -109,13 +249,21 @@ def similar_classes(classes: DataFrame, threshold: float, values: str = "shingle
     )
 
 
+def _checked(threshold: float) -> None:
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold is above 0 and at most 1")
+
+
+def similar_classes(classes: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
+    """(a, b, jaccard): each pair of classes (_id, _n, values) whose index reaches the threshold once, by their `_id`. Values are whole numbers of 64 bits."""
+    _checked(threshold)
+    total = classes.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
+    shared = shared_elements(as_elements(classes, set_bits(total), values))
+    return verified(candidate_pairs(prefix_index(shared, threshold), threshold), classes, threshold, values)
+
+
 def exact_near_duplicates(
-    docs: DataFrame,
-    threshold: float = 0.8,
-    n: int = 5,
-    col: str = "text",
-    key: str = "doc_id",
-    hashed: Callable[[Column], Column] = F.xxhash64,
+    docs: DataFrame, threshold: float = 0.8, n: int = 5, col: str = "text", key: str = "doc_id"
 ) -> DataFrame:
     """(key, leader, jaccard): all near copies by word shingles, as classes and their pairs.
 
@@ -124,15 +272,32 @@ def exact_near_duplicates(
     copies. Rows that share a key and their words are one document; rows that share a key only are compared like any two, and may point at their own key.
     Rows without a key point at their leader; a class without any key gives pairs with a null.
     """
-    members, classes = set_classes(shingle_sets(docs, n, col, key, hashed), key)
-    copies = members.filter(~F.col(key).eqNullSafe(F.col("leader")))
-    pairs = similar_classes(classes, threshold)
+    _checked(threshold)
+    rows = cut(document_sets(docs, n, col, [key]).drop("shingles"))
+    grouped = rows.groupBy("_id").agg(
+        F.min(key).alias("leader"), F.count(F.lit(1)).alias("copies"), F.max("_n").alias("_n"),
+        F.min("_check").alias("_low"), F.max("_check").alias("_high"),
+    )
+    classes = cut(grouped)
+    total, clash = classes.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.max(F.col("_low") != F.col("_high")), F.lit(False))).first()
+    if clash:
+        raise ValueError("two sets share a 64-bit name; give the documents in parts")
+    several = classes.filter("copies > 1").select("_id", "leader", "copies")
+    members = lookup(rows.select(key, "_id"), several, "_id", rows_per_key="copies")
+    copies = members.filter(~F.col(key).eqNullSafe(F.col("leader"))).select(key, "leader", F.lit(1.0).alias("jaccard"))
+
+    shared = shared_elements(document_elements(docs, n, col, set_bits(total)))
+    pairs = candidate_pairs(prefix_index(shared, threshold), threshold)
+    asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
+    # One set of each class that is in a candidate, however many copies it has.
+    sets = cut(lookup(document_sets(docs, n, col), asked, "_id", "left_semi").select("_id", "shingles").dropDuplicates(["_id"]))
+    found = verified(pairs, sets, threshold)
     names = classes.select("_id", "leader")
-    named = lookup(pairs, names.toDF("a", "_first"), "a")
+    named = lookup(found, names.toDF("a", "_first"), "a")
     named = lookup(named, names.toDF("b", "_second"), "b")
     low, high = F.least("_first", "_second"), F.greatest("_first", "_second")
     no_key = F.col("_first").isNull() | F.col("_second").isNull()
-    found = named.select(
+    linked = named.select(
         F.when(~no_key, high).alias(key), F.when(no_key, F.coalesce(low, high)).otherwise(low).alias("leader"), "jaccard"
     )
-    return copies.select(key, "leader", F.lit(1.0).alias("jaccard")).unionByName(found)
+    return copies.unionByName(linked)

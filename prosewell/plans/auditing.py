@@ -205,7 +205,7 @@ def h2(spark, folder):
 )
 def h2_exact(spark, folder):
     """The pairs of all classes of equal shingles, and each class's members."""
-    out = similarity.exact_near_duplicates(documents(spark, folder), hashed=quality.md5_number)
+    out = similarity.exact_near_duplicates(documents(spark, folder))
     return out.withColumn("jaccard", F.round("jaccard", 6))
 
 
