@@ -200,7 +200,10 @@ def ratios(needed: DataFrame, contexts: DataFrame) -> DataFrame:
 
 def url_scores(urls: DataFrame, contexts: DataFrame) -> DataFrame:
     """(id, score) of (id, url): difference of the log likelihoods by length."""
-    grams = urls.select("id", "url").mapInArrow(_url_grams, "id long, gram string, n long")
+    # A given number of partitions is kept: URLs are few bytes but many grams, and would else be put into one task.
+    tasks = int(urls.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = urls.select("id", "url").repartition(tasks, "id")
+    grams = spread.mapInArrow(_url_grams, "id long, gram string, n long")
     needed = cut(grams.groupBy("gram").agg(F.count(F.lit(1)).alias("rows")))
     table = cut(ratios(needed, contexts))
     found = sliced_join(grams, table, "gram", rows_per_key="rows")
