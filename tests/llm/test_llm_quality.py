@@ -205,3 +205,28 @@ def test_posteriors_equal_a_plain_computation(spark, seed):
     got = sorted((str(r.host), str(r.path), r._evidence, r.host_posterior, r.path_posterior, r.score) for r in found)
     assert np.allclose([g[2:] for g in got], [w[2:] for w in sorted(wanted)], atol=1e-9)
     assert all(r.kept == (r.score >= site_quality.KEEP_AT) for r in found)
+
+
+BASE_SQL = r"""WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+k AS (SELECT doc_id, unnest(ws) AS a, generate_subscripts(ws, 1) AS i FROM w),
+g AS (SELECT doc_id, i, [a, lead(a, 1) OVER o, lead(a, 2) OVER o, lead(a, 3) OVER o, lead(a, 4) OVER o] AS gram, lead(a, 4) OVER o AS last FROM k WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, gram) AS c FROM g WHERE last IS NOT NULL),
+cover AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, range(5) AS t(j) WHERE c > 1 GROUP BY doc_id),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM w),
+dup AS (SELECT doc_id, sum(c - 1)::BIGINT AS n FROM (SELECT doc_id, line, count(*) AS c FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY ALL) GROUP BY doc_id)
+SELECT doc_id, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+  coalesce(dup.n, 0) AS n_dup_lines, coalesce(cover.n, 0) AS n_repeat_words FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN cover USING (doc_id)"""
+
+
+def test_base_columns_equal_sql(spark, folder):
+    """The columns of op8's query that need no model, against DuckDB over the whole table."""
+    from oracle import duck
+    from prosewell.plans.registry import QUERIES
+
+    wanted = {r[0]: tuple(map(int, r[1:])) for r in duck(folder).execute(BASE_SQL).fetchall()}
+    rows = QUERIES["op8_line_crf"](spark, folder).collect()
+    found = {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) for r in rows}
+    assert found == wanted
+    for r in rows:
+        failed = r.n_words < 10 or 100 * r.n_repeat_words > 20 * r.n_words
+        assert r.base_failed == failed and not (failed and r.kept)
