@@ -116,7 +116,11 @@ def multiset_difference(a: DataFrame, b: DataFrame, col: str = "text", key: str
             F.coalesce(instant(side, key), F.lit(last)).alias("_t"), F.lit(0).alias("_tie"),
         )
         rows = one if rows is None else rows.unionByName(one)
-    both = cut(text_multiplicities(a, b, col).select("digest", "both", (F.col("in_a") + F.col("in_b")).alias("_rows")))
+    # The texts are read once; from here on there are keys and digests.
+    rows = cut(rows)
+    sides = [F.count_if(F.col("side") == name) for name in ("a", "b")]
+    counts = rows.groupBy("digest").agg(F.least(*sides).alias("both"), F.count(F.lit(1)).alias("_rows"))
+    both = cut(counts)
     placed = lookup(numbered(rows, ["digest", "side"]), both, "digest", rows_per_key="_rows")
     return placed.select(F.col(f"`{key}`"), "side", (F.col("_number") <= F.col("both")).alias("matched"))
 

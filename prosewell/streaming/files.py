@@ -7,6 +7,9 @@ goes on. So no row is doubled or lost, without any code for it here.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -29,16 +32,35 @@ def arriving(
         raise
 
 
-def run_to_sink(stream: DataFrame, target: str, mode: str = "append") -> None:
-    """Process all that has arrived, in as many batches as it takes, and stop. Goes on from where the last call stopped."""
-    writer = stream.writeStream.format("parquet").outputMode(mode)
-    running = (
-        writer.option("path", f"{target}/rows")
-        .option("checkpointLocation", f"{target}/progress")
-        .trigger(availableNow=True)
-        .start()
-    )
-    running.awaitTermination()
+@contextmanager
+def settings(spark: SparkSession, wanted: Mapping[str, str]) -> Iterator[None]:
+    """The session with other settings for a while."""
+    before = {name: spark.conf.get(name, None) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def run_to_sink(stream: DataFrame, target: str, wanted: Mapping[str, str] | None = None) -> None:
+    """Process all that has arrived, in as many batches as it takes, and stop. Goes on from where the last call stopped.
+
+    State has a partition per core of the cluster that runs the first batch: each costs a store of its own in every batch, however little it holds.
+    """
+    spark = stream.sparkSession
+    cores = {"spark.sql.shuffle.partitions": str(spark.sparkContext.defaultParallelism)}
+    writer = stream.writeStream.format("parquet").outputMode("append")
+    with settings(spark, cores | dict(wanted or {})):
+        running = (
+            writer.option("path", f"{target}/rows")
+            .option("checkpointLocation", f"{target}/progress")
+            .trigger(availableNow=True)
+            .start()
+        )
+        running.awaitTermination()
 
 
 def landed(spark: SparkSession, target: str, schema: T.StructType) -> DataFrame:

@@ -11,7 +11,6 @@ counts of its own, and slices add up like episodes. Turns are counted inside the
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -31,19 +30,6 @@ SETTINGS = {
 }
 
 
-@contextmanager
-def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
-    """The session with other settings for a while."""
-    before = {name: spark.conf.get(name, None) for name in wanted}
-    for name, value in wanted.items():
-        spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        for name, value in before.items():
-            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
-
-
 class RunningCounts(StatefulProcessor):
     """Adds up the counts of a key; forgets a key that has been idle for `idle_ms`."""
 
@@ -115,8 +101,7 @@ def running_polarity(
             .groupBy("_key", "_slice")
             .transformWithStateInPandas(RunningCounts(idle_ms), held, "Append", "ProcessingTime")
         )
-        with settings(spark, SETTINGS):
-            run_to_sink(counted, target)
+        run_to_sink(counted, target, SETTINGS)
     # Keys travel as text: a null among whole numbers would turn a worker's keys into floats.
     schema = ", ".join(f"`{k}` {kind[k].dataType.simpleString()}" for k in by)
     history = landed(spark, target, held).withColumn("_key", F.from_json("_key", schema))
