@@ -38,7 +38,7 @@ class RunningCounts(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._handle = handle
-        fields = ", ".join(f"{c} long" for c in [*COUNTS, "since", "version"])
+        fields = ", ".join(f"{c} long" for c in [*COUNTS, "since", "version", "last"])
         self._state = handle.getValueState("counts", fields)
 
     def _row(self, key: tuple, state: Sequence[int], expired: bool) -> pd.DataFrame:
@@ -47,22 +47,27 @@ class RunningCounts(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         now = timerValues.getCurrentProcessingTimeInMs()
-        state = list(self._state.get()) if self._state.exists() else [0] * len(COUNTS) + [now, 0]
+        held = self._state.get()
+        state = list(held) if held is not None else [0] * len(COUNTS) + [now, 0, now]
         for batch in rows:
             for i, c in enumerate(COUNTS):
                 state[i] += int(batch[c].sum())
-        state[-1] += 1
+        state[-2:] = state[-2] + 1, now
         self._state.update(tuple(state))
-        for timer in list(self._handle.listTimers()):
-            self._handle.deleteTimer(timer)
-        self._handle.registerTimer(now + self._idle_ms)
-        yield self._row(key, state, False)
+        # Each call of the store is a round trip: a key has one timer, and it is looked at only when it fires.
+        if held is None:
+            self._handle.registerTimer(now + self._idle_ms)
+        yield self._row(key, state[:-1], False)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         state = list(self._state.get())
+        due = state[-1] + self._idle_ms
+        if timerValues.getCurrentProcessingTimeInMs() < due:
+            self._handle.registerTimer(due)
+            return
         self._state.clear()
-        state[-1] += 1
-        yield self._row(key, state, True)
+        state[-2] += 1
+        yield self._row(key, state[:-1], True)
 
     def close(self) -> None:
         pass
