@@ -26,9 +26,10 @@ from prosewell.sources.store import cut
 EPS = 1e-9
 # Bits by which an element is told apart beyond those that number all elements.
 SPARE_BITS = 12
-CACHED_WORDS = 200_000
+WORD_BLOCK = 1 << 16
 BATCH_ROWS = 200
-# An odd factor for rolling a hash along words, and the two steps that spread its bits.
+# Odd factors for rolling a hash along letters and along words, and the two steps that spread its bits.
+BASE = np.uint64(0xD6E8FEB86659FD93)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _NOT_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
@@ -40,41 +41,57 @@ def _spread(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_hashes(texts: Sequence[str | None], n: int, known: dict[bytes, int]) -> list[np.ndarray]:
+def _word_codes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: dict[str, np.ndarray]) -> np.ndarray:
+    """A 64-bit code of each word, letters[start:end], by polynomials of its letters; `WORD_BLOCK` words at a time."""
+    sizes = ends - starts
+    longest = int(sizes.max(initial=0))
+    powers = known.get("powers")
+    if powers is None or len(powers) < longest:
+        powers = known["powers"] = np.cumprod(np.full(longest, BASE, dtype=np.uint64), dtype=np.uint64)
+    out = np.empty(len(starts), dtype=np.uint64)
+    for first in range(0, len(starts), WORD_BLOCK):
+        block = slice(first, first + WORD_BLOCK)
+        size, before = sizes[block], np.cumsum(sizes[block]) - sizes[block]
+        inside = np.arange(size.sum()) - np.repeat(before, size)
+        values = letters[inside + np.repeat(starts[block], size)].astype(np.uint64) * powers[inside]
+        out[block] = np.add.reduceat(values, before)
+    return _spread(out)
+
+
+def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
+    """The hashes of all stretches of `size` words."""
+    out = np.zeros(max(len(codes) - size + 1, 0), dtype=np.uint64)
+    for i in range(size):
+        out = out * FACTOR + codes[i : i + len(out)]
+    # The number of words is part of a shingle, so that a short text is no part of a longer one.
+    return _spread(out + np.uint64(size))
+
+
+def shingle_hashes(texts: Sequence[str | None], n: int, known: dict[str, np.ndarray]) -> list[np.ndarray]:
     """The sorted distinct 64-bit hashes of each text's shingles of n words (a to z, lower-cased); a shorter text is one shingle, one without a word none.
 
-    `known` remembers the hashes of words, up to a bound.
+    The words of all texts are hashed at once. `known` remembers the powers of the base between calls.
     """
-    import xxhash
-
-    split = [
-        (text or "").lower().encode("utf-8", "surrogatepass").translate(_NOT_LETTERS).split() for text in texts
-    ]
-    if len(known) > CACHED_WORDS:
-        known.clear()
-    new: set[bytes] = set()
-    new.update(*split)
-    new.difference_update(known)
-    known |= zip(new, map(xxhash.xxh64_intdigest, new), strict=True)
+    lowered = [(text or "").lower().encode("utf-8", "surrogatepass") for text in texts]
+    letters = np.frombuffer(b" ".join([*lowered, b""]).translate(_NOT_LETTERS), dtype=np.uint8)
+    edges = np.flatnonzero(np.diff(letters != 32, prepend=False, append=False))
+    starts, ends = edges[::2], edges[1::2]
+    bounds = np.searchsorted(starts, np.cumsum([0, *(len(t) + 1 for t in lowered)]))
     out = []
-    for words in split:
-        codes = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
-        if not len(codes):
-            out.append(codes)
-            continue
-        size = min(n, len(codes))
-        rolled = np.zeros(len(codes) - size + 1, dtype=np.uint64)
-        with np.errstate(over="ignore"):
-            for i in range(size):
-                rolled = rolled * FACTOR + codes[i : i + len(rolled)]
-            # The number of words is part of a shingle, so that a short text is no part of a longer one.
-            out.append(np.unique(_spread(rolled + np.uint64(size))))
+    with np.errstate(over="ignore"):
+        codes = _word_codes(letters, starts, ends, known)
+        rolled = _rolled(codes, n)
+        for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            found = np.sort(rolled[a : b - n + 1]) if b - a >= n else _rolled(codes[a:b], b - a)[: b - a]
+            first = np.ones(len(found), dtype=bool)
+            np.not_equal(found[1:], found[:-1], out=first[1:])
+            out.append(found[first])
     return out
 
 
 def _shingled(n: int, of: Callable) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, int] = {}
+        known: dict[str, np.ndarray] = {}
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
@@ -168,9 +185,13 @@ def shared_elements(elements: DataFrame) -> DataFrame:
 
     One shuffle by element. An element that is in a third of all sets is a small part of all elements; its rows are counted and handed on as a stream that spills.
     """
-    spread = elements.repartition(F.col("element")).dropDuplicates(["element", "_id"])
-    held = F.count(F.lit(1)).over(Window.partitionBy("element"))
-    return spread.withColumn("sets", held).filter("sets > 1")
+    spread = elements.repartition(F.col("element"))
+    same = Window.partitionBy("element")
+    # One sort by element and set serves both windows. Documents of one set bring the same row.
+    before = F.lag("_id").over(same.orderBy("_id"))
+    marked = spread.withColumn("_first", before.isNull() | (before != F.col("_id")))
+    held = marked.withColumn("sets", F.count_if("_first").over(same))
+    return held.filter("_first AND sets > 1").drop("_first")
 
 
 def prefix_index(shared: DataFrame, threshold: float) -> DataFrame:
@@ -178,24 +199,14 @@ def prefix_index(shared: DataFrame, threshold: float) -> DataFrame:
 
     Elements that fall together are as many places next to each other.
     """
-    ordered = shared.groupBy("_id", "_n").agg(
-        F.array_sort(F.collect_list(F.struct("sets", "element", "_m"))).alias("_shared"), F.sum("_m").alias("_held")
-    )
-    prefix = F.col("_n") - F.ceil(F.col("_n") * threshold - EPS) + 1
+    own = Window.partitionBy("_id", "_n")
+    ordered = own.orderBy("sets", "element").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = shared.withColumn("_upto", F.sum("_m").over(ordered)).withColumn("_held", F.sum("_m").over(own))
     # Elements of no other set come first.
-    start = F.struct((F.col("_n") - F.col("_held")).alias("next"), F.array().cast("array<struct<element:bigint,place:bigint,last:bigint>>").alias("placed"))
-
-    def place(state: Column, e: Column) -> Column:
-        one = F.struct(e["element"].alias("element"), state["next"].alias("place"), (state["next"] + e["_m"] - 1).alias("last"))
-        inside = state["next"] < prefix
-        return F.struct(
-            (state["next"] + e["_m"]).alias("next"), F.when(inside, F.concat(state["placed"], F.array(one))).otherwise(state["placed"]).alias("placed")
-        )
-
-    # Not many elements are shared and early at once, so the list that grows is short.
-    early = F.slice("_shared", F.lit(1), F.greatest(prefix - (F.col("_n") - F.col("_held")), F.lit(0)).cast("int"))
-    placed = F.reduce(early, start, place)["placed"]
-    return ordered.select("_id", "_n", F.explode(placed).alias("_entry")).select("_entry.*", "_id", "_n")
+    last = F.col("_n") - F.col("_held") + F.col("_upto") - 1
+    prefix = F.col("_n") - F.ceil(F.col("_n") * threshold - EPS) + 1
+    found = placed.select("element", (last - F.col("_m") + 1).alias("place"), last.alias("last"), "_id", "_n")
+    return found.filter(F.col("place") < prefix)
 
 
 def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:

@@ -116,3 +116,24 @@ def test_no_pair_of_all_rows(spark, folder):
     docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
     plan = similarity.exact_near_duplicates(docs)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_words_are_hashed_alike_in_blocks(monkeypatch):
+    """Where a block of words ends, and beside what texts a text stands, changes no hash."""
+    texts = ["one two three four five six", "x" * 3000 + " b c d e", "", None, "six five four three two one " * 5]
+    whole = similarity.shingle_hashes(texts, 5, {})
+    monkeypatch.setattr(similarity, "WORD_BLOCK", 3)
+    apart = [similarity.shingle_hashes([t], 5, {})[0] for t in texts]
+    assert [w.tolist() for w in whole] == [a.tolist() for a in apart]
+    assert [len(w) for w in whole] == [2, 1, 0, 0, 6]
+
+
+def test_prefixes_are_placed_without_a_list_per_set(spark):
+    """Places come from running sums, which spill; the elements of a set are not gathered in one value. Equal rows of one set count once."""
+    rows = [(e, i, 3, 1) for e, i in ((1, 10), (1, 10), (1, 11), (2, 10), (2, 11), (2, 12), (3, 12), (4, 11))]
+    elements = spark.createDataFrame(rows, "element long, _id long, _n int, _m int")
+    shared = similarity.shared_elements(elements)
+    assert sorted((r.element, r._id, r.sets) for r in shared.collect()) == [(1, 10, 2), (1, 11, 2), (2, 10, 3), (2, 11, 3), (2, 12, 3)]
+    index = similarity.prefix_index(shared, 0.5)
+    assert "collect_list" not in index._jdf.queryExecution().toString()
+    assert sorted((r._id, r.element, r.place, r.last) for r in index.collect()) == [(10, 1, 1, 1), (11, 1, 1, 1)]
