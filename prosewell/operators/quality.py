@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, VariantType
@@ -17,6 +19,14 @@ from prosewell.sources.store import cut
 # The prime and the multipliers of the min-hash permutations (a·x + b) mod p.
 PRIME = 2_147_483_647
 MULTIPLIER, INCREMENT = 48_271, 1_299_709
+# Texts whose shingles are made at once, and values that meet all permutations at once.
+BATCH_ROWS = 200
+BLOCK = 1 << 10
+# MD5 (RFC 1321): what each step adds and by how many bits it turns; messages that are digested at once.
+MD5_ADDED = (np.abs(np.sin(np.arange(1, 65))) * 2.0**32).astype(np.uint32)
+MD5_TURNED = (7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)
+MD5_BLOCK = 1 << 12
+_NOT_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
 
 
 def text_digest(col: str = "text") -> Column:
@@ -178,7 +188,9 @@ def shingle_sets(
     key: str = "doc_id",
     hashed: Callable[[Column], Column] = F.xxhash64,
 ) -> DataFrame:
-    """(key, shingles): sorted distinct hashes of word n-grams; a shorter text is one shingle."""
+    """(key, shingles): sorted distinct hashes of word n-grams; a shorter text is one shingle. Those of `md5_number` are made in numpy."""
+    if hashed is md5_number:
+        return _md5_shingle_sets(docs, n, col, key)
 
     def hashes(t: Column) -> Column:
         grams = F.when(F.size(t) >= n, T.word_ngrams(t, n)).otherwise(F.array(F.array_join(t, " ")))
@@ -188,6 +200,86 @@ def shingle_sets(
     return with_words.select(key, T.let(T.words(col), hashes).alias("shingles"))
 
 
+def _md5_words(message: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first two words of the MD5 digests of messages of one block, one per column of `message` (16, n) uint32. RFC 1321, all messages at once."""
+    first = [np.full(message.shape[1], v, dtype=np.uint32) for v in (0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476)]
+    a, b, c, d = first
+    for i in range(64):
+        turn, step = divmod(i, 16)
+        if turn == 0:
+            f, at = d ^ (b & (c ^ d)), step
+        elif turn == 1:
+            f, at = c ^ (d & (b ^ c)), (5 * step + 1) % 16
+        elif turn == 2:
+            f, at = b ^ c ^ d, (3 * step + 5) % 16
+        else:
+            f, at = c ^ (b | ~d), 7 * step % 16
+        f += a
+        f += MD5_ADDED[i]
+        f += message[at]
+        left = np.uint32(MD5_TURNED[turn][i % 4])
+        a, d, c, b = d, c, b, b + ((f << left) | (f >> (np.uint32(32) - left)))
+    return a + first[0], b + first[1]
+
+
+def _md5_numbers(line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """`md5_number` of line[start:end], bytes; `MD5_BLOCK` of them at a time. Those that fill more than one block of MD5 go to the library."""
+    out = np.empty(len(starts), dtype=np.int64)
+    sizes = ends - starts
+    padded = np.concatenate([line, np.zeros(64, dtype=np.uint8)])
+    place = np.arange(64)
+    short = np.flatnonzero(sizes <= 55)
+    for first in range(0, len(short), MD5_BLOCK):
+        block = short[first : first + MD5_BLOCK]
+        size = sizes[block]
+        message = padded[starts[block, None] + place]
+        message[place >= size[:, None]] = 0
+        message[np.arange(len(block)), size] = 0x80
+        message[:, 56], message[:, 57] = size * 8 & 255, size >> 5
+        high, low = _md5_words(np.ascontiguousarray(message.view("<u4").T))
+        out[block] = (high.byteswap().astype(np.int64) << 28) | (low.byteswap() >> np.uint32(4)).astype(np.int64)
+    whole = line.tobytes() if len(short) < len(out) else b""
+    for i in np.flatnonzero(sizes > 55).tolist():
+        out[i] = int.from_bytes(md5(whole[starts[i] : ends[i]]).digest()[:8], "big") >> 4
+    return out
+
+
+def md5_shingles(texts: Sequence[str], n: int) -> list[np.ndarray]:
+    """The sorted distinct `md5_number` of each lower-cased text's n-grams of words; of all its words if it has fewer."""
+    split = [text.encode("utf-8", "surrogatepass").translate(_NOT_LETTERS).split() for text in texts]
+    counts = [len(words) for words in split]
+    line = b" ".join([word for words in split for word in words])
+    blanks = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
+    begins, stops = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]])
+    starts, ends, sizes = [], [], []
+    last = 0
+    for m in counts:
+        grams = max(m - n + 1, min(m, 1))
+        starts.append(begins[last : last + grams])
+        ends.append(stops[last + min(n, m) - 1 :][:grams] if m else stops[:0])
+        sizes.append(grams)
+        last += m
+    numbers = _md5_numbers(np.frombuffer(line, dtype=np.uint8), np.concatenate(starts), np.concatenate(ends)) if texts else []
+    bounds = np.cumsum([0, *sizes]).tolist()
+    return [np.unique(numbers[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+
+
+def _md5_shingle_sets(docs: DataFrame, n: int, col: str, key: str) -> DataFrame:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, BATCH_ROWS):
+                batch = whole.slice(start, BATCH_ROWS)
+                sets = md5_shingles(batch.column("_text").to_pylist(), n)
+                kept = [k for k, s in enumerate(sets) if len(s)]
+                flat = np.concatenate([sets[k] for k in kept]) if kept else np.zeros(0, dtype=np.int64)
+                ends = pa.array(np.cumsum([0, *(len(sets[k]) for k in kept)]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(flat))
+                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(kept, pa.int64())), lists], [key, "shingles"])
+
+    lowered = docs.filter(F.col(col).isNotNull()).select(F.col(f"`{key}`"), F.lower(col).alias("_text"))
+    return lowered.mapInArrow(rows, f"`{key}` {docs.schema[key].dataType.simpleString()}, shingles array<bigint>")
+
+
 def permutations(count: int) -> list[tuple[int, int]]:
     """`count` pairs (a, b) from a fixed rule."""
     pairs, a, b = [], 1, 0
@@ -197,22 +289,34 @@ def permutations(count: int) -> list[tuple[int, int]]:
     return pairs
 
 
+def _least(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least (a·x + b) mod p, per row of a and b. Of a product below 2^62 the high bits are added to the low ones twice, which leaves p itself as the only other name of 0."""
+    out = np.full(len(a), PRIME, dtype=np.int64)
+    for start in range(0, len(x), BLOCK):
+        y = x[start : start + BLOCK] * a + b
+        for _ in range(2):
+            y = (y & PRIME) + (y >> 31)
+        y[y == PRIME] = 0
+        np.minimum(out, y.min(axis=1), out=out)
+    return out
+
+
 def min_hashes(shingles: Column | str, pairs: Sequence[tuple[int, int]]) -> Column:
     """array<bigint>: the least (a·x + b) mod p over a set, per pair (a, b). One numpy product per set, nothing is exploded."""
     a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
     b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
 
     def least(sets: pd.Series) -> pd.Series:
-        return pd.Series([((np.asarray(s) % PRIME * a + b) % PRIME).min(axis=1).tolist() for s in sets])
+        return pd.Series([_least(np.asarray(s) % PRIME, a, b).tolist() for s in sets])
 
     return F.pandas_udf(least, "array<bigint>")(shingles)
 
 
 def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, digest, mins, buckets): digest of the whole set, its min-hashes, a bucket per band. Sets are never empty."""
+    """(key, digest, mins, buckets): digest of the whole set (two hashes of 64 bits), its min-hashes, a bucket per band. Sets are never empty."""
     signed = sets.select(
         key,
-        F.md5(F.array_join("shingles", " ")).alias("digest"),
+        F.concat(*(F.hex(F.xxhash64(F.lit(seed), "shingles")) for seed in (1, 2))).alias("digest"),
         min_hashes("shingles", permutations(bands * rows)).alias("mins"),
     )
     buckets = F.array(

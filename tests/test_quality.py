@@ -1,8 +1,10 @@
 """Copies and near copies against brute force, and the stream against the batch."""
 
 import itertools
+import random
 import re
 
+import numpy as np
 import pytest
 from prosewell.operators import opinion, quality
 from prosewell.plans import fixtures as fx
@@ -112,3 +114,20 @@ def test_stream_after_a_batch_that_was_killed(spark, folder, tmp_path, monkeypat
     again = score_stream(*args, files_per_batch=2)
     assert sorted(again.collect(), key=str) == wanted
     assert sorted(score_stream(*args).collect(), key=str) == wanted
+
+
+def test_md5_shingles_and_min_hashes_equal_plain_ones(spark):
+    """Hashes made in numpy equal those of the library and of the plan, also beyond one block of MD5; values at the ends of the field too."""
+    rng = random.Random(3)
+    words = ["a", "It's", "é", "K", "of", "w" * 11, "x" * 60, "ß1y", "longerword"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(0, 40))) for _ in range(150)] + ["", "...", "a b c d e"]
+    docs = spark.createDataFrame([*enumerate(texts), (999, None)], "doc_id long, text string")
+    plain = quality.shingle_sets(docs, hashed=lambda g: quality.md5_number(g))
+    fast = quality.shingle_sets(docs, hashed=quality.md5_number)
+    assert "MapInArrow" in fast._jdf.queryExecution().toString()
+    assert {r.doc_id: r.shingles for r in fast.collect()} == {r.doc_id: r.shingles for r in plain.collect()}
+    p = quality.PRIME
+    pairs = [*quality.permutations(36), (1, 0), (p - 1, p - 1)]
+    a, b = (np.array([x[i] for x in pairs], dtype=np.int64)[:, None] for i in (0, 1))
+    for x in (np.array([0, 1, p - 1]), np.array([p - 1]), np.array([rng.randrange(p) for _ in range(3000)])):
+        assert quality._least(x, a, b).tolist() == [min((int(k) * int(v) + int(m)) % p for v in x) for k, m in pairs]
