@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import string
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,8 +18,12 @@ EMOTICON = "[:;]-?[)(DP]"
 EXCLAMATION = "!!+"
 URL = r"(?:https?|ftp)://[^\s]+"
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"
+# The same addresses, looked for where a run of their letters begins or the last match ended, not from each letter anew.
+EMAIL_AT = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+\.[A-Za-z0-9.-]+"
 PRICE = r"\$ ?[0-9][0-9,]*(?:\.[0-9][0-9])?"
 ASCII_WORD = "[A-Za-z]+"
+SHOUTED = "(?<![A-Za-z])[A-Z]{3,}+(?![A-Za-z])"
+STRETCH = r"([a-z])\1\1[a-z]*+"
 STRETCHED = "[a-z]*(?:" + "|".join(f"{c}{c}{c}" for c in string.ascii_lowercase) + ")[a-z]*"
 
 
@@ -98,5 +104,17 @@ def occurrences(text: Column | str, pattern: str) -> Column:
 
 
 def shouted_words(text: Column | str) -> Column:
-    found = F.regexp_extract_all(text, F.lit(ASCII_WORD), F.lit(0))
-    return F.size(F.filter(found, lambda w: (F.length(w) >= 3) & (w == F.upper(w)))).cast("bigint")
+    """Runs of letters that are three or more capitals. Found as such: no list of all words is made."""
+    return occurrences(text, SHOUTED)
+
+
+def stretched_words(text: Column | str) -> Column:
+    """As many as `STRETCHED` finds: from a word's first three equal letters on, the rest of the word belongs to the match, so each word counts once."""
+    return occurrences(F.lower(text), STRETCH)
+
+
+def marked(text: Column | str, pattern: str, *marks: str) -> Column:
+    """`occurrences` of a pattern that cannot match where one of `marks` is missing: such texts are not searched."""
+    text = F.col(text) if isinstance(text, str) else text
+    has_all = reduce(and_, (F.contains(text, F.lit(m)) for m in marks))
+    return F.when(has_all, occurrences(text, pattern)).when(text.isNotNull(), F.lit(0).cast("bigint"))

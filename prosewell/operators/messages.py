@@ -222,12 +222,12 @@ def style_features(df: DataFrame, keep: Sequence[str] = KEY, col: str = "body")
     return df.select(
         *keep,
         T.occurrences(col, T.EMOTICON).alias("emoticons"),
-        T.occurrences(col, T.EXCLAMATION).alias("exclamations"),
+        T.marked(col, T.EXCLAMATION, "!!").alias("exclamations"),
         T.shouted_words(col).alias("shouted"),
-        T.occurrences(F.lower(col), T.STRETCHED).alias("stretched"),
-        T.occurrences(col, T.URL).alias("urls"),
-        T.occurrences(col, T.EMAIL).alias("emails"),
-        T.occurrences(col, T.PRICE).alias("prices"),
+        T.stretched_words(col).alias("stretched"),
+        T.marked(col, T.URL, "://").alias("urls"),
+        T.marked(col, T.EMAIL_AT, "@", ".").alias("emails"),
+        T.marked(col, T.PRICE, "$").alias("prices"),
     )
 
 

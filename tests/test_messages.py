@@ -1,5 +1,6 @@
 """The message parser on hand-made messages, one irregularity each."""
 
+import re
 import os
 
 import pytest
@@ -196,3 +197,29 @@ def test_bundles_hold_any_message(spark, tmp_path):
     assert sorted(map(tuple, read_bundles(spark, str(tmp_path / "b")).collect())) == sorted(rows)
     files = [f for _, _, names in os.walk(tmp_path / "b") for f in names if f.endswith(".txt")]
     assert 11 <= len(files) <= 60
+
+
+def test_style_counts_equal_a_plain_search(spark):
+    """Patterns that begin a search at fewer places count what the plain patterns count; no list of all words is made."""
+    import random
+
+    from prosewell.functions import text as T
+
+    rng = random.Random(5)
+    parts = ["a@b.c", "_d@e.f", "x", "aaa", "AAAA", "İ", "K", "!!", "!", "$ 5", "$1,0.50", "http://", "ftp://z", "@", ".", "-", "%", " ", "\n", "bbbcccd", ":-)", "ABCd", "É", "OK", "YES"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 25))) for _ in range(600)] + ["", None, "a@b.c_d@e.f+g@h.i"]
+    docs = spark.createDataFrame([*enumerate(texts)], "msg_no int, body string")
+    found = M.style_features(docs, ["msg_no"])
+    plan = found._jdf.queryExecution().analyzed().toString()
+    assert T.SHOUTED in plan and T.ASCII_WORD not in plan and T.STRETCHED not in plan
+    got = {r.msg_no: r for r in found.collect()}
+    plain = {"emoticons": T.EMOTICON, "exclamations": T.EXCLAMATION, "urls": T.URL, "emails": T.EMAIL, "prices": T.PRICE}
+    for i, text in enumerate(texts):
+        if text is None:
+            assert all(got[i][c] is None for c in [*plain, "shouted", "stretched"])
+            continue
+        for name, pattern in plain.items():
+            # Java's \s knows ASCII blanks only, as do these texts.
+            assert got[i][name] == len(re.findall(pattern, text)), (name, text)
+        assert got[i].shouted == sum(len(w) > 2 and w == w.upper() for w in re.findall("[A-Za-z]+", text)), text
+        assert got[i].stretched == len(re.findall(T.STRETCHED, text.lower())), text
