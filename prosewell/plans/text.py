@@ -10,7 +10,7 @@ from prosewell.plans import fixtures as fx
 from prosewell.plans.registry import query
 from prosewell.sources.corpus import write_corpus
 from prosewell.sources.store import cut, fresh_path
-from prosewell.sources.tables import documents_as_corpus, read_table
+from prosewell.sources.tables import deal, documents_as_corpus, read_table
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,7 +157,8 @@ def c7(spark, folder):
     WHERE token NOT IN (SELECT word FROM {fx.STOPS_SQL}) GROUP BY ALL""",
 )
 def c7b(spark, folder):
-    tokens = terms.tokenize(documents(spark, folder))
+    # Counts of (document, word) are held by the task that has the document.
+    tokens = terms.tokenize(deal(read_table(spark, folder, "documents").select("doc_id", "text"), "doc_id"))
     return terms.count_tokens(terms.remove_stop_words(tokens, fx.word_table(spark, fx.STOP_WORDS)))
 
 

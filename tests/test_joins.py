@@ -62,3 +62,26 @@ def test_fan_out_spreads_a_single_file(spark, folder):
     out = fan_out(docs, "doc_id")
     assert out.select(F.spark_partition_id()).distinct().count() > 1
     assert out.count() == docs.count()
+
+
+def test_deal_gives_tasks_a_bounded_share(spark, folder):
+    """More bytes, more partitions; a key's rows stay together, so counts by key and word move nothing."""
+    from prosewell.operators import terms
+    from prosewell.sources.tables import deal
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    few, many = deal(docs, "doc_id"), deal(docs, "doc_id", 4_000)
+    assert many.rdd.getNumPartitions() > 4 * few.rdd.getNumPartitions()
+    twice = deal(docs.union(docs), "doc_id", 4_000).withColumn("p", F.spark_partition_id())
+    assert twice.groupBy("doc_id").agg(F.countDistinct("p").alias("n")).filter("n > 1").isEmpty()
+    counted = terms.count_tokens(terms.tokenize(many))
+    assert counted._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert counted.count() == terms.term_counts(docs).count()
+
+
+def test_count_tokens_query_deals_its_documents(spark, folder, monkeypatch):
+    from prosewell.plans import text
+    from prosewell.sources import tables
+
+    monkeypatch.setattr(tables, "TASK_BYTES", 4_000)
+    assert text.c7b(spark, folder).rdd.getNumPartitions() > 50
