@@ -9,11 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
-from prosewell.operators.joins import lookup, names, top_k
+from prosewell.operators.joins import frequent_lookup, lookup, names, top_k
 from prosewell.sources.store import cut
 
 # The published WordNet detachment rules, (part of speech, suffix, ending).
@@ -154,9 +154,10 @@ def doc_freq(tf: DataFrame, min_df: int = 1, max_df: int | None = None) -> DataF
 def tf_idf(tf: DataFrame, df: DataFrame, n_docs: int) -> DataFrame:
     """Adds tf · ln((n+1)/(df+1)). Tokens pruned from `df` are dropped.
 
-    `df` says how many rows of `tf` each token has, so hot tokens are known without counting again.
+    `df` says how many rows of `tf` each token has, so hot tokens are known without counting again. Of a vocabulary beyond the broadcast bounds the tokens of
+    most documents are broadcast: only the rows of rare ones move.
     """
-    joined = lookup(tf, df, "token", rows_per_key="df")
+    joined = frequent_lookup(tf, df, "token", F.floor(F.log2("df")), rows_per_key="df")
     weight = F.col("tf") * F.log((F.lit(n_docs) + 1) / (F.col("df") + 1))
     return joined.withColumn("tf_idf", weight)
 
@@ -263,7 +264,6 @@ def select_features(association: DataFrame, k: int) -> DataFrame:
 
 
 def unit_weights(weights: DataFrame, key: str | Sequence[str] = "doc_id", value: str = "tf_idf") -> DataFrame:
-    """`weights` (key, token, value) with `weight`: each document's values divided by their length as a vector; null where that is 0."""
-    keys = names(key)
-    length = weights.groupBy(*keys).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("_length"))
-    return weights.join(length, keys).withColumn("weight", F.try_divide(F.col(value), F.col("_length"))).drop("_length")
+    """`weights` (key, token, value) with `weight`: each document's values divided by their length as a vector; null where that is 0. Rows move once, and not at all if a document's are together."""
+    squares = F.sum(F.col(value) * F.col(value)).over(Window.partitionBy(*names(key)))
+    return weights.withColumn("weight", F.try_divide(F.col(value), F.sqrt(squares)))

@@ -85,3 +85,34 @@ def test_count_tokens_query_deals_its_documents(spark, folder, monkeypatch):
 
     monkeypatch.setattr(tables, "TASK_BYTES", 4_000)
     assert text.c7b(spark, folder).rdd.getNumPartitions() > 50
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_frequent_lookup_moves_rare_keys_only(spark, how):
+    """Beyond the bounds the frequent keys are broadcast, the others joined by shuffle: the rows are those of one join."""
+    words = [f"w{i}" for i in range(40)]
+    rows = [(i, words[(i * i) % (1 + i % 40)]) for i in range(2_000)] + [(9_000, None), (9_001, "unknown")]
+    big = spark.createDataFrame(rows, "id int, word string")
+    small = big.filter("word LIKE 'w%'").groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    wanted = sorted(map(str, big.join(small, "word", how).select("id", "word", "df").collect()))
+    for level in (F.floor(F.log2("df")), F.lit(0), F.lit(None), F.when(F.col("df") > 20, 1)):
+        found = joins.frequent_lookup(big, small, "word", level, how, max_rows=20)
+        assert sorted(map(str, found.select("id", "word", "df").collect())) == wanted
+    found = joins.frequent_lookup(big, small, "word", F.floor(F.log2("df")), how, max_rows=20)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "LeftAnti" in plan
+
+
+def test_sliced_join_counts_its_rows_once(spark):
+    """Without counts given, the large side is read for the counts once, by the join once."""
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def look(i):
+        seen.add(1)
+        return i
+
+    big = spark.range(1_000).select(look.asNondeterministic()((F.col("id") % 7).cast("int")).alias("k"), "id")
+    small = spark.createDataFrame([(i, i) for i in range(7)], "k int, v int")
+    assert joins.sliced_join(big, small, "k").count() == 1_000
+    assert seen.value <= 2_000
