@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import add
@@ -10,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from prosewell.operators.cluster import vector_sum
-from prosewell.operators.joins import lookup, names
+from prosewell.operators.joins import frequent_lookup, lookup, names
 from prosewell.sources.store import cut
 
 MAX_CLASSES = 10_000
@@ -226,7 +227,9 @@ def nb_predict(
         *[F.max(F.when(F.col("label") == c, F.col("log_likelihood"))).alias(f"_l{i}") for i, (c, _) in enumerate(classes)]
     )
     weight = [F.coalesce(F.col("tf") * F.col(f"_l{i}"), F.lit(0.0)) for i in range(len(classes))]
-    scored = lookup(tf, per_token, "token", "left").groupBy(*keys).agg(
+    # Words that some class has often come first: these are broadcast, and only the others' counts move.
+    often = F.floor(F.greatest(*[F.col(f"_l{i}") for i in range(len(classes))], F.lit(None)) / math.log(2))
+    scored = frequent_lookup(tf, cut(per_token), "token", often, "left").groupBy(*keys).agg(
         *[(F.lit(p) + F.sum(weight[i])).alias(f"_s{i}") for i, (_, p) in enumerate(classes)]
     )
     best = F.greatest(*[F.struct(F.col(f"_s{i}").alias("score"), F.lit(-i).alias("i")) for i in range(len(classes))]) if len(classes) > 1 else F.struct(F.col("_s0").alias("score"), F.lit(0).alias("i"))

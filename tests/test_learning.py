@@ -284,3 +284,28 @@ def test_weights_of_pipeline_and_tables_agree(small):
     found = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), small.count())).collect()
     got = {(r.doc_id, r.token): r.weight for r in found if r.weight}
     assert got == pytest.approx({k: v for k, v in wanted.items() if v})
+
+
+def test_weights_and_scores_beyond_the_broadcast_bound(spark, monkeypatch):
+    """Weights and Naive Bayes scores are the same where only the frequent words are broadcast; weights move no pair of document and word that is together already."""
+    from prosewell.operators import joins
+
+    docs = spark.createDataFrame([(i, i % 2, "the word " * (i % 5) + f"rare{chr(97 + i % 26)} common of") for i in range(120)], "doc_id int, label int, text string")
+
+    def run():
+        tf = cut(terms.term_counts(docs))
+        weights = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), docs.count()))
+        fitted = classify.nb_fit(terms.term_counts(docs, key=["doc_id", "label"]), docs)
+        scores = classify.nb_predict(*fitted, docs, tf)
+        return weights, {(r.doc_id, r.token): r.weight for r in weights.collect()}, {r.doc_id: (r.prediction, round(r.score, 9)) for r in scores.collect()}
+
+    _, weights, scores = run()
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 5)
+    frame, few_weights, few_scores = run()
+    assert "LeftAnti" in frame._jdf.queryExecution().optimizedPlan().toString()
+    assert few_weights == pytest.approx(weights) and few_scores == scores
+    monkeypatch.undo()
+    together = docs.repartition(5, "doc_id")
+    tf = terms.term_counts(together)
+    moved = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), 120))._jdf.queryExecution().executedPlan().toString()
+    assert moved.count("Exchange hashpartitioning") == 1
