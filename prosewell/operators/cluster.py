@@ -28,6 +28,8 @@ MAX_CENTERS = 20_000
 # Centers that a batch of points meets at once, and points that are absorbed at once.
 CENTER_BLOCK = 512
 CHUNK = 256
+# Points that meet the centers in one product; as many times the centers of a block are held.
+ASSIGNED = 1_000
 # Entries of a tree node.
 BRANCHING = 16
 # Groups of points that are summarized apart: so many at least, and one for every so many points. They come from the key, so results do not depend on the number of cores.
@@ -393,8 +395,12 @@ def assign(df: DataFrame, centers: DataFrame, vector: str = "vector") -> DataFra
 
     @F.pandas_udf("k int, sim double")
     def nearest(batch: pd.Series) -> pd.DataFrame:
-        if batch.empty:
+        parts = [nearest_of(batch.iloc[i : i + ASSIGNED]) for i in range(0, len(batch), ASSIGNED)]
+        if not parts:
             return pd.DataFrame({"k": pd.Series(dtype="int32"), "sim": pd.Series(dtype="float64")})
+        return pd.concat(parts, ignore_index=True)
+
+    def nearest_of(batch: pd.Series) -> pd.DataFrame:
         width = matrix.shape[1]
         x = np.stack([np.zeros(width) if v is None or len(v) != width else np.asarray(v, dtype="float64") for v in batch])
         x[~np.isfinite(x).all(axis=1)] = 0.0

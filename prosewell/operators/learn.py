@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC, LogisticRegression, NaiveBayes, OneVsRest
@@ -19,12 +19,14 @@ from pyspark.ml.feature import (
 )
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from prosewell.functions import text as T
 
+# Texts that are projected at once: a task holds their vectors, not those of a whole batch.
+PROJECTED_ROWS = 256
 # Slots that words are hashed to before they are projected, and signed places of the projection per slot.
 SLOTS = 1 << 18
 PLACES = 8
@@ -167,12 +169,19 @@ def project_text(
     place = rng.integers(0, width, (SLOTS, PLACES), dtype=np.int32)
     sign = rng.integers(0, 2, (SLOTS, PLACES), dtype=np.int8) * 2 - 1
 
-    def project(lists: pd.Series) -> pd.Series:
-        out = []
-        for slots in lists:
-            seen, n = np.unique(np.asarray(slots, dtype=np.int64), return_counts=True)
-            weight = (n * idf[seen])[:, None] * sign[seen]
-            out.append(np.bincount(place[seen].ravel(), weight.ravel(), minlength=width).tolist())
-        return pd.Series(out)
-
-    return rows.select(*keep, F.pandas_udf(project, "array<double>")("_slots").alias("vector"))
+    def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, PROJECTED_ROWS):
+                batch = whole.slice(start, PROJECTED_ROWS)
+                lists = batch.column("_slots")
+                ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+                out = np.zeros((batch.num_rows, width))
+                for row in range(batch.num_rows):
+                    seen, n = np.unique(values[ends[row] : ends[row + 1]], return_counts=True)
+                    weight = (n * idf[seen])[:, None] * sign[seen]
+                    out[row] = np.bincount(place[seen].ravel(), weight.ravel(), minlength=width)
+                vectors = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(out.ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), vectors], [*keep, "vector"])
+
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return rows.mapInArrow(project, f"{kinds}vector array<double>")

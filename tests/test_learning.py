@@ -309,3 +309,22 @@ def test_weights_and_scores_beyond_the_broadcast_bound(spark, monkeypatch):
     tf = terms.term_counts(together)
     moved = terms.unit_weights(terms.tf_idf(tf, cut(terms.doc_freq(tf)), 120))._jdf.queryExecution().executedPlan().toString()
     assert moved.count("Exchange hashpartitioning") == 1
+
+
+def test_projection_holds_few_vectors_at_once(spark, monkeypatch):
+    """Texts are projected in slices of a batch, and points meet centers in slices: the same vectors and centers whatever the slice, empty and missing texts too."""
+    texts = [" ".join(f"{chr(97 + (i * j) % 26)}{chr(97 + j % 26)}" for j in range(i % 9)) for i in range(50)] + [None]
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id int, text string")
+
+    def run():
+        vectors = cut(learn.project_text(docs, 16, ["doc_id"]))
+        centers = spark.createDataFrame([(k, [float(i % 3 == k) for i in range(16)]) for k in range(3)], "k int, center array<double>")
+        return {r.doc_id: (r.vector, r.k, r.sim) for r in cluster.assign(vectors, centers).collect()}
+
+    whole = run()
+    assert len(whole) == 51 and whole[50] == ([0.0] * 16, None, None)
+    monkeypatch.setattr(learn, "PROJECTED_ROWS", 3)
+    monkeypatch.setattr(cluster, "ASSIGNED", 4)
+    apart = run()
+    assert {k: (v[0], v[1]) for k, v in apart.items()} == {k: (v[0], v[1]) for k, v in whole.items()}
+    assert all(apart[k][2] == pytest.approx(v[2]) for k, v in whole.items() if v[2] is not None)
