@@ -98,7 +98,8 @@ def test_frequent_lookup_moves_rare_keys_only(spark, how):
     for level in (F.floor(F.log2("df")), F.lit(0), F.lit(None), F.when(F.col("df") > 20, 1)):
         found = joins.frequent_lookup(big, small, "word", level, how, max_rows=20)
         assert sorted(map(str, found.select("id", "word", "df").collect())) == wanted
-    found = joins.frequent_lookup(big, small, "word", F.floor(F.log2("df")), how, max_rows=20)
+    found = joins.frequent_lookup(big, small, "word", F.floor(F.log2("df")), how, rows_per_key="df", max_rows=20)
+    assert sorted(map(str, found.select("id", "word", "df").collect())) == wanted
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert "Union" in plan and "LeftAnti" in plan
 
