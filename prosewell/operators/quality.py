@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterator, Sequence
 from hashlib import md5
 
@@ -10,9 +11,11 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import MapType, VariantType
 
 from prosewell.functions import text as T
+from prosewell.operators import similarity
 from prosewell.operators.joins import lookup, names, sliced_join
 from prosewell.sources.store import cut
 
@@ -21,11 +24,18 @@ PRIME = 2_147_483_647
 MULTIPLIER, INCREMENT = 48_271, 1_299_709
 # Texts whose shingles are made at once, and values that meet all permutations at once.
 BATCH_ROWS = 200
-BLOCK = 1 << 10
+BLOCK = 1 << 14
 # MD5 (RFC 1321): what each step adds and by how many bits it turns; messages that are digested at once.
 MD5_ADDED = (np.abs(np.sin(np.arange(1, 65))) * 2.0**32).astype(np.uint32)
 MD5_TURNED = (7, 12, 17, 22), (5, 9, 14, 20), (4, 11, 16, 23), (6, 10, 15, 21)
-MD5_BLOCK = 1 << 12
+MD5_BLOCK = 1 << 14
+# For messages of 0 to 55 bytes: which bytes of the block are theirs, and the mark and the length behind them.
+MD5_OWN = np.where(np.arange(64) < np.arange(56)[:, None], 255, 0).astype(np.uint8)
+MD5_END = np.zeros((56, 64), dtype=np.uint8)
+MD5_END[np.arange(56), np.arange(56)] = 0x80
+MD5_END[:, 56], MD5_END[:, 57] = np.arange(56) * 8 & 255, np.arange(56) >> 5
+# Shingles, counted once per bucket, that are few enough for the last rounds of near copies to be one task's work.
+LAST_SHINGLES = 4_000_000
 _NOT_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -227,16 +237,17 @@ def _md5_numbers(line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     out = np.empty(len(starts), dtype=np.int64)
     sizes = ends - starts
     padded = np.concatenate([line, np.zeros(64, dtype=np.uint8)])
-    place = np.arange(64)
+    # The 64 bytes from each place on, as one value.
+    ahead = np.ndarray((len(line) + 1,), dtype="V64", buffer=padded, strides=(1,))
+    own, end = MD5_OWN.view("<u4"), MD5_END.view("<u4")
     short = np.flatnonzero(sizes <= 55)
     for first in range(0, len(short), MD5_BLOCK):
         block = short[first : first + MD5_BLOCK]
         size = sizes[block]
-        message = padded[starts[block, None] + place]
-        message[place >= size[:, None]] = 0
-        message[np.arange(len(block)), size] = 0x80
-        message[:, 56], message[:, 57] = size * 8 & 255, size >> 5
-        high, low = _md5_words(np.ascontiguousarray(message.view("<u4").T))
+        message = ahead[starts[block]].view("<u4").reshape(-1, 16)
+        message &= own[size]
+        message |= end[size]
+        high, low = _md5_words(np.ascontiguousarray(message.T))
         out[block] = (high.byteswap().astype(np.int64) << 28) | (low.byteswap() >> np.uint32(4)).astype(np.int64)
     whole = line.tobytes() if len(short) < len(out) else b""
     for i in np.flatnonzero(sizes > 55).tolist():
@@ -244,40 +255,81 @@ def _md5_numbers(line: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return out
 
 
-def md5_shingles(texts: Sequence[str], n: int) -> list[np.ndarray]:
+def md5_shingles(texts: Sequence[bytes], n: int) -> list[np.ndarray]:
     """The sorted distinct `md5_number` of each lower-cased text's n-grams of words; of all its words if it has fewer."""
-    split = [text.encode("utf-8", "surrogatepass").translate(_NOT_LETTERS).split() for text in texts]
-    counts = [len(words) for words in split]
-    line = b" ".join([word for words in split for word in words])
-    blanks = np.flatnonzero(np.frombuffer(line, dtype=np.uint8) == 32)
-    begins, stops = np.concatenate([[0], blanks + 1]), np.concatenate([blanks, [len(line)]])
-    starts, ends, sizes = [], [], []
-    last = 0
-    for m in counts:
-        grams = max(m - n + 1, min(m, 1))
-        starts.append(begins[last : last + grams])
-        ends.append(stops[last + min(n, m) - 1 :][:grams] if m else stops[:0])
-        sizes.append(grams)
-        last += m
-    numbers = _md5_numbers(np.frombuffer(line, dtype=np.uint8), np.concatenate(starts), np.concatenate(ends)) if texts else []
-    bounds = np.cumsum([0, *sizes]).tolist()
-    return [np.unique(numbers[a:b]) for a, b in zip(bounds[:-1], bounds[1:])]
+    raw = np.frombuffer(b" ".join([*texts, b""]).translate(_NOT_LETTERS), dtype=np.uint8)
+    letters = raw != 32
+    ends = np.flatnonzero(letters[:-1] & ~letters[1:])
+    # All words in one line, a blank behind each.
+    kept = letters.copy()
+    kept[1:] |= letters[:-1]
+    line = raw[kept]
+    stops = np.flatnonzero(line == 32)
+    begins = np.concatenate([[0], stops[:-1] + 1])
+    last = np.searchsorted(ends, np.cumsum([len(t) + 1 for t in texts]))
+    words = np.diff(last, prepend=0)
+    grams = np.where(words >= n, words - n + 1, np.minimum(words, 1))
+    upto = np.cumsum(grams)
+    first = np.arange(grams.sum()) + np.repeat(last - words - upto + grams, grams)
+    behind = first + np.repeat(np.minimum(words, n) - 1, grams)
+    numbers = _md5_numbers(line, begins[first], stops[behind])
+    out = []
+    for stop, size in zip(upto.tolist(), grams.tolist()):
+        found = np.sort(numbers[stop - size : stop])
+        new = np.ones(size, dtype=bool)
+        np.not_equal(found[1:], found[:-1], out=new[1:])
+        out.append(found[new])
+    return out
 
 
-def _md5_shingle_sets(docs: DataFrame, n: int, col: str, key: str) -> DataFrame:
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _md5_batches(n: int, of: Callable) -> Callable:
+    """Batches of texts (`_text`, bytes) to `of(batch, rows with a word, their sets)`, some texts at once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
                 sets = md5_shingles(batch.column("_text").to_pylist(), n)
                 kept = [k for k, s in enumerate(sets) if len(s)]
-                flat = np.concatenate([sets[k] for k in kept]) if kept else np.zeros(0, dtype=np.int64)
-                ends = pa.array(np.cumsum([0, *(len(sets[k]) for k in kept)]), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(flat))
-                yield pa.RecordBatch.from_arrays([batch.column(key).take(pa.array(kept, pa.int64())), lists], [key, "shingles"])
+                if kept:
+                    yield of(batch, pa.array(kept, pa.int64()), [sets[k] for k in kept])
+
+    return run
 
-    lowered = docs.filter(F.col(col).isNotNull()).select(F.col(f"`{key}`"), F.lower(col).alias("_text"))
-    return lowered.mapInArrow(rows, f"`{key}` {docs.schema[key].dataType.simpleString()}, shingles array<bigint>")
+
+def _lowered(docs: DataFrame, col: str, key: str) -> tuple[DataFrame, str]:
+    """What `_md5_batches` reads, and the key's kind."""
+    rows = docs.filter(F.col(col).isNotNull()).select(F.col(f"`{key}`"), F.lower(col).cast("binary").alias("_text"))
+    return rows, f"`{key}` {docs.schema[key].dataType.simpleString()}"
+
+
+def _md5_shingle_sets(docs: DataFrame, n: int, col: str, key: str) -> DataFrame:
+    def rows(batch: pa.RecordBatch, kept: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        ends = pa.array(np.cumsum([0, *map(len, sets)]), pa.int32())
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.concatenate(sets)))
+        return pa.RecordBatch.from_arrays([batch.column(key).take(kept), lists], [key, "shingles"])
+
+    lowered, kind = _lowered(docs, col, key)
+    return lowered.mapInArrow(_md5_batches(n, rows), f"{kind}, shingles array<bigint>")
+
+
+def _md5_signatures(docs: DataFrame, n: int, col: str, key: str, count: int) -> DataFrame:
+    """`signatures` of the texts' `md5_number` sets, which are not kept."""
+    pairs = permutations(count)
+
+    def rows(batch: pa.RecordBatch, kept: pa.Array, sets: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([*map(len, sets)])
+        names_ = np.array([similarity.set_name(s) for s in sets], dtype=np.int64)
+        least = min_hashes_of(np.concatenate(sets), np.cumsum(sizes) - sizes, pairs)
+        ends = pa.array(np.arange(len(sets) + 1) * count, pa.int32())
+        mins = pa.ListArray.from_arrays(ends, pa.array(least.T.astype(np.int32).ravel()))
+        return pa.RecordBatch.from_arrays(
+            [batch.column(key).take(kept), pa.array(sizes, pa.int32()), pa.array(names_[:, 0]), pa.array(names_[:, 1]), mins],
+            [key, "_n", "_id", "_check", "mins"],
+        )
+
+    lowered, kind = _lowered(docs, col, key)
+    return lowered.mapInArrow(_md5_batches(n, rows), f"{kind}, _n int, _id bigint, _check bigint, mins array<int>")
 
 
 def permutations(count: int) -> list[tuple[int, int]]:
@@ -289,43 +341,55 @@ def permutations(count: int) -> list[tuple[int, int]]:
     return pairs
 
 
-def _least(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """The least (a·x + b) mod p, per row of a and b. Of a product below 2^62 the high bits are added to the low ones twice, which leaves p itself as the only other name of 0."""
-    out = np.full(len(a), PRIME, dtype=np.int64)
+def min_hashes_of(values: np.ndarray, begins: np.ndarray, pairs: Sequence[tuple[int, int]]) -> np.ndarray:
+    """The least (a·x + b) mod p of each stretch of `values` that begins at `begins`, a row per pair (a, b). No stretch is empty.
+
+    In place of k = (a·x + b) mod p its place k / p · 2^64 is made, as the low 64 bits of one product: x / p · 2^64 and b / p · 2^64 are rounded up by less than 1 and
+    at most 1, so the place is too high by at most 2^31, and neighbouring k are 2^33 apart. The order is that of k, and the least place tells k exactly.
+    """
+    x = (values & PRIME) + (values >> 31)
+    x = np.where(x >= PRIME, x - PRIME, x).astype(np.uint64)
+    # 2^64 / p is 2^33 + 4 + 2^-29 and a rest too small to carry.
+    x = (x << np.uint64(33)) + (x << np.uint64(2)) + (x >> np.uint64(29)) + np.uint64(1)
+    out = np.full((len(pairs), len(begins)), (1 << 64) - 1, dtype=np.uint64)
+    place = np.empty(min(BLOCK, len(x)), dtype=np.uint64)
+    factors = [(np.uint64(a), np.uint64(-(-(b << 64) // PRIME))) for a, b in pairs]
     for start in range(0, len(x), BLOCK):
-        y = x[start : start + BLOCK] * a + b
-        for _ in range(2):
-            y = (y & PRIME) + (y >> 31)
-        y[y == PRIME] = 0
-        np.minimum(out, y.min(axis=1), out=out)
-    return out
+        part = x[start : start + BLOCK]
+        one, two = np.searchsorted(begins, start, "right") - 1, np.searchsorted(begins, start + len(part))
+        inside = np.maximum(begins[one:two] - start, 0)
+        buffer = place[: len(part)]
+        for row, (a, b) in zip(out, factors):
+            np.multiply(part, a, out=buffer)
+            np.add(buffer, b, out=buffer)
+            np.minimum(row[one:two], np.minimum.reduceat(buffer, inside), out=row[one:two])
+    high, low, p = out >> np.uint64(32), out & np.uint64(0xFFFFFFFF), np.uint64(PRIME)
+    return ((high * p + ((low * p) >> np.uint64(32))) >> np.uint64(32)).astype(np.int64)
+
+
+def _least(x: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least (a·x + b) mod p, per row of a and b."""
+    pairs = [*zip(a.ravel().tolist(), b.ravel().tolist())]
+    return min_hashes_of(x, np.zeros(1, dtype=np.int64), pairs)[:, 0]
 
 
 def min_hashes(shingles: Column | str, pairs: Sequence[tuple[int, int]]) -> Column:
-    """array<bigint>: the least (a·x + b) mod p over a set, per pair (a, b). One numpy product per set, nothing is exploded."""
-    a = np.array([p[0] for p in pairs], dtype=np.int64)[:, None]
-    b = np.array([p[1] for p in pairs], dtype=np.int64)[:, None]
+    """array<bigint>: the least (a·x + b) mod p over a set, per pair (a, b). Nothing is exploded."""
 
     def least(sets: pd.Series) -> pd.Series:
-        return pd.Series([_least(np.asarray(s) % PRIME, a, b).tolist() for s in sets])
+        return pd.Series([min_hashes_of(np.asarray(s) % PRIME, np.zeros(1, dtype=np.int64), pairs)[:, 0].tolist() for s in sets])
 
     return F.pandas_udf(least, "array<bigint>")(shingles)
 
 
-def signatures(sets: DataFrame, bands: int, rows: int, key: str = "doc_id") -> DataFrame:
-    """(key, digest, mins, buckets): digest of the whole set (two hashes of 64 bits), its min-hashes, a bucket per band. Sets are never empty."""
-    signed = sets.select(
+def signatures(sets: DataFrame, count: int, key: str = "doc_id") -> DataFrame:
+    """(key, _n, _id, _check, mins): size of each set, its name (two hashes of 64 bits), `count` min-hashes. Sets are never empty."""
+    return sets.select(
         key,
-        F.concat(*(F.hex(F.xxhash64(F.lit(seed), "shingles")) for seed in (1, 2))).alias("digest"),
-        min_hashes("shingles", permutations(bands * rows)).alias("mins"),
+        F.size("shingles").alias("_n"),
+        *(F.xxhash64(F.lit(seed), "shingles").alias(c) for seed, c in ((1, "_id"), (2, "_check"))),
+        min_hashes("shingles", permutations(count)).alias("mins"),
     )
-    buckets = F.array(
-        *[
-            F.xxhash64(F.lit(band), *[F.get("mins", F.lit(band * rows + r)) for r in range(rows)])
-            for band in range(bands)
-        ]
-    )
-    return signed.withColumn("buckets", buckets)
 
 
 def near_duplicates(
@@ -350,57 +414,63 @@ def near_duplicates(
     never a pair for each two members. Rounds part members by the min-hashes of the signature first, then by fresh ones, so
     members that the threshold keeps apart go different ways with a chance of at least 1 - threshold every round. Every returned index is exact; as with any min-hash
     method, a near pair is missed with a small probability set by `bands` and `rows`.
-    Hot sets, buckets and leaders are sliced by the joins. The text is read once. Everything read
-    again is written to the shared folder first.
+    Hot sets, buckets and leaders are sliced by the joins. The first reading of the texts keeps names and min-hashes only; the shingles of those that share a
+    bucket are made again, once. Everything read again is written to the shared folder first.
     """
-    sets = cut(shingle_sets(docs, n, col, key, hashed))
-    signed = cut(signatures(sets, bands, rows, key))
+    count = bands * rows
+    if hashed is md5_number:
+        signed = cut(_md5_signatures(docs, n, col, key, count))
+    else:
+        signed = cut(signatures(shingle_sets(docs, n, col, key, hashed), count, key))
     firsts = cut(
-        signed.groupBy("digest")
+        signed.groupBy("_id", "_check")
         .agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("copies"))
         .filter("copies > 1")
     )
-    copies = cut(
-        lookup(signed.select(key, "digest"), firsts, "digest", rows_per_key="copies")
-        .filter(F.col(key) != F.col("leader"))
-        .select(key, "leader", F.lit(1.0).alias("jaccard"))
-    )
-    distinct = signed.join(copies.select(key), key, "left_anti")
-    left = distinct.select(key, F.explode("buckets").alias("bucket"))
-    leaders = _leaders(left, key)
-    left = cut(lookup(left, leaders.select("bucket", "members"), "bucket", rows_per_key="members"))
-    left = left.select(key, "bucket")
-    mine = cut(sets.join(left.select(key).distinct(), key, "left_semi"))
-    theirs = mine.select(F.col(key).alias("leader"), F.col("shingles").alias("_other"))
-    mins = signed.select(key, "mins")
+    marked = cut(lookup(signed, firsts, ["_id", "_check"], "left", rows_per_key="copies").select(key, "_n", "mins", "leader"))
+    is_copy = F.coalesce(F.col(key) != F.col("leader"), F.lit(False))
+    copies = marked.filter(is_copy).select(key, "leader", F.lit(1.0).alias("jaccard"))
+    distinct = marked.filter(~is_copy).drop("leader")
+    buckets = F.array(*(F.xxhash64(F.lit(i), *(F.get("mins", F.lit(i * rows + r)) for r in range(rows))) for i in range(bands)))
+    left = distinct.select(key, "_n", F.explode(buckets).alias("bucket"))
+    shared = cut(left.groupBy("bucket").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"))
+    left = cut(lookup(left, shared, "bucket", rows_per_key="members").drop("members"))
+    asked = cut(left.select(key).distinct())
+    mins = cut(lookup(distinct.select(key, "mins"), asked, key, "left_semi"))
+    mine = cut(shingle_sets(lookup(docs.select(key, col), asked, key, "left_semi"), n, col, key, hashed))
     edges, turn = copies, 0
-    while not leaders.isEmpty():
+    while True:
+        leaders = _leaders(left, key)
+        held = leaders.agg(F.sum("shingles")).first()[0]
+        if held is None:
+            return edges.distinct()
+        leaders = leaders.drop("shingles")
+        if held <= LAST_SHINGLES:
+            return edges.unionByName(_last_rounds(left, leaders, mins, mine, threshold, bands, rows, turn, key)).distinct()
         members = cut(
             lookup(left, leaders, "bucket", rows_per_key="members").filter(F.col(key) != F.col("leader"))
         )
-        pairs = members.select(key, "leader").distinct()
-        both = sliced_join(pairs, theirs, "leader").join(mine, key)
-        shared = F.size(F.array_intersect("shingles", "_other"))
-        scored = both.withColumn("_shared", shared).select(
-            key,
-            "leader",
-            (
-                F.col("_shared") / (F.size("shingles") + F.size("_other") - F.col("_shared"))
-            ).alias("jaccard"),
-        )
-        found = cut(scored.filter(F.col("jaccard") >= threshold))
+        # Sets of too unlike sizes need no comparison.
+        sizes = F.least("_n", "_leader_n") >= F.greatest("_n", "_leader_n") * threshold - similarity.EPS
+        pairs = cut(members.filter(sizes).select(key, "leader").distinct())
+        found = cut(_scored(pairs, mine, key).filter(F.col("jaccard") >= threshold))
         edges = edges.unionByName(found)
-        apart = members.join(found.select(key, "leader"), [key, "leader"], "left_anti")
-        if turn < bands * rows:
-            place = refinement(turn, bands, rows)
-            parted = apart.join(mins, key).withColumn("_part", F.get("mins", F.lit(place)))
+        apart = cut(lookup(members, found.select(key, "leader"), [key, "leader"], "left_anti").select(key, "_n", "bucket"))
+        if turn < count:
+            parted = lookup(mins, apart, key).withColumn("_part", F.get("mins", F.lit(refinement(turn, bands, rows))))
         else:
             fresh = min_hashes("shingles", permutations(turn + 1)[-1:])
-            parted = apart.join(mine, key).withColumn("_part", F.get(fresh, F.lit(0)))
-        left = cut(parted.select(key, F.xxhash64("bucket", "_part").alias("bucket")))
+            parted = lookup(mine, apart, key).withColumn("_part", F.get(fresh, F.lit(0)))
+        left = cut(parted.select(key, "_n", F.xxhash64("bucket", "_part").alias("bucket")))
         turn += 1
-        leaders = _leaders(left, key)
-    return edges.distinct()
+
+
+def _scored(pairs: DataFrame, sets: DataFrame, key: str) -> DataFrame:
+    """(key, leader, jaccard) of pairs (key, leader). Only the sets of pairs move, those of leaders once per slice."""
+    per_leader = cut(pairs.groupBy("leader").agg(F.count(F.lit(1)).alias("_rows")))
+    theirs = lookup(sets.select(F.col(key).alias("leader"), F.col("shingles").alias("_other")), per_leader.select("leader"), "leader", "left_semi")
+    both = sliced_join(lookup(sets, pairs, key), theirs, "leader", counts=per_leader)
+    return similarity.with_jaccard(both, [key, "leader"], "shingles", "_other")
 
 
 def refinement(turn: int, bands: int, rows: int) -> int:
@@ -409,9 +479,61 @@ def refinement(turn: int, bands: int, rows: int) -> int:
 
 
 def _leaders(left: DataFrame, key: str) -> DataFrame:
-    """(bucket, leader, members) of the buckets that still hold more than one document."""
-    return cut(
-        left.groupBy("bucket")
-        .agg(F.min(key).alias("leader"), F.count(F.lit(1)).alias("members"))
-        .filter("members > 1")
-    )
+    """(bucket, leader, members, _leader_n, shingles) of the buckets that still hold more than one document, with all members' sizes summed."""
+    first = F.min(F.when(F.col(key).isNotNull(), F.struct(F.col(key).alias("key"), "_n")))
+    grouped = left.groupBy("bucket").agg(first.alias("_first"), F.count(F.lit(1)).alias("members"), F.sum("_n").alias("shingles"))
+    sizes = [F.col("_first.key").alias("leader"), "members", F.col("_first._n").alias("_leader_n"), "shingles"]
+    return cut(grouped.filter("members > 1").select("bucket", *sizes))
+
+
+def _last_rounds(
+    left: DataFrame, leaders: DataFrame, mins: DataFrame, sets: DataFrame, threshold: float, bands: int, rows: int, turn: int, key: str
+) -> DataFrame:
+    """(key, leader, jaccard) of all rounds from `turn` on, in one task. Buckets do not depend on each other; the caller has measured that their sets are few."""
+    open_ = lookup(left, leaders.select("bucket", "members"), "bucket", rows_per_key="members").filter(F.col(key).isNotNull())
+    held = cut(open_.groupBy(key).agg(F.collect_list("bucket").alias("_buckets")))
+    whole = lookup(lookup(sets, held, key), lookup(mins, held.select(key), key, "left_semi"), key).select(key, "_buckets", "mins", "shingles")
+
+    def rounds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list[tuple] = []
+        for batch in batches:
+            lists = [batch.column(c) for c in ("_buckets", "mins", "shingles")]
+            ends, values = [x.offsets.to_numpy() for x in lists], [x.values.to_numpy() for x in lists]
+            for k, name in enumerate(batch.column(key).to_pylist()):
+                docs.append((name, *(v[e[k] : e[k + 1]].copy() for v, e in zip(values, ends))))
+        docs.sort(key=lambda d: d[0])
+        buckets: dict = {}
+        for i, doc in enumerate(docs):
+            for bucket in doc[1].tolist():
+                buckets.setdefault(bucket, []).append(i)
+        known: dict[tuple[int, int], float] = {}
+
+        def jaccard(i: int, j: int) -> float:
+            if (i, j) not in known:
+                a, b = docs[i][3], docs[j][3]
+                near = min(len(a), len(b)) >= max(len(a), len(b)) * threshold - similarity.EPS
+                known[i, j] = similarity.jaccard_of(a, b) if near else 0.0
+            return known[i, j]
+
+        for t in itertools.count(turn):
+            buckets = {bucket: found for bucket, found in buckets.items() if len(found) > 1}
+            if not buckets:
+                break
+            finer: dict = {}
+            for bucket, (first, *others) in buckets.items():
+                for i in others:
+                    if docs[i][0] != docs[first][0] and jaccard(i, first) < threshold:
+                        part = docs[i][2][refinement(t, bands, rows)] if t < bands * rows else _least(docs[i][3] % PRIME, *fresh(t))[0]
+                        finer.setdefault((bucket, int(part)), []).append(i)
+            buckets = dict(enumerate(finer.values()))
+        near = sorted(pair for pair, value in known.items() if value >= threshold)
+        names_ = [pa.array([docs[pair[side]][0] for pair in near], kind) for side in (0, 1)]
+        yield pa.RecordBatch.from_arrays([*names_, pa.array([known[pair] for pair in near], pa.float64())], [key, "leader", "jaccard"])
+
+    def fresh(t: int) -> tuple[np.ndarray, np.ndarray]:
+        a, b = permutations(t + 1)[-1]
+        return np.array([a]), np.array([b])
+
+    kind = to_arrow_type(sets.schema[key].dataType)
+    named = sets.schema[key].dataType.simpleString()
+    return whole.repartition(1).mapInArrow(rounds, f"`{key}` {named}, leader {named}, jaccard double")

@@ -101,7 +101,7 @@ def _shingled(n: int, of: Callable) -> Callable:
     return run
 
 
-def _digest(values: np.ndarray) -> tuple[int, int]:
+def set_name(values: np.ndarray) -> tuple[int, int]:
     """A name of a set, 128 bits."""
     import xxhash
 
@@ -114,7 +114,7 @@ def document_sets(docs: DataFrame, n: int, col: str, keep: Sequence[str] = ()) -
     names = [*keep, "_id", "_check", "_n", "shingles"]
 
     def rows(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        digests = [_digest(sets[k]) for k in kept]
+        digests = [set_name(sets[k]) for k in kept]
         sizes = [len(sets[k]) for k in kept]
         flat = np.concatenate([sets[k] for k in kept]) if kept else np.zeros(0, dtype=np.uint64)
         lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat.view(np.int64)))
@@ -149,7 +149,7 @@ def document_elements(docs: DataFrame, n: int, col: str, bits: int) -> DataFrame
         cut_sets = [np.unique(sets[k] & mask, return_counts=True) for k in kept]
         sizes = [len(c[0]) for c in cut_sets]
         flat = [np.concatenate([c[i] for c in cut_sets]) if kept else np.zeros(0, dtype=np.uint64) for i in (0, 1)]
-        ids = np.repeat(np.array([_digest(sets[k])[0] for k in kept], dtype=np.int64), sizes)
+        ids = np.repeat(np.array([set_name(sets[k])[0] for k in kept], dtype=np.int64), sizes)
         yield pa.RecordBatch.from_arrays(
             [pa.array(flat[0].view(np.int64)), pa.array(ids),
              pa.array(np.repeat([len(sets[k]) for k in kept], sizes), pa.int32()), pa.array(flat[1], pa.int32())],
@@ -246,18 +246,37 @@ def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def jaccard_of(a: np.ndarray, b: np.ndarray) -> float:
+    """Of two sets as arrays of distinct numbers, not both empty."""
+    both = np.concatenate([a, b])
+    both.sort()
+    shared = np.count_nonzero(both[1:] == both[:-1])
+    return shared / (len(both) - shared)
+
+
+def with_jaccard(pairs: DataFrame, keep: Sequence[str], a: str, b: str) -> DataFrame:
+    """(keep, jaccard) of rows that hold two sets, as lists of distinct whole numbers of 64 bits; not both are empty."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = [batch.column(c) for c in (a, b)]
+            ends = [x.offsets.to_numpy() for x in lists]
+            values = [x.values.to_numpy() for x in lists]
+            out = np.empty(batch.num_rows)
+            for k in range(batch.num_rows):
+                out[k] = jaccard_of(*(v[e[k] : e[k + 1]] for v, e in zip(values, ends)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(out)], [*keep, "jaccard"])
+
+    kinds = "".join(f"`{c}` {pairs.schema[c].dataType.simpleString()}, " for c in keep)
+    return pairs.select(*keep, a, b).mapInArrow(rows, f"{kinds}jaccard double")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
     """(a, b, jaccard) of the pairs that reach the threshold, measured on the whole `sets` (_id, values)."""
     sets_a = sets.select(F.col("_id").alias("a"), F.col(values).alias("_set_a"))
     sets_b = sets.select(F.col("_id").alias("b"), F.col(values).alias("_set_b"))
     both = sliced_join(sliced_join(pairs, sets_a, "a"), sets_b, "b")
-    shared = F.size(F.array_intersect("_set_a", "_set_b"))
-    union = F.size("_set_a") + F.size("_set_b") - F.col("_shared")
-    return (
-        both.withColumn("_shared", shared)
-        .select("a", "b", (F.col("_shared") / union).alias("jaccard"))
-        .filter(F.col("jaccard") >= threshold)
-    )
+    return with_jaccard(both, ["a", "b"], "_set_a", "_set_b").filter(F.col("jaccard") >= threshold)
 
 
 def _checked(threshold: float) -> None:

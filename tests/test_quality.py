@@ -131,3 +131,37 @@ def test_md5_shingles_and_min_hashes_equal_plain_ones(spark):
     a, b = (np.array([x[i] for x in pairs], dtype=np.int64)[:, None] for i in (0, 1))
     for x in (np.array([0, 1, p - 1]), np.array([p - 1]), np.array([rng.randrange(p) for _ in range(3000)])):
         assert quality._least(x, a, b).tolist() == [min((int(k) * int(v) + int(m)) % p for v in x) for k, m in pairs]
+
+
+def test_near_copies_keep_no_shingles_of_unlike_texts(spark, texts, monkeypatch):
+    """The texts' shingles are not stored; those of documents that share a bucket are made once more."""
+    made = []
+    plain = quality.shingle_sets
+    monkeypatch.setattr(quality, "shingle_sets", lambda docs, *rest: made.append(docs.count()) or plain(docs, *rest))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = quality.near_duplicates(docs, hashed=quality.md5_number).collect()
+    assert len(found) >= 21 and len(made) == 1 and 20 <= made[0] < 30
+
+
+def test_last_rounds_equal_rounds_over_the_cluster(spark, folder, texts, monkeypatch):
+    """Rounds in one task find the pairs that rounds by joins find, with fresh min-hashes too."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    few = spark.createDataFrame([(str(i), t) for i, t in texts.items()], "doc_id string, text string")
+    cases = [(docs, {"hashed": quality.md5_number}), (few, {"bands": 2, "rows": 1})]
+    found = [sorted(quality.near_duplicates(d, **k).collect()) for d, k in cases]
+    monkeypatch.setattr(quality, "LAST_SHINGLES", 0)
+    assert found == [sorted(quality.near_duplicates(d, **k).collect()) for d, k in cases] and min(map(len, found)) > 10
+
+
+def test_min_hashes_of_many_sets_at_once(monkeypatch):
+    """Sets that end within a block, at its end or blocks later have the least values that plain numbers give."""
+    rng = np.random.default_rng(5)
+    sizes = [1, 7, 8, 1, 1, 40, 3, 8, 11]
+    values = rng.integers(0, 1 << 60, sum(sizes))
+    values[:3] = quality.PRIME, 2 * quality.PRIME - 1, 0
+    begins = np.cumsum(sizes) - sizes
+    pairs = [*quality.permutations(5), (1, 0), (quality.PRIME - 1, quality.PRIME - 1)]
+    wanted = [[min((a * int(v) + b) % quality.PRIME for v in values[i : i + n]) for i, n in zip(begins, sizes)] for a, b in pairs]
+    for block in (8, 1 << 14):
+        monkeypatch.setattr(quality, "BLOCK", block)
+        assert quality.min_hashes_of(values, begins, pairs).tolist() == wanted
