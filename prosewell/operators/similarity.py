@@ -1,12 +1,13 @@
 """Exact set-similarity join: every pair of sets whose Jaccard index reaches a threshold, without comparing all pairs.
 
-A set's elements are ordered by how many sets hold them, rarest first. Two sets of Jaccard index t or more share an element
-among the first n - ceil(t·n) + 1 of each, so only these are indexed. Elements of one set alone come first in that order and
-meet nobody: they take up places of the prefix and need no index row. Most sets of a corpus have no other elements there.
-Index entries of one element meet if their lengths and their places in the two orders still allow the threshold. Each pair is then verified once.
-
-Elements move once, to be counted, as (element, set, size) with the element cut to as many bits as tell all elements apart but for a few thousandths. Elements that fall together
-count as one and only cost a candidate: pairs are verified on the whole sets. Shingle sets of documents are not stored; they are made again where they are needed.
+All elements have one order. Two sets of Jaccard index t or more share an element among the first n - ceil(t·n) + 1 of each, so only these are indexed. Index entries of one element meet
+if their lengths and their places in the two orders still allow the threshold. The entries that a pair has in common are counted: beyond both prefixes it can share
+ceil(t·n) - 1 more at most, so few pairs are left. Each of these is then verified once. Any order is right; which one decides how many entries meet.
+
+Documents: the order is that of the elements' hashes, but elements in the prefixes of several sets come last, rarest first. So a fifth of the elements moves (t = 0.8), twice, in
+arrays that numpy sorts. Shingle sets are not stored; they are made again where they are needed.
+Given sets: the order is by how many sets hold an element, rarest first. Elements of one set alone take up places of the prefix and need no index row. Elements move once, to be counted, as
+(element, set, size) with the element cut to as many bits as tell all elements apart but for a few thousandths. Elements that fall together count as one and only cost a candidate.
 """
 
 from __future__ import annotations
@@ -27,11 +28,20 @@ EPS = 1e-9
 # Bits by which an element is told apart beyond those that number all elements.
 SPARE_BITS = 12
 WORD_BLOCK = 1 << 16
+# Elements of sets that are held while others are compared with them.
+SLICE_ELEMENTS = 1 << 20
+# Elements that a task gathers before it hands them on, and that a partition of them is meant to hold.
+HELD_ELEMENTS = 1 << 20
+# Elements in the prefixes of so many sets come last in the order, the most frequent ones if there are more than a task may hold.
+SEVERAL = 4
+MOST_FREQUENT = 1 << 21
 BATCH_ROWS = 200
 # Odd factors for rolling a hash along letters and along words, and the two steps that spread its bits.
 BASE = np.uint64(0xD6E8FEB86659FD93)
 FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SPREAD = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+# For words of 0 to 16 letters: which of 16 bytes are theirs.
+OWN_LETTERS = np.where(np.arange(16) < np.arange(17)[:, None], 255, 0).astype(np.uint8)
 _NOT_LETTERS = bytes(b if 97 <= b <= 122 else 32 for b in range(256))
 
 
@@ -42,20 +52,31 @@ def _spread(x: np.ndarray) -> np.ndarray:
 
 
 def _word_codes(letters: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: dict[str, np.ndarray]) -> np.ndarray:
-    """A 64-bit code of each word, letters[start:end], by polynomials of its letters; `WORD_BLOCK` words at a time."""
+    """A 64-bit code of each word, letters[start:end], from its first 16 letters as two numbers and a polynomial of the others; `WORD_BLOCK` words at a time."""
     sizes = ends - starts
+    padded = np.concatenate([letters, np.zeros(16, dtype=np.uint8)])
+    # The 16 bytes from each place on, as one value.
+    ahead = np.ndarray((len(letters) + 1,), dtype="V16", buffer=padded, strides=(1,))
+    own = OWN_LETTERS.view("<u8")
+    out = np.empty(len(starts), dtype=np.uint64)
+    for first in range(0, len(starts), WORD_BLOCK):
+        block = slice(first, first + WORD_BLOCK)
+        numbers = ahead[starts[block]].view("<u8").reshape(-1, 2)
+        numbers &= own[np.minimum(sizes[block], 16)]
+        out[block] = _spread(_spread(numbers[:, 0]) * FACTOR + numbers[:, 1])
+    long = np.flatnonzero(sizes > 16)
     longest = int(sizes.max(initial=0))
     powers = known.get("powers")
     if powers is None or len(powers) < longest:
         powers = known["powers"] = np.cumprod(np.full(longest, BASE, dtype=np.uint64), dtype=np.uint64)
-    out = np.empty(len(starts), dtype=np.uint64)
-    for first in range(0, len(starts), WORD_BLOCK):
-        block = slice(first, first + WORD_BLOCK)
-        size, before = sizes[block], np.cumsum(sizes[block]) - sizes[block]
+    for first in range(0, len(long), WORD_BLOCK):
+        block = long[first : first + WORD_BLOCK]
+        size = sizes[block] - 16
+        before = np.cumsum(size) - size
         inside = np.arange(size.sum()) - np.repeat(before, size)
-        values = letters[inside + np.repeat(starts[block], size)].astype(np.uint64) * powers[inside]
-        out[block] = np.add.reduceat(values, before)
-    return _spread(out)
+        values = letters[inside + np.repeat(starts[block] + 16, size)].astype(np.uint64) * powers[inside]
+        out[block] = _spread(out[block] + np.add.reduceat(values, before))
+    return out
 
 
 def _rolled(codes: np.ndarray, size: int) -> np.ndarray:
@@ -141,23 +162,182 @@ def as_elements(sets: DataFrame, bits: int, values: str = "shingles") -> DataFra
     return rows.groupBy(cut_to.alias("element"), "_id", "_n").agg(F.count(F.lit(1)).cast("int").alias("_m"))
 
 
-def document_elements(docs: DataFrame, n: int, col: str, bits: int) -> DataFrame:
-    """`as_elements` of the documents' sets; documents of one set give the same rows."""
-    mask = np.uint64((1 << bits) - 1)
+def prefix_size(n: np.ndarray, threshold: float) -> np.ndarray:
+    """How many elements of a set of n, in any order, one of the first of which any partner's own first elements hold."""
+    return n - np.ceil(n * threshold - EPS).astype(np.int64) + 1
+
+
+def document_prefixes(docs: DataFrame, n: int, col: str, threshold: float, keep: Sequence[str] = ()) -> DataFrame:
+    """(keep, _id, _check, _n, prefix) of every document with a word: the name of its set, and the first elements in the order of their hashes."""
+    names = [*keep, "_id", "_check", "_n", "prefix"]
 
     def rows(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        cut_sets = [np.unique(sets[k] & mask, return_counts=True) for k in kept]
-        sizes = [len(c[0]) for c in cut_sets]
-        flat = [np.concatenate([c[i] for c in cut_sets]) if kept else np.zeros(0, dtype=np.uint64) for i in (0, 1)]
-        ids = np.repeat(np.array([set_name(sets[k])[0] for k in kept], dtype=np.int64), sizes)
+        digests = np.array([set_name(sets[k]) for k in kept], dtype=np.int64).reshape(-1, 2)
+        sizes = np.array([len(sets[k]) for k in kept], dtype=np.int64)
+        first = [sets[k][:size] for k, size in zip(kept, prefix_size(sizes, threshold).tolist())]
+        flat = np.concatenate(first) if kept else np.zeros(0, dtype=np.uint64)
+        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, first)]), pa.int32()), pa.array(flat.view(np.int64)))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(flat[0].view(np.int64)), pa.array(ids),
-             pa.array(np.repeat([len(sets[k]) for k in kept], sizes), pa.int32()), pa.array(flat[1], pa.int32())],
-            ["element", "_id", "_n", "_m"],
+            [*(batch.column(c).take(pa.array(kept, pa.int64())) for c in keep),
+             pa.array(digests[:, 0]), pa.array(digests[:, 1]), pa.array(sizes, pa.int32()), lists], names,
         )
 
+    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    rows_in = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{col}`").cast("string").alias("_text"))
+    return rows_in.mapInArrow(_shingled(n, rows), f"{kinds}_id long, _check long, _n int, prefix array<long>")
+
+
+class _Dealt:
+    """Gathers columns of elements and hands them on by part, a row of arrays for each part."""
+
+    def __init__(self, parts: int, fields: Sequence[str]) -> None:
+        self.parts, self.fields, self.size = parts, fields, 0
+        self.held: list[list[np.ndarray]] = []
+
+    def add(self, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(list(columns))
+        self.size += len(columns[0])
+        if self.size >= HELD_ELEMENTS:
+            yield from self.rows()
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        if self.size:
+            columns = [np.concatenate(c) for c in zip(*self.held)]
+            # The last bits of an element have nothing to do with the order, which the first ones decide.
+            part = ((columns[0] & np.uint64(0xFFFFFFFF)) * np.uint64(self.parts)) >> np.uint64(32)
+            order = np.argsort(part, kind="stable")
+            counts = np.bincount(part.astype(np.int64), minlength=self.parts)
+            ends, used = np.cumsum([0, *counts[counts > 0]]), np.flatnonzero(counts)
+            values = [(c.view(np.int64) if c.dtype == np.uint64 else c)[order] for c in columns]
+            lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v)) for v in values]
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *lists], ["part", *self.fields])
+        self.held, self.size = [], 0
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], fields: Sequence[str]) -> list[np.ndarray]:
+    """All elements of a partition of what `_Dealt` handed on, sorted by the first field."""
+    held = [[batch.column(c).flatten().to_numpy(zero_copy_only=False) for c in fields] for batch in batches]
+    columns = [np.concatenate(c) for c in zip(*held)] or [np.zeros(0, dtype=np.int64) for _ in fields]
+    order = np.argsort(columns[0])
+    return [c[order] for c in columns]
+
+
+def _runs(sorted_values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of equal values begin, and how long they are."""
+    starts = np.flatnonzero(np.concatenate([[True], sorted_values[1:] != sorted_values[:-1]])[: len(sorted_values)])
+    return starts, np.diff(starts, append=len(sorted_values))
+
+
+def frequent_elements(prefixes: DataFrame, parts: int) -> DataFrame:
+    """(element, rows): elements in the prefixes (_id, prefix) of `SEVERAL` sets or more. A set is counted once by each task that meets copies of it."""
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, seen = _Dealt(parts, ["elements"]), set()
+        for batch in batches:
+            lists = batch.column("prefix")
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy()
+            for k, name in enumerate(batch.column("_id").to_pylist()):
+                if name not in seen:
+                    seen.add(name)
+                    yield from out.add(values[ends[k] : ends[k + 1]].view(np.uint64))
+        yield from out.rows()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        (elements,) = _gathered(batches, ["elements"])
+        starts, rows = _runs(elements)
+        often = rows >= SEVERAL
+        yield pa.RecordBatch.from_arrays([pa.array(elements[starts[often]]), pa.array(rows[often])], ["element", "rows"])
+
+    moved = prefixes.select("_id", "prefix").mapInArrow(dealt, "part int, elements array<long>")
+    return moved.repartitionById(parts, "part").mapInArrow(counted, "element long, rows long")
+
+
+def last_in_order(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The elements that come last, sorted, and the place of each among them: rarest first. No more than `MOST_FREQUENT`, the most frequent by powers of two."""
+    level = F.floor(F.log2("rows")).cast("int")
+    sizes = frequent.groupBy(level.alias("v")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("v")).collect()
+    lowest, total = 64, 0
+    for v, n in sizes:
+        total += n
+        if total > MOST_FREQUENT:
+            break
+        lowest = v
+    table = frequent.filter(level >= lowest).toArrow()
+    elements, rows = (table.column(c).to_numpy() for c in ("element", "rows"))
+    elements = elements.view(np.uint64)
+    place = np.empty(len(elements), dtype=np.int32)
+    place[np.lexsort((elements, rows))] = np.arange(len(elements), dtype=np.int32)
+    order = np.argsort(elements)
+    return elements[order], place[order]
+
+
+def _first_elements(sets: list[np.ndarray], last: tuple[np.ndarray, np.ndarray], marks: np.ndarray, threshold: float) -> list[np.ndarray]:
+    """Of each set's first elements, with those of `last` behind all others: (element, number of the set, place in its order)."""
+    sizes = np.array([len(s) for s in sets])
+    flat, number = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
+    behind = marks[flat & np.uint64(len(marks) - 1)]
+    maybe = np.flatnonzero(behind)
+    at = np.minimum(np.searchsorted(last[0], flat[maybe]), max(len(last[0]) - 1, 0))
+    behind[maybe] = last[0][at] == flat[maybe] if len(last[0]) else False
+    late = np.flatnonzero(behind)
+    rank = last[1][np.searchsorted(last[0], flat[late])]
+    late = late[np.lexsort((rank, number[late]))]
+    begins = np.cumsum(sizes) - sizes
+    early = np.cumsum(~behind)
+    place = early - 1 - np.repeat((early - ~behind)[begins], sizes)
+    lates = np.bincount(number[late], minlength=len(sets))
+    place[late] = (sizes - lates)[number[late]] + np.arange(len(late)) - (np.cumsum(lates) - lates)[number[late]]
+    kept = place < np.repeat(prefix_size(sizes, threshold), sizes)
+    return [flat[kept], number[kept], place[kept]]
+
+
+def document_index(docs: DataFrame, n: int, col: str, threshold: float, last: tuple[np.ndarray, np.ndarray], parts: int) -> DataFrame:
+    """(element, place, last, _id, _n): the prefixes' elements that two sets or more have there, a row per set.
+
+    Elements are held by partition, `HELD_ELEMENTS` as a rule. One that is in the prefixes of many sets adds 24 bytes for each; a set of many copies adds them once per task.
+    """
+    held = docs.sparkSession.sparkContext.broadcast(last)
+    bits = max(16, min(24, 3 + len(last[0]).bit_length()))
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, seen = _Dealt(parts, ["elements", "ids", "sizes", "places"]), set()
+        marks = np.zeros(1 << bits, dtype=bool)
+        marks[held.value[0] & np.uint64(len(marks) - 1)] = True
+
+        def fresh(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            names = {set_name(sets[k])[0]: k for k in kept}
+            new = [k for name, k in names.items() if name not in seen]
+            ids = np.array([name for name in names if name not in seen], dtype=np.int64)
+            seen.update(names)
+            if new:
+                sizes = np.array([len(sets[k]) for k in new], dtype=np.int32)
+                element, number, place = _first_elements([sets[k] for k in new], held.value, marks, threshold)
+                yield from out.add(element, ids[number], sizes[number], place.astype(np.int32))
+
+        yield from _shingled(n, fresh)(batches)
+        yield from out.rows()
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = _gathered(batches, ["elements", "ids", "sizes", "places"])
+        for _ in range(2):
+            # Copies of a set that several tasks met are dropped among what is left, so what they alone had in common is left out then.
+            starts, rows = _runs(columns[0])
+            columns = [c[np.repeat(rows > 1, rows)] for c in columns]
+            columns = [c[np.lexsort((columns[1], columns[0]))] for c in columns]
+            new = np.ones(len(columns[0]), dtype=bool)
+            new[1:] = (columns[0][1:] != columns[0][:-1]) | (columns[1][1:] != columns[1][:-1])
+            columns = [c[new] for c in columns]
+        elements, ids, sizes, places = columns
+        for start in range(0, len(elements), WORD_BLOCK):
+            block = slice(start, start + WORD_BLOCK)
+            place = pa.array(places[block])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(elements[block]), place, place, pa.array(ids[block]), pa.array(sizes[block])], ["element", "place", "last", "_id", "_n"]
+            )
+
     texts = docs.select(F.col(f"`{col}`").cast("string").alias("_text"))
-    return texts.mapInArrow(_shingled(n, rows), "element long, _id long, _n int, _m int")
+    moved = texts.mapInArrow(dealt, "part int, elements array<long>, ids array<long>, sizes array<int>, places array<int>")
+    return moved.repartitionById(parts, "part").mapInArrow(shared, "element long, place int, last int, _id long, _n int")
 
 
 def set_classes(sets: DataFrame, key: str = "doc_id", values: str = "shingles") -> tuple[DataFrame, DataFrame]:
@@ -210,7 +390,7 @@ def prefix_index(shared: DataFrame, threshold: float) -> DataFrame:
 
 
 def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
-    """(a, b): each pair of sets that may reach the threshold, once.
+    """(a, b, _n): each pair of sets that may reach the threshold, once. The index holds all elements of the sets' prefixes that two of them share. `_n` is the size of a, the shorter one.
 
     Entries meet by element and class of length: the shorter set looks among lengths up to its own by the threshold, two classes as a rule. An
     element that is in many prefixes is sliced by the join; its entries are paired only within the lengths that can match. What is stored and shuffled
@@ -238,11 +418,16 @@ def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
     most = F.least("last", "_other_last") + F.least(n - place, other_n - other_place)
     least = F.ceil((n + other_n) * (threshold / (1 + threshold)) - EPS)
     first = (n < other_n) | ((n == other_n) & (F.col("_id") < F.col("_other")))
+    common = F.least(F.col("last") - place, F.col("_other_last") - other_place) + 1
+    # One of the two prefixes ends first in the order. What the sets share up to there is in both, and the rest of that set is ceil(t·n) - 1 elements.
+    beyond = F.ceil(other_n * threshold - EPS) - 1
     return cut(
         sliced_join(shorter, longer, ["element", "_class"])
         .filter(first & (n >= other_n * threshold - EPS) & (most >= least))
-        .select(F.col("_id").alias("a"), F.col("_other").alias("b"))
-        .distinct()
+        .groupBy(F.col("_id").alias("a"), F.col("_other").alias("b"), "_n", "_other_n")
+        .agg(F.sum(common).alias("_common"))
+        .filter(F.col("_common") >= least - beyond)
+        .select("a", "b", "_n")
     )
 
 
@@ -271,12 +456,56 @@ def with_jaccard(pairs: DataFrame, keep: Sequence[str], a: str, b: str) -> DataF
     return pairs.select(*keep, a, b).mapInArrow(rows, f"{kinds}jaccard double")
 
 
+def meeting_places(pairs: DataFrame) -> DataFrame:
+    """(home, slice, id, side, partners) from pairs (a, b, n of a): where the sets of pairs meet, so that a set moves once per place and not once per pair.
+
+    The home of a pair is the least neighbour of either set: one for all pairs of a group of near copies. Within a home the sets on side 0 (a) are cut into slices of
+    `SLICE_ELEMENTS`, by a hash; a set on side 1 (b) has a row, with its partners, in each slice that it has partners in.
+    """
+    both = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other"))))
+    ends = pairs.select(both.alias("_end")).select("_end.*")
+    nearest = cut(ends.groupBy("id").agg(F.min("other").alias("_least")).select("id", F.least("id", "_least").alias("_near")))
+    named = lookup(lookup(pairs, nearest.toDF("a", "_near_a"), "a"), nearest.toDF("b", "_near_b"), "b")
+    homed = cut(named.select(F.least("_near_a", "_near_b").alias("home"), "a", "b", "_n"))
+    held = homed.select("home", "a", "_n").distinct().groupBy("home").agg(F.sum("_n").alias("_held"))
+    large = cut(held.filter(F.col("_held") > SLICE_ELEMENTS).select("home", F.ceil(F.col("_held") / SLICE_ELEMENTS).cast("int").alias("_slices")))
+    slice_ = F.pmod(F.xxhash64("a"), F.coalesce("_slices", F.lit(1))).cast("int")
+    placed = homed.join(F.broadcast(large), "home", "left").select("home", slice_.alias("slice"), "a", "b")
+    sides = F.explode(F.array(
+        F.struct(F.col("a").alias("id"), F.lit(0).alias("side"), F.lit(None).cast("long").alias("partner")),
+        F.struct(F.col("b").alias("id"), F.lit(1).alias("side"), F.col("a").alias("partner")),
+    ))
+    rows = placed.select("home", "slice", sides.alias("_end")).select("home", "slice", "_end.*")
+    return rows.groupBy("home", "slice", "id", "side").agg(F.collect_list("partner").alias("partners"))
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
-    """(a, b, jaccard) of the pairs that reach the threshold, measured on the whole `sets` (_id, values)."""
-    sets_a = sets.select(F.col("_id").alias("a"), F.col(values).alias("_set_a"))
-    sets_b = sets.select(F.col("_id").alias("b"), F.col(values).alias("_set_b"))
-    both = sliced_join(sliced_join(pairs, sets_a, "a"), sets_b, "b")
-    return with_jaccard(both, ["a", "b"], "_set_a", "_set_b").filter(F.col("jaccard") >= threshold)
+    """(a, b, jaccard) of the pairs (a, b, size of a as _n) that reach the threshold, measured on the whole `sets` (_id, values)."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, first = None, {}
+        for batch in batches:
+            found = []
+            lists = [batch.column(c) for c in ("partners", "_set")]
+            ends, values_ = [x.offsets.to_numpy() for x in lists], [x.values.to_numpy() for x in lists]
+            columns = [batch.column(c).to_pylist() for c in ("home", "slice", "id", "side")]
+            for k, (home, slice_, name, side) in enumerate(zip(*columns)):
+                partners, own = (v[e[k] : e[k + 1]] for v, e in zip(values_, ends))
+                if place != (home, slice_):
+                    place, first = (home, slice_), {}
+                if side == 0:
+                    first[name] = own.copy()
+                else:
+                    found += [(a, name, jaccard_of(first[a], own)) for a in partners.tolist()]
+            near = [f for f in found if f[2] >= threshold]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f[i] for f in near], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "jaccard"]
+            )
+
+    places = cut(meeting_places(pairs))
+    whole = sliced_join(places, sets.select(F.col("_id").alias("id"), F.col(values).alias("_set")), "id")
+    met = whole.repartition("home", "slice").sortWithinPartitions("home", "slice", "side")
+    return met.select("home", "slice", "id", "side", "partners", "_set").mapInArrow(rows, "a long, b long, jaccard double")
 
 
 def _checked(threshold: float) -> None:
@@ -303,7 +532,7 @@ def exact_near_duplicates(
     Rows without a key point at their leader; a class without any key gives pairs with a null.
     """
     _checked(threshold)
-    rows = cut(document_sets(docs, n, col, [key]).drop("shingles"))
+    rows = cut(document_prefixes(docs, n, col, threshold, [key]))
     grouped = rows.groupBy("_id").agg(
         F.min(key).alias("leader"), F.count(F.lit(1)).alias("copies"), F.max("_n").alias("_n"),
         F.min("_check").alias("_low"), F.max("_check").alias("_high"),
@@ -316,11 +545,17 @@ def exact_near_duplicates(
     members = lookup(rows.select(key, "_id"), several, "_id", rows_per_key="copies")
     copies = members.filter(~F.col(key).eqNullSafe(F.col("leader"))).select(key, "leader", F.lit(1.0).alias("jaccard"))
 
-    shared = shared_elements(document_elements(docs, n, col, set_bits(total)))
-    pairs = candidate_pairs(prefix_index(shared, threshold), threshold)
+    parts = max(docs.sparkSession.sparkContext.defaultParallelism, math.ceil(total * (1 - threshold) / HELD_ELEMENTS))
+    last = last_in_order(cut(frequent_elements(rows, parts)))
+    pairs = candidate_pairs(document_index(docs, n, col, threshold, last, parts), threshold)
     asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    # One set of each class that is in a candidate, however many copies it has.
-    sets = cut(lookup(document_sets(docs, n, col), asked, "_id", "left_semi").select("_id", "shingles").dropDuplicates(["_id"]))
+    # One text of each class that is in a candidate, however many copies it has: that of the class's lowest key.
+    wanted = cut(lookup(classes.select("_id", "leader"), asked, "_id", "left_semi"))
+    leaders = wanted.filter("leader IS NOT NULL").select(F.col("leader").alias(key)).distinct()
+    texts = lookup(docs.select(key, col), leaders, key, "left_semi")
+    if not wanted.filter("leader IS NULL").isEmpty():
+        texts = texts.unionByName(docs.select(key, col).filter(F.col(f"`{key}`").isNull()))
+    sets = lookup(document_sets(texts, n, col), asked, "_id", "left_semi").select("_id", "shingles").dropDuplicates(["_id"])
     found = verified(pairs, sets, threshold)
     names = classes.select("_id", "leader")
     named = lookup(found, names.toDF("a", "_first"), "a")

@@ -137,3 +137,80 @@ def test_prefixes_are_placed_without_a_list_per_set(spark):
     index = similarity.prefix_index(shared, 0.5)
     assert "collect_list" not in index._jdf.queryExecution().toString()
     assert sorted((r._id, r.element, r.place, r.last) for r in index.collect()) == [(10, 1, 1, 1), (11, 1, 1, 1)]
+
+
+def passages(rng, docs):
+    """Documents of shared and own passages, some of them copies with an edited word."""
+    def word():
+        return "".join(rng.choice("abcdefgh") for _ in range(rng.choice([1, 3, 5, 18])))
+
+    common = [[word() for _ in range(rng.randint(6, 25))] for _ in range(12)]
+    texts = []
+    for i in range(docs):
+        if texts and rng.random() < 0.4:
+            words = texts[rng.randrange(max(0, i - 15), i)].split()
+            words[rng.randrange(len(words))] = word()
+        else:
+            words = [w for _ in range(rng.randint(1, 4)) for w in (rng.choice(common) if rng.random() < 0.6 else [word() for _ in range(rng.randint(1, 30))])]
+        texts.append(" ".join(words))
+    return texts
+
+
+@pytest.mark.parametrize("several, most, size", [(2, 1 << 21, 1 << 20), (4, 60, 40), (4, 0, 1 << 20)])
+def test_documents_of_shared_passages(spark, monkeypatch, several, most, size):
+    """No pair is missed, whatever elements are put last in the order and however the places of pairs are cut."""
+    monkeypatch.setattr(similarity, "SEVERAL", several)
+    monkeypatch.setattr(similarity, "MOST_FREQUENT", most)
+    monkeypatch.setattr(similarity, "SLICE_ELEMENTS", size)
+    texts = passages(random.Random(several + most), 260)
+    docs = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string").repartition(3)
+    for threshold in (0.8, 0.45):
+        sets = {}
+        for i, t in enumerate(texts):
+            sets.setdefault(shingles(t), i)
+        wanted = {(j, i): v for (i, j), v in brute_force({i: s for s, i in sets.items()}, threshold).items()}
+        found = [r for r in similarity.exact_near_duplicates(docs, threshold).collect() if r.jaccard < 1]
+        assert {(r.doc_id, r.leader): r.jaccard for r in found} == pytest.approx(wanted) and len(found) == len(wanted) > 40
+
+
+def test_only_the_first_elements_move(spark, folder):
+    """A fifth of the elements is handed on, not all of them."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    n, first = similarity.document_prefixes(docs, 5, "text", 0.8).selectExpr("sum(_n)", "sum(size(prefix))").first()
+    assert 0 < first < 0.22 * n
+    index = similarity.document_index(docs, 5, "text", 0.8, (np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int32)), 7)
+    rows = index.selectExpr("count(*) AS n", "count(DISTINCT element, _id) AS pairs", "max(place / _n) AS place").first()
+    assert 0 < rows.n == rows.pairs < first and rows.place <= 0.2
+
+
+def test_first_elements_equal_a_plain_sort():
+    rng = random.Random(6)
+    sets = [np.array(sorted(rng.sample(range(200), rng.randint(1, 60))), dtype=np.uint64) for _ in range(80)]
+    late = rng.sample(range(200), 120)
+    rank = {e: i for i, e in enumerate(late)}
+    order = sorted(late)
+    last = np.array(order, dtype=np.uint64), np.array([rank[e] for e in order], dtype=np.int32)
+    # Marks that several elements share.
+    marks = np.zeros(64, dtype=bool)
+    marks[last[0] & np.uint64(63)] = True
+    element, number, place = similarity._first_elements(sets, last, marks, 0.7)
+    wanted = []
+    for i, s in enumerate(sets):
+        ordered = sorted(s.tolist(), key=lambda e: (e in rank, rank.get(e, e)))
+        wanted += [(e, i, k) for k, e in enumerate(ordered[: int(similarity.prefix_size(np.array([len(s)]), 0.7)[0])])]
+    assert sorted(zip(element.tolist(), number.tolist(), place.tolist())) == sorted(wanted)
+
+
+def test_sets_of_a_group_move_once(spark, monkeypatch):
+    """All pairs of 60 near copies meet in one place, each set as often as it has a side there; slices add a row per slice."""
+    pairs = spark.createDataFrame([(a, b, 10) for a in range(60) for b in range(a + 1, 60)], "a long, b long, _n int")
+    rows = similarity.meeting_places(pairs).collect()
+    assert len(rows) == 2 * 59 and len({(r.home, r.slice) for r in rows}) == 1
+    assert sorted((p, r.id) for r in rows for p in r.partners) == sorted((r.a, r.b) for r in pairs.collect())
+    monkeypatch.setattr(similarity, "SLICE_ELEMENTS", 100)
+    cut = similarity.meeting_places(pairs).collect()
+    held = {}
+    for r in cut:
+        held.setdefault((r.home, r.slice), set()).add(r.id) if r.side == 0 else None
+    assert len(held) == 6 and sum(map(len, held.values())) == 59
+    assert all(p in held[r.home, r.slice] for r in cut for p in r.partners)
