@@ -1,8 +1,8 @@
 """Exact set-similarity join: every pair of sets whose Jaccard index reaches a threshold, without comparing all pairs.
 
 All elements have one order. Two sets of Jaccard index t or more share an element among the first n - ceil(t·n) + 1 of each, so only these are indexed. Index entries of one element meet
-if their lengths and their places in the two orders still allow the threshold. The entries that a pair has in common are counted: beyond both prefixes it can share
-ceil(t·n) - 1 more at most, so few pairs are left. Each of these is then verified once. Any order is right; which one decides how many entries meet.
+if their lengths allow the threshold and both sets have enough elements from there on, as they must where they first meet; a pair whose entries just before meet too has met there. Each
+pair is then verified once. Any order is right; which one decides how many entries meet.
 
 Documents: the order is that of the elements' hashes, but elements in the prefixes of several sets come last, rarest first. So a fifth of the elements moves (t = 0.8), twice, in
 arrays that numpy sorts. Shingle sets are not stored; they are made again where they are needed.
@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
+from operator import or_
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +30,9 @@ EPS = 1e-9
 # Bits by which an element is told apart beyond those that number all elements.
 SPARE_BITS = 12
 WORD_BLOCK = 1 << 16
-# Elements of sets that are held while others are compared with them.
+# Elements of sets that are held while others are compared with them, and pairs that are compared by one task.
 SLICE_ELEMENTS = 1 << 20
+SLICE_PAIRS = 1 << 22
 # Elements that a task gathers before it hands them on, and that a partition of them is meant to hold.
 HELD_ELEMENTS = 1 << 20
 # Elements in the prefixes of so many sets come last in the order, the most frequent ones if there are more than a task may hold.
@@ -130,24 +133,22 @@ def set_name(values: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(both, dtype=np.int64).tolist())  # type: ignore[return-value]
 
 
-def document_sets(docs: DataFrame, n: int, col: str, keep: Sequence[str] = ()) -> DataFrame:
-    """(keep, _id, _check, _n, shingles) of every document with a word: `_id` and `_check` name its set, 64 bits each."""
-    names = [*keep, "_id", "_check", "_n", "shingles"]
+def document_sets(docs: DataFrame, n: int, col: str) -> DataFrame:
+    """(_id, shingles): the sets of the documents with a word, by name; one of many copies comes once from each task that meets them."""
 
-    def rows(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        digests = [set_name(sets[k]) for k in kept]
-        sizes = [len(sets[k]) for k in kept]
-        flat = np.concatenate([sets[k] for k in kept]) if kept else np.zeros(0, dtype=np.uint64)
-        lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *sizes]), pa.int32()), pa.array(flat.view(np.int64)))
-        yield pa.RecordBatch.from_arrays(
-            [*(batch.column(c).take(pa.array(kept, pa.int64())) for c in keep),
-             pa.array([d[0] for d in digests], pa.int64()), pa.array([d[1] for d in digests], pa.int64()),
-             pa.array(sizes, pa.int32()), lists], names,
-        )
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
 
-    kinds = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
-    rows_in = docs.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{col}`").cast("string").alias("_text"))
-    return rows_in.mapInArrow(_shingled(n, rows), f"{kinds}_id long, _check long, _n int, shingles array<long>")
+        def fresh(batch: pa.RecordBatch, kept: list[int], sets: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+            new = {name: sets[k] for k in kept if (name := set_name(sets[k])[0]) not in seen}
+            seen.update(new)
+            flat = np.concatenate([*new.values(), np.zeros(0, dtype=np.uint64)])
+            lists = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, new.values())]), pa.int32()), pa.array(flat.view(np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array([*new], pa.int64()), lists], ["_id", "shingles"])
+
+        yield from _shingled(n, fresh)(batches)
+
+    return docs.select(F.col(f"`{col}`").cast("string").alias("_text")).mapInArrow(rows, "_id long, shingles array<long>")
 
 
 def set_bits(elements: int) -> int:
@@ -396,7 +397,9 @@ def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
     element that is in many prefixes is sliced by the join; its entries are paired only within the lengths that can match. What is stored and shuffled
     grows with the index, the candidates and the pairs found, never with the square of the table.
     """
-    index = cut(index)
+    # The two entries before each in its set: where one is of both sets, the pair has met already.
+    own = Window.partitionBy("_id").orderBy("place")
+    index = cut(index.withColumns({"_before": F.lag("element").over(own), "_before2": F.lag("element", 2).over(own)}))
     step = max(-math.log(threshold), 0.01)
 
     def length_class(n: Column) -> Column:
@@ -404,30 +407,28 @@ def candidate_pairs(index: DataFrame, threshold: float) -> DataFrame:
 
     n, other_n = F.col("_n"), F.col("_other_n")
     reach = F.sequence(length_class(n), length_class(n / threshold + EPS))
-    shorter = index.withColumn("_class", F.explode(reach))
-    longer = index.select(
+    place, other_place = F.col("place"), F.col("_other_place")
+    share = threshold / (1 + threshold)
+    entries = index.select("element", "place", "_id", "_n", "_before", "_before2")
+    shorter = entries.filter(n - place >= F.ceil(2 * n * share - EPS)).withColumn("_class", F.explode(reach))
+    longer = entries.select(
         "element",
         length_class(n).alias("_class"),
         F.col("_id").alias("_other"),
         n.alias("_other_n"),
-        F.col("place").alias("_other_place"),
-        F.col("last").alias("_other_last"),
+        place.alias("_other_place"),
+        F.col("_before").alias("_other_before"),
+        F.col("_before2").alias("_other_before2"),
     )
-    # What two sets can share at most: all before the two places, this element, and all behind the two.
-    place, other_place = F.col("place"), F.col("_other_place")
-    most = F.least("last", "_other_last") + F.least(n - place, other_n - other_place)
-    least = F.ceil((n + other_n) * (threshold / (1 + threshold)) - EPS)
+    # Where two sets first meet, what they share is this element and others behind it in both.
+    least = F.ceil((n + other_n) * share - EPS)
     first = (n < other_n) | ((n == other_n) & (F.col("_id") < F.col("_other")))
-    common = F.least(F.col("last") - place, F.col("_other_last") - other_place) + 1
-    # One of the two prefixes ends first in the order. What the sets share up to there is in both, and the rest of that set is ceil(t·n) - 1 elements.
-    beyond = F.ceil(other_n * threshold - EPS) - 1
+    met = reduce(or_, [F.coalesce(F.col(x) == F.col(y), F.lit(False)) for x in ("_before", "_before2") for y in ("_other_before", "_other_before2")])
     return cut(
         sliced_join(shorter, longer, ["element", "_class"])
-        .filter(first & (n >= other_n * threshold - EPS) & (most >= least))
-        .groupBy(F.col("_id").alias("a"), F.col("_other").alias("b"), "_n", "_other_n")
-        .agg(F.sum(common).alias("_common"))
-        .filter(F.col("_common") >= least - beyond)
-        .select("a", "b", "_n")
+        .filter(first & (n >= other_n * threshold - EPS) & (F.least(n - place, other_n - other_place) >= least) & ~met)
+        .select(F.col("_id").alias("a"), F.col("_other").alias("b"), "_n")
+        .distinct()
     )
 
 
@@ -460,15 +461,16 @@ def meeting_places(pairs: DataFrame) -> DataFrame:
     """(home, slice, id, side, partners) from pairs (a, b, n of a): where the sets of pairs meet, so that a set moves once per place and not once per pair.
 
     The home of a pair is the least neighbour of either set: one for all pairs of a group of near copies. Within a home the sets on side 0 (a) are cut into slices of
-    `SLICE_ELEMENTS`, by a hash; a set on side 1 (b) has a row, with its partners, in each slice that it has partners in.
+      `SLICE_ELEMENTS` and `SLICE_PAIRS`, by a hash; a set on side 1 (b) has a row, with its partners, in each slice that it has partners in.
     """
     both = F.explode(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other"))))
     ends = pairs.select(both.alias("_end")).select("_end.*")
     nearest = cut(ends.groupBy("id").agg(F.min("other").alias("_least")).select("id", F.least("id", "_least").alias("_near")))
     named = lookup(lookup(pairs, nearest.toDF("a", "_near_a"), "a"), nearest.toDF("b", "_near_b"), "b")
     homed = cut(named.select(F.least("_near_a", "_near_b").alias("home"), "a", "b", "_n"))
-    held = homed.select("home", "a", "_n").distinct().groupBy("home").agg(F.sum("_n").alias("_held"))
-    large = cut(held.filter(F.col("_held") > SLICE_ELEMENTS).select("home", F.ceil(F.col("_held") / SLICE_ELEMENTS).cast("int").alias("_slices")))
+    per_set = homed.groupBy("home", "a").agg(F.max("_n").alias("_n"), F.count(F.lit(1)).alias("_pairs"))
+    slices = F.ceil(F.greatest(F.sum("_n") / SLICE_ELEMENTS, F.sum("_pairs") / SLICE_PAIRS)).cast("int")
+    large = cut(per_set.groupBy("home").agg(slices.alias("_slices")).filter("_slices > 1"))
     slice_ = F.pmod(F.xxhash64("a"), F.coalesce("_slices", F.lit(1))).cast("int")
     placed = homed.join(F.broadcast(large), "home", "left").select("home", slice_.alias("slice"), "a", "b")
     sides = F.explode(F.array(
@@ -479,11 +481,36 @@ def meeting_places(pairs: DataFrame) -> DataFrame:
     return rows.groupBy("home", "slice", "id", "side").agg(F.collect_list("partner").alias("partners"))
 
 
+def odd_bits(values: np.ndarray) -> np.ndarray:
+    """1,024 bits: which remainders an odd number of the values has. An element of only one of two sets changes one bit, so sets differ by as many elements as bits, at least."""
+    return np.packbits((np.bincount(values & 1023, minlength=1024) & 1).astype(np.uint8)).view(np.uint64)
+
+
+class _Place:
+    """The sets on side 0 of a place where pairs meet."""
+
+    def __init__(self, name: tuple | None) -> None:
+        self.name, self.sets, self.bits = name, {}, None
+
+    def near(self, partners: np.ndarray, own: np.ndarray, threshold: float) -> list[tuple[int, float]]:
+        """Those of `partners` whose index with `own` reaches the threshold. Sets whose bits already tell too many elements apart are not compared."""
+        if self.bits is None:
+            self.names = np.array(sorted(self.sets), dtype=np.int64)
+            self.bits = np.array([odd_bits(self.sets[name]) for name in self.names.tolist()])
+            self.sizes = np.array([len(self.sets[name]) for name in self.names.tolist()])
+        at = np.searchsorted(self.names, partners)
+        apart = np.bitwise_count(self.bits[at] ^ odd_bits(own)).sum(axis=1, dtype=np.int64)
+        both = self.sizes[at] + len(own)
+        left = partners[apart <= both - 2 * np.ceil(both * (threshold / (1 + threshold)) - EPS)]
+        found = [(name, jaccard_of(self.sets[name], own)) for name in left.tolist()]
+        return [f for f in found if f[1] >= threshold]
+
+
 def verified(pairs: DataFrame, sets: DataFrame, threshold: float, values: str = "shingles") -> DataFrame:
     """(a, b, jaccard) of the pairs (a, b, size of a as _n) that reach the threshold, measured on the whole `sets` (_id, values)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, first = None, {}
+        place = _Place(None)
         for batch in batches:
             found = []
             lists = [batch.column(c) for c in ("partners", "_set")]
@@ -491,15 +518,14 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float, values: str =
             columns = [batch.column(c).to_pylist() for c in ("home", "slice", "id", "side")]
             for k, (home, slice_, name, side) in enumerate(zip(*columns)):
                 partners, own = (v[e[k] : e[k + 1]] for v, e in zip(values_, ends))
-                if place != (home, slice_):
-                    place, first = (home, slice_), {}
+                if place.name != (home, slice_):
+                    place = _Place((home, slice_))
                 if side == 0:
-                    first[name] = own.copy()
+                    place.sets[name] = own.copy()
                 else:
-                    found += [(a, name, jaccard_of(first[a], own)) for a in partners.tolist()]
-            near = [f for f in found if f[2] >= threshold]
+                    found += [(a, name, value) for a, value in place.near(partners, own, threshold)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([f[i] for f in near], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "jaccard"]
+                [pa.array([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.float64()))], ["a", "b", "jaccard"]
             )
 
     places = cut(meeting_places(pairs))
@@ -549,14 +575,15 @@ def exact_near_duplicates(
     last = last_in_order(cut(frequent_elements(rows, parts)))
     pairs = candidate_pairs(document_index(docs, n, col, threshold, last, parts), threshold)
     asked = cut(pairs.select(F.explode(F.array("a", "b")).alias("_id")).distinct())
-    # One text of each class that is in a candidate, however many copies it has: that of the class's lowest key.
+    # The texts of the lowest key of each class that is in a candidate, not those of all its copies.
     wanted = cut(lookup(classes.select("_id", "leader"), asked, "_id", "left_semi"))
     leaders = wanted.filter("leader IS NOT NULL").select(F.col("leader").alias(key)).distinct()
     texts = lookup(docs.select(key, col), leaders, key, "left_semi")
     if not wanted.filter("leader IS NULL").isEmpty():
         texts = texts.unionByName(docs.select(key, col).filter(F.col(f"`{key}`").isNull()))
-    sets = lookup(document_sets(texts, n, col), asked, "_id", "left_semi").select("_id", "shingles").dropDuplicates(["_id"])
-    found = verified(pairs, sets, threshold)
+    sets = lookup(document_sets(texts, n, col), asked, "_id", "left_semi")
+    # A set that came from several tasks gives its pairs several times.
+    found = verified(pairs, sets, threshold).distinct()
     names = classes.select("_id", "leader")
     named = lookup(found, names.toDF("a", "_first"), "a")
     named = lookup(named, names.toDF("b", "_second"), "b")

@@ -9,6 +9,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from prosewell.operators import quality, similarity
+from pyspark.sql.classic.dataframe import DataFrame
 
 
 def brute_force(sets, threshold):
@@ -214,3 +215,30 @@ def test_sets_of_a_group_move_once(spark, monkeypatch):
         held.setdefault((r.home, r.slice), set()).add(r.id) if r.side == 0 else None
     assert len(held) == 6 and sum(map(len, held.values())) == 59
     assert all(p in held[r.home, r.slice] for r in cut for p in r.partners)
+    monkeypatch.setattr(similarity, "SLICE_ELEMENTS", 1 << 20)
+    monkeypatch.setattr(similarity, "SLICE_PAIRS", 600)
+    assert len({r.slice for r in similarity.meeting_places(pairs).collect()}) == 3
+
+
+def test_pairs_leave_the_join_once_per_stretch_of_common_entries(spark):
+    """A pair whose entries before also meet has met there: 40 near copies of 200 elements give little more than a row per pair."""
+    rng = random.Random(2)
+    sets = [sorted({*range(1_000, 1_200)} - {rng.randrange(1_000, 1_200)}) for _ in range(40)]
+    rows = [(e, k, k, i, len(s)) for i, s in enumerate(sets) for k, e in enumerate(s[:40])]
+    index = spark.createDataFrame(rows, "element long, place int, last int, _id long, _n int")
+    seen = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrame, "distinct", lambda df: seen.append(df.count()) or df.dropDuplicates())
+        found = similarity.candidate_pairs(index, 0.8).collect()
+    assert sorted((min(r.a, r.b), max(r.a, r.b)) for r in found) == [*itertools.combinations(range(40), 2)]
+    assert len(found) <= seen[-1] < 2 * len(found)
+
+
+def test_bits_tell_no_more_elements_apart_than_there_are():
+    rng = np.random.default_rng(9)
+    for size, other in ((1, 1), (30, 40), (900, 20), (3_000, 3_000)):
+        a, b = (np.unique(rng.integers(-(2**62), 2**62, n)) for n in (size, other))
+        b = np.union1d(b, a[: size // 2])
+        apart = len(np.setxor1d(a, b))
+        assert 0 <= int(np.bitwise_count(similarity.odd_bits(a) ^ similarity.odd_bits(b)).sum()) <= apart
+    assert similarity.odd_bits(a).tolist() == similarity.odd_bits(a[::-1]).tolist()
